@@ -103,7 +103,7 @@ cand AS (
 ),
 tsim AS (
   SELECT c.query_id, c.id, t.qix,
-         max({DIM} - 2 * (bit_count(xor(t.a, d.a)) + bit_count(xor(t.b, d.b)))) AS best
+         max({DIM} - 2 * (bit_count(xor(t.a, d.a))::INTEGER + bit_count(xor(t.b, d.b))::INTEGER)) AS best
   FROM cand c JOIN qtok t ON t.query_id = c.query_id JOIN cdtok d ON d.id = c.id
   GROUP BY c.query_id, c.id, t.qix
 ),
@@ -162,7 +162,7 @@ stok AS (
   FROM (SELECT query_id, id, sent_ix, unnest({_words('sentence')}) AS tok FROM srows WHERE NOT fb)
 ),
 ssim AS (
-  SELECT s.query_id, s.id, s.sent_ix, t.qix, max({DIM} - 2 * (bit_count(xor(t.a, s.a)) + bit_count(xor(t.b, s.b)))) AS best
+  SELECT s.query_id, s.id, s.sent_ix, t.qix, max({DIM} - 2 * (bit_count(xor(t.a, s.a))::INTEGER + bit_count(xor(t.b, s.b))::INTEGER)) AS best
   FROM stok s JOIN qtok t ON t.query_id = s.query_id GROUP BY ALL
 ),
 sscore AS (SELECT query_id, id, sent_ix, sum(best) / {float(DIM)} AS score FROM ssim GROUP BY ALL),
