@@ -128,17 +128,30 @@ def maxsim(q, d, normalize_tokens: bool = True) -> Column:
     return F.coalesce(let(dm, score), F.lit(0.0))
 
 
+def hamming_fixed(a, b, n_words: int) -> Column:
+    """G2 for codes of a known word count, without building arrays (cheap
+    enough for the innermost lambda of MaxSim)."""
+    terms = [F.bit_count(a[w].bitwiseXOR(b[w])).cast("int") for w in range(n_words)]
+    out = terms[0]
+    for t in terms[1:]:
+        out = out + t
+    return out
+
+
 def maxsim_codes(q, d, dim: int) -> Column:
     """G3 for token vectors with components +-1/sqrt(dim), stored as packed
     sign codes.  The cosine of two such tokens is ``1 - 2*ham/dim``, so the
     score is ``sum_q max_d (dim - 2*ham) / dim``: an exact dyadic number that
     does not depend on summation order.  Duplicate document tokens do not change
-    the max, so callers may pass ``array_distinct`` of the document side."""
-    best = F.transform(
-        _col(q),
-        lambda a: F.array_max(
-            F.transform(_col(d), lambda b: F.lit(dim) - F.lit(2) * hamming(a, b))
-        ),
-    )
-    total = F.aggregate(best, F.lit(0).cast("long"), lambda acc, x: acc + x.cast("long"))
-    return F.coalesce(total.cast("double") / F.lit(float(dim)), F.lit(0.0))
+    the max, so callers may pass ``array_distinct`` of the document side (it is
+    evaluated once per row, not once per query token)."""
+    words = n_words(dim)
+
+    def score(dmat):
+        best = F.transform(
+            _col(q),
+            lambda a: F.array_max(F.transform(dmat, lambda b: F.lit(dim) - F.lit(2) * hamming_fixed(a, b, words))),
+        )
+        return F.aggregate(best, F.lit(0).cast("long"), lambda acc, x: acc + x.cast("long"))
+
+    return F.coalesce(let(_col(d), score).cast("double") / F.lit(float(dim)), F.lit(0.0))

@@ -64,9 +64,10 @@ def sentence_rows(df: DataFrame, text_col: str = "text", keep: list[str] | None
     qualifying sentence yields one row holding the raw, un-normalised text
     with ``is_fallback`` set.  Returns (*keep, sent_ix, sentence, is_fallback)."""
     keep = keep or []
-    sents = T.split_sentences(F.col(text_col))
-    fallback = F.size(sents) == 0
-    items = F.when(fallback, F.array(F.col(text_col))).otherwise(sents)
-    return df.select(*keep, fallback.alias("is_fallback"), F.posexplode(items).alias("sent_ix", "sentence")).select(
+    # the sentence array is computed once per input row, below the generator
+    base = df.select(*keep, F.col(text_col).alias("_raw"), T.split_sentences(F.col(text_col)).alias("_s"))
+    fallback = F.size("_s") == 0
+    items = F.when(fallback, F.array(F.col("_raw"))).otherwise(F.col("_s"))
+    return base.select(*keep, fallback.alias("is_fallback"), F.posexplode(items).alias("sent_ix", "sentence")).select(
         *keep, F.col("sent_ix").cast("int").alias("sent_ix"), "sentence", "is_fallback"
     )

@@ -7,7 +7,7 @@ and top-k uses row_number() over every pair (fine at test scale).
 
 # --- shared CTEs over the embeddings table --------------------------------
 
-_MATRICES = """
+_MATRICES_T = """
 m AS (
   SELECT vec_id // 5 AS id, list(embedding::DOUBLE[] ORDER BY vec_id) AS toks
   FROM embeddings GROUP BY 1
@@ -29,7 +29,7 @@ pre AS (
          list_sum(list_transform(range(1, len(q.dense) + 1),
                   lambda i: ((q.dense[i] > 0) <> (c.dense[i] > 0))::INTEGER))::INTEGER AS ham
   FROM d q, d c WHERE q.id <> c.id
-  QUALIFY row_number() OVER (PARTITION BY q.id ORDER BY ham, c.id) <= 10
+  QUALIFY row_number() OVER (PARTITION BY q.id ORDER BY ham, c.id) <= {limit}
 ),
 cand AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY ham, id)::INTEGER AS stage1_rank FROM pre
@@ -41,6 +41,9 @@ scored AS (
 )
 """
 
+_MATRICES = _MATRICES_T.format(limit=10)
+_MATRICES_500 = _MATRICES_T.format(limit=500)
+
 _SINGLE = """
 v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings)
 """
@@ -101,5 +104,38 @@ SELECT id, round(nr, 6) AS norm,
        round(sqrt(list_sum(list_transform(unit, lambda x: x * x))), 6) AS unit_norm,
        round(unit[1], 6) AS unit_x0
 FROM u
+""",
+    "q22_limit_sweep": f"""
+WITH {_MATRICES_500},
+lims AS (SELECT unnest([10, 25, 50, 100, 250, 500])::INTEGER AS prefetch_limit),
+top1 AS (
+  SELECT query_id, prefetch_limit, id AS top1 FROM (
+    SELECT s.query_id, l.prefetch_limit, s.id,
+           row_number() OVER (PARTITION BY s.query_id, l.prefetch_limit ORDER BY round(s.score, 6) DESC, s.id) AS r
+    FROM scored s JOIN lims l ON s.stage1_rank <= l.prefetch_limit)
+  WHERE r = 1
+),
+grid AS (
+  SELECT d.id AS query_id, l.prefetch_limit, t.top1
+  FROM d CROSS JOIN lims l LEFT JOIN top1 t ON t.query_id = d.id AND t.prefetch_limit = l.prefetch_limit
+),
+cmp AS (
+  SELECT g.prefetch_limit, (g.top1 IS NOT DISTINCT FROM r.top1)::INTEGER AS m
+  FROM grid g JOIN grid r ON r.query_id = g.query_id AND r.prefetch_limit = 500
+),
+rate AS (SELECT prefetch_limit, sum(m)::BIGINT AS matches, count(*)::BIGINT AS n_queries FROM cmp GROUP BY 1)
+SELECT prefetch_limit, matches, n_queries, round(matches * 100.0 / n_queries, 6) AS match_rate_pct,
+       CASE WHEN prefetch_limit = 500 THEN '100% (Reference)'
+            ELSE printf('%d%% (%d/%d)', round_even(matches * 100.0 / n_queries, 0)::BIGINT, matches, n_queries) END
+         AS match_status
+FROM rate
+""",
+    "q23_footprint": """
+SELECT len(embedding)::INTEGER AS dim, count(*)::BIGINT AS n_vectors,
+       (len(embedding) * 4)::BIGINT AS full_precision_bytes, len(embedding) / 8.0 AS binary_quantized_bytes,
+       round((len(embedding) * 4) / (len(embedding) / 8.0), 6) AS compression_ratio,
+       (len(embedding) * 4 * count(*))::BIGINT AS corpus_full_precision_bytes,
+       len(embedding) / 8.0 * count(*) AS corpus_binary_bytes
+FROM embeddings GROUP BY len(embedding)
 """,
 }

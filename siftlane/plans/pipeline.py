@@ -13,7 +13,7 @@ from ..operators import search as S
 from ..operators.chunk import documents_to_chunks
 from ..operators.embed import HashEmbedder
 from ..operators.isolate import isolate_sentences
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources.index import check_index
 
 DEFAULT_EMBEDDER = HashEmbedder()
@@ -24,7 +24,7 @@ def build_index(docs: DataFrame, embedder=DEFAULT_EMBEDDER, separator: str = "\n
                 keep: list[str] | None = None) -> DataFrame:
     """Documents -> chunks -> (dense, code, token matrix) in one narrow
     projection per partition; no shuffle."""
-    chunks = documents_to_chunks(docs, separator, keep)
+    chunks = documents_to_chunks(spread(docs), separator, keep)
     return check_index(embedder.encode(chunks, "text", side="doc"), embedder.dense_dim, embedder.code_words)
 
 

@@ -87,3 +87,18 @@ def q06_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(V.norm(unit), 6).alias("unit_norm"),
         F.round(unit.getItem(0), 6).alias("unit_x0"),
     )
+
+
+def q22_limit_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import reports as R
+
+    idx, dim = _matrices(spark, sf_dir)
+    return R.limit_sweep(idx, SV.as_queries(idx), code_words=V.n_words(dim), tok_kind="float", tok_dim=dim,
+                         exclude_self=True)
+
+
+def q23_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import reports as R
+
+    emb, dim = _vectors(spark, sf_dir)
+    return R.footprint(SV.vector_index(emb, dim))

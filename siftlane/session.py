@@ -59,3 +59,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, factor: int = 2):
+    """Round-robin repartition for CPU-heavy per-row work when the input has
+    fewer partitions than the cluster has cores (e.g. one large row group);
+    a no-op for inputs that already come in many splits."""
+    sc = df.sparkSession.sparkContext
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - no RDD access (e.g. Spark Connect)
+        return df
+    cores = sc.defaultParallelism
+    return df.repartition(cores * factor) if n < cores else df
