@@ -8,9 +8,10 @@ normalisation).  The token matrix is stored losslessly as packed sign codes
 The dense vector is the element-wise sum of the token vectors (integers),
 its code the sign bits of that sum.
 
-Tokenising and hashing are Spark SQL expressions; only the per-dimension sum
-runs in an Arrow UDF (numpy over whole batches), because Spark has no
-vectorised "sum of bit planes".
+Tokenising is a Spark SQL expression; md5 of the tokens and the
+per-dimension sum run in one Arrow UDF over whole batches (hashlib + numpy):
+Spark has no vectorised "sum of bit planes", and turning md5 hex into words
+with string functions costs several times more than hashing in the batch.
 
 ``ArrowModelEmbedder`` is the plug point for a real model: a function that
 maps a batch of texts to dense vectors and token matrices, run once per Arrow
@@ -19,13 +20,14 @@ batch (load the model lazily, once per Python worker).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType
+from pyspark.sql.types import ArrayType, FloatType, LongType, StructField, StructType
 
 from ..functions import text as T
 from ..functions import vector as V
@@ -35,6 +37,8 @@ HASH_WORDS = 2
 
 
 def _md5_words(token: Column) -> Column:
+    """Spark-expression form of one token's code (used for inspection; the
+    embedder hashes whole Arrow batches in ``_hash_batch``)."""
     def words(m):
         def word(off):
             hi = F.conv(F.substring(m, off, 8), 16, 10).cast("long")
@@ -51,27 +55,65 @@ def token_codes(tokens: Column) -> Column:
     return F.transform(tokens, _md5_words)
 
 
-def _dense_from_codes(codes: pa.Array) -> pa.Array:
-    """Sum of +-1 token vectors per row, from packed token codes."""
-    codes = codes.cast(pa.list_(pa.list_(pa.int64())))
-    n_rows = len(codes)
-    offsets = codes.offsets.to_numpy().astype(np.int64)
-    seg = offsets - offsets[0]
+def _digest_words(tokens: pa.Array):
+    """md5 of every token of a batch as (n_tokens, 2) uint64 words (the
+    first/last 8 digest bytes read big-endian) plus list offsets."""
+    tokens = tokens.cast(pa.list_(pa.string()))
+    offsets = tokens.offsets.to_numpy().astype(np.int64)
+    flat = tokens.flatten().to_pylist()
+    md5 = hashlib.md5
+    raw = b"".join([md5(t.encode("utf-8")).digest() for t in flat])
+    words = np.frombuffer(raw, dtype=">u8").astype(np.uint64).reshape(-1, HASH_WORDS)
+    return words, offsets - offsets[0]
+
+
+def _codes_array(words: np.ndarray, seg: np.ndarray) -> pa.Array:
+    inner = pa.ListArray.from_arrays(
+        pa.array(np.arange(0, 2 * len(words) + 1, 2, dtype=np.int32)),
+        pa.array(words.view(np.int64).reshape(-1), pa.int64()),
+    )
+    return pa.ListArray.from_arrays(pa.array(seg.astype(np.int32)), inner)
+
+
+def _dense_of(words: np.ndarray, seg: np.ndarray) -> pa.Array:
+    """Per row, the sum of its +-1 token vectors (bit i of the vector is bit
+    i%64 of word i//64)."""
+    n_rows = len(seg) - 1
     n_tok = np.diff(seg)
-    words = codes.flatten().flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    words = words.reshape(-1, HASH_WORDS)
     out = np.empty((n_rows, HASH_DIM), dtype=np.float32)
     for w in range(HASH_WORDS):
         col = words[:, w]
         for b in range(64):
             bits = ((col >> np.uint64(b)) & np.uint64(1)).astype(np.int64)
             cs = np.concatenate([[0], np.cumsum(bits)])
-            ones = cs[seg[1:]] - cs[seg[:-1]]
-            out[:, w * 64 + b] = 2 * ones - n_tok
+            out[:, w * 64 + b] = 2 * (cs[seg[1:]] - cs[seg[:-1]]) - n_tok
     flat = pa.array(out.reshape(-1), pa.float32())
     return pa.ListArray.from_arrays(pa.array(np.arange(0, (n_rows + 1) * HASH_DIM, HASH_DIM, dtype=np.int32)), flat)
 
 
+def _hash_batch(tokens: pa.Array) -> pa.Array:
+    words, seg = _digest_words(tokens)
+    return pa.StructArray.from_arrays([_codes_array(words, seg), _dense_of(words, seg)], names=["codes", "dense"])
+
+
+def _hash_codes_batch(tokens: pa.Array) -> pa.Array:
+    words, seg = _digest_words(tokens)
+    return _codes_array(words, seg)
+
+
+def _dense_from_codes(codes: pa.Array) -> pa.Array:
+    """Dense vectors from already packed token codes."""
+    codes = codes.cast(pa.list_(pa.list_(pa.int64())))
+    offsets = codes.offsets.to_numpy().astype(np.int64)
+    words = codes.flatten().flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return _dense_of(words.reshape(-1, HASH_WORDS), offsets - offsets[0])
+
+
+_HASH_TYPE = StructType([
+    StructField("codes", ArrayType(ArrayType(LongType()))), StructField("dense", ArrayType(FloatType())),
+])
+_hash_udf = F.arrow_udf(_hash_batch, _HASH_TYPE)
+_hash_codes_udf = F.arrow_udf(_hash_codes_batch, ArrayType(ArrayType(LongType())))
 _dense_udf = F.arrow_udf(_dense_from_codes, ArrayType(FloatType()))
 
 
@@ -83,7 +125,7 @@ class HashEmbedder:
 
     def encode_tokens(self, df: DataFrame, text_col: str, side: str = "doc", prefix: str = "") -> DataFrame:
         """Token matrix only (what MaxSim needs)."""
-        codes = token_codes(T.words(F.col(text_col)))
+        codes = _hash_codes_udf(T.words(F.col(text_col)))
         return df.withColumn(f"{prefix}toks", codes if side == "query" else F.array_distinct(codes))
 
     def encode(self, df: DataFrame, text_col: str = "text", side: str = "doc", prefix: str = "") -> DataFrame:
@@ -91,14 +133,12 @@ class HashEmbedder:
         ``{prefix}n_tokens``.  Query side (P5) keeps repeated tokens (they
         count twice in MaxSim); document side stores each distinct token once
         (the max over document tokens does not change)."""
-        words = T.words(F.col(text_col))
-        all_codes = token_codes(words)
-        out = df.withColumn("_codes", all_codes)
-        out = out.withColumn(f"{prefix}dense", _dense_udf(F.col("_codes")))
+        out = df.withColumn("_h", _hash_udf(T.words(F.col(text_col))))
+        out = out.withColumn(f"{prefix}dense", F.col("_h.dense"))
         out = out.withColumn(f"{prefix}code", V.binary_code(F.col(f"{prefix}dense"), HASH_DIM))
-        out = out.withColumn(f"{prefix}n_tokens", F.size("_codes"))
-        toks = F.col("_codes") if side == "query" else F.array_distinct(F.col("_codes"))
-        return out.withColumn(f"{prefix}toks", toks).drop("_codes")
+        out = out.withColumn(f"{prefix}n_tokens", F.size("_h.codes"))
+        toks = F.col("_h.codes") if side == "query" else F.array_distinct(F.col("_h.codes"))
+        return out.withColumn(f"{prefix}toks", toks).drop("_h")
 
 
 class ArrowModelEmbedder:

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import maxsim_arrow as MA
 from ..functions import vector as V
 from .topk import scan_top_k, top_k_per_key
 
@@ -58,10 +59,17 @@ def prefetch(
     )
 
 
-def maxsim_column(tok_kind: str, tok_dim: int, normalize: bool = True):
+# MaxSim kernel: "arrow" (numpy per Arrow batch) or "hof" (Spark lambdas).
+MAXSIM_IMPL = "arrow"
+
+
+def maxsim_column(tok_kind: str, tok_dim: int, normalize: bool = True, impl: str | None = None):
+    """G3 between the ``q_toks`` and ``toks`` columns."""
+    impl = impl or MAXSIM_IMPL
+    mod = MA if impl == "arrow" else V
     if tok_kind == "codes":
-        return V.maxsim_codes(F.col("q_toks"), F.array_distinct(F.col("toks")), tok_dim)
-    return V.maxsim(F.col("q_toks"), F.col("toks"), normalize_tokens=normalize)
+        return mod.maxsim_codes(F.col("q_toks"), F.col("toks"), tok_dim)
+    return mod.maxsim(F.col("q_toks"), F.col("toks"), normalize_tokens=normalize)
 
 
 def score_candidates(

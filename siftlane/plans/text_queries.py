@@ -14,7 +14,7 @@ from ..functions import text as T
 from ..functions import vector as V
 from ..operators import chunk as CH
 from ..operators.embed import token_codes
-from ..session import scratch_path
+from ..session import freeze, scratch_path, spread
 from ..sources import index as IX
 from ..sources.tables import read_table
 from . import pipeline as P
@@ -28,7 +28,7 @@ PROMPT_TOP_N = 1
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents")
+    return spread(read_table(spark, sf_dir, "documents"))
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +40,9 @@ def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.encode_queries(read_table(spark, sf_dir, "benchmark"))
+    """Encoded query block (bounded: one row per benchmark item), written
+    once and read by every stage that needs it."""
+    return freeze(P.encode_queries(read_table(spark, sf_dir, "benchmark")))
 
 
 def _two_stage(spark, sf_dir, top_k=TOP_K):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import vector as V
 from ..operators import search as S
 from ..sources import vectors as SV
+from ..session import freeze
 from ..sources.tables import read_table
 
 # Fixed parameters of the registered queries.
@@ -29,8 +30,10 @@ def _vectors(spark: SparkSession, sf_dir: str):
 
 
 def _matrices(spark: SparkSession, sf_dir: str):
+    """Token-matrix index of the embeddings, written once per query (it is
+    scanned for codes, joined for token matrices and used as the queries)."""
     emb, dim = _vectors(spark, sf_dir)
-    return SV.matrix_index(emb, dim, GROUP), dim
+    return freeze(SV.matrix_index(emb, dim, GROUP)), dim
 
 
 def q01_two_stage_search(spark: SparkSession, sf_dir: str) -> DataFrame:

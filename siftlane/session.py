@@ -72,3 +72,11 @@ def spread(df, factor: int = 2):
         return df
     cores = sc.defaultParallelism
     return df.repartition(cores * factor) if n < cores else df
+
+
+def freeze(df):
+    """Reliable checkpoint into the shared checkpoint folder: later actions
+    read the written rows instead of recomputing the lineage (used for
+    bounded tables that several stages read, e.g. an encoded query block)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

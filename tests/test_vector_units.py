@@ -160,3 +160,24 @@ def test_vector_bytes(spark):
     idx = spark.createDataFrame([([0.0] * 384,)], "dense array<float>")
     r = R.footprint(idx).first()
     assert (r.full_precision_bytes, r.binary_quantized_bytes, r.compression_ratio) == (1536, 48.0, 32.0)
+
+
+def test_arrow_and_hof_maxsim_agree(spark):
+    from siftlane.functions import maxsim_arrow as MA
+
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(40):
+        nq, nd = int(rng.integers(0, 5)), int(rng.integers(0, 6))
+        rows.append((i, rng.normal(size=(nq, 16)).tolist(), rng.normal(size=(nd, 16)).tolist(),
+                     rng.integers(-2**62, 2**62, size=(nq, 2)).tolist(), rng.integers(-2**62, 2**62, size=(nd, 2)).tolist()))
+    df = spark.createDataFrame(rows, "i int, q array<array<double>>, d array<array<double>>, "
+                                     "qc array<array<long>>, dc array<array<long>>").repartition(3)
+    out = df.select(
+        V.maxsim("q", "d").alias("h1"), MA.maxsim("q", "d").alias("a1"),
+        V.maxsim("q", "d", normalize_tokens=False).alias("h2"), MA.maxsim("q", "d", normalize_tokens=False).alias("a2"),
+        V.maxsim_codes("qc", "dc", 128).alias("h3"), MA.maxsim_codes("qc", "dc", 128).alias("a3"),
+    ).collect()
+    for r in out:
+        assert r.h1 == pytest.approx(r.a1, abs=1e-9) and r.h2 == pytest.approx(r.a2, abs=1e-9)
+        assert r.h3 == r.a3
