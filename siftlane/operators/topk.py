@@ -89,19 +89,36 @@ def _score_tile(mode, qmat, qnorm, tile, tile_norm):
     return _COS_SCALE - _round_half_away(cos * _COS_SCALE), cos
 
 
-def _partial_top_k(q_ids, qmat, q_self, mode, k, width, id_col, vec_col):
-    sentinel = np.int64(64 * width + 1) if mode == "hamming" else np.int64(_COS_SENTINEL)
-    qnorm = None if mode == "hamming" else np.sqrt((qmat * qmat).sum(1))
-    step = max(1, _TILE_CELLS // max(1, len(q_ids)))
+# Query blocks above this size travel as a Spark broadcast variable (once per
+# executor) instead of inside every task's serialized closure.
+_CLOSURE_BYTES = 1 << 20
 
+
+def _ship(spark, payload):
+    """Returns a zero-argument getter for ``payload`` usable inside tasks."""
+    nbytes = sum(getattr(a, "nbytes", 0) for a in payload if a is not None)
+    if nbytes > _CLOSURE_BYTES:
+        try:
+            bc = spark.sparkContext.broadcast(payload)
+            return lambda: bc.value
+        except Exception:  # pragma: no cover - no SparkContext (e.g. Spark Connect)
+            pass
+    return lambda: payload
+
+
+def _partial_top_k(get_block, mode, k, width):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q_ids, qmat, q_self = get_block()
+        sentinel = np.int64(64 * width + 1) if mode == "hamming" else np.int64(_COS_SENTINEL)
+        qnorm = None if mode == "hamming" else np.sqrt((qmat * qmat).sum(1))
+        step = max(1, _TILE_CELLS // max(1, len(q_ids)))
         best = None
         for rb in batches:
             n = rb.num_rows
             if n == 0:
                 continue
-            ids = rb.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = rb.column(vec_col).flatten().to_numpy(zero_copy_only=False)
+            ids = rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = rb.column("vec").flatten().to_numpy(zero_copy_only=False)
             if mode == "hamming":
                 mat = flat.astype(np.int64).view(np.uint64).reshape(n, width)
                 mnorm = None
@@ -193,7 +210,7 @@ def scan_top_k(
         if q_self is not None:
             s = tbl.column("s").combine_chunks().fill_null(np.iinfo(np.int64).min)
             selfs = s.to_numpy(zero_copy_only=False).astype(np.int64)
-        fn = _partial_top_k(q_ids, qmat, selfs, mode, k, width, "id", "vec")
+        fn = _partial_top_k(_ship(corpus.sparkSession, (q_ids, qmat, selfs)), mode, k, width)
         parts.append(scan.mapInArrow(fn, schema))
     if not parts:
         return corpus.sparkSession.createDataFrame([], schema + ", rank int")

@@ -126,6 +126,6 @@ def corpus_index(spark: SparkSession, docs: DataFrame, key: str, embedder=DEFAUL
     path = _INDEX_CACHE.get(cache_key)
     if path is None:
         path = scratch_path(spark, "index")
-        build_index(docs, embedder).write.mode("errorifexists").parquet(path)
+        build_index(docs, embedder).sortWithinPartitions("id").write.mode("errorifexists").parquet(path)
         _INDEX_CACHE[cache_key] = path
     return spark.read.parquet(path)

@@ -8,7 +8,7 @@ new version, so a version being read is never overwritten.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,9 +112,12 @@ def read_index(spark: SparkSession, root: str) -> DataFrame:
 # --- A4: upsert ---------------------------------------------------------------
 
 def dedupe_latest(batch: DataFrame, key: str, seq: str) -> DataFrame:
-    """In-batch duplicates: the row with the highest ``seq`` wins."""
-    w = Window.partitionBy(key).orderBy(F.col(seq).desc())
-    return batch.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+    """In-batch duplicates: the row with the highest ``seq`` wins.  A
+    ``max_by`` aggregate combines map-side, so a key repeated in a third of
+    the batch still reaches the shuffle as one row per task."""
+    cols = [c for c in batch.columns if c != key]
+    best = F.max_by(F.struct(*cols), F.col(seq)).alias("_row")
+    return batch.groupBy(key).agg(best).select(key, *[F.col(f"_row.{c}").alias(c) for c in cols]).select(*batch.columns)
 
 
 def upsert(existing: DataFrame, updates: DataFrame, key: str, n_update_keys: int | None = None) -> DataFrame:
@@ -131,5 +134,9 @@ def upsert(existing: DataFrame, updates: DataFrame, key: str, n_update_keys: int
 
 
 def upsert_index(spark: SparkSession, root: str, updates: DataFrame, key: str = "doc_id") -> str:
+    from ..session import freeze
+
     base = read_index(spark, root)
-    return write_version(upsert(base, updates, key), root)
+    updates = freeze(updates)  # embedded once, read by the key count and the union
+    n_keys = updates.select(key).distinct().count()
+    return write_version(upsert(base, updates, key, n_keys), root)

@@ -97,3 +97,16 @@ def test_prompt_template(spark):
             "If the context does not contain the answer, state that clearly.\n\n"
             "Context:\n[Source Chunk 1]: a\n\n[Source Chunk 2]: b\n\nQuestion: Q?\nAnswer:")
     assert got == want
+
+
+def test_dedupe_latest_and_upsert(spark):
+    from siftlane.sources.index import dedupe_latest, upsert
+
+    batch = spark.createDataFrame([(1, 1, "old"), (1, 3, "new"), (2, 1, "x"), (1, 2, "mid")],
+                                  "doc_id long, seq int, text string")
+    got = sorted((r.doc_id, r.seq, r.text) for r in dedupe_latest(batch, "doc_id", "seq").collect())
+    assert got == [(1, 3, "new"), (2, 1, "x")]
+    base = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (5, 0, "c")], "doc_id long, chunk_ix int, text string")
+    upd = spark.createDataFrame([(1, 0, "a2"), (9, 0, "z")], "doc_id long, chunk_ix int, text string")
+    got = sorted(tuple(r) for r in upsert(base, upd, "doc_id", 2).collect())
+    assert got == [(1, 0, "a2"), (5, 0, "c"), (9, 0, "z")]

@@ -181,3 +181,19 @@ def test_arrow_and_hof_maxsim_agree(spark):
     for r in out:
         assert r.h1 == pytest.approx(r.a1, abs=1e-9) and r.h2 == pytest.approx(r.a2, abs=1e-9)
         assert r.h3 == r.a3
+
+
+def test_scan_top_k_with_broadcast_block(spark, monkeypatch):
+    from siftlane.operators import topk
+
+    monkeypatch.setattr(topk, "_CLOSURE_BYTES", 0)
+    rng = np.random.default_rng(12)
+    corpus = rng.normal(size=(50, 64))
+    idx = _index(spark, corpus)
+    q = idx.select(F.col("id").alias("query_id"), F.col("code").alias("q_code"), F.col("id").alias("self_id"))
+    got = scan_top_k(idx, q, k=3, mode="hamming", width=1, q_self="self_id").collect()
+    cb = corpus > 0
+    for qi in (0, 17, 49):
+        ham = (cb != cb[qi]).sum(axis=1)
+        want = sorted((j for j in range(50) if j != qi), key=lambda j: (ham[j], j))[:3]
+        assert [r.id for r in sorted((r for r in got if r.query_id == qi), key=lambda r: r.rank)] == want
