@@ -64,6 +64,11 @@ def words(text) -> Column:
     )
 
 
+def doc_label(doc_id, fmt: str = "doc-%03d") -> Column:
+    """F8: printf-style document label, e.g. ``doc-007``."""
+    return F.format_string(fmt, _col(doc_id))
+
+
 def chunk_id(doc_id, chunk_ix) -> Column:
     """F8: '<doc_id>-c<chunk_ix>'."""
     return F.format_string("%s-c%d", _col(doc_id), _col(chunk_ix))

@@ -28,6 +28,16 @@ def build_index(docs: DataFrame, embedder=DEFAULT_EMBEDDER, separator: str = "\n
     return check_index(embedder.encode(chunks, "text", side="doc"), embedder.dense_dim, embedder.code_words)
 
 
+def ingest(docs: DataFrame, root: str, embedder=DEFAULT_EMBEDDER, recreate: bool = True,
+           separator: str = "\n") -> str:
+    """E8 end to end: build the index and publish it as the next version of
+    ``root`` (``recreate=False`` keeps an existing index untouched).
+    Returns the version path."""
+    from ..sources.index import create_index
+
+    return create_index(build_index(docs, embedder, separator), root, recreate=recreate)
+
+
 def encode_queries(q: DataFrame, embedder=DEFAULT_EMBEDDER, id_col: str = "item_id",
                    text_col: str = "text") -> DataFrame:
     """P5: (query_id, query, q_dense, q_code, q_toks, q_n_tokens)."""
