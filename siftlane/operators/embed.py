@@ -8,10 +8,12 @@ normalisation).  The token matrix is stored losslessly as packed sign codes
 The dense vector is the element-wise sum of the token vectors (integers),
 its code the sign bits of that sum.
 
-Tokenising is a Spark SQL expression; md5 of the tokens and the
-per-dimension sum run in one Arrow UDF over whole batches (hashlib + numpy):
-Spark has no vectorised "sum of bit planes", and turning md5 hex into words
-with string functions costs several times more than hashing in the batch.
+Tokenising, md5 of the tokens and the per-dimension sum run in one Arrow UDF
+over whole batches (re + hashlib + numpy): Spark has no vectorised "sum of
+bit planes", and building token arrays and turning md5 hex into words with
+string functions cost several times more than doing it in the batch.  The
+Spark-expression forms (``text.words``, ``token_codes``) define the same
+tokens and codes and are tested against the batch form.
 
 ``ArrowModelEmbedder`` is the plug point for a real model: a function that
 maps a batch of texts to dense vectors and token matrices, run once per Arrow
@@ -21,6 +23,7 @@ batch (load the model lazily, once per Python worker).
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -91,13 +94,40 @@ def _dense_of(words: np.ndarray, seg: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, (n_rows + 1) * HASH_DIM, HASH_DIM, dtype=np.int32)), flat)
 
 
-def _hash_batch(tokens: pa.Array) -> pa.Array:
-    words, seg = _digest_words(tokens)
-    return pa.StructArray.from_arrays([_codes_array(words, seg), _dense_of(words, seg)], names=["codes", "dense"])
+_WORD_RE = re.compile(T.WORD_PATTERN)
 
 
-def _hash_codes_batch(tokens: pa.Array) -> pa.Array:
-    words, seg = _digest_words(tokens)
+def _tokenize_batch(texts: pa.Array) -> pa.Array:
+    """Same tokens as ``text.words`` (ASCII letter/digit runs, ASCII
+    lowercase), produced inside the Arrow batch so the text crosses into
+    Python once instead of as an array of token strings."""
+    find = _WORD_RE.findall
+    return pa.array([None if t is None else [w.lower() for w in find(t)] for t in texts.to_pylist()],
+                    pa.list_(pa.string()))
+
+
+def _sign_code(dense: pa.Array) -> pa.Array:
+    """P7 in the batch: bit i set when component i > 0 (word i//64, LSB first)."""
+    vals = dense.flatten().to_numpy(zero_copy_only=False).reshape(-1, HASH_DIM)
+    bits = (vals > 0).astype(np.uint64)
+    shifts = np.arange(64, dtype=np.uint64)
+    words = np.stack([(bits[:, w * 64:(w + 1) * 64] << shifts).sum(axis=1, dtype=np.uint64)
+                      for w in range(HASH_WORDS)], axis=1)
+    return pa.ListArray.from_arrays(
+        pa.array(np.arange(0, HASH_WORDS * len(vals) + 1, HASH_WORDS, dtype=np.int32)),
+        pa.array(words.view(np.int64).reshape(-1), pa.int64()),
+    )
+
+
+def _hash_batch(texts: pa.Array) -> pa.Array:
+    words, seg = _digest_words(_tokenize_batch(texts))
+    dense = _dense_of(words, seg)
+    return pa.StructArray.from_arrays([_codes_array(words, seg), dense, _sign_code(dense)],
+                                      names=["codes", "dense", "code"])
+
+
+def _hash_codes_batch(texts: pa.Array) -> pa.Array:
+    words, seg = _digest_words(_tokenize_batch(texts))
     return _codes_array(words, seg)
 
 
@@ -111,6 +141,7 @@ def _dense_from_codes(codes: pa.Array) -> pa.Array:
 
 _HASH_TYPE = StructType([
     StructField("codes", ArrayType(ArrayType(LongType()))), StructField("dense", ArrayType(FloatType())),
+    StructField("code", ArrayType(LongType())),
 ])
 _hash_udf = F.arrow_udf(_hash_batch, _HASH_TYPE)
 _hash_codes_udf = F.arrow_udf(_hash_codes_batch, ArrayType(ArrayType(LongType())))
@@ -125,7 +156,7 @@ class HashEmbedder:
 
     def encode_tokens(self, df: DataFrame, text_col: str, side: str = "doc", prefix: str = "") -> DataFrame:
         """Token matrix only (what MaxSim needs)."""
-        codes = _hash_codes_udf(T.words(F.col(text_col)))
+        codes = _hash_codes_udf(F.col(text_col))
         return df.withColumn(f"{prefix}toks", codes if side == "query" else F.array_distinct(codes))
 
     def encode(self, df: DataFrame, text_col: str = "text", side: str = "doc", prefix: str = "") -> DataFrame:
@@ -133,9 +164,9 @@ class HashEmbedder:
         ``{prefix}n_tokens``.  Query side (P5) keeps repeated tokens (they
         count twice in MaxSim); document side stores each distinct token once
         (the max over document tokens does not change)."""
-        out = df.withColumn("_h", _hash_udf(T.words(F.col(text_col))))
+        out = df.withColumn("_h", _hash_udf(F.col(text_col)))
         out = out.withColumn(f"{prefix}dense", F.col("_h.dense"))
-        out = out.withColumn(f"{prefix}code", V.binary_code(F.col(f"{prefix}dense"), HASH_DIM))
+        out = out.withColumn(f"{prefix}code", F.col("_h.code"))
         out = out.withColumn(f"{prefix}n_tokens", F.size("_h.codes"))
         toks = F.col("_h.codes") if side == "query" else F.array_distinct(F.col("_h.codes"))
         return out.withColumn(f"{prefix}toks", toks).drop("_h")

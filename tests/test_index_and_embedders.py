@@ -53,3 +53,27 @@ def test_model_embedder_plug_point(spark):
     assert len(hits) == 2 and hits[0].text == "Gamma delta epsilon."
     dense = P.dense_only(idx, q, top_k=1, embedder=emb).collect()
     assert len(dense) == 1
+
+
+def test_batch_tokens_and_codes_equal_spark_expressions(spark):
+    from siftlane.operators import embed as EM
+    from siftlane.sources.tables import read_table
+
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents")
+    extra = spark.createDataFrame([(-1, "İstanbul KELVIN K x9Y ÉTÉ çA"), (-2, "")], "doc_id long, text string")
+    d = docs.select("doc_id", "text").unionByName(extra)
+    out = d.select(
+        (F.col("doc_id")),
+        EM._hash_codes_udf(F.col("text")).alias("batch"),
+        EM.token_codes(T.words(F.col("text"))).alias("expr"),
+    )
+    bad = out.filter(~(F.col("batch") == F.col("expr"))).count()
+    assert bad == 0
+
+
+def test_batch_sign_code_equals_binary_code(spark):
+    from siftlane.functions import vector as V
+    from siftlane.sources.tables import read_table
+
+    q = P.encode_queries(read_table(spark, "/root/testdata/sf0.001", "benchmark"))
+    assert q.filter(~(F.col("q_code") == V.binary_code(F.col("q_dense"), 128))).count() == 0

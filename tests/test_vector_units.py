@@ -197,3 +197,15 @@ def test_scan_top_k_with_broadcast_block(spark, monkeypatch):
         ham = (cb != cb[qi]).sum(axis=1)
         want = sorted((j for j in range(50) if j != qi), key=lambda j: (ham[j], j))[:3]
         assert [r.id for r in sorted((r for r in got if r.query_id == qi), key=lambda r: r.rank)] == want
+
+
+def test_salted_two_level_top_k_equals_single_level(spark):
+    rng = np.random.default_rng(21)
+    corpus = rng.normal(size=(400, 64))
+    idx = _index(spark, corpus).repartition(12)
+    q = _index(spark, corpus[:9]).select(F.col("id").alias("query_id"), F.col("code").alias("q_code"))
+    one = scan_top_k(idx, q, k=15, mode="hamming", width=1, salt_buckets=1)
+    two = scan_top_k(idx, q, k=15, mode="hamming", width=1, salt_buckets=4)
+    key = lambda rows: sorted((r.query_id, r.rank, r.id, r.value) for r in rows)
+    assert key(one.collect()) == key(two.collect())
+    assert one.count() == 9 * 15
