@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 
 # Budget for one broadcast query block and for one numpy score tile.
 DEFAULT_BLOCK_BYTES = 64 << 20
+# Bound on queries x k per block: each task keeps that many (score, id)
+# pairs and emits them once, so it bounds task memory and the partial shuffle.
+MAX_STATE_CELLS = 4_000_000
 _TILE_CELLS = 1 << 21
 _COS_SCALE = 1_000_000
 _COS_SENTINEL = 4 * _COS_SCALE + 1
@@ -148,7 +151,8 @@ def _partial_top_k(get_block, mode, k, width):
     return run
 
 
-def _query_blocks(queries: DataFrame, q_id: str, q_vec: str, q_self: str | None, row_bytes: int, block_bytes: int):
+def _query_blocks(queries: DataFrame, q_id: str, q_vec: str, q_self: str | None, row_bytes: int, block_bytes: int,
+                  k: int = 1):
     """Materialise the (bounded) query table block by block on the driver,
     checking its size first; yields numpy arrays per block."""
     cols = [F.col(q_id).cast("long").alias("q"), F.col(q_vec).alias("v")]
@@ -158,7 +162,7 @@ def _query_blocks(queries: DataFrame, q_id: str, q_vec: str, q_self: str | None,
     n = qdf.count()
     if n == 0:
         return
-    n_blocks = max(1, math.ceil(n * row_bytes / block_bytes))
+    n_blocks = max(1, math.ceil(n * row_bytes / block_bytes), math.ceil(n * k / MAX_STATE_CELLS))
     for b in range(n_blocks):
         part = qdf if n_blocks == 1 else qdf.filter(F.pmod(F.xxhash64("q"), F.lit(n_blocks)) == b)
         tbl = part.toArrow()
@@ -197,7 +201,7 @@ def scan_top_k(
     scan = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
     schema = "query_id long, id long, value double"
     parts = []
-    for tbl in _query_blocks(queries, q_id, q_vec, q_self, row_bytes, block_bytes):
+    for tbl in _query_blocks(queries, q_id, q_vec, q_self, row_bytes, block_bytes, k):
         q_ids = tbl.column("q").to_numpy().astype(np.int64)
         flat = tbl.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         if len(flat) != len(q_ids) * width:

@@ -209,3 +209,17 @@ def test_salted_two_level_top_k_equals_single_level(spark):
     key = lambda rows: sorted((r.query_id, r.rank, r.id, r.value) for r in rows)
     assert key(one.collect()) == key(two.collect())
     assert one.count() == 9 * 15
+
+
+def test_query_blocks_split_and_union(spark, monkeypatch):
+    from siftlane.operators import topk
+
+    rng = np.random.default_rng(31)
+    corpus = rng.normal(size=(120, 64))
+    idx = _index(spark, corpus).repartition(4)
+    q = idx.select(F.col("id").alias("query_id"), F.col("code").alias("q_code"))
+    whole = scan_top_k(idx, q, k=5, mode="hamming", width=1).collect()
+    monkeypatch.setattr(topk, "MAX_STATE_CELLS", 50)  # 120 queries x 5 -> 12 blocks
+    split = scan_top_k(idx, q, k=5, mode="hamming", width=1).collect()
+    key = lambda rows: sorted((r.query_id, r.rank, r.id) for r in rows)
+    assert key(whole) == key(split) and len(whole) == 600
