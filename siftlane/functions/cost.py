@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 # Input-token price in USD per million tokens, bytes per float32.
 PRICE_PER_MILLION_INPUT_TOKENS = 3.00

@@ -131,21 +131,12 @@ def _hash_codes_batch(texts: pa.Array) -> pa.Array:
     return _codes_array(words, seg)
 
 
-def _dense_from_codes(codes: pa.Array) -> pa.Array:
-    """Dense vectors from already packed token codes."""
-    codes = codes.cast(pa.list_(pa.list_(pa.int64())))
-    offsets = codes.offsets.to_numpy().astype(np.int64)
-    words = codes.flatten().flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    return _dense_of(words.reshape(-1, HASH_WORDS), offsets - offsets[0])
-
-
 _HASH_TYPE = StructType([
     StructField("codes", ArrayType(ArrayType(LongType()))), StructField("dense", ArrayType(FloatType())),
     StructField("code", ArrayType(LongType())),
 ])
 _hash_udf = F.arrow_udf(_hash_batch, _HASH_TYPE)
 _hash_codes_udf = F.arrow_udf(_hash_codes_batch, ArrayType(ArrayType(LongType())))
-_dense_udf = F.arrow_udf(_dense_from_codes, ArrayType(FloatType()))
 
 
 class HashEmbedder:

@@ -330,4 +330,27 @@ SELECT conv_id AS doc_id, count(*)::INTEGER AS n_sections,
 FROM conversations GROUP BY conv_id""",
     "q28_text_dense_only": f"""{_with(CHUNKS, CORPUS, QUERIES, _dense_only(3))}
 SELECT query_id, rank, id, doc_id, chunk_ix, chunk_id, score FROM dhits""",
+    "q29_text_limit_sweep": f"""{_with(CHUNKS, CORPUS, QUERIES, _two_stage(500, 500))},
+lims AS (SELECT unnest([10, 25, 50, 100, 250, 500])::INTEGER AS prefetch_limit),
+top1 AS (
+  SELECT query_id, prefetch_limit, id AS top1 FROM (
+    SELECT s.query_id, l.prefetch_limit, s.id,
+           row_number() OVER (PARTITION BY s.query_id, l.prefetch_limit ORDER BY round(s.score, 6) DESC, s.id) AS r
+    FROM scored s JOIN lims l ON s.stage1_rank <= l.prefetch_limit)
+  WHERE r = 1
+),
+grid AS (
+  SELECT q.query_id, l.prefetch_limit, t.top1
+  FROM qcode q CROSS JOIN lims l LEFT JOIN top1 t ON t.query_id = q.query_id AND t.prefetch_limit = l.prefetch_limit
+),
+cmp AS (
+  SELECT g.prefetch_limit, (g.top1 IS NOT DISTINCT FROM r.top1)::INTEGER AS m
+  FROM grid g JOIN grid r ON r.query_id = g.query_id AND r.prefetch_limit = 500
+),
+rate AS (SELECT prefetch_limit, sum(m)::BIGINT AS matches, count(*)::BIGINT AS n_queries FROM cmp GROUP BY 1)
+SELECT prefetch_limit, matches, n_queries, round(matches * 100.0 / n_queries, 6) AS match_rate_pct,
+       CASE WHEN prefetch_limit = 500 THEN '100% (Reference)'
+            ELSE printf('%d%% (%d/%d)', round_even(matches * 100.0 / n_queries, 0)::BIGINT, matches, n_queries) END
+         AS match_status
+FROM rate""",
 }

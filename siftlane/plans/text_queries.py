@@ -203,3 +203,11 @@ def q28_text_dense_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.dense_only(_index(spark, sf_dir), _queries(spark, sf_dir), TOP_K).select(
         "query_id", "rank", "id", "doc_id", "chunk_ix", "chunk_id", "score"
     )
+
+
+def q29_text_limit_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 on the text workload: top-1 agreement of each prefetch limit with
+    the largest one, benchmark queries over every chunk."""
+    emb = P.DEFAULT_EMBEDDER
+    return R.limit_sweep(_index(spark, sf_dir), _queries(spark, sf_dir), code_words=emb.code_words,
+                         tok_kind=emb.tok_kind, tok_dim=emb.tok_dim)
