@@ -95,10 +95,16 @@ def score_candidates(
     )
 
 
-def query_token_bytes(queries: DataFrame, tok_kind: str, tok_dim: int) -> float:
+def query_stats(queries: DataFrame, tok_kind: str, tok_dim: int) -> tuple[int, float]:
+    """(number of queries, estimated bytes of their token matrices) in one
+    aggregate over the bounded query table."""
     per_tok = 16.0 if tok_kind == "codes" else 4.0 * tok_dim
-    n = queries.select(F.sum(F.size("q_toks")).alias("n")).first()["n"] or 0
-    return float(n) * per_tok
+    row = queries.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("q_toks")).alias("t")).first()
+    return int(row["n"]), float(row["t"] or 0) * per_tok
+
+
+def query_token_bytes(queries: DataFrame, tok_kind: str, tok_dim: int) -> float:
+    return query_stats(queries, tok_kind, tok_dim)[1]
 
 
 def two_stage_search(
@@ -117,12 +123,9 @@ def two_stage_search(
     distance, stage 2 re-ranks only those by MaxSim and keeps ``top_k``.
     Returns (query_id, rank, id, score, ham, stage1_rank); at most
     min(prefetch_limit, top_k) rows per query."""
-    n_q = queries.count()
+    n_q, q_bytes = query_stats(queries, tok_kind, tok_dim)
     cand = prefetch(index, queries, prefetch_limit, code_words, exclude_self)
-    scored = score_candidates(
-        index, queries, cand, n_q, prefetch_limit, tok_kind, tok_dim,
-        query_token_bytes(queries, tok_kind, tok_dim), normalize,
-    )
+    scored = score_candidates(index, queries, cand, n_q, prefetch_limit, tok_kind, tok_dim, q_bytes, normalize)
     top = top_k_per_key(scored, ["query_id"], _rank_order(), top_k)
     return top.select(
         "query_id", "rank", "id", F.round("score", 6).alias("score"), "ham", "stage1_rank"

@@ -73,11 +73,8 @@ def q05_maxsim_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx, dim = _matrices(spark, sf_dir)
     queries = SV.as_queries(idx)
     cand = S.prefetch(idx, queries, PREFETCH_LIMIT, V.n_words(dim), exclude_self=True)
-    n_q = queries.count()
-    scored = S.score_candidates(
-        idx, queries, cand, n_q, PREFETCH_LIMIT, "float", dim,
-        S.query_token_bytes(queries, "float", dim),
-    )
+    n_q, q_bytes = S.query_stats(queries, "float", dim)
+    scored = S.score_candidates(idx, queries, cand, n_q, PREFETCH_LIMIT, "float", dim, q_bytes)
     return scored.select("query_id", "id", "ham", "stage1_rank", F.round("score", 6).alias("score"))
 
 
