@@ -198,7 +198,9 @@ def scan_top_k(
     if mode not in ("hamming", "cosine"):
         raise ValueError(f"unknown mode {mode!r}")
     row_bytes = 8 * width + 16
-    scan = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
+    scan = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec")).filter(
+        F.col("vec").isNotNull() & F.col("id").isNotNull()
+    )
     schema = "query_id long, id long, value double"
     parts = []
     for tbl in _query_blocks(queries, q_id, q_vec, q_self, row_bytes, block_bytes, k):
