@@ -22,10 +22,33 @@ from .topk import scan_top_k, top_k_per_key
 BROADCAST_BYTES = 256 << 20
 
 
-def broadcast_if_small(df: DataFrame, est_bytes: float, limit: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, est_bytes: float, limit: int | None = None) -> DataFrame:
     """Broadcast hint only behind a size bound; beyond it the planner keeps a
     shuffle join (and AQE may still switch at run time)."""
-    return F.broadcast(df) if est_bytes <= limit else df
+    return F.broadcast(df) if est_bytes <= (limit or BROADCAST_BYTES) else df
+
+
+# Estimated bytes per candidate row (query_id, id, ham, stage1_rank + overhead).
+CANDIDATE_ROW_BYTES = 32
+
+
+def split_queries(queries: DataFrame, n_queries: int, per_query_bytes: float,
+                  limit: int | None = None) -> list[DataFrame]:
+    """Cuts a query table into blocks whose per-query state (e.g. stage-2
+    candidates) stays under the broadcast bound, so the big side (the token
+    matrices) is never shuffled; each block scans the index once."""
+    n_blocks = max(1, int(-(-n_queries * per_query_bytes // (limit or BROADCAST_BYTES))))
+    if n_blocks == 1:
+        return [queries]
+    b = F.pmod(F.xxhash64(F.col("query_id")), F.lit(n_blocks))
+    return [queries.filter(b == i) for i in range(n_blocks)]
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _rank_order(score_col: str = "score", id_col: str = "id"):
@@ -87,7 +110,7 @@ def score_candidates(
     only for candidate ids.  ``candidates`` holds at most n_queries*limit rows,
     so it is broadcast against the token-matrix scan when that bound is small;
     query token matrices are broadcast on their measured size."""
-    cand = broadcast_if_small(candidates, n_queries * limit * 32.0)
+    cand = broadcast_if_small(candidates, n_queries * limit * float(CANDIDATE_ROW_BYTES))
     toks = index.select("id", "toks").join(cand, "id")
     qtoks = broadcast_if_small(queries.select("query_id", "q_toks"), q_tok_bytes)
     return toks.join(qtoks, "query_id").withColumn("score", maxsim_column(tok_kind, tok_dim, normalize)).drop(
@@ -95,6 +118,21 @@ def score_candidates(
     )
 
 
+def scored_candidates(index: DataFrame, queries: DataFrame, n_q: int, q_bytes: float, limit: int,
+                      code_words: int, tok_kind: str, tok_dim: int, exclude_self: bool = False,
+                      normalize: bool = True) -> DataFrame:
+    """Stage 1 + stage 2 for every query, block by block: each block's
+    candidates (block size x limit rows) are broadcast into the token scan."""
+    parts = []
+    blocks = split_queries(queries, n_q, limit * CANDIDATE_ROW_BYTES)
+    for blk in blocks:
+        n_b = n_q if len(blocks) == 1 else -(-n_q // len(blocks))
+        cand = prefetch(index, blk, limit, code_words, exclude_self)
+        parts.append(score_candidates(index, blk, cand, n_b, limit, tok_kind, tok_dim,
+                                      q_bytes / len(blocks), normalize))
+    return _union(parts)
+
+
 def query_stats(queries: DataFrame, tok_kind: str, tok_dim: int) -> tuple[int, float]:
     """(number of queries, estimated bytes of their token matrices) in one
     aggregate over the bounded query table."""
@@ -124,8 +162,8 @@ def two_stage_search(
     Returns (query_id, rank, id, score, ham, stage1_rank); at most
     min(prefetch_limit, top_k) rows per query."""
     n_q, q_bytes = query_stats(queries, tok_kind, tok_dim)
-    cand = prefetch(index, queries, prefetch_limit, code_words, exclude_self)
-    scored = score_candidates(index, queries, cand, n_q, prefetch_limit, tok_kind, tok_dim, q_bytes, normalize)
+    scored = scored_candidates(index, queries, n_q, q_bytes, prefetch_limit, code_words, tok_kind, tok_dim,
+                               exclude_self, normalize)
     top = top_k_per_key(scored, ["query_id"], _rank_order(), top_k)
     return top.select(
         "query_id", "rank", "id", F.round("score", 6).alias("score"), "ham", "stage1_rank"

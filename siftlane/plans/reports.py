@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import cost as C
 from ..functions import prompt as PR
 from ..functions import text as T
-from ..operators.search import broadcast_if_small, prefetch, query_stats, score_candidates
+from ..operators.search import broadcast_if_small, query_stats, scored_candidates
 
 # The swept prefetch limits and the projected query volumes.
 SWEEP_LIMITS = (10, 25, 50, 100, 250, 500)
@@ -129,8 +129,7 @@ def limit_sweep(index: DataFrame, queries: DataFrame, *, code_words: int, tok_ki
     limits = sorted(set(int(x) for x in limits))
     top_limit = limits[-1]
     n_q, q_bytes = query_stats(queries, tok_kind, tok_dim)
-    cand = prefetch(index, queries, top_limit, code_words, exclude_self)
-    scored = score_candidates(index, queries, cand, n_q, top_limit, tok_kind, tok_dim, q_bytes)
+    scored = scored_candidates(index, queries, n_q, q_bytes, top_limit, code_words, tok_kind, tok_dim, exclude_self)
     lim_arr = F.array(*[F.lit(x) for x in limits])
     per_limit = scored.select(
         "query_id", "id", F.round("score", 6).alias("score"),

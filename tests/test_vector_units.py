@@ -223,3 +223,28 @@ def test_query_blocks_split_and_union(spark, monkeypatch):
     split = scan_top_k(idx, q, k=5, mode="hamming", width=1).collect()
     key = lambda rows: sorted((r.query_id, r.rank, r.id) for r in rows)
     assert key(whole) == key(split) and len(whole) == 600
+
+
+def test_two_stage_in_query_blocks_equals_one_block(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    idx = _float_index(spark, rng.normal(size=(40, 3, 8)))
+    q = _queries_of(idx)
+    args = dict(prefetch_limit=6, top_k=3, code_words=1, tok_kind="float", tok_dim=8, exclude_self=True)
+    one = S.two_stage_search(idx, q, **args).collect()
+    monkeypatch.setattr(S, "BROADCAST_BYTES", 40 * 6 * S.CANDIDATE_ROW_BYTES // 5)  # -> 5 query blocks
+    assert len(S.split_queries(q, 40, 6 * S.CANDIDATE_ROW_BYTES, S.BROADCAST_BYTES)) == 5
+    many = S.two_stage_search(idx, q, **args).collect()
+    key = lambda rows: sorted((r.query_id, r.rank, r.id, r.score) for r in rows)
+    assert key(one) == key(many) and len(one) == 120
+
+
+def test_candidate_broadcast_stays_under_bound_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    idx = _float_index(spark, rng.normal(size=(30, 2, 8)))
+    q = _queries_of(idx)
+    monkeypatch.setattr(S, "BROADCAST_BYTES", 30 * 4 * S.CANDIDATE_ROW_BYTES // 3)
+    calls = []
+    real = S.prefetch
+    monkeypatch.setattr(S, "prefetch", lambda *a, **k: calls.append(1) or real(*a, **k))
+    out = S.two_stage_search(idx, q, prefetch_limit=4, top_k=2, code_words=1, tok_kind="float", tok_dim=8)
+    assert len(calls) == 3 and out.count() == 60
