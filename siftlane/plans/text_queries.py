@@ -135,9 +135,8 @@ def q16_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     new = docs.filter(F.col("lang") == "es").withColumn("doc_id", F.col("doc_id") + F.lit(1_000_000_000))
     batch = P.build_index(changed.unionByName(new))
-    path = IX.upsert_index(spark, root, batch, key="doc_id")
-    out = spark.read.parquet(path)
-    return out.select("id", "doc_id", "chunk_ix", "chunk_id", "text")
+    IX.upsert_index(spark, root, batch, key="doc_id")
+    return IX.read_index(spark, root).select("id", "doc_id", "chunk_ix", "chunk_id", "text")
 
 
 def q17_text_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,13 +74,15 @@ def _version_path(root: str, v: int) -> str:
 
 
 def current_path(spark: SparkSession, root: str) -> str | None:
+    """Latest complete full version (the base; deltas may sit on top)."""
     vs = versions(spark, root)
     return _version_path(root, vs[-1]) if vs else None
 
 
-def write_version(df: DataFrame, root: str, rows_per_file: int = 1_000_000) -> str:
-    """Writes ``df`` as the next version, rows sorted by id inside each file
-    so Parquet min/max statistics can skip row groups on id lookups."""
+def write_version(df: DataFrame, root: str, rows_per_file: int = 1_000_000, upto_seq: int = 0) -> str:
+    """Writes ``df`` as the next full version, rows sorted by id inside each
+    file so Parquet min/max statistics can skip row groups on id lookups.
+    ``upto_seq``: the last upsert sequence already folded into it."""
     spark = df.sparkSession
     vs = versions(spark, root)
     path = _version_path(root, (vs[-1] + 1) if vs else 1)
@@ -90,23 +92,38 @@ def write_version(df: DataFrame, root: str, rows_per_file: int = 1_000_000) -> s
         .option("maxRecordsPerFile", rows_per_file)
         .parquet(path)
     )
+    _touch(spark, f"{path}/{_UPTO}{upto_seq}")
     return path
 
 
 def create_index(df: DataFrame, root: str, recreate: bool = False) -> str:
     """A3: absent -> write version 1; present -> keep it (no-op);
     ``recreate`` -> write a new version that replaces it for readers."""
-    cur = current_path(df.sparkSession, root)
+    spark = df.sparkSession
+    cur = current_path(spark, root)
     if cur is not None and not recreate:
         return cur
-    return write_version(df, root)
+    return write_version(df, root, upto_seq=_last_seq(spark, root))
 
 
-def read_index(spark: SparkSession, root: str) -> DataFrame:
+def read_index(spark: SparkSession, root: str, key: str = "doc_id") -> DataFrame:
+    """The current index: the latest full version merged with the upserts
+    written after it (see ``upsert_index``)."""
     path = current_path(spark, root)
     if path is None:
         raise FileNotFoundError(f"no complete index version under {root}")
-    return spark.read.parquet(path)
+    base = spark.read.parquet(path)
+    seqs = [q for q in _seqs(spark, root) if q > _upto(spark, path)]
+    if not seqs:
+        return base
+    tomb = spark.read.parquet(*[_seq_path(root, "tombstones", q) for q in seqs])
+    delta = spark.read.parquet(*[_seq_path(root, "deltas", q) for q in seqs])
+    n_keys = tomb.count()  # bounded by the live deltas; they are compacted away
+    last = tomb.groupBy(key).agg(F.max("_seq").alias("_last"))
+    last = broadcast_if_small(last, n_keys * 16.0)
+    kept = base.join(last.select(key), key, "left_anti")
+    newest = delta.join(last, key).filter(F.col("_seq") == F.col("_last")).select(*base.columns)
+    return kept.unionByName(newest)
 
 
 # --- A4: upsert ---------------------------------------------------------------
@@ -133,10 +150,107 @@ def upsert(existing: DataFrame, updates: DataFrame, key: str, n_update_keys: int
     return kept.unionByName(updates.select(*existing.columns))
 
 
-def upsert_index(spark: SparkSession, root: str, updates: DataFrame, key: str = "doc_id") -> str:
+def upsert_index(spark: SparkSession, root: str, updates: DataFrame, key: str = "doc_id",
+                 tag: str | None = None, max_deltas: int = 16) -> str:
+    """A4 at the cost of the batch, not of the index (merge on read): the
+    batch's rows and its keys (tombstones) are appended under the next
+    sequence number.  Readers drop base rows whose key has a tombstone and
+    keep, per key, only the rows of its newest upsert, so a changed document
+    loses chunks it no longer has.  After ``max_deltas`` live upserts the
+    index is compacted into a new full version.  ``tag`` makes a retried
+    batch a no-op.  Returns the folder written."""
     from ..session import freeze
 
-    base = read_index(spark, root)
-    updates = freeze(updates)  # embedded once, read by the key count and the union
-    n_keys = updates.select(key).distinct().count()
-    return write_version(upsert(base, updates, key, n_keys), root)
+    if tag is not None:
+        done = _tagged(spark, root, tag)
+        if done is not None:
+            return done
+    seq = _last_seq(spark, root) + 1
+    updates = freeze(updates)  # embedded once, read by both writes
+    updates.select(key).distinct().withColumn("_seq", F.lit(seq)).write.mode("errorifexists").parquet(
+        _seq_path(root, "tombstones", seq))
+    dpath = _seq_path(root, "deltas", seq)
+    updates.withColumn("_seq", F.lit(seq)).write.mode("errorifexists").parquet(dpath)
+    if tag is not None:
+        _touch(spark, f"{dpath}/{_TAG}{tag}")
+    cur = current_path(spark, root)
+    live = [q for q in _seqs(spark, root) if cur is None or q > _upto(spark, cur)]
+    if len(live) >= max_deltas:
+        return compact(spark, root, key)
+    return dpath
+
+
+def compact(spark: SparkSession, root: str, key: str = "doc_id") -> str:
+    """Folds every upsert into a new full version (older folders stay until
+    nobody reads them)."""
+    return write_version(read_index(spark, root, key), root, upto_seq=_last_seq(spark, root))
+
+
+# --- folder bookkeeping (Hadoop FileSystem, so any shared store works) ------
+
+_UPTO = "_upto_seq_"
+_TAG = "_tag_"
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    fs.create(p, True).close()
+
+
+def _seq_path(root: str, kind: str, seq: int) -> str:
+    return f"{root.rstrip('/')}/{kind}/s{seq:06d}"
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    fs, p, jvm = _fs(spark, path)
+    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def _seqs(spark: SparkSession, root: str) -> list[int]:
+    """Upsert sequences whose delta and tombstones are both complete."""
+    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/deltas")
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("s") and name[1:].isdigit():
+            q = int(name[1:])
+            if _complete(spark, _seq_path(root, "deltas", q)) and _complete(spark, _seq_path(root, "tombstones", q)):
+                out.append(q)
+    return sorted(out)
+
+
+def _markers(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(p) if st.getPath().getName().startswith(prefix)]
+
+
+def _upto(spark: SparkSession, version_path: str) -> int:
+    vals = [int(v) for v in _markers(spark, version_path, _UPTO) if v.isdigit()]
+    return max(vals) if vals else 0
+
+
+def _last_seq(spark: SparkSession, root: str) -> int:
+    """Highest sequence used so far (by any delta folder or folded version)."""
+    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/tombstones")
+    seen = [0]
+    if fs.exists(p):
+        seen += [int(st.getPath().getName()[1:]) for st in fs.listStatus(p) if st.getPath().getName()[1:].isdigit()]
+    cur = current_path(spark, root)
+    if cur is not None:
+        seen.append(_upto(spark, cur))
+    return max(seen)
+
+
+def _tagged(spark: SparkSession, root: str, tag: str) -> str | None:
+    for q in _seqs(spark, root):
+        path = _seq_path(root, "deltas", q)
+        if tag in _markers(spark, path, _TAG):
+            return path
+    cur = current_path(spark, root)
+    if cur is not None and tag in _markers(spark, cur, _TAG):
+        return cur
+    return None

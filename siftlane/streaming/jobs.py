@@ -7,9 +7,9 @@ needs a watermark: there is no event-time aggregation, and all state lives in
 the written tables.
 
 * ``start_index_stream``: every micro-batch of documents is chunked and
-  embedded, then upserted by ``doc_id`` into the versioned index (a new
-  version per batch).  A retried batch finds its version already written
-  (tagged with the batch id) and does nothing, so the sink is idempotent.
+  embedded, then upserted by ``doc_id`` into the index (appended as a delta
+  with tombstones, merged on read, compacted every few batches).  A retried
+  batch finds its tag and does nothing, so the sink is idempotent.
 * ``start_search_stream``: every micro-batch of queries is one bounded query
   block for the two-stage search against the current index version; hits are
   written to ``out_dir/batch=<id>`` (overwritten on retry).
@@ -26,34 +26,20 @@ from ..sources import index as IX
 
 DOC_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
 QUERY_SCHEMA = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType())])
-_EPOCH_TAG = "_batch_"
-
-
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    fs, p, _ = IX._fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def _touch(spark: SparkSession, path: str) -> None:
-    fs, p, _ = IX._fs(spark, path)
-    fs.create(p, True).close()
-
-
-def _already_applied(spark: SparkSession, root: str, batch_id: int) -> bool:
-    cur = IX.current_path(spark, root)
-    return cur is not None and _fs_exists(spark, f"{cur}/{_EPOCH_TAG}{batch_id}")
 
 
 def index_batch(batch: DataFrame, batch_id: int, root: str, embedder=P.DEFAULT_EMBEDDER) -> None:
+    """One micro-batch: the first one writes the base version, later ones
+    append an upsert (cost of the batch, not of the index).  The batch id is
+    recorded as a tag, so a retried batch changes nothing."""
     spark = batch.sparkSession
-    if _already_applied(spark, root, batch_id):
-        return
+    tag = f"batch_{batch_id}"
     chunks = P.build_index(batch.select("doc_id", "text"), embedder)
     if IX.current_path(spark, root) is None:
         path = IX.write_version(chunks, root)
+        IX._touch(spark, f"{path}/{IX._TAG}{tag}")
     else:
-        path = IX.upsert_index(spark, root, chunks, key="doc_id")
-    _touch(spark, f"{path}/{_EPOCH_TAG}{batch_id}")
+        IX.upsert_index(spark, root, chunks, key="doc_id", tag=tag)
 
 
 def start_index_stream(spark: SparkSession, source_dir: str, root: str, checkpoint: str,

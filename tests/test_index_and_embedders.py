@@ -77,3 +77,28 @@ def test_batch_sign_code_equals_binary_code(spark):
 
     q = P.encode_queries(read_table(spark, "/root/testdata/sf0.001", "benchmark"))
     assert q.filter(~(F.col("q_code") == V.binary_code(F.col("q_dense"), 128))).count() == 0
+
+
+def test_upserts_merge_on_read_and_compact(spark, tmp_path):
+    root = str(tmp_path / "idx")
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    P.ingest(docs, root)
+
+    def chunks(rows):
+        return P.build_index(spark.createDataFrame(rows, "doc_id long, text string"))
+
+    def state():
+        return sorted((r.doc_id, r.chunk_ix, r.text) for r in IX.read_index(spark, root).collect())
+
+    IX.upsert_index(spark, root, chunks([(1, "Only one line now."), (3, "New doc.\nTwo lines.")]), max_deltas=3)
+    IX.upsert_index(spark, root, chunks([(3, "Changed again.")]), max_deltas=3)
+    want = [(1, 0, "Only one line now."), (2, 0, "Zeta eta theta."), (2, 1, "Iota kappa."), (3, 0, "Changed again.")]
+    assert state() == sorted(want)
+    assert IX.versions(spark, root) == [1] and IX._seqs(spark, root) == [1, 2]
+    IX.upsert_index(spark, root, chunks([(2, "x")]), tag="t1", max_deltas=3)  # third delta -> compaction
+    assert IX.versions(spark, root) == [1, 2]
+    before = (IX.versions(spark, root), IX._seqs(spark, root))
+    IX.upsert_index(spark, root, chunks([(2, "y")]), tag="t1")  # retried tag: nothing written
+    assert (IX.versions(spark, root), IX._seqs(spark, root)) == before
+    want = [w for w in want if w[0] != 2] + [(2, 0, "x")]
+    assert state() == sorted(want)

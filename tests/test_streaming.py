@@ -23,10 +23,14 @@ def test_index_stream_upserts_and_is_idempotent(spark, tmp_path):
     merged = {1: DOCS1[0][1], 2: DOCS2[0][1], 3: DOCS2[1][1]}
     want = sorted((d, i, line) for d, t in merged.items() for i, line in enumerate(t.split("\n")))
     assert got == want
-    n_versions = len(IX.versions(spark, root))
-    q = start_index_stream(spark, f"{src}/*", root, ck)  # nothing new: no new version
+    state = (IX.versions(spark, root), IX._seqs(spark, root))
+    q = start_index_stream(spark, f"{src}/*", root, ck)  # nothing new: nothing written
     q.awaitTermination()
-    assert len(IX.versions(spark, root)) == n_versions
+    assert (IX.versions(spark, root), IX._seqs(spark, root)) == state
+    from siftlane.streaming.jobs import index_batch
+    retry = spark.createDataFrame(DOCS2, "doc_id long, text string")
+    index_batch(retry, 1, root)  # a retried batch id is a no-op
+    assert (IX.versions(spark, root), IX._seqs(spark, root)) == state
 
     qsrc, out, ck2 = str(tmp_path / "q"), str(tmp_path / "hits"), str(tmp_path / "ck2")
     spark.createDataFrame(QUERIES, "item_id long, text string").write.parquet(qsrc)
