@@ -10,6 +10,7 @@ from ..functions import text as T
 # Chunk keys pack (doc_id, chunk_ix) into one BIGINT that sorts like the pair.
 CHUNK_IX_BITS = 20
 MAX_CHUNKS_PER_DOC = 1 << CHUNK_IX_BITS
+MAX_ABS_DOC_ID = 1 << (63 - CHUNK_IX_BITS)
 
 
 def split_sections(text_col: str = "text", separator: str = "\n"):
@@ -21,9 +22,11 @@ def chunk_key(doc_id="doc_id", chunk_ix="chunk_ix"):
     ix = F.col(chunk_ix) if isinstance(chunk_ix, str) else chunk_ix
     doc = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     packed = F.shiftleft(doc.cast("long"), CHUNK_IX_BITS).bitwiseOR(ix.cast("long"))
-    return F.when(
-        ix >= MAX_CHUNKS_PER_DOC, F.raise_error(F.lit(f"more than {MAX_CHUNKS_PER_DOC} chunks in a document"))
-    ).otherwise(packed)
+    return (
+        F.when(ix >= MAX_CHUNKS_PER_DOC, F.raise_error(F.lit(f"more than {MAX_CHUNKS_PER_DOC} chunks in a document")))
+        .when(F.abs(doc.cast("long")) >= MAX_ABS_DOC_ID, F.raise_error(F.lit("doc_id out of range for chunk keys")))
+        .otherwise(packed)
+    )
 
 
 def sections_to_chunks(docs: DataFrame, sections_col: str = "sections", keep: list[str] | None = None) -> DataFrame:

@@ -110,3 +110,14 @@ def test_dedupe_latest_and_upsert(spark):
     upd = spark.createDataFrame([(1, 0, "a2"), (9, 0, "z")], "doc_id long, chunk_ix int, text string")
     got = sorted(tuple(r) for r in upsert(base, upd, "doc_id", 2).collect())
     assert got == [(1, 0, "a2"), (5, 0, "c"), (9, 0, "z")]
+
+
+def test_chunk_key_checks(spark):
+    import pytest as _pt
+
+    ok = spark.createDataFrame([(-3, ["a", "b"])], "doc_id long, sections array<string>")
+    ids = [r.id for r in sections_to_chunks(ok).orderBy("chunk_ix").collect()]
+    assert ids == sorted(ids) and ids[0] == -3 * (1 << 20)
+    bad = spark.createDataFrame([(1 << 50, ["a"])], "doc_id long, sections array<string>")
+    with _pt.raises(Exception):
+        sections_to_chunks(bad).collect()
