@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import maxsim_arrow as MA
 from ..functions import vector as V
+from ..session import freeze
 from .topk import scan_top_k, top_k_per_key
 
 # Largest side we are willing to hash-broadcast (bytes, estimated).
@@ -51,6 +52,63 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+# Candidate/hit sets up to this many ids also prune the index scan: their ids
+# are merged into at most MAX_ID_RANGES ranges pushed to Parquet, so row
+# groups of an id-ordered index without candidates are skipped.
+ID_PRUNE_MAX = 50_000
+MAX_ID_RANGES = 256
+# ...and only when the index holds this many times more rows than the id set
+# (denser sets touch every row group anyway, so the predicate would not pay).
+PRUNE_DENSITY = 1000
+_ROW_COUNTS: dict[tuple[str, ...], int] = {}
+
+
+def _index_rows(index: DataFrame) -> int:
+    """Row count of an index scan, remembered per set of input files."""
+    try:
+        files = tuple(sorted(index.inputFiles()))
+    except Exception:  # pragma: no cover
+        files = ()
+    if files and files in _ROW_COUNTS:
+        return _ROW_COUNTS[files]
+    n = index.count()
+    if files:
+        _ROW_COUNTS[files] = n
+    return n
+
+
+def should_prune(index: DataFrame, n_bound: int) -> bool:
+    return n_bound <= ID_PRUNE_MAX and n_bound * PRUNE_DENSITY <= _index_rows(index)
+
+
+def id_ranges(ids: list[int], max_ranges: int = MAX_ID_RANGES) -> list[tuple[int, int]]:
+    """Covers sorted ids with at most ``max_ranges`` [lo, hi] ranges, cutting
+    at the largest gaps."""
+    ids = sorted(set(ids))
+    if not ids:
+        return []
+    gaps = sorted(range(len(ids) - 1), key=lambda i: ids[i + 1] - ids[i], reverse=True)[: max_ranges - 1]
+    out, start = [], 0
+    for i in sorted(gaps):
+        out.append((ids[start], ids[i]))
+        start = i + 1
+    out.append((ids[start], ids[-1]))
+    return out
+
+
+def prune_by_ids(index: DataFrame, keys: DataFrame, n_bound: int) -> DataFrame:
+    """Adds a pushed-down id-range predicate to an index scan when the key set
+    is small (its size bound is known); the join still does the exact match.
+    The key set is read once to plan the predicate (a bounded list of ids)."""
+    ranges = id_ranges([r[0] for r in keys.select("id").distinct().collect()])
+    if not ranges:
+        return index.limit(0)
+    conds = [F.col("id").between(lo, hi) for lo, hi in ranges]
+    while len(conds) > 1:  # balanced OR tree: shallow for Parquet's evaluator
+        conds = [conds[i] | conds[i + 1] if i + 1 < len(conds) else conds[i] for i in range(0, len(conds), 2)]
+    return index.filter(conds[0])
+
+
 def _rank_order(score_col: str = "score", id_col: str = "id"):
     return [F.round(F.col(score_col), 6).desc(), F.col(id_col).asc()]
 
@@ -110,8 +168,13 @@ def score_candidates(
     only for candidate ids.  ``candidates`` holds at most n_queries*limit rows,
     so it is broadcast against the token-matrix scan when that bound is small;
     query token matrices are broadcast on their measured size."""
-    cand = broadcast_if_small(candidates, n_queries * limit * float(CANDIDATE_ROW_BYTES))
-    toks = index.select("id", "toks").join(cand, "id")
+    n_cand = n_queries * limit
+    toks = index.select("id", "toks")
+    if should_prune(index, n_cand):
+        candidates = freeze(candidates, "candidates")  # bounded; read to plan the pruning and by the join
+        toks = prune_by_ids(toks, candidates, n_cand)
+    cand = broadcast_if_small(candidates, n_cand * float(CANDIDATE_ROW_BYTES))
+    toks = toks.join(cand, "id")
     qtoks = broadcast_if_small(queries.select("query_id", "q_toks"), q_tok_bytes)
     return toks.join(qtoks, "query_id").withColumn("score", maxsim_column(tok_kind, tok_dim, normalize)).drop(
         "toks", "q_toks"
@@ -198,4 +261,7 @@ def dense_only_search(
 def fetch_payload(hits: DataFrame, index: DataFrame, columns: list[str], n_hits_bound: int) -> DataFrame:
     """A5 + J4: late materialisation of payload columns for the final hits only."""
     payload = index.select("id", *columns)
+    if should_prune(index, n_hits_bound):
+        hits = freeze(hits, "hits")
+        payload = prune_by_ids(payload, hits, n_hits_bound)
     return payload.join(broadcast_if_small(hits, n_hits_bound * 48.0), "id")

@@ -28,7 +28,7 @@ PROMPT_TOP_N = 1
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "documents"))
+    return spread(read_table(spark, sf_dir, "documents"), by="doc_id")
 
 
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

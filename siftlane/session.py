@@ -61,22 +61,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, factor: int = 2):
-    """Round-robin repartition for CPU-heavy per-row work when the input has
-    fewer partitions than the cluster has cores (e.g. one large row group);
-    a no-op for inputs that already come in many splits."""
+def spread(df, factor: int = 2, by: str | None = None):
+    """Repartition for CPU-heavy per-row work when the input has fewer
+    partitions than the cluster has cores (e.g. one large row group); a no-op
+    for inputs that already come in many splits.  With ``by`` the split is a
+    range partitioning on that column (outputs then keep disjoint key ranges
+    per file); otherwise round-robin."""
     sc = df.sparkSession.sparkContext
     try:
         n = df.rdd.getNumPartitions()
     except Exception:  # pragma: no cover - no RDD access (e.g. Spark Connect)
         return df
     cores = sc.defaultParallelism
-    return df.repartition(cores * factor) if n < cores else df
+    if n >= cores:
+        return df
+    return df.repartitionByRange(cores * factor, by) if by else df.repartition(cores * factor)
 
 
-def freeze(df):
-    """Reliable checkpoint into the shared checkpoint folder: later actions
-    read the written rows instead of recomputing the lineage (used for
-    bounded tables that several stages read, e.g. an encoded query block)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def freeze(df, name: str = "frozen"):
+    """Writes ``df`` once as Parquet into the shared checkpoint folder and
+    reads it back: later actions read the written rows instead of
+    recomputing the lineage, and the lineage is cut (executor loss recomputes
+    nothing upstream).  Used for bounded tables that several stages read,
+    e.g. an encoded query block.  (``DataFrame.checkpoint`` would compute the
+    plan twice: once to count, once to write.)"""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)

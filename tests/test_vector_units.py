@@ -248,3 +248,27 @@ def test_candidate_broadcast_stays_under_bound_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(S, "prefetch", lambda *a, **k: calls.append(1) or real(*a, **k))
     out = S.two_stage_search(idx, q, prefetch_limit=4, top_k=2, code_words=1, tok_kind="float", tok_dim=8)
     assert len(calls) == 3 and out.count() == 60
+
+
+def test_id_ranges_cover_all_ids():
+    ids = [5, 1, 2, 100, 101, 7, 1000, 5]
+    r = S.id_ranges(ids, max_ranges=3)
+    assert r == [(1, 7), (100, 101), (1000, 1000)]
+    assert all(any(lo <= i <= hi for lo, hi in r) for i in ids)
+    assert S.id_ranges([], 3) == [] and S.id_ranges([4], 3) == [(4, 4)]
+
+
+def test_id_range_pruning_keeps_results(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    idx = _float_index(spark, rng.normal(size=(60, 2, 8)))
+    q = _queries_of(idx).filter("query_id < 3")
+    args = dict(prefetch_limit=5, top_k=2, code_words=1, tok_kind="float", tok_dim=8, exclude_self=True)
+    monkeypatch.setattr(S, "ID_PRUNE_MAX", 0)
+    plain = S.two_stage_search(idx, q, **args).collect()
+    monkeypatch.setattr(S, "ID_PRUNE_MAX", 10_000)
+    monkeypatch.setattr(S, "PRUNE_DENSITY", 1)
+    monkeypatch.setattr(S, "MAX_ID_RANGES", 2)
+    assert S.should_prune(idx, 15)
+    pruned = S.two_stage_search(idx, q, **args).collect()
+    key = lambda rows: sorted((r.query_id, r.rank, r.id, r.score) for r in rows)
+    assert key(plain) == key(pruned) and len(plain) == 6
