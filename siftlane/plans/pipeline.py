@@ -24,9 +24,9 @@ def build_index(docs: DataFrame, embedder=DEFAULT_EMBEDDER, separator: str = "\n
                 keep: list[str] | None = None) -> DataFrame:
     """Documents -> chunks -> (dense, code, token matrix) in one narrow
     projection per partition; no shuffle (apart from ``spread`` for inputs
-    that arrive in fewer splits than cores, which range-partitions on doc_id
-    so every index file covers a disjoint id range)."""
-    chunks = documents_to_chunks(spread(docs, by="doc_id"), separator, keep)
+    that arrive in fewer splits than cores).  Chunks keep the input order,
+    so documents stored in doc_id order give id-clustered index files."""
+    chunks = documents_to_chunks(spread(docs), separator, keep)
     return check_index(embedder.encode(chunks, "text", side="doc"), embedder.dense_dim, embedder.code_words)
 
 
