@@ -83,13 +83,14 @@ def _dense_of(words: np.ndarray, seg: np.ndarray) -> pa.Array:
     i%64 of word i//64)."""
     n_rows = len(seg) - 1
     n_tok = np.diff(seg)
-    out = np.empty((n_rows, HASH_DIM), dtype=np.float32)
-    for w in range(HASH_WORDS):
-        col = words[:, w]
-        for b in range(64):
-            bits = ((col >> np.uint64(b)) & np.uint64(1)).astype(np.int64)
-            cs = np.concatenate([[0], np.cumsum(bits)])
-            out[:, w * 64 + b] = 2 * (cs[seg[1:]] - cs[seg[:-1]]) - n_tok
+    ones = np.zeros((n_rows, HASH_DIM), dtype=np.int64)
+    if len(words):
+        # little-endian bytes + LSB-first unpacking = word bits in order
+        le = np.ascontiguousarray(words, dtype="<u8")
+        bits = np.unpackbits(le.view(np.uint8).reshape(-1, 8 * HASH_WORDS), axis=1, bitorder="little")
+        full = n_tok > 0
+        ones[full] = np.add.reduceat(bits, seg[:-1][full], axis=0, dtype=np.int64)
+    out = (2 * ones - n_tok[:, None]).astype(np.float32)
     flat = pa.array(out.reshape(-1), pa.float32())
     return pa.ListArray.from_arrays(pa.array(np.arange(0, (n_rows + 1) * HASH_DIM, HASH_DIM, dtype=np.int32)), flat)
 

@@ -102,3 +102,18 @@ def test_upserts_merge_on_read_and_compact(spark, tmp_path):
     assert (IX.versions(spark, root), IX._seqs(spark, root)) == before
     want = [w for w in want if w[0] != 2] + [(2, 0, "x")]
     assert state() == sorted(want)
+
+
+def test_json_array_file_and_json_lines(spark, tmp_path):
+    import json
+
+    rows = [{"doc_id": 1, "chunk_ix": 0, "chunk_id": "1-c0", "text": "a"},
+            {"doc_id": 1, "chunk_ix": 1, "chunk_id": "1-c1", "text": "b\nc"}]
+    path = tmp_path / "chunks.json"
+    path.write_text(json.dumps(rows, indent=2))
+    got = IX.read_json(spark, str(path), multiline=True).orderBy("chunk_ix").collect()
+    assert [r.asDict() for r in got] == rows
+    out = str(tmp_path / "lines")
+    IX.write_json(spark.createDataFrame(got), out)
+    back = IX.read_json(spark, out).orderBy("chunk_ix").collect()
+    assert [r.asDict() for r in back] == rows
