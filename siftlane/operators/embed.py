@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, FloatType, IntegerType, LongType, StructField, StructType
 
 from ..functions import text as T
 from ..functions import vector as V
@@ -58,18 +58,6 @@ def token_codes(tokens: Column) -> Column:
     return F.transform(tokens, _md5_words)
 
 
-def _digest_words(tokens: pa.Array):
-    """md5 of every token of a batch as (n_tokens, 2) uint64 words (the
-    first/last 8 digest bytes read big-endian) plus list offsets."""
-    tokens = tokens.cast(pa.list_(pa.string()))
-    offsets = tokens.offsets.to_numpy().astype(np.int64)
-    flat = tokens.flatten().to_pylist()
-    md5 = hashlib.md5
-    raw = b"".join([md5(t.encode("utf-8")).digest() for t in flat])
-    words = np.frombuffer(raw, dtype=">u8").astype(np.uint64).reshape(-1, HASH_WORDS)
-    return words, offsets - offsets[0]
-
-
 def _codes_array(words: np.ndarray, seg: np.ndarray) -> pa.Array:
     inner = pa.ListArray.from_arrays(
         pa.array(np.arange(0, 2 * len(words) + 1, 2, dtype=np.int32)),
@@ -95,18 +83,6 @@ def _dense_of(words: np.ndarray, seg: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, (n_rows + 1) * HASH_DIM, HASH_DIM, dtype=np.int32)), flat)
 
 
-_WORD_RE = re.compile(T.WORD_PATTERN)
-
-
-def _tokenize_batch(texts: pa.Array) -> pa.Array:
-    """Same tokens as ``text.words`` (ASCII letter/digit runs, ASCII
-    lowercase), produced inside the Arrow batch so the text crosses into
-    Python once instead of as an array of token strings."""
-    find = _WORD_RE.findall
-    return pa.array([None if t is None else [w.lower() for w in find(t)] for t in texts.to_pylist()],
-                    pa.list_(pa.string()))
-
-
 def _sign_code(dense: pa.Array) -> pa.Array:
     """P7 in the batch: bit i set when component i > 0 (word i//64, LSB first)."""
     vals = dense.flatten().to_numpy(zero_copy_only=False).reshape(-1, HASH_DIM)
@@ -120,23 +96,56 @@ def _sign_code(dense: pa.Array) -> pa.Array:
     )
 
 
-def _hash_batch(texts: pa.Array) -> pa.Array:
-    words, seg = _digest_words(_tokenize_batch(texts))
-    dense = _dense_of(words, seg)
-    return pa.StructArray.from_arrays([_codes_array(words, seg), dense, _sign_code(dense)],
-                                      names=["codes", "dense", "code"])
+_WORD_RE = re.compile(T.WORD_PATTERN)
+
+
+def _token_lists(texts: pa.Array) -> list[list[str]]:
+    find = _WORD_RE.findall
+    return [[] if t is None else [w.lower() for w in find(t)] for t in texts.to_pylist()]
+
+
+def _words_of(lists: list[list[str]]):
+    """md5 words of every token of every row, plus row offsets."""
+    seg = np.zeros(len(lists) + 1, dtype=np.int64)
+    np.cumsum([len(x) for x in lists], out=seg[1:])
+    md5 = hashlib.md5
+    raw = b"".join([md5(w.encode("utf-8")).digest() for row in lists for w in row])
+    words = np.frombuffer(raw, dtype=">u8").astype(np.uint64).reshape(-1, HASH_WORDS)
+    return words, seg
+
+
+def _hash_batch_for(side: str):
+    """Arrow UDF body: dense vector and sign code from every token; the token
+    matrix keeps repeats on the query side and each distinct token once on
+    the document side (the max over document tokens does not change)."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        lists = _token_lists(texts)
+        words, seg = _words_of(lists)
+        dense = _dense_of(words, seg)
+        n_tok = pa.array(np.diff(seg).astype(np.int32), pa.int32())
+        if side == "query":
+            toks = _codes_array(words, seg)
+        else:
+            dwords, dseg = _words_of([list(dict.fromkeys(row)) for row in lists])
+            toks = _codes_array(dwords, dseg)
+        return pa.StructArray.from_arrays([toks, dense, _sign_code(dense), n_tok],
+                                          names=["codes", "dense", "code", "n_tokens"])
+
+    return run
 
 
 def _hash_codes_batch(texts: pa.Array) -> pa.Array:
-    words, seg = _digest_words(_tokenize_batch(texts))
+    """Token codes of every token (repeats kept)."""
+    words, seg = _words_of(_token_lists(texts))
     return _codes_array(words, seg)
 
 
 _HASH_TYPE = StructType([
     StructField("codes", ArrayType(ArrayType(LongType()))), StructField("dense", ArrayType(FloatType())),
-    StructField("code", ArrayType(LongType())),
+    StructField("code", ArrayType(LongType())), StructField("n_tokens", IntegerType()),
 ])
-_hash_udf = F.arrow_udf(_hash_batch, _HASH_TYPE)
+_hash_udfs = {side: F.arrow_udf(_hash_batch_for(side), _HASH_TYPE) for side in ("doc", "query")}
 _hash_codes_udf = F.arrow_udf(_hash_codes_batch, ArrayType(ArrayType(LongType())))
 
 
@@ -148,20 +157,20 @@ class HashEmbedder:
 
     def encode_tokens(self, df: DataFrame, text_col: str, side: str = "doc", prefix: str = "") -> DataFrame:
         """Token matrix only (what MaxSim needs)."""
-        codes = _hash_codes_udf(F.col(text_col))
-        return df.withColumn(f"{prefix}toks", codes if side == "query" else F.array_distinct(codes))
+        if side == "query":
+            return df.withColumn(f"{prefix}toks", _hash_codes_udf(F.col(text_col)))
+        return df.withColumn(f"{prefix}toks", _hash_udfs["doc"](F.col(text_col))["codes"])
 
     def encode(self, df: DataFrame, text_col: str = "text", side: str = "doc", prefix: str = "") -> DataFrame:
         """Adds ``{prefix}toks``, ``{prefix}dense``, ``{prefix}code`` and
         ``{prefix}n_tokens``.  Query side (P5) keeps repeated tokens (they
         count twice in MaxSim); document side stores each distinct token once
         (the max over document tokens does not change)."""
-        out = df.withColumn("_h", _hash_udf(F.col(text_col)))
+        out = df.withColumn("_h", _hash_udfs["query" if side == "query" else "doc"](F.col(text_col)))
         out = out.withColumn(f"{prefix}dense", F.col("_h.dense"))
         out = out.withColumn(f"{prefix}code", F.col("_h.code"))
-        out = out.withColumn(f"{prefix}n_tokens", F.size("_h.codes"))
-        toks = F.col("_h.codes") if side == "query" else F.array_distinct(F.col("_h.codes"))
-        return out.withColumn(f"{prefix}toks", toks).drop("_h")
+        out = out.withColumn(f"{prefix}n_tokens", F.col("_h.n_tokens"))
+        return out.withColumn(f"{prefix}toks", F.col("_h.codes")).drop("_h")
 
 
 class ArrowModelEmbedder:
