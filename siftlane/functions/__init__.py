@@ -1,0 +1,2 @@
+"""Column expressions (text, vectors, prompts, cost) and the Arrow-batched
+MaxSim kernels."""

@@ -1,0 +1,2 @@
+"""DataFrame operators: chunking, embedding, block top-k scans, two-stage
+search and sentence isolation."""

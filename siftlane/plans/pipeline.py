@@ -31,13 +31,13 @@ def build_index(docs: DataFrame, embedder=DEFAULT_EMBEDDER, separator: str = "\n
 
 
 def ingest(docs: DataFrame, root: str, embedder=DEFAULT_EMBEDDER, recreate: bool = True,
-           separator: str = "\n") -> str:
+           separator: str = "\n", keep: list[str] | None = None) -> str:
     """E8 end to end: build the index and publish it as the next version of
     ``root`` (``recreate=False`` keeps an existing index untouched).
     Returns the version path."""
     from ..sources.index import create_index
 
-    return create_index(build_index(docs, embedder, separator), root, recreate=recreate)
+    return create_index(build_index(docs, embedder, separator, keep), root, recreate=recreate)
 
 
 def encode_queries(q: DataFrame, embedder=DEFAULT_EMBEDDER, id_col: str = "item_id",
@@ -56,20 +56,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def two_stage(index: DataFrame, queries: DataFrame, prefetch_limit: int = 100, top_k: int = 5,
-              embedder=DEFAULT_EMBEDDER) -> DataFrame:
-    """E1 with payload: (query_id, rank, id, score, ham, stage1_rank, doc_id,
-    chunk_ix, chunk_id, text)."""
+              embedder=DEFAULT_EMBEDDER, payload: list[str] | None = None) -> DataFrame:
+    """E1 with payload: (query_id, rank, id, score, ham, stage1_rank, *payload);
+    payload defaults to (doc_id, chunk_ix, chunk_id, text); any column kept at
+    index build (e.g. a company or source field) can be added."""
     hits = S.two_stage_search(
         index, queries, prefetch_limit=prefetch_limit, top_k=top_k, code_words=embedder.code_words,
         tok_kind=embedder.tok_kind, tok_dim=embedder.tok_dim,
     )
-    return S.fetch_payload(hits, index, PAYLOAD, _bound(queries, top_k))
+    return S.fetch_payload(hits, index, payload or PAYLOAD, _bound(queries, top_k))
 
 
-def dense_only(index: DataFrame, queries: DataFrame, top_k: int = 5, embedder=DEFAULT_EMBEDDER) -> DataFrame:
-    """E2 with payload: (query_id, rank, id, score, doc_id, chunk_ix, chunk_id, text)."""
+def dense_only(index: DataFrame, queries: DataFrame, top_k: int = 5, embedder=DEFAULT_EMBEDDER,
+               payload: list[str] | None = None) -> DataFrame:
+    """E2 with payload: (query_id, rank, id, score, *payload)."""
     hits = S.dense_only_search(index, queries, top_k=top_k, dim=embedder.dense_dim)
-    return S.fetch_payload(hits, index, PAYLOAD, _bound(queries, top_k))
+    return S.fetch_payload(hits, index, payload or PAYLOAD, _bound(queries, top_k))
 
 
 def _bound(queries: DataFrame, k: int) -> int:

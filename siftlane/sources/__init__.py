@@ -1,0 +1,2 @@
+"""Input tables, vector-derived indexes and the versioned Parquet index
+(JSON IO, create, upsert, compaction)."""

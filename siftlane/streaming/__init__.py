@@ -1,0 +1 @@
+"""Structured Streaming jobs (foreachBatch ingest and search)."""

@@ -117,3 +117,12 @@ def test_json_array_file_and_json_lines(spark, tmp_path):
     IX.write_json(spark.createDataFrame(got), out)
     back = IX.read_json(spark, out).orderBy("chunk_ix").collect()
     assert [r.asDict() for r in back] == rows
+
+
+def test_extra_payload_columns(spark):
+    docs = spark.createDataFrame([(1, "Alpha beta gamma.", "Acme"), (2, "Delta epsilon.", "Globex")],
+                                 "doc_id long, text string, company string")
+    idx = P.build_index(docs, keep=["company"])
+    q = P.encode_queries(spark.createDataFrame([(9, "alpha gamma")], "item_id long, text string"))
+    hits = P.two_stage(idx, q, 2, 1, payload=["chunk_id", "company", "text"]).collect()
+    assert [(h.chunk_id, h.company) for h in hits] == [("1-c0", "Acme")]
