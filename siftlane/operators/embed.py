@@ -75,9 +75,11 @@ def _dense_of(words: np.ndarray, seg: np.ndarray) -> pa.Array:
     if len(words):
         # little-endian bytes + LSB-first unpacking = word bits in order
         le = np.ascontiguousarray(words, dtype="<u8")
-        bits = np.unpackbits(le.view(np.uint8).reshape(-1, 8 * HASH_WORDS), axis=1, bitorder="little")
+        # (dims, tokens) layout: the segment sums run along contiguous memory
+        bytes_t = np.ascontiguousarray(le.view(np.uint8).reshape(-1, 8 * HASH_WORDS).T)
+        bits_t = np.unpackbits(bytes_t, axis=0, bitorder="little")
         full = n_tok > 0
-        ones[full] = np.add.reduceat(bits, seg[:-1][full], axis=0, dtype=np.int64)
+        ones[full] = np.add.reduceat(bits_t, seg[:-1][full], axis=1, dtype=np.int32).T
     out = (2 * ones - n_tok[:, None]).astype(np.float32)
     flat = pa.array(out.reshape(-1), pa.float32())
     return pa.ListArray.from_arrays(pa.array(np.arange(0, (n_rows + 1) * HASH_DIM, HASH_DIM, dtype=np.int32)), flat)
