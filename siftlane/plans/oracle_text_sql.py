@@ -63,6 +63,13 @@ chunks AS (
         FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))
 )"""
 
+CONV_CHUNKS = """
+chunks AS (
+  SELECT (conv_id * 1048576 + ix)::BIGINT AS id, conv_id AS doc_id, ix::INTEGER AS chunk_ix,
+         conv_id::VARCHAR || '-c' || ix::VARCHAR AS chunk_id, text
+  FROM (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS ix FROM conversations)
+)"""
+
 # token rows, per-chunk bit counts, codes and dense vectors of the corpus
 CORPUS = f"""
 ctok AS (
@@ -353,4 +360,6 @@ SELECT prefetch_limit, matches, n_queries, round(matches * 100.0 / n_queries, 6)
             ELSE printf('%d%% (%d/%d)', round_even(matches * 100.0 / n_queries, 0)::BIGINT, matches, n_queries) END
          AS match_status
 FROM rate""",
+    "q30_conversation_two_stage": f"""{_with(CONV_CHUNKS, CORPUS, QUERIES, _TS)}
+SELECT query_id, rank, id, doc_id, chunk_ix, chunk_id, score, ham, stage1_rank FROM hits""",
 }

@@ -26,7 +26,12 @@ def build_index(docs: DataFrame, embedder=DEFAULT_EMBEDDER, separator: str = "\n
     projection per partition; no shuffle (apart from ``spread`` for inputs
     that arrive in fewer splits than cores).  Chunks keep the input order,
     so documents stored in doc_id order give id-clustered index files."""
-    chunks = documents_to_chunks(spread(docs), separator, keep)
+    return index_chunks(documents_to_chunks(spread(docs), separator, keep), embedder)
+
+
+def index_chunks(chunks: DataFrame, embedder=DEFAULT_EMBEDDER) -> DataFrame:
+    """Index rows for ready-made chunks ``(id, doc_id, chunk_ix, chunk_id,
+    text, ...)``, e.g. from ``sections_to_chunks``."""
     return check_index(embedder.encode(chunks, "text", side="doc"), embedder.dense_dim, embedder.code_words)
 
 

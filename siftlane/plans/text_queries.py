@@ -210,3 +210,19 @@ def q29_text_limit_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = P.DEFAULT_EMBEDDER
     return R.limit_sweep(_index(spark, sf_dir), _queries(spark, sf_dir), code_words=emb.code_words,
                          tok_kind=emb.tok_kind, tok_dim=emb.tok_dim)
+
+
+def _conversation_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A conversation is a document and each turn a section (P2 then P1)."""
+    conv = read_table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("doc_id"), F.col("turn").alias("chunk_ix"), "text"
+    )
+    return CH.sections_to_chunks(CH.assemble_documents(conv))
+
+
+def q30_conversation_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 over conversation turns: benchmark queries against every turn."""
+    idx = freeze(P.index_chunks(spread(_conversation_chunks(spark, sf_dir))), "conversation-index")
+    return P.two_stage(idx, _queries(spark, sf_dir), PREFETCH_LIMIT, TOP_K).select(
+        "query_id", "rank", "id", "doc_id", "chunk_ix", "chunk_id", "score", "ham", "stage1_rank"
+    )
