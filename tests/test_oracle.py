@@ -8,8 +8,8 @@ import __spark_entry__ as E
 from oracle import compare, duck
 
 SF = os.environ.get("SIFTLANE_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = {k: v for k, v in E.queries().items() if k[0] == "q"}
+SQL = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
