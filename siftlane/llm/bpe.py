@@ -29,10 +29,13 @@ from .common import per_batch, worker_cache
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WHITE = r"\t-\r \x85\xa0  -     　"
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-#: Remembered pieces of a worker; then it starts anew.
-PIECES_KEPT = 300_000
+#: Remembered pieces and words of a worker; then it starts anew.
+PIECES_KEPT = 500_000
+WORDS_KEPT = 500_000
 #: Words that share one trie.
-TRIE_WORDS = 20_000
+TRIE_WORDS = 50_000
+#: Texts that are encoded at once.
+SLICE = 500
 #: Remembered pairs of tokens.
 PAIRS_KEPT = 2_000_000
 
@@ -61,15 +64,22 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
         self.bytes |= {i: s.encode() for s, i in self.special.items()}
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.longest = max(map(len, self.ids))
+        self.by_decimal = {str(i): b for i, b in self.bytes.items()}
         self.ends: dict = {}  # tokens by their bytes from the last to the first
         for b, i in self.ids.items():
             node = self.ends
             for x in reversed(b):
                 node = node.setdefault(x, {})
             node[-1] = i
+        #: How each token came about: rank of the rule, left part, right part.
+        self.made = {}
+        self.pairs = {}
+        for (a, b), r in self.ranks.items():
+            x, y = self.ids[a], self.ids[b]
+            self.pairs[x, y] = r
+            self.made.setdefault(self.ids[a + b], (r, x, y))
         self.follows: dict = {}
-        self.alone: dict = {}
+        self.coded: dict = {}
 
     def merged(self, data: bytes) -> list[bytes]:
         """The merge rules applied to ``data``, lowest rank first, leftmost first."""
@@ -87,29 +97,23 @@ class Vocabulary:
         if got is None:
             if len(self.follows) >= PAIRS_KEPT:
                 self.follows.clear()
-            second = self.bytes[b]
-            if a < 0:
-                got = self.merged(second) == [second]
-            else:
-                first = self.bytes[a]
-                got = self.merged(first + second) == [first, second]
+            got = self.merged(self.bytes[b]) == [self.bytes[b]] if a < 0 else self._stay_apart(a, b)
             self.follows[a, b] = got
         return got
 
-    def last_token(self, path: bytearray, last: list[int]) -> int:
-        """The last token of ``path``, given those of all shorter prefixes (``last[i]`` for i bytes)."""
-        node, found, n = self.ends, [], len(path)
-        for i in range(n - 1, max(-1, n - 1 - self.longest), -1):
-            node = node.get(path[i])
-            if node is None:
-                break
-            t = node.get(-1)
-            if t is not None:
-                found.append((t, i))
-        for t, i in reversed(found):  # the longest first
-            if self.may_follow(last[i], t):
-                return t
-        raise ValueError(f"no token ends {bytes(path)!r}")
+    def _stay_apart(self, a: int, b: int) -> bool:
+        """Undoes the merges beside the border of ``a`` and ``b``, latest first: at no time may a rule across the border be due before the one undone."""
+        due = 1 << 30  # the rule that comes next has this rank; across the border a smaller one would win
+        while True:
+            if self.pairs.get((a, b), 1 << 30) < due:
+                return False
+            left, right = self.made.get(a, (-1, 0, 0)), self.made.get(b, (-1, 0, 0))
+            if left[0] < 0 and right[0] < 0:
+                return True
+            if left[0] > right[0]:
+                due, a = left[0], left[2]
+            else:  # of equal rules the left one comes first, so one across the border wins a tie with the right part's
+                due, b = right[0] + 1, right[1]
 
     def encode_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
         """Token ids of distinct words, through one trie."""
@@ -117,51 +121,77 @@ class Vocabulary:
         for w in words:
             node = trie
             for x in w:
-                node = node.setdefault(x, {})
+                down = node.get(x)
+                if down is None:
+                    down = node[x] = {}
+                node = down
             node[-1] = w
         out = {}
-        path, last = bytearray(), [-1]  # of the node that the walk is at
+        sizes = {i: len(b) for i, b in self.bytes.items()}
+        ends, follows, may_follow = self.ends, self.follows, self.may_follow
+        path, last = [], [-1]  # of the node that the walk is at: its bytes, and the last token of each prefix of them
         walk = [iter(trie.items())]
         while walk:
-            step = next(walk[-1], None)
-            if step is None:
-                walk.pop()
-                if path:
-                    path.pop()
-                    last.pop()
-                continue
-            x, child = step
-            if x == -1:
+            for x, child in walk[-1]:
+                if x >= 0:
+                    break
                 ids, at = [], len(path)
                 while at:
                     ids.append(last[at])
-                    at -= len(self.bytes[last[at]])
+                    at -= sizes[last[at]]
                 out[child] = ids[::-1]
+            else:
+                walk.pop()
+                if path:
+                    path.pop()
+                    last.pop()
                 continue
             path.append(x)
-            last.append(self.last_token(path, last))
+            node, i, token = ends[x], len(path) - 1, -1
+            while True:  # tokens that end here, the shorter first; the one that may follow is the only one
+                t = node.get(-1)
+                if t is not None:
+                    pair = (last[i], t)
+                    fits = follows.get(pair)
+                    if may_follow(*pair) if fits is None else fits:
+                        token = t
+                        break
+                i -= 1
+                if i < 0:
+                    break
+                node = node.get(path[i])
+                if node is None:
+                    break
+            if token < 0:
+                raise ValueError(f"no token ends {bytes(path)!r}")
+            last.append(token)
             walk.append(iter(child.items()))
         return out
 
-    def encode_pieces(self, pieces: list[str]) -> dict[str, tuple[str, bytes]]:
-        """Ids of each piece as decimals with a comma after each, and their bytes."""
+    def encode_pieces(self, pieces: list[str]) -> dict[str, str]:
+        """Ids of each piece as decimals with a comma after each."""
         cut = {p: [w.encode() for w in self.words.findall(p)] for p in pieces}
-        words = iter(dict.fromkeys(w for ws in cut.values() for w in ws))
-        ids: dict[bytes, list[int]] = {}
+        if len(self.coded) > WORDS_KEPT:
+            self.coded.clear()
+        words = iter(sorted({w for ws in cut.values() for w in ws if w not in self.coded}))  # neighbours share prefixes
         while some := list(islice(words, TRIE_WORDS)):
-            ids |= self.encode_words(some)
+            for w, ids in self.encode_words(some).items():
+                self.coded[w] = "".join([f"{i}," for i in ids])
         out = {}
         for p, ws in cut.items():
-            own = [i for w in ws for i in ids[w]]
-            out[p] = "".join(f"{i}," for i in own), self.decode_bytes(own)
+            if len(ws) == 1:
+                out[p] = self.coded[ws[0]]
+            else:
+                out[p] = "".join([self.coded[w] for w in ws])
         return out
 
-    def decode_bytes(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+    def decode(self, ids: str) -> bytes:
+        """The bytes of ids given as decimals joined by commas."""
+        return b"".join(map(self.by_decimal.__getitem__, ids.split(","))) if ids else b""
 
 
-def encode_texts(vocab: Vocabulary, texts: list[str], kept: dict) -> list[tuple[str, bytes]]:
-    """For each text its ids as decimals joined by commas, and the bytes that they decode to."""
+def encode_texts(vocab: Vocabulary, texts: list[str], kept: dict) -> list[str]:
+    """For each text its ids as decimals joined by commas."""
     parts = []
     for t in texts:
         some = []
@@ -171,13 +201,8 @@ def encode_texts(vocab: Vocabulary, texts: list[str], kept: dict) -> list[tuple[
     if len(kept) > PIECES_KEPT:
         kept.clear()
     new = {p for some in parts for p in some if p not in kept}
-    special = {s: (f"{i},", s.encode()) for s, i in vocab.special.items()}
-    kept |= vocab.encode_pieces([p for p in new if p not in special]) | {s: special[s] for s in new if s in special}
-    out = []
-    for some in parts:
-        hits = [kept[p] for p in some]
-        out.append(("".join([h[0] for h in hits])[:-1], b"".join([h[1] for h in hits])))
-    return out
+    kept |= vocab.encode_pieces([p for p in new if p not in vocab.special]) | {s: f"{vocab.special[s]}," for s in new if s in vocab.special}
+    return ["".join(map(kept.__getitem__, some))[:-1] for some in parts]
 
 
 def vocabulary_broadcast(spark, path: str):
@@ -200,6 +225,11 @@ def encode_decode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "t
         ddl += ", ids array<int>, decoded string"
         fields += [("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
 
+    names = [n for n, _ in fields[1:]]
+
+    def digest(t: str) -> str:
+        return hashlib.sha256(t.encode()).hexdigest()
+
     def rows(doc_ids, texts):
         cache = worker_cache("bpe")
         if key not in cache:
@@ -207,14 +237,11 @@ def encode_decode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "t
             cache[key] = (Vocabulary(content.value), {})
         vocab, kept = cache[key]
         got = []
-        for at in range(0, len(texts), 500):
-            got += [
-                (i.count(",") + 1 if i else 0, hashlib.sha256(i.encode()).hexdigest(), d if ids else None, i if ids else None, hashlib.sha256(d.decode("utf-8", "replace").encode()).hexdigest())
-                for i, d in encode_texts(vocab, [t or "" for t in texts[at : at + 500]], kept)
-            ]
-        out = {id: doc_ids, "n_tokens": [g[0] for g in got], "ids_sha256": [g[1] for g in got], "decoded_sha256": [g[4] for g in got]}
-        if ids:
-            out |= {"ids": [[int(x) for x in g[3].split(",")] if g[3] else [] for g in got], "decoded": [g[2].decode("utf-8", "replace") for g in got]}
-        return out
+        for at in range(0, len(texts), SLICE):
+            for i in encode_texts(vocab, [t or "" for t in texts[at : at + SLICE]], kept):
+                back = vocab.decode(i).decode("utf-8", "replace")
+                got.append((i.count(",") + 1 if i else 0, digest(i), digest(back), list(map(int, i.split(","))) if ids and i else [], back if ids else None))
+        out = dict(zip(names, zip(*got)))
+        return {id: doc_ids, **out}
 
     return docs.select(F.col(id).cast("long"), text).mapInArrow(per_batch(rows, id, text, schema=pa.schema(fields)), ddl)

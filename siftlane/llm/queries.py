@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
+from . import bpe as BP
+from . import secrets as SE
 from . import topk_search as TK
 from . import url_rules as UR
 
@@ -22,6 +24,21 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TK.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return SE.scan(docs, SE.train(docs))
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return BP.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
