@@ -37,4 +37,17 @@ select page_id, host, path, arg_max(rule, length(rule)) as rule,
 from m group by page_id, host, path
 """
 
-SQL = {"op1_exact_topk": OP1, "op7_url_filter": OP7}
+OP5 = """
+with p as (
+  select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+  from pages
+), f as (
+  select payload_digest, min(page_id) as first_id from p where payload_bytes >= 100 group by payload_digest
+)
+select p.page_id, p.payload_bytes, p.payload_digest,
+  case when p.page_id > f.first_id then 'revisit' else 'response' end as record_type,
+  case when p.page_id > f.first_id then f.first_id end as refers_to
+from p left join f on p.payload_digest = f.payload_digest and p.payload_bytes >= 100
+"""
+
+SQL = {"op5_warc": OP5, "op1_exact_topk": OP1, "op7_url_filter": OP7}

@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import read_table
 from . import bpe as BP
 from . import secrets as SE
+from . import token_files as TF
 from . import topk_search as TK
 from . import url_rules as UR
+from . import warc as WA
 
 URL_RULES = [
     ("allow", "com", "/"),
@@ -39,6 +41,14 @@ def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BP.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TF.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return WA.round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
