@@ -50,4 +50,26 @@ select p.page_id, p.payload_bytes, p.payload_digest,
 from p left join f on p.payload_digest = f.payload_digest and p.payload_bytes >= 100
 """
 
-SQL = {"op5_warc": OP5, "op1_exact_topk": OP1, "op7_url_filter": OP7}
+OP10 = """
+with i as (
+  select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') as w from benchmark
+), s as (
+  select item_id, least(len(w), 5) as k, unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda j: array_to_string(list_slice(w, j, j + least(len(w), 5) - 1), ' '))) as shingle
+  from i where len(w) > 0
+), si as (select distinct item_id, k, shingle from s),
+n as (select item_id, count(*) as item_shingles from si group by item_id),
+d as (
+  select doc_id, text, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') as w from (select distinct doc_id, text from documents)
+), k as (select distinct k from si),
+ds as (
+  select distinct doc_id, text, k, shingle from (
+    select doc_id, text, k, unnest(list_transform(range(1, greatest(len(w) - k + 2, 1)), lambda j: array_to_string(list_slice(w, j, j + k - 1), ' '))) as shingle from d, k
+  )
+), c as (
+  select doc_id, text, item_id, count(*) as shared from ds join si using (k, shingle) group by all
+)
+select doc_id, item_id, shared, item_shingles, shared / item_shingles as containment
+from c join n using (item_id) where shared >= ceil(0.8 * item_shingles - 1e-9)
+"""
+
+SQL = {"op10_decontamination": OP10, "op5_warc": OP5, "op1_exact_topk": OP1, "op7_url_filter": OP7}
