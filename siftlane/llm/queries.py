@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import read_table
 from . import bpe as BP
 from . import decontam as DE
+from . import quality as QU
 from . import secrets as SE
 from . import token_files as TF
 from . import topk_search as TK
@@ -56,6 +57,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return UR.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return QU.grade(docs, QU.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = DE.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "shared", "item_shingles", "containment")
