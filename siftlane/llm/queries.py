@@ -9,6 +9,7 @@ from . import bpe as BP
 from . import decontam as DE
 from . import quality as QU
 from . import secrets as SE
+from . import simhash as SH
 from . import token_files as TF
 from . import topk_search as TK
 from . import url_rules as UR
@@ -47,6 +48,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TF.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SH.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WA.round_trip(read_table(spark, sf_dir, "pages"))
 
