@@ -12,6 +12,7 @@ from . import secrets as SE
 from . import simhash as SH
 from . import token_files as TF
 from . import topk_search as TK
+from . import toxicity as TX
 from . import url_rules as UR
 from . import warc as WA
 
@@ -56,6 +57,12 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WA.round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = TX.train(docs, labels.where(~TX.held_out()))
+    return TX.score(docs, model).select("doc_id", TX.held_out().alias("held_out"), "score", "predicted")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
