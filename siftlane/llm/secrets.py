@@ -37,8 +37,12 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Least log-likelihood ratio in nats, of the whole token and per character.
 LEAST_RATIO = 12.0
 LEAST_PER_CHAR = 0.5
-#: Pseudo-count of each bigram.
-SMOOTHING = 0.5
+#: Weight, in characters, of a symbol's own frequency against that after the symbol before it.
+BACKOFF = 20.0
+#: Occurrences of a bigram in ordinary words that are not counted: a few may come from unlabelled random strings.
+DISCOUNT = 5
+#: Pseudo-count of every symbol, in ordinary words and in random strings (which favour no symbol).
+SMOOTHING = (0.5, 50.0)
 #: Bytes that are counted at once.
 SLICE = 1 << 20
 
@@ -100,11 +104,14 @@ def _bigrams(batches):
 def train(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Log-likelihood ratio of each bigram, random against ordinary, from every document."""
     counts = docs.select(text).mapInArrow(_bigrams, "random int, prev int, cur int, n long")
-    n = np.full((2, STATES, STATES), SMOOTHING)
+    n = np.zeros((2, STATES, STATES))
     for r in counts.groupBy("random", "prev", "cur").agg(F.sum("n").alias("n")).collect():  # 2 * STATES**2 rows at most
         n[r["random"], r["prev"], r["cur"]] += r["n"]
-    n[:, :, 0] = 0  # the end of a token is not scored
-    p = n[:, :, 1:] / n[:, :, 1:].sum(2, keepdims=True)
+    n = n[:, :, 1:]  # the end of a token is not scored
+    n[0] = np.maximum(n[0] - DISCOUNT, 0)
+    alone = n.sum(1) + np.array(SMOOTHING)[:, None]
+    alone /= alone.sum(1, keepdims=True)
+    p = (n + BACKOFF * alone[:, None, :]) / (n.sum(2, keepdims=True) + BACKOFF)
     out = np.zeros((STATES, STATES))
     out[:, 1:] = np.log(p[1]) - np.log(p[0])
     return out

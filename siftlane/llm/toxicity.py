@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass
 
@@ -312,9 +313,14 @@ def held_out(id: str = "doc_id"):
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, score, predicted)``, one row per input row; a null text counts as empty, and has the lowest score."""
     schema = pa.schema([(id, pa.int64()), ("score", pa.float64()), ("predicted", pa.int32())])
+    key = uuid.uuid4().hex  # of this model: remembered decisions are its own
 
     def rows(ids, texts):
-        kept = worker_cache("toxicity")
+        cache = worker_cache("toxicity")
+        if key not in cache:
+            cache.clear()
+            cache[key] = {}
+        kept = cache[key]
         if len(kept) > WORDS_KEPT:
             kept.clear()
         out = np.full(len(texts), model.bias)
