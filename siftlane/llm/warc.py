@@ -7,14 +7,15 @@ segment number 1, ``continuation`` records follow with the origin's id, and
 the last one states the total length.
 
 Archives are files that Spark's committer writes: records are written as lines
-whose separator is the CRLF CRLF that ends a WARC record, so a file is a plain
-uncompressed WARC file.  They are read with Spark's binary reader, parsed in
+whose separator is the CRLF CRLF that ends a WARC record, so a file is a plain WARC
+file, compressed as a whole (gzip) or not at all (none).  They are read with Spark's binary reader, parsed in
 the task, and the segments are grouped by origin id; records of one segment
 are decoded where they are read and shuffle only their digest.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 
@@ -90,6 +91,8 @@ def page_records(key: str, page_id, url, payload: bytes, digest: str, refers_to,
 
 def parse_records(data: bytes):
     """``(headers, block)`` of each record of an archive file; header names in lower case."""
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
@@ -107,7 +110,7 @@ def parse_records(data: bytes):
         yield head, block
 
 
-def write(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z", segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES) -> None:
+def write(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z", segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES, compression: str = "gzip") -> None:
     """Writes a record for every row of ``pages`` (``page_id``, ``url``, ``html``).
 
     Of rows with equal payloads of REVISIT_FROM bytes or more, that with the
@@ -120,11 +123,14 @@ def write(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z", seg
     shared = rows.where((F.octet_length("html") >= REVISIT_FROM) & F.col("page_id").isNotNull()).select("page_id", "digest")
     first = shared.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("last > refers_to")
     revisits = shared.join(first.drop("last"), "digest").where("page_id > refers_to").distinct()
+    # a page_id has one entry unless rows repeat it
+    revisits = revisits.groupBy(F.col("page_id").cast("string").alias("key")).agg(F.collect_list(F.struct("digest", "refers_to")).alias("same"))
     key = F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("none-"), "digest"))
-    rows = rows.withColumn("key", key).repartition(files, "key")
+    # the texts are shuffled once: by a row's own key, for the join and for the count of rows that repeat it
+    rows = rows.withColumn("key", key).repartition(files, "key").join(revisits, "key", "left")
     nth = F.row_number().over(Window.partitionBy("key").orderBy("digest"))
+    rows = rows.withColumn("refers_to", F.get(F.filter("same", lambda x: x["digest"] == F.col("digest")), 0)["refers_to"])
     rows = rows.withColumn("key", F.concat_ws(":", "key", nth.cast("string")))
-    rows = rows.join(revisits, ["page_id", "digest"], "left")
 
     def records(batches):
         for b in batches:
@@ -136,7 +142,7 @@ def write(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z", seg
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays(out)], names=["record"])
 
     lines = rows.select("key", "page_id", "url", "html", "digest", "refers_to").mapInArrow(records, "record binary")
-    lines.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END).text(folder)
+    lines.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END).text(folder, compression=compression)
 
 
 PARSED = pa.schema(
