@@ -33,21 +33,56 @@ def _nested(arr: pa.Array, dtype):
     return outer, vals.reshape(len(inner), width), valid
 
 
+# Token pairs that are scored at once.
+PAIR_CELLS = 1 << 20
+
+
+def _spans(nq: np.ndarray, nd: np.ndarray):
+    """Cuts rows into runs of at most PAIR_CELLS token pairs (one row at least)."""
+    cells = np.cumsum(nq * nd)
+    start = 0
+    while start < len(cells):
+        before = cells[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(cells, before + PAIR_CELLS, side="right")))
+        yield start, stop
+        start = stop
+
+
+def _best_sums(qo, do, valid, pair_scores) -> np.ndarray:
+    """Per row: for each query token the best of ``pair_scores(query token
+    index, document token index)`` over the row's document tokens, summed.
+    All rows of a run are scored in one vector operation."""
+    nq, nd = np.where(valid, np.diff(qo), 0), np.where(valid, np.diff(do), 0)
+    out = np.zeros(len(nq), np.float64)
+    rows = np.flatnonzero((nq > 0) & (nd > 0))
+    nq, nd, q0, d0 = nq[rows], nd[rows], qo[:-1][rows], do[:-1][rows]
+    for s, e in _spans(nq, nd):
+        a, b = nq[s:e], nd[s:e]
+        owner = np.repeat(np.arange(e - s), a)  # of each query token
+        first = np.cumsum(a) - a
+        qi = q0[s:e][owner] + np.arange(len(owner)) - first[owner]
+        width = b[owner]  # document tokens beside it
+        starts = np.cumsum(width) - width
+        pair = np.repeat(np.arange(len(owner)), width)
+        di = d0[s:e][owner][pair] + np.arange(len(pair)) - starts[pair]
+        best = np.maximum.reduceat(pair_scores(qi[pair], di), starts)
+        out[rows[s:e]] = np.add.reduceat(best, first)
+    return out
+
+
 def _codes_kernel(dim: int):
     def run(q: pa.Array, d: pa.Array) -> pa.Array:
         qo, qm, qv = _nested(q, np.int64)
         do, dm, dv = _nested(d, np.int64)
         qm, dm = qm.view(np.uint64), dm.view(np.uint64)
-        out = np.zeros(len(q), dtype=np.float64)
-        for i in range(len(q)):
-            a, b = qm[qo[i]:qo[i + 1]], dm[do[i]:do[i + 1]]
-            if not (qv[i] and dv[i]) or len(a) == 0 or len(b) == 0:
-                continue
-            ham = np.zeros((len(a), len(b)), dtype=np.int64)
-            for w in range(a.shape[1]):
-                ham += np.bitwise_count(a[:, w, None] ^ b[None, :, w])
-            out[i] = int((dim - 2 * ham).max(axis=1).sum()) / dim
-        return pa.array(out, pa.float64())
+
+        def agreement(i, j):
+            ham = np.zeros(len(i), np.int64)
+            for w in range(qm.shape[1]):
+                ham += np.bitwise_count(qm[i, w] ^ dm[j, w])
+            return dim - 2 * ham
+
+        return pa.array(_best_sums(qo, do, qv & dv, agreement) / dim, pa.float64())
 
     return run
 
@@ -63,19 +98,13 @@ def _float_kernel(normalize: bool):
         do, dm, dv = _nested(d, np.float64)
         if normalize:
             qm, dm = _unit(qm), _unit(dm)
-        out = np.zeros(len(q), dtype=np.float64)
         nq, nd = np.diff(qo), np.diff(do)
         if len(q) and qv.all() and dv.all() and nq.min() == nq.max() > 0 and nd.min() == nd.max() > 0:
             # every row has the same shapes: one batched product for the batch
             a = qm.reshape(len(q), nq[0], -1)
             b = dm.reshape(len(q), nd[0], -1)
-            return pa.array(np.einsum("bik,bjk->bij", a, b).max(axis=2).sum(axis=1), pa.float64())
-        for i in range(len(q)):
-            a, b = qm[qo[i]:qo[i + 1]], dm[do[i]:do[i + 1]]
-            if not (qv[i] and dv[i]) or len(a) == 0 or len(b) == 0:
-                continue
-            out[i] = float((a @ b.T).max(axis=1).sum())
-        return pa.array(out, pa.float64())
+            return pa.array((a @ b.transpose(0, 2, 1)).max(axis=2).sum(axis=1), pa.float64())
+        return pa.array(_best_sums(qo, do, qv & dv, lambda i, j: np.einsum("ij,ij->i", qm[i], dm[j])), pa.float64())
 
     return run
 

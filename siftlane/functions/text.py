@@ -48,8 +48,7 @@ def count_tokens(text) -> Column:
 
 def word_count(text) -> Column:
     """len(text.split())."""
-    norm = collapse_ws(text)
-    return F.when(norm == "", F.lit(0)).otherwise(F.size(F.split(norm, " ", -1)))
+    return F.regexp_count(_col(text), F.lit(f"[^{WS_CLASS_BODY}]+")).cast("int")
 
 
 def preview(text, n: int = PREVIEW_CHARS) -> Column:

@@ -7,39 +7,32 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-# Chunk keys pack (doc_id, chunk_ix) into one BIGINT that sorts like the pair.
-CHUNK_IX_BITS = 20
-MAX_CHUNKS_PER_DOC = 1 << CHUNK_IX_BITS
-MAX_ABS_DOC_ID = 1 << (63 - CHUNK_IX_BITS)
-
-
 def split_sections(text_col: str = "text", separator: str = "\n"):
     """Flat text -> ARRAY<STRING> sections (regex separator)."""
     return F.split(F.col(text_col), separator, -1)
 
 
 def chunk_key(doc_id="doc_id", chunk_ix="chunk_ix"):
+    """The key of a chunk: the pair (doc_id, chunk_ix) as a struct, which sorts
+    and joins like the pair.  A document id may be of any sortable type."""
     ix = F.col(chunk_ix) if isinstance(chunk_ix, str) else chunk_ix
     doc = F.col(doc_id) if isinstance(doc_id, str) else doc_id
-    packed = F.shiftleft(doc.cast("long"), CHUNK_IX_BITS).bitwiseOR(ix.cast("long"))
-    return (
-        F.when(ix >= MAX_CHUNKS_PER_DOC, F.raise_error(F.lit(f"more than {MAX_CHUNKS_PER_DOC} chunks in a document")))
-        .when(F.abs(doc.cast("long")) >= MAX_ABS_DOC_ID, F.raise_error(F.lit("doc_id out of range for chunk keys")))
-        .otherwise(packed)
-    )
+    return F.struct(doc.alias("doc_id"), ix.cast("int").alias("chunk_ix"))
 
 
 def sections_to_chunks(docs: DataFrame, sections_col: str = "sections", keep: list[str] | None = None) -> DataFrame:
     """Section i of a document becomes chunk i; sections are never merged.
+    A null document, or a null section, is one empty chunk.
     Returns (id, doc_id, chunk_ix, chunk_id, text, *keep)."""
     keep = keep or []
-    exploded = docs.select("doc_id", *keep, F.posexplode(sections_col).alias("chunk_ix", "text"))
+    sections = F.coalesce(F.col(sections_col), F.array(F.lit("")))
+    exploded = docs.select("doc_id", *keep, F.posexplode(sections).alias("chunk_ix", "text"))
     return exploded.select(
         chunk_key().alias("id"),
         "doc_id",
         F.col("chunk_ix").cast("int").alias("chunk_ix"),
         T.chunk_id(F.col("doc_id"), F.col("chunk_ix")).alias("chunk_id"),
-        "text",
+        F.coalesce("text", F.lit("")).alias("text"),
         *keep,
     )
 

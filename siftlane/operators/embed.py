@@ -28,6 +28,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, IntegerType, LongType, StructField, StructType
@@ -106,14 +107,42 @@ def _token_lists(texts: pa.Array) -> list[list[str]]:
     return [[] if t is None else [w.lower() for w in find(t)] for t in texts.to_pylist()]
 
 
+# Characters of text that a kernel works on at once: bounds its memory for any batch.
+SLICE_CHARS = 1 << 20
+
+
+def _slices(texts: pa.Array):
+    """Cuts an array of texts into runs of at most SLICE_CHARS characters (one row at least)."""
+    sizes = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(texts):
+        before = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, before + SLICE_CHARS, side="right")))
+        yield texts[start:stop]
+        start = stop
+
+
+def _in_slices(kernel):
+    def run(texts: pa.Array) -> pa.Array:
+        parts = [kernel(t) for t in _slices(texts)]
+        return pa.concat_arrays(parts) if parts else kernel(texts)
+
+    return run
+
+
 def _words_of(lists: list[list[str]]):
-    """md5 words of every token of every row, plus row offsets."""
+    """md5 words of every token of every row, plus row offsets; each distinct token is hashed once."""
     seg = np.zeros(len(lists) + 1, dtype=np.int64)
     np.cumsum([len(x) for x in lists], out=seg[1:])
-    md5 = hashlib.md5
-    raw = b"".join([md5(w.encode("utf-8")).digest() for row in lists for w in row])
+    number: dict[str, int] = {}
+    at = np.fromiter((number.setdefault(w, len(number)) for row in lists for w in row), np.int64, int(seg[-1]))
+    raw = b"".join([hashlib.md5(w.encode("utf-8")).digest() for w in number])
     words = np.frombuffer(raw, dtype=">u8").astype(np.uint64).reshape(-1, HASH_WORDS)
-    return words, seg
+    return words[at], seg
+
+
+def _distinct(lists: list[list[str]]) -> list[list[str]]:
+    return [list(dict.fromkeys(row)) for row in lists]
 
 
 def _hash_batch_for(side: str):
@@ -126,21 +155,21 @@ def _hash_batch_for(side: str):
         words, seg = _words_of(lists)
         dense = _dense_of(words, seg)
         n_tok = pa.array(np.diff(seg).astype(np.int32), pa.int32())
-        if side == "query":
-            toks = _codes_array(words, seg)
-        else:
-            dwords, dseg = _words_of([list(dict.fromkeys(row)) for row in lists])
-            toks = _codes_array(dwords, dseg)
+        toks = _codes_array(words, seg) if side == "query" else _codes_array(*_words_of(_distinct(lists)))
         return pa.StructArray.from_arrays([toks, dense, _sign_code(dense), n_tok],
                                           names=["codes", "dense", "code", "n_tokens"])
 
-    return run
+    return _in_slices(run)
 
 
-def _hash_codes_batch(texts: pa.Array) -> pa.Array:
-    """Token codes of every token (repeats kept)."""
-    words, seg = _words_of(_token_lists(texts))
-    return _codes_array(words, seg)
+def _codes_for(side: str):
+    """Token codes only: every token of a query, each distinct token of a document."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        lists = _token_lists(texts)
+        return _codes_array(*_words_of(lists if side == "query" else _distinct(lists)))
+
+    return _in_slices(run)
 
 
 _HASH_TYPE = StructType([
@@ -148,7 +177,7 @@ _HASH_TYPE = StructType([
     StructField("code", ArrayType(LongType())), StructField("n_tokens", IntegerType()),
 ])
 _hash_udfs = {side: F.arrow_udf(_hash_batch_for(side), _HASH_TYPE) for side in ("doc", "query")}
-_hash_codes_udf = F.arrow_udf(_hash_codes_batch, ArrayType(ArrayType(LongType())))
+_codes_udfs = {side: F.arrow_udf(_codes_for(side), ArrayType(ArrayType(LongType()))) for side in ("doc", "query")}
 
 
 class HashEmbedder:
@@ -159,9 +188,7 @@ class HashEmbedder:
 
     def encode_tokens(self, df: DataFrame, text_col: str, side: str = "doc", prefix: str = "") -> DataFrame:
         """Token matrix only (what MaxSim needs)."""
-        if side == "query":
-            return df.withColumn(f"{prefix}toks", _hash_codes_udf(F.col(text_col)))
-        return df.withColumn(f"{prefix}toks", _hash_udfs["doc"](F.col(text_col))["codes"])
+        return df.withColumn(f"{prefix}toks", _codes_udfs["query" if side == "query" else "doc"](F.col(text_col)))
 
     def encode(self, df: DataFrame, text_col: str = "text", side: str = "doc", prefix: str = "") -> DataFrame:
         """Adds ``{prefix}toks``, ``{prefix}dense``, ``{prefix}code`` and

@@ -1,12 +1,17 @@
 """Search operators over an index table.
 
 Index columns used here (any other column is payload):
-    id      BIGINT, unique; ties are broken by the smaller id
+    id      unique, of any sortable type; ties are broken by the smaller id
     code    ARRAY<BIGINT>           1-bit code of the dense vector
     dense   ARRAY<FLOAT|DOUBLE>     full-precision dense vector
     toks    ARRAY<ARRAY<FLOAT>>     token matrix          (tok_kind='float')
             ARRAY<ARRAY<BIGINT>>    packed +-1 token codes (tok_kind='codes')
-Query columns: query_id BIGINT, q_code, q_dense, q_toks, optional self_id.
+Query columns: query_id, q_code, q_dense, q_toks, optional self_id.
+
+Candidates and hits (queries x limit rows) are written once to the shared
+folder (``freeze``).  That cuts the lineage and gives the joins below their
+measured size: Spark broadcasts them when they are small, so the scan of token
+matrices or payload does not move, and shuffles when they are not.
 """
 
 from __future__ import annotations
@@ -19,129 +24,23 @@ from ..functions import vector as V
 from ..session import freeze
 from .topk import scan_top_k, top_k_per_key
 
-# Largest side we are willing to hash-broadcast (bytes, estimated).
-BROADCAST_BYTES = 256 << 20
-
-
-def broadcast_if_small(df: DataFrame, est_bytes: float, limit: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a size bound; beyond it the planner keeps a
-    shuffle join (and AQE may still switch at run time)."""
-    return F.broadcast(df) if est_bytes <= (limit or BROADCAST_BYTES) else df
-
-
-# Estimated bytes per candidate row (query_id, id, ham, stage1_rank + overhead).
-CANDIDATE_ROW_BYTES = 32
-
-
-def split_queries(queries: DataFrame, n_queries: int, per_query_bytes: float,
-                  limit: int | None = None) -> list[DataFrame]:
-    """Cuts a query table into blocks whose per-query state (e.g. stage-2
-    candidates) stays under the broadcast bound, so the big side (the token
-    matrices) is never shuffled; each block scans the index once."""
-    n_blocks = max(1, int(-(-n_queries * per_query_bytes // (limit or BROADCAST_BYTES))))
-    if n_blocks == 1:
-        return [queries]
-    b = F.pmod(F.xxhash64(F.col("query_id")), F.lit(n_blocks))
-    return [queries.filter(b == i) for i in range(n_blocks)]
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-# Candidate/hit sets up to this many ids also prune the index scan: their ids
-# are merged into at most MAX_ID_RANGES ranges pushed to Parquet, so row
-# groups of an id-ordered index without candidates are skipped.
-ID_PRUNE_MAX = 50_000
-MAX_ID_RANGES = 256
-# ...and only when the index holds this many times more rows than the id set
-# (denser sets touch every row group anyway, so the predicate would not pay).
-PRUNE_DENSITY = 1000
-_ROW_COUNTS: dict[tuple[str, ...], int] = {}
-
-
-def _index_rows(index: DataFrame) -> int:
-    """Row count of an index scan, remembered per set of input files."""
-    try:
-        files = tuple(sorted(index.inputFiles()))
-    except Exception:  # pragma: no cover
-        files = ()
-    if files and files in _ROW_COUNTS:
-        return _ROW_COUNTS[files]
-    n = index.count()
-    if files:
-        _ROW_COUNTS[files] = n
-    return n
-
-
-def should_prune(index: DataFrame, n_bound: int) -> bool:
-    return n_bound <= ID_PRUNE_MAX and n_bound * PRUNE_DENSITY <= _index_rows(index)
-
-
-def id_ranges(ids: list[int], max_ranges: int = MAX_ID_RANGES) -> list[tuple[int, int]]:
-    """Covers sorted ids with at most ``max_ranges`` [lo, hi] ranges, cutting
-    at the largest gaps."""
-    ids = sorted(set(ids))
-    if not ids:
-        return []
-    gaps = sorted(range(len(ids) - 1), key=lambda i: ids[i + 1] - ids[i], reverse=True)[: max_ranges - 1]
-    out, start = [], 0
-    for i in sorted(gaps):
-        out.append((ids[start], ids[i]))
-        start = i + 1
-    out.append((ids[start], ids[-1]))
-    return out
-
-
-def prune_by_ids(index: DataFrame, keys: DataFrame, n_bound: int) -> DataFrame:
-    """Adds a pushed-down id-range predicate to an index scan when the key set
-    is small (its size bound is known); the join still does the exact match.
-    The key set is read once to plan the predicate (a bounded list of ids)."""
-    ranges = id_ranges([r[0] for r in keys.select("id").distinct().collect()])
-    if not ranges:
-        return index.limit(0)
-    conds = [F.col("id").between(lo, hi) for lo, hi in ranges]
-    while len(conds) > 1:  # balanced OR tree: shallow for Parquet's evaluator
-        conds = [conds[i] | conds[i + 1] if i + 1 < len(conds) else conds[i] for i in range(0, len(conds), 2)]
-    return index.filter(conds[0])
+# MaxSim kernel: "arrow" (numpy per Arrow batch) or "hof" (Spark lambdas).
+MAXSIM_IMPL = "arrow"
 
 
 def _rank_order(score_col: str = "score", id_col: str = "id"):
     return [F.round(F.col(score_col), 6).desc(), F.col(id_col).asc()]
 
 
-def prefetch(
-    index: DataFrame,
-    queries: DataFrame,
-    limit: int,
-    code_words: int,
-    exclude_self: bool = False,
-) -> DataFrame:
+def prefetch(index: DataFrame, queries: DataFrame, limit: int, code_words: int, exclude_self: bool = False) -> DataFrame:
     """J1 + G2 + K1: the ``limit`` nearest index rows per query by Hamming
     distance between 1-bit codes (no full-precision correction).
     Returns (query_id, id, ham, stage1_rank)."""
     res = scan_top_k(
-        index,
-        queries,
-        k=limit,
-        mode="hamming",
-        width=code_words,
-        id_col="id",
-        vec_col="code",
-        q_id="query_id",
-        q_vec="q_code",
+        index, queries, k=limit, mode="hamming", width=code_words, vec_col="code", q_vec="q_code",
         q_self="self_id" if exclude_self else None,
-    )
-    return res.select(
-        "query_id", "id", F.col("value").cast("int").alias("ham"), F.col("rank").alias("stage1_rank")
-    )
-
-
-# MaxSim kernel: "arrow" (numpy per Arrow batch) or "hof" (Spark lambdas).
-MAXSIM_IMPL = "arrow"
+    )
+    return res.select("query_id", "id", F.col("value").cast("int").alias("ham"), F.col("rank").alias("stage1_rank"))
 
 
 def maxsim_column(tok_kind: str, tok_dim: int, normalize: bool = True, impl: str | None = None):
@@ -153,59 +52,19 @@ def maxsim_column(tok_kind: str, tok_dim: int, normalize: bool = True, impl: str
     return mod.maxsim(F.col("q_toks"), F.col("toks"), normalize_tokens=normalize)
 
 
-def score_candidates(
-    index: DataFrame,
-    queries: DataFrame,
-    candidates: DataFrame,
-    n_queries: int,
-    limit: int,
-    tok_kind: str,
-    tok_dim: int,
-    q_tok_bytes: float,
-    normalize: bool = True,
-) -> DataFrame:
+def score_candidates(index: DataFrame, queries: DataFrame, candidates: DataFrame, tok_kind: str, tok_dim: int, normalize: bool = True) -> DataFrame:
     """P15 + J3 + G3: MaxSim of every candidate pair, reading token matrices
-    only for candidate ids.  ``candidates`` holds at most n_queries*limit rows,
-    so it is broadcast against the token-matrix scan when that bound is small;
-    query token matrices are broadcast on their measured size."""
-    n_cand = n_queries * limit
-    toks = index.select("id", "toks")
-    if should_prune(index, n_cand):
-        candidates = freeze(candidates, "candidates")  # bounded; read to plan the pruning and by the join
-        toks = prune_by_ids(toks, candidates, n_cand)
-    cand = broadcast_if_small(candidates, n_cand * float(CANDIDATE_ROW_BYTES))
-    toks = toks.join(cand, "id")
-    qtoks = broadcast_if_small(queries.select("query_id", "q_toks"), q_tok_bytes)
-    return toks.join(qtoks, "query_id").withColumn("score", maxsim_column(tok_kind, tok_dim, normalize)).drop(
-        "toks", "q_toks"
-    )
-
-
-def scored_candidates(index: DataFrame, queries: DataFrame, n_q: int, q_bytes: float, limit: int,
-                      code_words: int, tok_kind: str, tok_dim: int, exclude_self: bool = False,
-                      normalize: bool = True) -> DataFrame:
-    """Stage 1 + stage 2 for every query, block by block: each block's
-    candidates (block size x limit rows) are broadcast into the token scan."""
-    parts = []
-    blocks = split_queries(queries, n_q, limit * CANDIDATE_ROW_BYTES)
-    for blk in blocks:
-        n_b = n_q if len(blocks) == 1 else -(-n_q // len(blocks))
-        cand = prefetch(index, blk, limit, code_words, exclude_self)
-        parts.append(score_candidates(index, blk, cand, n_b, limit, tok_kind, tok_dim,
-                                      q_bytes / len(blocks), normalize))
-    return _union(parts)
+    only for candidate ids.  ``candidates`` is a written table (see above)."""
+    toks = index.select("id", "toks").join(candidates, "id")
+    pairs = toks.join(queries.select("query_id", "q_toks"), "query_id")
+    return pairs.withColumn("score", maxsim_column(tok_kind, tok_dim, normalize)).drop("toks", "q_toks")
 
 
-def query_stats(queries: DataFrame, tok_kind: str, tok_dim: int) -> tuple[int, float]:
-    """(number of queries, estimated bytes of their token matrices) in one
-    aggregate over the bounded query table."""
-    per_tok = 16.0 if tok_kind == "codes" else 4.0 * tok_dim
-    row = queries.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("q_toks")).alias("t")).first()
-    return int(row["n"]), float(row["t"] or 0) * per_tok
-
-
-def query_token_bytes(queries: DataFrame, tok_kind: str, tok_dim: int) -> float:
-    return query_stats(queries, tok_kind, tok_dim)[1]
+def scored_candidates(index: DataFrame, queries: DataFrame, limit: int, code_words: int, tok_kind: str, tok_dim: int,
+                      exclude_self: bool = False, normalize: bool = True) -> DataFrame:
+    """Stage 1 + stage 2 for every query."""
+    cand = freeze(prefetch(index, queries, limit, code_words, exclude_self), "candidates")
+    return score_candidates(index, queries, cand, tok_kind, tok_dim, normalize)
 
 
 def two_stage_search(
@@ -224,44 +83,21 @@ def two_stage_search(
     distance, stage 2 re-ranks only those by MaxSim and keeps ``top_k``.
     Returns (query_id, rank, id, score, ham, stage1_rank); at most
     min(prefetch_limit, top_k) rows per query."""
-    n_q, q_bytes = query_stats(queries, tok_kind, tok_dim)
-    scored = scored_candidates(index, queries, n_q, q_bytes, prefetch_limit, code_words, tok_kind, tok_dim,
-                               exclude_self, normalize)
+    scored = scored_candidates(index, queries, prefetch_limit, code_words, tok_kind, tok_dim, exclude_self, normalize)
     top = top_k_per_key(scored, ["query_id"], _rank_order(), top_k)
-    return top.select(
-        "query_id", "rank", "id", F.round("score", 6).alias("score"), "ham", "stage1_rank"
-    )
+    return top.select("query_id", "rank", "id", F.round("score", 6).alias("score"), "ham", "stage1_rank")
 
 
-def dense_only_search(
-    index: DataFrame,
-    queries: DataFrame,
-    *,
-    top_k: int = 5,
-    dim: int,
-    exclude_self: bool = False,
-) -> DataFrame:
+def dense_only_search(index: DataFrame, queries: DataFrame, *, top_k: int = 5, dim: int, exclude_self: bool = False) -> DataFrame:
     """E2 (J2 + G1 + K3): exact full-precision cosine over the whole index.
     Returns (query_id, rank, id, score)."""
     res = scan_top_k(
-        index,
-        queries,
-        k=top_k,
-        mode="cosine",
-        width=dim,
-        id_col="id",
-        vec_col="dense",
-        q_id="query_id",
-        q_vec="q_dense",
+        index, queries, k=top_k, mode="cosine", width=dim, vec_col="dense", q_vec="q_dense",
         q_self="self_id" if exclude_self else None,
-    )
-    return res.select("query_id", "rank", "id", F.round("value", 6).alias("score"))
+    )
+    return res.select("query_id", "rank", "id", F.col("value").alias("score"))
 
 
-def fetch_payload(hits: DataFrame, index: DataFrame, columns: list[str], n_hits_bound: int) -> DataFrame:
+def fetch_payload(hits: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:
     """A5 + J4: late materialisation of payload columns for the final hits only."""
-    payload = index.select("id", *columns)
-    if should_prune(index, n_hits_bound):
-        hits = freeze(hits, "hits")
-        payload = prune_by_ids(payload, hits, n_hits_bound)
-    return payload.join(broadcast_if_small(hits, n_hits_bound * 48.0), "id")
+    return index.select("id", *columns).join(freeze(hits, "hits"), "id")

@@ -1,174 +1,214 @@
-"""Exact k-nearest search of a bounded block of queries over an unbounded corpus.
-
-Plan shape (per query block):
-
-    corpus scan (only id + vector/code columns, pruned by Parquet)
-      -> mapInArrow: score the whole query block against each Arrow batch with
-         numpy and keep the best k per query *inside the task* (no pair ever
-         becomes a row)
-      -> [optional salted pre-merge when the scan has many tasks]
-      -> shuffle on query_id, final row_number() <= k (WindowGroupLimit)
-
-The query block reaches the executors as a broadcast of checked size; if the
-query table is larger than ``block_bytes`` it is cut into several blocks and
-each block is its own scan (the plans are unioned).  The corpus never moves.
-Ordering is total: best score first, then the smaller id.
+"""Exact k-nearest search of a table of queries over a table of vectors.
+
+Both sides become packed block rows on the executors (mapInArrow, narrow).
+Blocks meet on a grid cell, an equi-join that Spark plans like any other: a
+small query table is broadcast by its size, a large one is shuffled.  A task
+then scores block against block with numpy and keeps, over all blocks that it
+sees, the k best of each query (no pair ever becomes a row); one shuffle on
+the query merges the tasks' results with row_number() <= k.
+
+Selection is cheap next to scoring: each query has a running threshold, its
+k-th best key so far, and only cells at or below it are looked at.  Keys are
+integers (the Hamming distance, or the cosine rounded to 6 decimals), and the
+same key orders the partial and the final result; ties go to the smaller id.
+Ids may be of any type that Arrow can sort, a struct of columns included.
+
+Nothing here runs a job: the result is one lazy plan.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Budget for one broadcast query block and for one numpy score tile.
-DEFAULT_BLOCK_BYTES = 64 << 20
-# Bound on queries x k per block: each task keeps that many (score, id)
-# pairs and emits them once, so it bounds task memory and the partial shuffle.
+# Grid cells that the queries are dealt to; a block of vectors visits each.
+QUERY_CELLS = 4
+# Rows and bytes of a packed block at most.
+QUERY_ROWS = 1024
+BLOCK_ROWS = 16384
+BLOCK_BYTES = 4 << 20
+# Queries x k that a task remembers; beyond it finished lists are passed on.
 MAX_STATE_CELLS = 4_000_000
-_TILE_CELLS = 1 << 21
+_STRIP = 64
 _COS_SCALE = 1_000_000
-_COS_SENTINEL = 4 * _COS_SCALE + 1
 
 
-def top_k_per_key(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    k: int,
-    rank_col: str = "rank",
-    salt_col: str | None = None,
-    salt_buckets: int = 1,
-) -> DataFrame:
-    """row_number() <= k per key, with an optional first pass per
-    (key, hash(salt_col) mod salt_buckets) so that no single task has to sort
-    every partial candidate of a hot key."""
-    if salt_col is not None and salt_buckets > 1:
-        salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(salt_buckets))
-        w1 = Window.partitionBy(*[F.col(c) for c in keys], salt).orderBy(*order)
-        df = (
-            df.withColumn("_pre_rank", F.row_number().over(w1))
-            .filter(F.col("_pre_rank") <= k)
-            .drop("_pre_rank")
-        )
-    w = Window.partitionBy(*keys).orderBy(*order)
+def top_k_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, rank_col: str = "rank") -> DataFrame:
+    """row_number() <= k per key (Spark limits each task's rows per key before the shuffle)."""
+    w = Window.partitionBy(*[F.col(c) for c in keys]).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
-def _round_half_away(x: np.ndarray) -> np.ndarray:
-    return (np.sign(x) * np.floor(np.abs(x) + 0.5)).astype(np.int64)
-
-
-def _select(primary, ids, values, k):
-    """Best k per row by (primary asc, id asc); inputs are (Q, m) arrays."""
-    q, m = primary.shape
-    kk = min(k, m)
-    uniq = np.unique(ids)
-    comp = primary * np.int64(len(uniq)) + np.searchsorted(uniq, ids).astype(np.int64)
-    if kk < m:
-        part = np.argpartition(comp, kk - 1, axis=1)[:, :kk]
-        comp = np.take_along_axis(comp, part, 1)
-    else:
-        part = np.broadcast_to(np.arange(m), (q, m))
-    idx = np.take_along_axis(part, np.argsort(comp, axis=1, kind="stable"), 1)
-    take = lambda a: np.take_along_axis(a, idx, 1)
-    return take(primary), take(ids), take(values)
-
-
-def _score_tile(mode, qmat, qnorm, tile, tile_norm):
-    """Returns (primary int64 key, output value) for a (Q, s) tile."""
-    if mode == "hamming":
-        ham = np.zeros((qmat.shape[0], tile.shape[0]), dtype=np.int64)
-        for w in range(qmat.shape[1]):
-            ham += np.bitwise_count(qmat[:, w, None] ^ tile[None, :, w]).astype(np.int64)
-        return ham, ham.astype(np.float64)
-    dots = qmat @ tile.T
-    den = np.outer(qnorm, tile_norm)
-    cos = np.divide(dots, den, out=np.zeros_like(dots), where=den > 0)
-    return _COS_SCALE - _round_half_away(cos * _COS_SCALE), cos
-
-
-# Query blocks above this size travel as a Spark broadcast variable (once per
-# executor) instead of inside every task's serialized closure.
-_CLOSURE_BYTES = 1 << 20
-
-
-def _ship(spark, payload):
-    """Returns a zero-argument getter for ``payload`` usable inside tasks."""
-    nbytes = sum(getattr(a, "nbytes", 0) for a in payload if a is not None)
-    if nbytes > _CLOSURE_BYTES:
-        try:
-            bc = spark.sparkContext.broadcast(payload)
-            return lambda: bc.value
-        except Exception:  # pragma: no cover - no SparkContext (e.g. Spark Connect)
-            pass
-    return lambda: payload
-
-
-def _partial_top_k(get_block, mode, k, width):
+def _sort_ranks(ids: pa.Array) -> np.ndarray:
+    """The position of each id in sorted order."""
+    cols = ids.flatten() if pa.types.is_struct(ids.type) else [ids]
+    names = [str(i) for i in range(len(cols))]
+    order = pc.sort_indices(pa.Table.from_arrays(cols, names=names), sort_keys=[(n, "ascending") for n in names]).to_numpy()
+    ranks = np.empty(len(ids), np.int64)
+    ranks[order] = np.arange(len(ids))
+    return ranks
+
+
+def _to_ipc(ids: pa.Array) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([ids], names=["id"])
+    with pa.ipc.new_stream(sink, batch.schema) as w:
+        w.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _from_ipc(data: bytes) -> pa.Array:
+    return pa.ipc.open_stream(data).read_all().column(0).combine_chunks()
+
+
+def _matrix(vec: pa.Array, width: int, mode: str) -> np.ndarray:
+    if vec.null_count:
+        raise ValueError("a row without a vector cannot be searched")
+    flat = vec.flatten()
+    if flat.null_count or len(flat) != len(vec) * width or (np.diff(vec.offsets.to_numpy()) != width).any():
+        raise ValueError(f"vectors must all have {width} components")
+    kind = np.int64 if mode == "hamming" else np.float32 if pa.types.is_float32(flat.type) else np.float64
+    return flat.to_numpy(zero_copy_only=False).astype(kind).reshape(len(vec), width)
+
+
+def _pack(width: int, mode: str, rows: int, with_self: bool, cells: int):
+    """Arrow batches (id, vec[, self]) as block rows; ``cells`` > 0 deals the rows out to grid cells, else they are sorted by id."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, qmat, q_self = get_block()
-        sentinel = np.int64(64 * width + 1) if mode == "hamming" else np.int64(_COS_SENTINEL)
-        qnorm = None if mode == "hamming" else np.sqrt((qmat * qmat).sum(1))
-        step = max(1, _TILE_CELLS // max(1, len(q_ids)))
-        best = None
-        for rb in batches:
-            n = rb.num_rows
-            if n == 0:
+        for b in batches:
+            if b.num_rows == 0:
                 continue
-            ids = rb.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = rb.column("vec").flatten().to_numpy(zero_copy_only=False)
-            if mode == "hamming":
-                mat = flat.astype(np.int64).view(np.uint64).reshape(n, width)
-                mnorm = None
+            ids, mat = b.column("id"), _matrix(b.column("vec"), width, mode)
+            if ids.null_count:
+                raise ValueError("a row without an id cannot be searched")
+            selfs = b.column("self").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False) if with_self else None
+            if cells:
+                groups = [(c, np.arange(c, b.num_rows, cells)) for c in range(min(cells, b.num_rows))]
             else:
-                mat = flat.astype(np.float64).reshape(n, width)
-                mnorm = np.sqrt((mat * mat).sum(1))
-            for s in range(0, n, step):
-                e = min(n, s + step)
-                prim, val = _score_tile(mode, qmat, qnorm, mat[s:e], None if mnorm is None else mnorm[s:e])
-                tid = np.broadcast_to(ids[s:e], prim.shape)
-                if q_self is not None:
-                    prim = np.where(tid == q_self[:, None], sentinel, prim)
-                if best is not None:
-                    prim = np.concatenate([best[0], prim], 1)
-                    tid = np.concatenate([best[1], tid], 1)
-                    val = np.concatenate([best[2], val], 1)
-                best = _select(prim, tid, val, k)
-        if best is None:
-            return
-        keep = best[0] < sentinel
-        qi = np.broadcast_to(q_ids[:, None], best[0].shape)[keep]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(qi, pa.int64()), pa.array(best[1][keep], pa.int64()), pa.array(best[2][keep], pa.float64())],
-            names=["query_id", "id", "value"],
-        )
+                groups = [(0, np.argsort(_sort_ranks(ids), kind="stable"))]
+            for cell, at in groups:
+                for s in range(0, len(at), rows):
+                    own = at[s : s + rows]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([cell], pa.int32()), pa.array([len(own)], pa.int32()), pa.array([_to_ipc(ids.take(pa.array(own)))], pa.binary()),
+                            pa.array([np.ascontiguousarray(mat[own]).tobytes()], pa.binary()), pa.array([str(mat.dtype)]),
+                            pa.array([None if selfs is None else selfs[own].tobytes()], pa.binary()),
+                        ],
+                        names=["cell", "n", "ids", "vecs", "kind", "selfs"],
+                    )
 
     return run
 
 
-def _query_blocks(queries: DataFrame, q_id: str, q_vec: str, q_self: str | None, row_bytes: int, block_bytes: int,
-                  k: int = 1):
-    """Materialise the (bounded) query table block by block on the driver,
-    checking its size first; yields numpy arrays per block."""
-    cols = [F.col(q_id).cast("long").alias("q"), F.col(q_vec).alias("v")]
-    if q_self is not None:
-        cols.append(F.col(q_self).cast("long").alias("s"))
-    qdf = queries.select(*cols)
-    n = qdf.count()
-    if n == 0:
-        return
-    n_blocks = max(1, math.ceil(n * row_bytes / block_bytes), math.ceil(n * k / MAX_STATE_CELLS))
-    for b in range(n_blocks):
-        part = qdf if n_blocks == 1 else qdf.filter(F.pmod(F.xxhash64("q"), F.lit(n_blocks)) == b)
-        tbl = part.toArrow()
-        if tbl.num_rows == 0:
-            continue
-        yield tbl
+_BLOCK = "cell int, n int, ids binary, vecs binary, kind string, selfs binary"
+
+
+def hamming_keys(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Bits that differ, (queries, rows), in the smallest type that holds them."""
+    kind = np.uint8 if 64 * q.shape[1] < 255 else np.uint16
+    q, c = q.view(np.uint64), c.view(np.uint64)
+    out = np.bitwise_count(q[:, 0, None] ^ c[None, :, 0]).astype(kind, copy=False)
+    for w in range(1, q.shape[1]):
+        out += np.bitwise_count(q[:, w, None] ^ c[None, :, w])
+    return out
+
+
+def cosine_keys(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """10**6 minus the cosine in millionths, halves away from zero; a zero vector has cosine 0."""
+    q, c = q.astype(np.float64), c.astype(np.float64)
+    den = np.sqrt((q * q).sum(1))[:, None] * np.sqrt((c * c).sum(1))[None, :]
+    cos = np.divide(q @ c.T, den, out=np.zeros_like(den), where=den > 0) * _COS_SCALE
+    return (_COS_SCALE - np.copysign(np.floor(np.abs(cos) + 0.5), cos)).astype(np.int32)
+
+
+class RunningTopK:
+    """The k best (key, id) of each query of a block over all vector blocks so far."""
+
+    def __init__(self, n: int, k: int):
+        self.k, self.limit = k, np.full(n, np.iinfo(np.int32).max, np.int64)
+        self.parts: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
+        self.held = 0
+
+    def add(self, first: int, keys: np.ndarray, ids: pa.Array, skip: np.ndarray | None = None) -> None:
+        """``keys`` (queries from ``first`` on, rows in id order); ``skip`` masks cells that do not count."""
+        if skip is not None:
+            keys = np.where(skip, np.iinfo(keys.dtype).max, keys)
+        limit = self.limit[first : first + len(keys)]
+        fresh = np.flatnonzero(limit == np.iinfo(np.int32).max)
+        if len(fresh) and keys.shape[1] > self.k:  # no threshold yet: the k-th best key of this block
+            limit[fresh] = np.partition(keys[fresh], self.k - 1, axis=1)[:, self.k - 1]
+        qi, pos = np.nonzero(keys <= np.minimum(limit, np.iinfo(keys.dtype).max)[:, None].astype(keys.dtype))
+        if skip is not None:
+            fine = ~skip[qi, pos]
+            qi, pos = qi[fine], pos[fine]
+        if len(qi):
+            self.parts.append((qi + first, keys[qi, pos].astype(np.int64), ids.take(pa.array(pos))))
+            self.held += len(qi)
+            if self.held > 3 * self.k * len(self.limit) + 4096:
+                self.compact()
+
+    def compact(self) -> tuple[np.ndarray, np.ndarray, pa.Array] | None:
+        if not self.parts:
+            return None
+        qi = np.concatenate([p[0] for p in self.parts])
+        key = np.concatenate([p[1] for p in self.parts])
+        ids = pa.concat_arrays([p[2] for p in self.parts])
+        rank = _sort_ranks(ids)
+        spread = int(key.max(initial=0)) + 1
+        if len(self.limit) * spread * len(rank) < 2**62:  # one number that sorts like (query, key, id)
+            order = np.argsort((qi * spread + key) * len(rank) + rank)
+        else:
+            order = np.lexsort((rank, key, qi))
+        qi, key = qi[order], key[order]
+        nth = np.arange(len(qi)) - np.searchsorted(qi, np.arange(len(self.limit)), side="left")[qi]
+        keep = nth < self.k
+        last = nth == self.k - 1
+        self.limit[qi[last]] = key[last]
+        out = qi[keep], key[keep], ids.take(pa.array(order[keep]))
+        self.parts, self.held = [out], len(out[0])
+        return out
+
+
+def _search(mode: str, k: int, width: int):
+    keys_of = hamming_keys if mode == "hamming" else cosine_keys
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state: dict[bytes, tuple[pa.Array, RunningTopK]] = {}
+
+        def rows(name):
+            q_ids, top = state.pop(name)
+            out = top.compact()
+            if out is not None:
+                yield pa.RecordBatch.from_arrays([q_ids.take(pa.array(out[0])), out[2], pa.array(out[1])], names=["query_id", "id", "key"])
+
+        for b in batches:
+            get = {c: b.column(c) for c in b.schema.names}
+            for i in range(b.num_rows):
+                name = get["q_ids"][i].as_py()
+                if name not in state:
+                    q_ids = _from_ipc(name)
+                    while state and sum(len(s[0]) for s in state.values()) * k > MAX_STATE_CELLS:
+                        yield from rows(next(iter(state)))
+                    state[name] = (q_ids, RunningTopK(len(q_ids), k))
+                top = state[name][1]
+                q = np.frombuffer(get["q_vecs"][i].as_py(), get["q_kind"][i].as_py()).reshape(-1, width)
+                c = np.frombuffer(get["vecs"][i].as_py(), get["kind"][i].as_py()).reshape(-1, width)
+                ids, selfs = _from_ipc(get["ids"][i].as_py()), get["q_selfs"][i].as_py()
+                own = None if selfs is None else np.frombuffer(selfs, np.int64)
+                plain = None if own is None else ids.to_numpy(zero_copy_only=False)
+                for s in range(0, len(q), _STRIP):
+                    skip = None if own is None else own[s : s + _STRIP, None] == plain[None, :]
+                    top.add(s, keys_of(q[s : s + _STRIP], c), ids, skip)
+        for name in list(state):
+            yield from rows(name)
+
+    return run
 
 
 def scan_top_k(
@@ -183,54 +223,29 @@ def scan_top_k(
     q_id: str = "query_id",
     q_vec: str = "q_code",
     q_self: str | None = None,
-    block_bytes: int = DEFAULT_BLOCK_BYTES,
-    salt_buckets: int | None = None,
+    cells: int = QUERY_CELLS,
 ) -> DataFrame:
-    """Exact top-k of every query over the corpus.
+    """Exact top-k of every query over the corpus: ``(query_id, id, value, rank)``.
 
     ``mode='hamming'``: vectors are BIGINT code words (``width`` words), the
     result column ``value`` is the Hamming distance, smaller is better.
     ``mode='cosine'``: vectors are float arrays of length ``width``; ``value``
-    is the cosine, ranked on its 6-decimal rounding, larger is better.
-    ``q_self`` names a query column holding a corpus id to exclude (self match).
-    Returns ``(query_id, id, value, rank)``.
+    is the cosine rounded to 6 decimals, larger is better.
+    ``q_self`` names a query column holding a (BIGINT) corpus id to exclude.
+    A row without an id or a vector, or of another width, fails the job.
     """
     if mode not in ("hamming", "cosine"):
         raise ValueError(f"unknown mode {mode!r}")
-    row_bytes = 8 * width + 16
-    scan = corpus.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec")).filter(
-        F.col("vec").isNotNull() & F.col("id").isNotNull()
-    )
-    schema = "query_id long, id long, value double"
-    parts = []
-    for tbl in _query_blocks(queries, q_id, q_vec, q_self, row_bytes, block_bytes, k):
-        q_ids = tbl.column("q").to_numpy().astype(np.int64)
-        flat = tbl.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        if len(flat) != len(q_ids) * width:
-            raise ValueError("query vectors must all have the declared width")
-        if mode == "hamming":
-            qmat = flat.astype(np.int64).view(np.uint64).reshape(len(q_ids), width)
-        else:
-            qmat = flat.astype(np.float64).reshape(len(q_ids), width)
-        selfs = None
-        if q_self is not None:
-            s = tbl.column("s").combine_chunks().fill_null(np.iinfo(np.int64).min)
-            selfs = s.to_numpy(zero_copy_only=False).astype(np.int64)
-        fn = _partial_top_k(_ship(corpus.sparkSession, (q_ids, qmat, selfs)), mode, k, width)
-        parts.append(scan.mapInArrow(fn, schema))
-    if not parts:
-        return corpus.sparkSession.createDataFrame([], schema + ", rank int")
-    partial = parts[0]
-    for p in parts[1:]:
-        partial = partial.unionByName(p)
-    if salt_buckets is None:
-        try:
-            n_tasks = scan.rdd.getNumPartitions()
-        except Exception:  # pragma: no cover - no RDD access (e.g. Spark Connect)
-            n_tasks = 1
-        salt_buckets = int(math.isqrt(n_tasks)) if n_tasks > 256 else 1
-    if mode == "hamming":
-        order = [F.col("value").asc(), F.col("id").asc()]
-    else:
-        order = [F.round("value", 6).desc(), F.col("id").asc()]
-    return top_k_per_key(partial, ["query_id"], order, k, salt_col="id", salt_buckets=salt_buckets)
+    rows = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * width)))
+    scan = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
+    own = [F.col(q_self).cast("long").alias("self")] if q_self is not None else []
+    asked = queries.select(F.col(q_id).alias("id"), F.col(q_vec).alias("vec"), *own)
+    left = scan.mapInArrow(_pack(width, mode, rows, False, 0), _BLOCK).select("n", "ids", "vecs", "kind", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
+    right = asked.mapInArrow(_pack(width, mode, QUERY_ROWS, q_self is not None, cells), _BLOCK)
+    right = right.select(F.col("cell").alias("q_cell"), *[F.col(c).alias(f"q_{c}") for c in ("ids", "vecs", "kind", "selfs")])
+    pairs = left.join(right, F.col("cell") == F.col("q_cell")).select("ids", "vecs", "kind", "q_ids", "q_vecs", "q_kind", "q_selfs")
+    ids, q_ids = (df.schema[c].dataType.simpleString() for df, c in ((scan, "id"), (asked, "id")))
+    hits = pairs.mapInArrow(_search(mode, k, width), f"query_id {q_ids}, id {ids}, key long")
+    top = top_k_per_key(hits, ["query_id"], [F.col("key"), F.col("id")], k)
+    value = F.col("key").cast("double") if mode == "hamming" else (F.lit(_COS_SCALE) - F.col("key")) / F.lit(float(_COS_SCALE))
+    return top.select("query_id", "id", value.alias("value"), "rank")

@@ -72,13 +72,16 @@ SELECT query_id, rank, id, round(cs, 6) AS score FROM (
     "q03_binary_codes": """
 WITH b AS (
   SELECT vec_id, list_transform(embedding, lambda x: (x > 0)::BIGINT) AS bits FROM embeddings
+),
+w AS (SELECT vec_id, bits, unnest(range((len(bits) + 63) // 64)) AS j FROM b),
+h AS (
+  SELECT vec_id, bits, j, list_sum(list_transform(range(1, least(len(bits) - 64 * j, 64) + 1),
+         lambda i: CASE WHEN bits[64 * j + i] = 1 THEN 1::UBIGINT << (i - 1) ELSE 0::UBIGINT END))::UBIGINT AS word
+  FROM w
 )
-SELECT vec_id,
-       list_sum(bits)::INTEGER AS n_set_bits,
-       ((len(bits) + 63) // 64)::INTEGER AS n_words,
-       list_sum(list_transform(range(1, 33), lambda i: bits[i] * (1::BIGINT << (i - 1))))::BIGINT AS lo32,
-       list_sum(list_transform(range(33, 65), lambda i: bits[i] * (1::BIGINT << (i - 33))))::BIGINT AS hi32
-FROM b
+SELECT vec_id, list_sum(any_value(bits))::INTEGER AS n_set_bits, count(*)::INTEGER AS n_words,
+       string_agg(lpad(lower(to_hex(word)), 16, '0'), ' ' ORDER BY j) AS code
+FROM h GROUP BY vec_id
 """,
     "q04_hamming_prefetch": f"""
 WITH {_SINGLE},
@@ -100,10 +103,8 @@ SELECT query_id, id, ham, stage1_rank, round(score, 6) AS score FROM scored
 WITH {_MATRICES},
 n AS (SELECT id, dense, sqrt(list_sum(list_transform(dense, lambda x: x * x))) AS nr FROM d),
 u AS (SELECT id, nr, list_transform(dense, lambda x: CASE WHEN nr > 0 THEN x / nr ELSE 0 END) AS unit FROM n)
-SELECT id, round(nr, 6) AS norm,
-       round(sqrt(list_sum(list_transform(unit, lambda x: x * x))), 6) AS unit_norm,
-       round(unit[1], 6) AS unit_x0
-FROM u
+SELECT id, dim::INTEGER AS dim, round(nr, 6) AS norm, round(un, 6) AS unit_norm, round(unit[dim + 1], 6) AS unit_x
+FROM (SELECT *, sqrt(list_sum(list_transform(unit, lambda x: x * x))) AS un, unnest(range(len(unit))) AS dim FROM u)
 """,
     "q22_limit_sweep": f"""
 WITH {_MATRICES_500},
@@ -137,5 +138,11 @@ SELECT len(embedding)::INTEGER AS dim, count(*)::BIGINT AS n_vectors,
        (len(embedding) * 4 * count(*))::BIGINT AS corpus_full_precision_bytes,
        len(embedding) / 8.0 * count(*) AS corpus_binary_bytes
 FROM embeddings GROUP BY len(embedding)
+""",
+    "q31_raw_maxsim": f"""
+WITH {_MATRICES.replace("list(embedding::DOUBLE[] ORDER BY vec_id)", "list(list_transform(embedding::DOUBLE[], lambda x: x * (label + 1)) ORDER BY vec_id)")}
+SELECT s.query_id, s.id, s.ham, round(list_sum(list_transform(qd.toks, lambda a: list_max(list_transform(dd.toks, lambda b:
+         list_sum(list_transform(range(1, len(a) + 1), lambda i: a[i] * b[i])))))), 6) AS raw_score, round(s.score, 6) AS unit_score
+FROM scored s JOIN d qd ON qd.id = s.query_id JOIN d dd ON dd.id = s.id
 """,
 }

@@ -250,7 +250,7 @@ def _with(*parts: str) -> str:
 _TS = _two_stage(100, 3)
 
 SQL = {
-    "q07_sections_to_chunks": f"{_with(CHUNKS)} SELECT id, doc_id, chunk_ix, chunk_id, text FROM chunks",
+    "q07_sections_to_chunks": f"{_with(CHUNKS)} SELECT doc_id, chunk_ix, chunk_id, text FROM chunks",
     "q08_assemble_document": """
 SELECT doc_id, len(string_split(text, chr(10)))::INTEGER AS n_sections,
        replace(text, chr(10), chr(10) || chr(10)) AS text
@@ -286,28 +286,31 @@ SELECT d.query_id AS item_id, d.dim,
        (coalesce(CASE {' '.join(f'WHEN d.dim = {i} THEN 2 * b.c{i} - b.n' for i in range(DIM))} END, 0) > 0)::INTEGER AS bit
 FROM dims d LEFT JOIN qbits b ON b.query_id = d.query_id""",
     "q15_index_build": f"""{_with(CHUNKS, CORPUS)},
-dd AS (SELECT id, count(*) AS nd FROM cdtok GROUP BY id),
-sq AS (SELECT id, {_dense_sq('cbits')} AS s2 FROM cbits)
-SELECT c.id, c.doc_id, c.chunk_ix, c.chunk_id, coalesce(b.n, 0)::INTEGER AS n_tokens,
+dd AS (
+  SELECT id, count(*) AS nd, md5(string_agg(lpad(lower(to_hex(a)), 16, '0') || lpad(lower(to_hex(b)), 16, '0'), ','
+         ORDER BY lpad(lower(to_hex(a)), 16, '0') || lpad(lower(to_hex(b)), 16, '0'))) AS digest
+  FROM cdtok GROUP BY id
+)
+SELECT c.doc_id, c.chunk_ix, c.chunk_id, coalesce(b.n, 0)::INTEGER AS n_tokens,
        coalesce(dd.nd, 0)::INTEGER AS n_distinct_tokens,
-       (bit_count(k.w0) + bit_count(k.w1))::INTEGER AS code_set_bits,
-       coalesce(sq.s2, 0)::BIGINT AS dense_sq_norm
-FROM chunks c LEFT JOIN cbits b ON b.id = c.id LEFT JOIN dd ON dd.id = c.id
-     LEFT JOIN ccode k ON k.id = c.id LEFT JOIN sq ON sq.id = c.id""",
+       lpad(lower(to_hex(k.w0)), 16, '0') || lpad(lower(to_hex(k.w1)), 16, '0') AS code,
+       array_to_string([{', '.join(f'coalesce(2 * b.c{i} - b.n, 0)' for i in range(DIM))}], ',') AS dense,
+       coalesce(dd.digest, md5('')) AS toks_md5
+FROM chunks c LEFT JOIN cbits b ON b.id = c.id LEFT JOIN dd ON dd.id = c.id LEFT JOIN ccode k ON k.id = c.id""",
     "q16_upsert": """
 WITH docs AS (
   SELECT doc_id, text FROM documents WHERE lang IS DISTINCT FROM 'de'
   UNION ALL SELECT doc_id, regexp_replace(text, '\\n[^\\n]*\\z', '') FROM documents WHERE lang = 'de'
   UNION ALL SELECT doc_id + 1000000000, text FROM documents WHERE lang = 'es'
 )
-SELECT (doc_id * 1048576 + ix)::BIGINT AS id, doc_id, ix::INTEGER AS chunk_ix,
-       doc_id::VARCHAR || '-c' || ix::VARCHAR AS chunk_id, text
+SELECT doc_id, ix::INTEGER AS chunk_ix, doc_id::VARCHAR || '-c' || ix::VARCHAR AS chunk_id, text
 FROM (SELECT doc_id, unnest(parts) AS text, unnest(range(len(parts))) AS ix
       FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM docs))""",
     "q17_text_two_stage": f"""{_with(CHUNKS, CORPUS, QUERIES, _TS)}
-SELECT query_id, rank, id, doc_id, chunk_ix, chunk_id, score, ham, stage1_rank FROM hits""",
+SELECT query_id, rank, doc_id, chunk_ix, chunk_id, source, printf('doc-%03d', doc_id) AS doc_label, score, ham, stage1_rank
+FROM hits JOIN documents USING (doc_id)""",
     "q18_isolate_sentences": f"""{_with(CHUNKS, CORPUS, QUERIES, _TS, _isolate(2))}
-SELECT query_id, rank, id, sent_rank, sent_ix, sentence, score FROM iso""",
+SELECT query_id, rank, doc_id, chunk_ix, sent_rank, sent_ix, sentence, score FROM iso JOIN chunks USING (id)""",
     "q19_standard_prompt": f"""{_with(CHUNKS, CORPUS, QUERIES, _TS, _std_prompts())}
 SELECT query_id, prompt FROM stdp""",
     "q20_optimized_prompt": f"""{_with(CHUNKS, CORPUS, QUERIES, _TS, _isolate(1), _std_prompts(), _opt_prompts())}
@@ -336,7 +339,8 @@ SELECT conv_id AS doc_id, count(*)::INTEGER AS n_sections,
        string_agg(text, chr(10) || chr(10) ORDER BY turn) AS text
 FROM conversations GROUP BY conv_id""",
     "q28_text_dense_only": f"""{_with(CHUNKS, CORPUS, QUERIES, _dense_only(3))}
-SELECT query_id, rank, id, doc_id, chunk_ix, chunk_id, score FROM dhits""",
+SELECT query_id, rank, doc_id, chunk_ix, chunk_id, source, printf('doc-%03d', doc_id) AS doc_label, score
+FROM dhits JOIN documents USING (doc_id)""",
     "q29_text_limit_sweep": f"""{_with(CHUNKS, CORPUS, QUERIES, _two_stage(500, 500))},
 lims AS (SELECT unnest([10, 25, 50, 100, 250, 500])::INTEGER AS prefetch_limit),
 top1 AS (
@@ -361,5 +365,19 @@ SELECT prefetch_limit, matches, n_queries, round(matches * 100.0 / n_queries, 6)
          AS match_status
 FROM rate""",
     "q30_conversation_two_stage": f"""{_with(CONV_CHUNKS, CORPUS, QUERIES, _TS)}
-SELECT query_id, rank, id, doc_id, chunk_ix, chunk_id, score, ham, stage1_rank FROM hits""",
+SELECT query_id, rank, doc_id, chunk_ix, chunk_id, score, ham, stage1_rank FROM hits""",
+    "q32_string_ids": f"""{_with(CHUNKS)}
+SELECT printf('msa-%09d', doc_id) AS doc_id, chunk_ix, printf('msa-%09d-c%d', doc_id, chunk_ix) AS chunk_id, source, c.text
+FROM chunks c JOIN documents USING (doc_id)""",
+    "q33_string_id_two_stage": f"""{_with(CHUNKS, CORPUS, QUERIES, _TS)}
+SELECT query_id, rank, printf('msa-%09d', doc_id) AS doc_id, chunk_ix, printf('msa-%09d-c%d', doc_id, chunk_ix) AS chunk_id,
+       source, score, ham, stage1_rank
+FROM hits JOIN documents USING (doc_id)""",
+    "q34_upsert_repeated_documents": """
+SELECT doc_id, ix::INTEGER AS chunk_ix, doc_id::VARCHAR || '-c' || ix::VARCHAR AS chunk_id, text
+FROM (SELECT doc_id, unnest(parts) AS text, unnest(range(len(parts))) AS ix
+      FROM (SELECT doc_id, string_split(CASE WHEN lang = 'de' THEN text || chr(10) || 'last' ELSE text END, chr(10)) AS parts FROM documents))""",
+    "q35_index_lifecycle": f"""{_with(CHUNKS)},
+s(step, l) AS (VALUES ('create', 'en'), ('keep', 'en'), ('recreate', 'fr'))
+SELECT step, doc_id, chunk_ix, chunk_id, c.text FROM chunks c JOIN documents USING (doc_id) JOIN s ON lang = l""",
 }

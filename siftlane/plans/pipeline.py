@@ -13,8 +13,8 @@ from ..operators import search as S
 from ..operators.chunk import documents_to_chunks
 from ..operators.embed import HashEmbedder
 from ..operators.isolate import isolate_sentences
-from ..session import scratch_path, spread
-from ..sources.index import check_index
+from ..session import scratch_path
+from ..sources.index import check_index, create_index, dedupe_latest, upsert_index
 
 DEFAULT_EMBEDDER = HashEmbedder()
 PAYLOAD = ["doc_id", "chunk_ix", "chunk_id", "text"]
@@ -23,10 +23,10 @@ PAYLOAD = ["doc_id", "chunk_ix", "chunk_id", "text"]
 def build_index(docs: DataFrame, embedder=DEFAULT_EMBEDDER, separator: str = "\n",
                 keep: list[str] | None = None) -> DataFrame:
     """Documents -> chunks -> (dense, code, token matrix) in one narrow
-    projection per partition; no shuffle (apart from ``spread`` for inputs
-    that arrive in fewer splits than cores).  Chunks keep the input order,
-    so documents stored in doc_id order give id-clustered index files."""
-    return index_chunks(documents_to_chunks(spread(docs), separator, keep), embedder)
+    projection per partition; no shuffle.  A null text is one empty chunk, a
+    null document id fails the job.  Document ids are taken to be distinct
+    (the writers below see to that)."""
+    return index_chunks(documents_to_chunks(docs, separator, keep), embedder)
 
 
 def index_chunks(chunks: DataFrame, embedder=DEFAULT_EMBEDDER) -> DataFrame:
@@ -36,13 +36,24 @@ def index_chunks(chunks: DataFrame, embedder=DEFAULT_EMBEDDER) -> DataFrame:
 
 
 def ingest(docs: DataFrame, root: str, embedder=DEFAULT_EMBEDDER, recreate: bool = True,
-           separator: str = "\n", keep: list[str] | None = None) -> str:
-    """E8 end to end: build the index and publish it as the next version of
-    ``root`` (``recreate=False`` keeps an existing index untouched).
-    Returns the version path."""
-    from ..sources.index import create_index
+           separator: str = "\n", keep: list[str] | None = None, seq: str | None = None) -> str:
+    """E8 end to end: of rows that repeat a doc_id the latest by ``seq`` (see
+    ``dedupe_latest``), indexed and published as the next version of ``root``
+    (``recreate=False`` keeps an existing index untouched)."""
+    rows = _latest(docs, keep, seq)
+    return create_index(build_index(rows, embedder, separator, keep), root, recreate=recreate)
 
-    return create_index(build_index(docs, embedder, separator, keep), root, recreate=recreate)
+
+def ingest_batch(docs: DataFrame, root: str, embedder=DEFAULT_EMBEDDER, separator: str = "\n",
+                 keep: list[str] | None = None, seq: str | None = None) -> str:
+    """A4 for documents: the latest row of each doc_id replaces that document in the index."""
+    rows = _latest(docs, keep, seq)
+    return upsert_index(docs.sparkSession, root, build_index(rows, embedder, separator, keep))
+
+
+def _latest(docs: DataFrame, keep: list[str] | None, seq: str | None) -> DataFrame:
+    cols = dict.fromkeys(["doc_id", "text", *(keep or []), *([seq] if seq else [])])
+    return dedupe_latest(docs.select(*cols), "doc_id", seq)
 
 
 def encode_queries(q: DataFrame, embedder=DEFAULT_EMBEDDER, id_col: str = "item_id",
@@ -52,14 +63,6 @@ def encode_queries(q: DataFrame, embedder=DEFAULT_EMBEDDER, id_col: str = "item_
     return embedder.encode(base, "query", side="query", prefix="q_")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` as Parquet under the shared checkpoint folder and reads
-    it back: cuts the lineage and lets later scans prune columns."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def two_stage(index: DataFrame, queries: DataFrame, prefetch_limit: int = 100, top_k: int = 5,
               embedder=DEFAULT_EMBEDDER, payload: list[str] | None = None) -> DataFrame:
     """E1 with payload: (query_id, rank, id, score, ham, stage1_rank, *payload);
@@ -69,26 +72,19 @@ def two_stage(index: DataFrame, queries: DataFrame, prefetch_limit: int = 100, t
         index, queries, prefetch_limit=prefetch_limit, top_k=top_k, code_words=embedder.code_words,
         tok_kind=embedder.tok_kind, tok_dim=embedder.tok_dim,
     )
-    return S.fetch_payload(hits, index, payload or PAYLOAD, _bound(queries, top_k))
+    return S.fetch_payload(hits, index, payload or PAYLOAD)
 
 
 def dense_only(index: DataFrame, queries: DataFrame, top_k: int = 5, embedder=DEFAULT_EMBEDDER,
                payload: list[str] | None = None) -> DataFrame:
     """E2 with payload: (query_id, rank, id, score, *payload)."""
     hits = S.dense_only_search(index, queries, top_k=top_k, dim=embedder.dense_dim)
-    return S.fetch_payload(hits, index, payload or PAYLOAD, _bound(queries, top_k))
-
-
-def _bound(queries: DataFrame, k: int) -> int:
-    return queries.count() * k
+    return S.fetch_payload(hits, index, payload or PAYLOAD)
 
 
 def isolate(hits: DataFrame, queries: DataFrame, top_n: int = 2, embedder=DEFAULT_EMBEDDER) -> DataFrame:
     """E3 over search hits."""
-    return isolate_sentences(
-        hits.select("query_id", "rank", "id", "text"), queries, embedder, top_n,
-        q_tok_bytes=S.query_token_bytes(queries, embedder.tok_kind, embedder.tok_dim),
-    )
+    return isolate_sentences(hits.select("query_id", "rank", "id", "text"), queries, embedder, top_n)
 
 
 def standard_prompts(queries: DataFrame, hits: DataFrame) -> DataFrame:
@@ -135,16 +131,23 @@ def prompt_reduction(std: DataFrame, opt: DataFrame) -> DataFrame:
     )
 
 
-_INDEX_CACHE: dict[tuple[str, str], str] = {}
+_INDEX_CACHE: dict[tuple, str] = {}
+
+
+def snapshot(spark: SparkSession, path: str) -> tuple:
+    """What identifies a table's files: their names, sizes and times."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((st.getPath().toString(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(p)))
 
 
-def corpus_index(spark: SparkSession, docs: DataFrame, key: str, embedder=DEFAULT_EMBEDDER) -> DataFrame:
-    """The written index for a corpus, built once per application and key
-    (an index is a persistent table; searches read it back)."""
-    cache_key = (spark.sparkContext.applicationId, key)
-    path = _INDEX_CACHE.get(cache_key)
-    if path is None:
-        path = scratch_path(spark, "index")
-        build_index(docs, embedder).sortWithinPartitions("id").write.mode("errorifexists").parquet(path)
-        _INDEX_CACHE[cache_key] = path
-    return spark.read.parquet(path)
+def corpus_index(spark: SparkSession, docs: DataFrame, path: str, keep: list[str] | None = None, embedder=DEFAULT_EMBEDDER) -> DataFrame:
+    """The written index for the corpus at ``path``, built once per application
+    and state of its files (an index is a persistent table; searches read it back)."""
+    key = (spark.sparkContext.applicationId, snapshot(spark, path), tuple(keep or ()))
+    if key not in _INDEX_CACHE:
+        out = scratch_path(spark, "index")
+        build_index(docs, embedder, keep=keep).sortWithinPartitions("id").write.mode("errorifexists").parquet(out)
+        _INDEX_CACHE[key] = out
+    return spark.read.parquet(_INDEX_CACHE[key])

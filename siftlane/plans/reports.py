@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import cost as C
 from ..functions import prompt as PR
 from ..functions import text as T
-from ..operators.search import broadcast_if_small, query_stats, scored_candidates
+from ..operators.search import scored_candidates
 
 # The swept prefetch limits and the projected query volumes.
 SWEEP_LIMITS = (10, 25, 50, 100, 250, 500)
@@ -123,13 +123,12 @@ def limit_sweep(index: DataFrame, queries: DataFrame, *, code_words: int, tok_ki
     """E6 in one pass: stage 1 once at the largest limit (keeping each
     candidate's stage-1 rank), MaxSim once per candidate, then for each limit
     L the best candidate among those with stage1_rank <= L.  Top-1 per
-    (query, limit) is a max_by aggregate (partial aggregation before the
+    (query, limit) is a min aggregate (partial aggregation before the
     shuffle).  Queries without any candidate count as null top-1, and
     null == null is a match (K5, J6).  The largest limit is the reference."""
     limits = sorted(set(int(x) for x in limits))
     top_limit = limits[-1]
-    n_q, q_bytes = query_stats(queries, tok_kind, tok_dim)
-    scored = scored_candidates(index, queries, n_q, q_bytes, top_limit, code_words, tok_kind, tok_dim, exclude_self)
+    scored = scored_candidates(index, queries, top_limit, code_words, tok_kind, tok_dim, exclude_self)
     lim_arr = F.array(*[F.lit(x) for x in limits])
     per_limit = scored.select(
         "query_id", "id", F.round("score", 6).alias("score"),
@@ -137,12 +136,12 @@ def limit_sweep(index: DataFrame, queries: DataFrame, *, code_words: int, tok_ki
     )
     # best = highest score, then smallest id
     top1 = per_limit.groupBy("query_id", "prefetch_limit").agg(
-        F.max_by("id", F.struct(F.col("score"), (-F.col("id")).alias("nid"))).alias("top1")
+        F.min(F.struct((-F.col("score")).alias("s"), "id"))["id"].alias("top1")
     )
     grid = queries.select("query_id", F.explode(lim_arr).alias("prefetch_limit"))
     g = grid.join(top1, ["query_id", "prefetch_limit"], "left")
     ref = g.filter(F.col("prefetch_limit") == top_limit).select("query_id", F.col("top1").alias("ref_top1"))
-    cmp = g.join(broadcast_if_small(ref, n_q * 16.0), "query_id")
+    cmp = g.join(ref, "query_id")
     rate = cmp.groupBy("prefetch_limit").agg(
         F.sum(F.col("top1").eqNullSafe(F.col("ref_top1")).cast("int")).alias("matches"),
         F.count(F.lit(1)).alias("n_queries"),

@@ -7,7 +7,7 @@ hold sections one per line).  Queries: every ``benchmark`` item.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -36,21 +36,25 @@ def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.corpus_index(spark, _docs(spark, sf_dir), f"documents:{sf_dir}")
+    """The index of all documents, each chunk with its document's source."""
+    return P.corpus_index(spark, _docs(spark, sf_dir), f"{sf_dir.rstrip('/')}/documents.parquet", keep=["source"])
 
 
 def _queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encoded query block (bounded: one row per benchmark item), written
-    once and read by every stage that needs it."""
+    """The encoded query table, written once and read by every stage that needs it."""
     return freeze(P.encode_queries(read_table(spark, sf_dir, "benchmark")))
 
 
-def _two_stage(spark, sf_dir, top_k=TOP_K):
-    return P.two_stage(_index(spark, sf_dir), _queries(spark, sf_dir), PREFETCH_LIMIT, top_k)
+def _two_stage(spark, sf_dir, queries=None, payload=None):
+    queries = _queries(spark, sf_dir) if queries is None else queries
+    return P.two_stage(_index(spark, sf_dir), queries, PREFETCH_LIMIT, TOP_K, payload=payload)
+
+
+LABELLED = ["doc_id", "chunk_ix", "chunk_id", "source"]
 
 
 def q07_sections_to_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _chunks(spark, sf_dir).select("id", "doc_id", "chunk_ix", "chunk_id", "text")
+    return _chunks(spark, sf_dir).select("doc_id", "chunk_ix", "chunk_id", "text")
 
 
 def q08_assemble_document(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,18 +113,25 @@ def q14_hash_dense_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
              F.col("z.b").cast("int").alias("bit"))
 
 
-def _index_summary(idx: DataFrame) -> DataFrame:
+def _hex(word):
+    return F.lpad(F.lower(F.hex(word)), 16, "0")
+
+
+def _index_rows(idx: DataFrame) -> DataFrame:
+    """Every stored value: the code's words, the dense vector, and a digest of all token codes in order."""
+    toks = F.transform("toks", lambda t: F.concat(_hex(t[0]), _hex(t[1])))
     return idx.select(
-        "id", "doc_id", "chunk_ix", "chunk_id", F.col("n_tokens").cast("int").alias("n_tokens"),
-        F.size("toks").alias("n_distinct_tokens"), V.popcount(F.col("code")).alias("code_set_bits"),
-        V.sq_norm(F.col("dense")).cast("long").alias("dense_sq_norm"),
+        "doc_id", "chunk_ix", "chunk_id", F.col("n_tokens").cast("int").alias("n_tokens"), F.size("toks").alias("n_distinct_tokens"),
+        F.concat(_hex(F.col("code")[0]), _hex(F.col("code")[1])).alias("code"),
+        F.array_join(F.transform("dense", lambda x: x.cast("int").cast("string")), ",").alias("dense"),
+        F.md5(F.array_join(F.array_sort(toks), ",")).alias("toks_md5"),
     )
 
 
 def q15_index_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "index-root")
-    path = IX.create_index(P.build_index(_docs(spark, sf_dir)), root)
-    return _index_summary(spark.read.parquet(path))
+    IX.create_index(P.build_index(_docs(spark, sf_dir)), root)
+    return _index_rows(IX.read_index(spark, root))
 
 
 def q16_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,34 +140,34 @@ def q16_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     and Spanish documents arriving again under new ids (inserted)."""
     docs = _docs(spark, sf_dir)
     root = scratch_path(spark, "index-root")
-    IX.create_index(P.build_index(docs), root)
+    P.ingest(docs, root)
     changed = docs.filter(F.col("lang").eqNullSafe("de")).withColumn(
         "text", F.regexp_replace("text", "\n[^\n]*\\z", "")
     )
     new = docs.filter(F.col("lang") == "es").withColumn("doc_id", F.col("doc_id") + F.lit(1_000_000_000))
-    batch = P.build_index(changed.unionByName(new))
-    IX.upsert_index(spark, root, batch, key="doc_id")
-    return IX.read_index(spark, root).select("id", "doc_id", "chunk_ix", "chunk_id", "text")
+    P.ingest_batch(changed.unionByName(new), root)
+    return IX.read_index(spark, root).select("doc_id", "chunk_ix", "chunk_id", "text")
 
 
 def q17_text_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _two_stage(spark, sf_dir).select(
-        "query_id", "rank", "id", "doc_id", "chunk_ix", "chunk_id", "score", "ham", "stage1_rank"
-    )
+    hits = _two_stage(spark, sf_dir, payload=LABELLED)
+    return hits.select("query_id", "rank", *LABELLED, T.doc_label(F.col("doc_id")).alias("doc_label"), "score", "ham", "stage1_rank")
 
 
 def q18_isolate_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = _two_stage(spark, sf_dir)
-    return P.isolate(hits, _queries(spark, sf_dir), ISOLATE_TOP_N)
+    q = _queries(spark, sf_dir)
+    iso = P.isolate(_two_stage(spark, sf_dir, q), q, ISOLATE_TOP_N)
+    return iso.select("query_id", "rank", "id.doc_id", "id.chunk_ix", "sent_rank", "sent_ix", "sentence", "score")
 
 
 def q19_standard_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.standard_prompts(_queries(spark, sf_dir), _two_stage(spark, sf_dir))
+    q = _queries(spark, sf_dir)
+    return P.standard_prompts(q, _two_stage(spark, sf_dir, q))
 
 
 def q20_optimized_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = _queries(spark, sf_dir)
-    hits = _two_stage(spark, sf_dir)
+    hits = freeze(_two_stage(spark, sf_dir, q), "texts")
     std = P.standard_prompts(q, hits)
     opt = P.optimized_prompts(q, P.isolate(hits, q, PROMPT_TOP_N))
     return P.prompt_reduction(std, opt)
@@ -166,7 +177,7 @@ def _payload_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = _queries(spark, sf_dir)
     idx = _index(spark, sf_dir)
     dense = P.dense_only(idx, q, TOP_K)
-    two = P.two_stage(idx, q, PREFETCH_LIMIT, TOP_K)
+    two = freeze(P.two_stage(idx, q, PREFETCH_LIMIT, TOP_K), "texts")
     iso = P.isolate(two, q, PROMPT_TOP_N)
     return R.payload_report(q, dense, two, iso)
 
@@ -199,9 +210,8 @@ def q27_conversation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q28_text_dense_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.dense_only(_index(spark, sf_dir), _queries(spark, sf_dir), TOP_K).select(
-        "query_id", "rank", "id", "doc_id", "chunk_ix", "chunk_id", "score"
-    )
+    hits = P.dense_only(_index(spark, sf_dir), _queries(spark, sf_dir), TOP_K, payload=LABELLED)
+    return hits.select("query_id", "rank", *LABELLED, T.doc_label(F.col("doc_id")).alias("doc_label"), "score")
 
 
 def q29_text_limit_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,16 +223,63 @@ def q29_text_limit_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _conversation_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A conversation is a document and each turn a section (P2 then P1)."""
-    conv = read_table(spark, sf_dir, "conversations").select(
-        F.col("conv_id").alias("doc_id"), F.col("turn").alias("chunk_ix"), "text"
-    )
-    return CH.sections_to_chunks(CH.assemble_documents(conv))
+    """A conversation is a document and each turn a section, numbered in turn order (P1 without assembling it)."""
+    conv = read_table(spark, sf_dir, "conversations")
+    nth = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
+    rows = conv.select(F.col("conv_id").alias("doc_id"), nth.cast("int").alias("chunk_ix"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.select(CH.chunk_key().alias("id"), "doc_id", "chunk_ix", T.chunk_id(F.col("doc_id"), F.col("chunk_ix")).alias("chunk_id"), "text")
 
 
 def q30_conversation_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 over conversation turns: benchmark queries against every turn."""
-    idx = freeze(P.index_chunks(spread(_conversation_chunks(spark, sf_dir))), "conversation-index")
+    idx = freeze(P.index_chunks(_conversation_chunks(spark, sf_dir)), "conversation-index")
     return P.two_stage(idx, _queries(spark, sf_dir), PREFETCH_LIMIT, TOP_K).select(
-        "query_id", "rank", "id", "doc_id", "chunk_ix", "chunk_id", "score", "ham", "stage1_rank"
+        "query_id", "rank", "doc_id", "chunk_ix", "chunk_id", "score", "ham", "stage1_rank"
     )
+
+
+def _string_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).withColumn("doc_id", F.format_string("msa-%09d", "doc_id"))
+
+
+def q32_string_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, A2, P1, F8 with string document ids and a carried field, through JSON that has no chunk_ix."""
+    path = scratch_path(spark, "chunks-json")
+    chunks = CH.documents_to_chunks(_string_docs(spark, sf_dir), keep=["source"])
+    IX.write_json(chunks.select("doc_id", "source", "chunk_id", "text"), path)
+    return IX.read_json(spark, path, IX.chunk_schema("string", {"source": "string"})).select("doc_id", "chunk_ix", "chunk_id", "source", "text")
+
+
+def q33_string_id_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E8, A3 and E1 over documents with string ids."""
+    root = scratch_path(spark, "index-root")
+    P.ingest(_string_docs(spark, sf_dir), root, keep=["source"])
+    hits = P.two_stage(IX.read_index(spark, root), _queries(spark, sf_dir), PREFETCH_LIMIT, TOP_K, payload=LABELLED)
+    return hits.select("query_id", "rank", *LABELLED, "score", "ham", "stage1_rank")
+
+
+def q34_upsert_repeated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 with a batch that holds every German document three times: without a
+    sequence number, with 1 and with 2; the last one counts."""
+    docs = _docs(spark, sf_dir).select("doc_id", "text", "lang")
+    root = scratch_path(spark, "index-root")
+    P.ingest(docs, root)
+    german = docs.where(F.col("lang") == "de")
+    batch = None
+    for seq, more in ((2, "\nlast"), (None, "\nnone"), (1, "\nfirst\nline")):
+        rows = german.select("doc_id", F.concat("text", F.lit(more)).alias("text"), F.lit(seq).cast("int").alias("seq"))
+        batch = rows if batch is None else batch.unionByName(rows)
+    P.ingest_batch(batch, root, seq="seq")
+    return IX.read_index(spark, root).select("doc_id", "chunk_ix", "chunk_id", "text")
+
+
+def q35_index_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: an absent index is created, a present one kept, a recreated one replaced."""
+    docs = _docs(spark, sf_dir)
+    root = scratch_path(spark, "index-root")
+    out = None
+    for step, lang, recreate in (("create", "en", False), ("keep", "de", False), ("recreate", "fr", True)):
+        P.ingest(docs.where(F.col("lang") == lang), root, recreate=recreate)
+        rows = IX.read_index(spark, root).select(F.lit(step).alias("step"), "doc_id", "chunk_ix", "chunk_id", "text")
+        out = rows if out is None else out.unionByName(rows)
+    return out

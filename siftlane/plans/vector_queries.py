@@ -50,17 +50,15 @@ def q02_dense_only_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.dense_only_search(idx, SV.as_queries(idx), top_k=DENSE_TOP_K, dim=dim, exclude_self=True)
 
 
+def _hex(words):
+    """Code words as 16 hexadecimal digits each, the first word first."""
+    return F.array_join(F.transform(words, lambda w: F.lpad(F.lower(F.hex(w)), 16, "0")), " ")
+
+
 def q03_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb, dim = _vectors(spark, sf_dir)
-    code = V.binary_code(F.col("embedding"), dim)
-    w0 = code.getItem(0)
-    return emb.select(
-        "vec_id",
-        V.popcount(code).alias("n_set_bits"),
-        F.size(code).alias("n_words"),
-        w0.bitwiseAND(F.lit(0xFFFFFFFF)).alias("lo32"),
-        F.shiftrightunsigned(w0, 32).alias("hi32"),
-    )
+    rows = emb.select("vec_id", V.binary_code(F.col("embedding"), dim).alias("code"))
+    return rows.select("vec_id", V.popcount(F.col("code")).alias("n_set_bits"), F.size("code").alias("n_words"), _hex(F.col("code")).alias("code"))
 
 
 def q04_hamming_prefetch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,21 +70,15 @@ def q04_hamming_prefetch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q05_maxsim_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx, dim = _matrices(spark, sf_dir)
     queries = SV.as_queries(idx)
-    cand = S.prefetch(idx, queries, PREFETCH_LIMIT, V.n_words(dim), exclude_self=True)
-    n_q, q_bytes = S.query_stats(queries, "float", dim)
-    scored = S.score_candidates(idx, queries, cand, n_q, PREFETCH_LIMIT, "float", dim, q_bytes)
+    scored = S.scored_candidates(idx, queries, PREFETCH_LIMIT, V.n_words(dim), "float", dim, exclude_self=True)
     return scored.select("query_id", "id", "ham", "stage1_rank", F.round("score", 6).alias("score"))
 
 
 def q06_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx, _ = _matrices(spark, sf_dir)
-    unit = V.normalize(F.col("dense"))
-    return idx.select(
-        "id",
-        F.round(V.norm(F.col("dense")), 6).alias("norm"),
-        F.round(V.norm(unit), 6).alias("unit_norm"),
-        F.round(unit.getItem(0), 6).alias("unit_x0"),
-    )
+    rows = idx.select("id", V.norm(F.col("dense")).alias("n"), V.normalize(F.col("dense")).alias("unit"))
+    rows = rows.select("id", "n", V.norm(F.col("unit")).alias("u"), F.posexplode("unit").alias("dim", "x"))
+    return rows.select("id", F.col("dim").cast("int").alias("dim"), F.round("n", 6).alias("norm"), F.round("u", 6).alias("unit_norm"), F.round("x", 6).alias("unit_x"))
 
 
 def q22_limit_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,3 +94,16 @@ def q23_footprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     emb, dim = _vectors(spark, sf_dir)
     return R.footprint(SV.vector_index(emb, dim))
+
+
+def q31_raw_maxsim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 as plain inner products, the form that isolation uses, on token
+    vectors that are not of unit length, beside the normalised form."""
+    emb, dim = _vectors(spark, sf_dir)
+    scaled = emb.withColumn("embedding", F.transform("embedding", lambda x: x.cast("double") * (F.col("label") + 1)))
+    idx = freeze(SV.matrix_index(scaled, dim, GROUP))
+    queries = SV.as_queries(idx)
+    cand = freeze(S.prefetch(idx, queries, PREFETCH_LIMIT, V.n_words(dim), exclude_self=True))
+    raw, unit = (S.score_candidates(idx, queries, cand, "float", dim, normalize=n).withColumnRenamed("score", c) for n, c in ((False, "raw"), (True, "unit")))
+    both = raw.join(unit.select("query_id", "id", "unit"), ["query_id", "id"])
+    return both.select("query_id", "id", "ham", F.round("raw", 6).alias("raw_score"), F.round("unit", 6).alias("unit_score"))

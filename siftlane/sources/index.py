@@ -1,52 +1,64 @@
-"""Index storage: JSON chunk files (A1, A2), the versioned Parquet index
-table (A3), upserts (A4) and payload lookups (A5).
+"""Index storage: JSON chunk files (A1, A2), the index table (A3) and upserts (A4).
 
-An index root holds numbered versions ``v000001``, ``v000002``...; a version
-is complete once Spark's ``_SUCCESS`` marker exists.  Writers always create a
-new version, so a version being read is never overwritten.
+An index root holds Parquet folders only:
+
+    data/<unique name>/bucket=<b>/...   rows, by a hash of the document id
+    versions/v000001-<unique name>/     a version: one row (bucket, path) per bucket
+
+A version counts once Spark's ``_SUCCESS`` marker is there; folder names are
+never used twice, so what a crashed writer leaves behind blocks nothing, and
+a version that is being read is never touched.  An upsert writes anew only the
+buckets that its documents fall into.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..operators.search import broadcast_if_small
 
-CHUNK_SCHEMA = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("chunk_ix", T.IntegerType()),
-        T.StructField("chunk_id", T.StringType()),
-        T.StructField("text", T.StringType()),
-    ]
-)
+# Buckets of an index: an upsert rewrites those it touches.
+BUCKETS = 16
 
 
 # --- A1 / A2: JSON ---------------------------------------------------------
 
+def chunk_schema(doc_id: str = "bigint", keep: dict[str, str] | None = None) -> str:
+    """The columns of a chunk file; ``doc_id`` is the type of document ids, ``keep`` names further columns and their types."""
+    fields = {"doc_id": doc_id, "chunk_ix": "int", "chunk_id": "string", "text": "string", **(keep or {})}
+    return ", ".join(f"`{n}` {t}" for n, t in fields.items())
+
+
+CHUNK_SCHEMA = chunk_schema()
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """A2: JSON lines (splittable), replacing whatever is at ``path``."""
     df.write.mode("overwrite").json(path)
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType = CHUNK_SCHEMA,
-              multiline: bool = False) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema=CHUNK_SCHEMA, multiline: bool = False) -> DataFrame:
     """A1: read JSON with a fixed schema (never inferred).  ``multiline``
-    reads one JSON array per file (not splittable: one task per file)."""
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+    reads one JSON array per file (not splittable: one task per file).  A
+    value that does not fit its type fails the job; a file without
+    ``chunk_ix`` takes it from the end of ``chunk_id``."""
+    df = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST").json(path)
+    if {"chunk_ix", "chunk_id"} <= set(df.columns):
+        number = F.regexp_extract("chunk_id", r"-c(\d+)$", 1)
+        df = df.withColumn("chunk_ix", F.coalesce("chunk_ix", F.when(number != "", number.cast("int"))))
+    return df
 
 
 # --- A3: index table --------------------------------------------------------
 
 def check_index(df: DataFrame, dense_dim: int | None, code_words: int) -> DataFrame:
-    """Fails the job on a malformed row instead of writing it."""
-    bad_code = F.size("code") != code_words
-    cond = bad_code if dense_dim is None else (bad_code | (F.size("dense") != dense_dim))
-    return df.withColumn(
-        "code", F.when(cond | F.col("id").isNull(), F.raise_error(F.lit("index row has a wrong shape"))).otherwise(F.col("code"))
-    )
+    """Fails the job on a malformed row (a null id, code or vector, or one of another size) instead of writing it."""
+    fine = F.col("id").isNotNull() & F.col("doc_id").isNotNull() & (F.size("code") == code_words)
+    if dense_dim is not None:
+        fine = fine & (F.size("dense") == dense_dim)
+    bad = F.raise_error(F.lit("index row has a wrong shape"))
+    return df.withColumn("code", F.when(F.coalesce(fine, F.lit(False)), F.col("code")).otherwise(bad))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -55,202 +67,93 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions under ``root`` in ascending order."""
-    fs, p, jvm = _fs(spark, root)
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """Folders of the complete versions under ``root``, oldest first."""
+    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/versions")
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v") and name[1:].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[1:]))
-    return sorted(out)
-
-
-def _version_path(root: str, v: int) -> str:
-    return f"{root.rstrip('/')}/v{v:06d}"
-
-
-def current_path(spark: SparkSession, root: str) -> str | None:
-    """Latest complete full version (the base; deltas may sit on top)."""
-    vs = versions(spark, root)
-    return _version_path(root, vs[-1]) if vs else None
-
-
-def write_version(df: DataFrame, root: str, rows_per_file: int = 1_000_000, upto_seq: int = 0) -> str:
-    """Writes ``df`` as the next full version, rows sorted by id inside each
-    file so Parquet min/max statistics can skip row groups on id lookups.
-    ``upto_seq``: the last upsert sequence already folded into it."""
-    spark = df.sparkSession
-    vs = versions(spark, root)
-    path = _version_path(root, (vs[-1] + 1) if vs else 1)
-    (
-        df.sortWithinPartitions("id")
-        .write.mode("errorifexists")
-        .option("maxRecordsPerFile", rows_per_file)
-        .parquet(path)
-    )
-    _touch(spark, f"{path}/{_UPTO}{upto_seq}")
-    return path
-
-
-def create_index(df: DataFrame, root: str, recreate: bool = False) -> str:
-    """A3: absent -> write version 1; present -> keep it (no-op);
-    ``recreate`` -> write a new version that replaces it for readers."""
-    spark = df.sparkSession
-    cur = current_path(spark, root)
-    if cur is not None and not recreate:
-        return cur
-    return write_version(df, root, upto_seq=_last_seq(spark, root))
-
-
-def read_index(spark: SparkSession, root: str, key: str = "doc_id") -> DataFrame:
-    """The current index: the latest full version merged with the upserts
-    written after it (see ``upsert_index``)."""
-    path = current_path(spark, root)
-    if path is None:
+    found = [st.getPath() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(x.toString() for x in found if fs.exists(jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS")))
+
+
+def _bucket(key: str):
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def _manifest(spark: SparkSession, version: str) -> dict[int, str]:
+    return {r["bucket"]: r["path"] for r in spark.read.parquet(version).collect()}  # BUCKETS rows at most
+
+
+def _write(df: DataFrame, root: str, key: str, old: dict[int, str], replaced: set[int] | None) -> str:
+    """Writes the buckets of ``df`` and a version of them and of the ``old`` buckets that are not ``replaced`` (None: all are)."""
+    spark, name = df.sparkSession, uuid.uuid4().hex[:12]
+    data = f"{root.rstrip('/')}/data/{name}"
+    # rebalance: one bucket's rows together, but a large bucket in several files
+    rows = df.withColumn("bucket", _bucket(key)).hint("rebalance", "bucket").sortWithinPartitions("bucket", "id")
+    rows.write.mode("errorifexists").partitionBy("bucket").parquet(data)
+    fs, p, _ = _fs(spark, data)
+    new = {int(st.getPath().getName()[7:]): st.getPath().toString() for st in fs.listStatus(p) if st.getPath().getName().startswith("bucket=")}
+    kept = {} if replaced is None else {b: x for b, x in old.items() if b not in replaced}
+    if not new and not kept:  # an empty index keeps its schema
+        df.limit(0).write.parquet(f"{data}/empty")
+        new = {-1: f"{data}/empty"}
+    n = 1 + max([int(v.rsplit("/v", 1)[1].split("-")[0]) for v in versions(spark, root)], default=0)
+    version = f"{root.rstrip('/')}/versions/v{n:06d}-{name}"
+    entries = sorted({**kept, **new}.items())
+    spark.createDataFrame(entries, "bucket int, path string").coalesce(1).write.mode("errorifexists").parquet(version)
+    return version
+
+
+def create_index(df: DataFrame, root: str, recreate: bool = False, key: str = "doc_id") -> str:
+    """A3: absent -> write a first version; present -> keep it (no-op);
+    ``recreate`` -> write a version that replaces it for readers.
+    Returns the current version's folder."""
+    found = versions(df.sparkSession, root)
+    if found and not recreate:
+        return found[-1]
+    return _write(df, root, key, {}, None)
+
+
+def read_index(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of the current version."""
+    found = versions(spark, root)
+    if not found:
         raise FileNotFoundError(f"no complete index version under {root}")
-    base = spark.read.parquet(path)
-    seqs = [q for q in _seqs(spark, root) if q > _upto(spark, path)]
-    if not seqs:
-        return base
-    tomb = spark.read.parquet(*[_seq_path(root, "tombstones", q) for q in seqs])
-    delta = spark.read.parquet(*[_seq_path(root, "deltas", q) for q in seqs])
-    n_keys = tomb.count()  # bounded by the live deltas; they are compacted away
-    last = tomb.groupBy(key).agg(F.max("_seq").alias("_last"))
-    last = broadcast_if_small(last, n_keys * 16.0)
-    kept = base.join(last.select(key), key, "left_anti")
-    newest = delta.join(last, key).filter(F.col("_seq") == F.col("_last")).select(*base.columns)
-    return kept.unionByName(newest)
+    return spark.read.parquet(*sorted(_manifest(spark, found[-1]).values()))
 
 
 # --- A4: upsert ---------------------------------------------------------------
 
-def dedupe_latest(batch: DataFrame, key: str, seq: str) -> DataFrame:
-    """In-batch duplicates: the row with the highest ``seq`` wins.  A
-    ``max_by`` aggregate combines map-side, so a key repeated in a third of
-    the batch still reaches the shuffle as one row per task."""
+def dedupe_latest(batch: DataFrame, key: str = "doc_id", seq: str | None = None) -> DataFrame:
+    """Rows that repeat a ``key``: the one with the highest ``seq`` wins (a
+    null ``seq`` is the lowest), of equal ones the one with the highest other
+    columns, so the result does not depend on the order of rows.  ``max``
+    combines map-side: a key repeated in a third of the batch reaches the
+    shuffle as one row per task."""
     cols = [c for c in batch.columns if c != key]
-    best = F.max_by(F.struct(*cols), F.col(seq)).alias("_row")
-    return batch.groupBy(key).agg(best).select(key, *[F.col(f"_row.{c}").alias(c) for c in cols]).select(*batch.columns)
+    order = ([F.col(seq).alias("_seq")] if seq else []) + [F.col(c) for c in cols]
+    best = F.max(F.struct(*order)).alias("_row")
+    return batch.groupBy(key).agg(best).select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in batch.columns])
 
 
-def upsert(existing: DataFrame, updates: DataFrame, key: str, n_update_keys: int | None = None) -> DataFrame:
+def upsert(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """A4: rows of ``existing`` whose ``key`` appears in ``updates`` are
     replaced by all update rows with that key; other rows stay.  With
-    ``key='doc_id'`` a changed document loses chunks it no longer has.
-    The update keys are broadcast when their count is known and small;
-    otherwise both sides shuffle on the key (AQE splits skewed keys)."""
-    keys = updates.select(key).distinct()
-    if n_update_keys is not None:
-        keys = broadcast_if_small(keys, n_update_keys * 16.0)
-    kept = existing.join(keys, key, "left_anti")
+    ``key='doc_id'`` a changed document loses chunks it no longer has."""
+    kept = existing.join(updates.select(key).distinct(), key, "left_anti")
     return kept.unionByName(updates.select(*existing.columns))
 
 
-def upsert_index(spark: SparkSession, root: str, updates: DataFrame, key: str = "doc_id",
-                 tag: str | None = None, max_deltas: int = 16) -> str:
-    """A4 at the cost of the batch, not of the index (merge on read): the
-    batch's rows and its keys (tombstones) are appended under the next
-    sequence number.  Readers drop base rows whose key has a tombstone and
-    keep, per key, only the rows of its newest upsert, so a changed document
-    loses chunks it no longer has.  After ``max_deltas`` live upserts the
-    index is compacted into a new full version.  ``tag`` makes a retried
-    batch a no-op.  Returns the folder written."""
+def upsert_index(spark: SparkSession, root: str, updates: DataFrame, key: str = "doc_id") -> str:
+    """A4 on an index: a version in which the documents of ``updates`` have
+    exactly the rows given.  Only the buckets that they fall into are read and
+    written.  The same batch again changes nothing.  Returns the version."""
     from ..session import freeze
 
-    if tag is not None:
-        done = _tagged(spark, root, tag)
-        if done is not None:
-            return done
-    seq = _last_seq(spark, root) + 1
-    updates = freeze(updates)  # embedded once, read by both writes
-    updates.select(key).distinct().withColumn("_seq", F.lit(seq)).write.mode("errorifexists").parquet(
-        _seq_path(root, "tombstones", seq))
-    dpath = _seq_path(root, "deltas", seq)
-    updates.withColumn("_seq", F.lit(seq)).write.mode("errorifexists").parquet(dpath)
-    if tag is not None:
-        _touch(spark, f"{dpath}/{_TAG}{tag}")
-    cur = current_path(spark, root)
-    live = [q for q in _seqs(spark, root) if cur is None or q > _upto(spark, cur)]
-    if len(live) >= max_deltas:
-        return compact(spark, root, key)
-    return dpath
-
-
-def compact(spark: SparkSession, root: str, key: str = "doc_id") -> str:
-    """Folds every upsert into a new full version (older folders stay until
-    nobody reads them)."""
-    return write_version(read_index(spark, root, key), root, upto_seq=_last_seq(spark, root))
-
-
-# --- folder bookkeeping (Hadoop FileSystem, so any shared store works) ------
-
-_UPTO = "_upto_seq_"
-_TAG = "_tag_"
-
-
-def _touch(spark: SparkSession, path: str) -> None:
-    fs, p, _ = _fs(spark, path)
-    fs.create(p, True).close()
-
-
-def _seq_path(root: str, kind: str, seq: int) -> str:
-    return f"{root.rstrip('/')}/{kind}/s{seq:06d}"
-
-
-def _complete(spark: SparkSession, path: str) -> bool:
-    fs, p, jvm = _fs(spark, path)
-    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
-
-
-def _seqs(spark: SparkSession, root: str) -> list[int]:
-    """Upsert sequences whose delta and tombstones are both complete."""
-    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/deltas")
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("s") and name[1:].isdigit():
-            q = int(name[1:])
-            if _complete(spark, _seq_path(root, "deltas", q)) and _complete(spark, _seq_path(root, "tombstones", q)):
-                out.append(q)
-    return sorted(out)
-
-
-def _markers(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    fs, p, _ = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(p) if st.getPath().getName().startswith(prefix)]
-
-
-def _upto(spark: SparkSession, version_path: str) -> int:
-    vals = [int(v) for v in _markers(spark, version_path, _UPTO) if v.isdigit()]
-    return max(vals) if vals else 0
-
-
-def _last_seq(spark: SparkSession, root: str) -> int:
-    """Highest sequence used so far (by any delta folder or folded version)."""
-    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/tombstones")
-    seen = [0]
-    if fs.exists(p):
-        seen += [int(st.getPath().getName()[1:]) for st in fs.listStatus(p) if st.getPath().getName()[1:].isdigit()]
-    cur = current_path(spark, root)
-    if cur is not None:
-        seen.append(_upto(spark, cur))
-    return max(seen)
-
-
-def _tagged(spark: SparkSession, root: str, tag: str) -> str | None:
-    for q in _seqs(spark, root):
-        path = _seq_path(root, "deltas", q)
-        if tag in _markers(spark, path, _TAG):
-            return path
-    cur = current_path(spark, root)
-    if cur is not None and tag in _markers(spark, cur, _TAG):
-        return cur
-    return None
+    updates = freeze(updates, "updates")  # embedded once, read three times
+    touched = {r[0] for r in updates.select(_bucket(key)).distinct().collect()}  # BUCKETS numbers at most
+    found = versions(spark, root)
+    old = _manifest(spark, found[-1]) if found else {}
+    paths = [p for b, p in sorted(old.items()) if b in touched]
+    rows = upsert(spark.read.parquet(*paths), updates, key) if paths else updates
+    return _write(rows, root, key, {b: p for b, p in old.items() if b >= 0}, touched)

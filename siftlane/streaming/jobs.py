@@ -6,10 +6,9 @@ files were consumed, so a restarted query resumes where it stopped.  Neither
 needs a watermark: there is no event-time aggregation, and all state lives in
 the written tables.
 
-* ``start_index_stream``: every micro-batch of documents is chunked and
-  embedded, then upserted by ``doc_id`` into the index (appended as a delta
-  with tombstones, merged on read, compacted every few batches).  A retried
-  batch finds its tag and does nothing, so the sink is idempotent.
+* ``start_index_stream``: of every micro-batch of documents, the latest row of
+  each doc_id is chunked, embedded and upserted into the index.  A retried
+  batch gives the same index, so the sink is idempotent.
 * ``start_search_stream``: every micro-batch of queries is one bounded query
   block for the two-stage search against the current index version; hits are
   written to ``out_dir/batch=<id>`` (overwritten on retry).
@@ -22,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import pipeline as P
+from ..session import freeze
 from ..sources import index as IX
 
 DOC_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
@@ -29,17 +29,9 @@ QUERY_SCHEMA = T.StructType([T.StructField("item_id", T.LongType()), T.StructFie
 
 
 def index_batch(batch: DataFrame, batch_id: int, root: str, embedder=P.DEFAULT_EMBEDDER) -> None:
-    """One micro-batch: the first one writes the base version, later ones
-    append an upsert (cost of the batch, not of the index).  The batch id is
-    recorded as a tag, so a retried batch changes nothing."""
-    spark = batch.sparkSession
-    tag = f"batch_{batch_id}"
-    chunks = P.build_index(batch.select("doc_id", "text"), embedder)
-    if IX.current_path(spark, root) is None:
-        path = IX.write_version(chunks, root)
-        IX._touch(spark, f"{path}/{IX._TAG}{tag}")
-    else:
-        IX.upsert_index(spark, root, chunks, key="doc_id", tag=tag)
+    """One micro-batch: an upsert of its documents (an empty one writes nothing)."""
+    if not batch.isEmpty():
+        P.ingest_batch(batch, root, embedder)
 
 
 def start_index_stream(spark: SparkSession, source_dir: str, root: str, checkpoint: str,
@@ -56,7 +48,7 @@ def search_batch(batch: DataFrame, batch_id: int, root: str, out_dir: str, prefe
                  embedder=P.DEFAULT_EMBEDDER) -> None:
     spark = batch.sparkSession
     index = IX.read_index(spark, root)
-    queries = P.encode_queries(batch, embedder)
+    queries = freeze(P.encode_queries(batch, embedder), "queries")
     hits = P.two_stage(index, queries, prefetch_limit, top_k, embedder)
     hits.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
 

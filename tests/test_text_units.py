@@ -102,22 +102,22 @@ def test_prompt_template(spark):
 def test_dedupe_latest_and_upsert(spark):
     from siftlane.sources.index import dedupe_latest, upsert
 
-    batch = spark.createDataFrame([(1, 1, "old"), (1, 3, "new"), (2, 1, "x"), (1, 2, "mid")],
-                                  "doc_id long, seq int, text string")
+    rows = [(1, 1, "old"), (1, 3, "new"), (2, 1, "x"), (1, 2, "mid"), (3, None, "keep me"), (4, None, "null"), (4, 0, "zero"), (5, 7, "a"), (5, 7, "b")]
+    batch = spark.createDataFrame(rows, "doc_id long, seq int, text string")
     got = sorted((r.doc_id, r.seq, r.text) for r in dedupe_latest(batch, "doc_id", "seq").collect())
-    assert got == [(1, 3, "new"), (2, 1, "x")]
+    assert got == [(1, 3, "new"), (2, 1, "x"), (3, None, "keep me"), (4, 0, "zero"), (5, 7, "b")]
+    assert dedupe_latest(batch, "doc_id", "seq").columns == batch.columns
     base = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (5, 0, "c")], "doc_id long, chunk_ix int, text string")
     upd = spark.createDataFrame([(1, 0, "a2"), (9, 0, "z")], "doc_id long, chunk_ix int, text string")
-    got = sorted(tuple(r) for r in upsert(base, upd, "doc_id", 2).collect())
+    got = sorted(tuple(r) for r in upsert(base, upd, "doc_id").collect())
     assert got == [(1, 0, "a2"), (5, 0, "c"), (9, 0, "z")]
 
 
-def test_chunk_key_checks(spark):
-    import pytest as _pt
-
-    ok = spark.createDataFrame([(-3, ["a", "b"])], "doc_id long, sections array<string>")
-    ids = [r.id for r in sections_to_chunks(ok).orderBy("chunk_ix").collect()]
-    assert ids == sorted(ids) and ids[0] == -3 * (1 << 20)
-    bad = spark.createDataFrame([(1 << 50, ["a"])], "doc_id long, sections array<string>")
-    with _pt.raises(Exception):
-        sections_to_chunks(bad).collect()
+def test_chunk_keys_have_no_caps(spark):
+    rows = [(-3, ["a", "b"]), (1 << 62, ["c"]), (7, None), (8, [None, "d"])]
+    ok = spark.createDataFrame(rows, "doc_id long, sections array<string>")
+    got = [(r.id.doc_id, r.id.chunk_ix, r.chunk_id, r.text) for r in sections_to_chunks(ok).orderBy("id").collect()]
+    assert got == [(-3, 0, "-3-c0", "a"), (-3, 1, "-3-c1", "b"), (7, 0, "7-c0", ""), (8, 0, "8-c0", ""), (8, 1, "8-c1", "d"), (1 << 62, 0, f"{1 << 62}-c0", "c")]
+    many = spark.range(1).select(F.lit("doc-x").alias("doc_id"), F.array_repeat(F.lit("s"), (1 << 20) + 5).alias("sections"))
+    r = sections_to_chunks(many).agg(F.max("chunk_ix").alias("m"), F.max("chunk_id").alias("c")).first()
+    assert r.m == (1 << 20) + 4 and r.c.startswith("doc-x-c")

@@ -183,10 +183,7 @@ def test_arrow_and_hof_maxsim_agree(spark):
         assert r.h3 == r.a3
 
 
-def test_scan_top_k_with_broadcast_block(spark, monkeypatch):
-    from siftlane.operators import topk
-
-    monkeypatch.setattr(topk, "_CLOSURE_BYTES", 0)
+def test_self_matches_are_excluded(spark):
     rng = np.random.default_rng(12)
     corpus = rng.normal(size=(50, 64))
     idx = _index(spark, corpus)
@@ -199,76 +196,66 @@ def test_scan_top_k_with_broadcast_block(spark, monkeypatch):
         assert [r.id for r in sorted((r for r in got if r.query_id == qi), key=lambda r: r.rank)] == want
 
 
-def test_salted_two_level_top_k_equals_single_level(spark):
-    rng = np.random.default_rng(21)
-    corpus = rng.normal(size=(400, 64))
-    idx = _index(spark, corpus).repartition(12)
-    q = _index(spark, corpus[:9]).select(F.col("id").alias("query_id"), F.col("code").alias("q_code"))
-    one = scan_top_k(idx, q, k=15, mode="hamming", width=1, salt_buckets=1)
-    two = scan_top_k(idx, q, k=15, mode="hamming", width=1, salt_buckets=4)
-    key = lambda rows: sorted((r.query_id, r.rank, r.id, r.value) for r in rows)
-    assert key(one.collect()) == key(two.collect())
-    assert one.count() == 9 * 15
-
-
-def test_query_blocks_split_and_union(spark, monkeypatch):
+def test_block_sizes_and_joins_change_nothing(spark, monkeypatch):
     from siftlane.operators import topk
 
     rng = np.random.default_rng(31)
-    corpus = rng.normal(size=(120, 64))
+    corpus = rng.integers(0, 2, size=(120, 64)) * 2.0 - 1
     idx = _index(spark, corpus).repartition(4)
     q = idx.select(F.col("id").alias("query_id"), F.col("code").alias("q_code"))
-    whole = scan_top_k(idx, q, k=5, mode="hamming", width=1).collect()
-    monkeypatch.setattr(topk, "MAX_STATE_CELLS", 50)  # 120 queries x 5 -> 12 blocks
-    split = scan_top_k(idx, q, k=5, mode="hamming", width=1).collect()
-    key = lambda rows: sorted((r.query_id, r.rank, r.id) for r in rows)
-    assert key(whole) == key(split) and len(whole) == 600
-
-
-def test_two_stage_in_query_blocks_equals_one_block(spark, monkeypatch):
-    rng = np.random.default_rng(6)
-    idx = _float_index(spark, rng.normal(size=(40, 3, 8)))
-    q = _queries_of(idx)
-    args = dict(prefetch_limit=6, top_k=3, code_words=1, tok_kind="float", tok_dim=8, exclude_self=True)
-    one = S.two_stage_search(idx, q, **args).collect()
-    monkeypatch.setattr(S, "BROADCAST_BYTES", 40 * 6 * S.CANDIDATE_ROW_BYTES // 5)  # -> 5 query blocks
-    assert len(S.split_queries(q, 40, 6 * S.CANDIDATE_ROW_BYTES, S.BROADCAST_BYTES)) == 5
-    many = S.two_stage_search(idx, q, **args).collect()
-    key = lambda rows: sorted((r.query_id, r.rank, r.id, r.score) for r in rows)
-    assert key(one) == key(many) and len(one) == 120
-
-
-def test_candidate_broadcast_stays_under_bound_in_blocks(spark, monkeypatch):
-    rng = np.random.default_rng(7)
-    idx = _float_index(spark, rng.normal(size=(30, 2, 8)))
-    q = _queries_of(idx)
-    monkeypatch.setattr(S, "BROADCAST_BYTES", 30 * 4 * S.CANDIDATE_ROW_BYTES // 3)
-    calls = []
-    real = S.prefetch
-    monkeypatch.setattr(S, "prefetch", lambda *a, **k: calls.append(1) or real(*a, **k))
-    out = S.two_stage_search(idx, q, prefetch_limit=4, top_k=2, code_words=1, tok_kind="float", tok_dim=8)
-    assert len(calls) == 3 and out.count() == 60
-
-
-def test_id_ranges_cover_all_ids():
-    ids = [5, 1, 2, 100, 101, 7, 1000, 5]
-    r = S.id_ranges(ids, max_ranges=3)
-    assert r == [(1, 7), (100, 101), (1000, 1000)]
-    assert all(any(lo <= i <= hi for lo, hi in r) for i in ids)
-    assert S.id_ranges([], 3) == [] and S.id_ranges([4], 3) == [(4, 4)]
-
-
-def test_id_range_pruning_keeps_results(spark, monkeypatch):
-    rng = np.random.default_rng(13)
-    idx = _float_index(spark, rng.normal(size=(60, 2, 8)))
-    q = _queries_of(idx).filter("query_id < 3")
-    args = dict(prefetch_limit=5, top_k=2, code_words=1, tok_kind="float", tok_dim=8, exclude_self=True)
-    monkeypatch.setattr(S, "ID_PRUNE_MAX", 0)
-    plain = S.two_stage_search(idx, q, **args).collect()
-    monkeypatch.setattr(S, "ID_PRUNE_MAX", 10_000)
-    monkeypatch.setattr(S, "PRUNE_DENSITY", 1)
-    monkeypatch.setattr(S, "MAX_ID_RANGES", 2)
-    assert S.should_prune(idx, 15)
-    pruned = S.two_stage_search(idx, q, **args).collect()
-    key = lambda rows: sorted((r.query_id, r.rank, r.id, r.score) for r in rows)
-    assert key(plain) == key(pruned) and len(plain) == 6
+    key = lambda df: sorted((r.query_id, r.rank, r.id, r.value) for r in df.collect())
+    whole = key(scan_top_k(idx, q, k=5, mode="hamming", width=1))
+    monkeypatch.setattr(topk, "MAX_STATE_CELLS", 50)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    monkeypatch.setattr(topk, "_STRIP", 2)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for t in (threshold, "-1"):  # queries broadcast, and shuffled
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", t)
+            assert key(scan_top_k(idx, q, k=5, mode="hamming", width=1, cells=3)) == whole and len(whole) == 600
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_half_way_cosines_rank_alike_in_part_and_whole():
+    from siftlane.operators.topk import cosine_keys
+
+    rng = np.random.default_rng(2)
+    x = rng.integers(-9, 10, size=(400, 3)).astype(float)
+    keys = cosine_keys(x, x)
+    assert keys.dtype == np.int32 and (keys == keys.T).all()
+    assert (cosine_keys(x[5:6], x)[0] == keys[5]).all()
+
+
+def test_rows_that_cannot_be_searched_fail(spark):
+    good = _index(spark, [[1.0, -1.0]] * 3)
+    q = good.select(F.col("id").alias("query_id"), F.col("code").alias("q_code"))
+    for bad in (good.withColumn("code", F.when(F.col("id") > 0, F.col("code"))), good.withColumn("id", F.when(F.col("id") > 0, F.col("id"))),
+                good.withColumn("code", F.array_append("code", F.lit(1).cast("long")))):
+        with pytest.raises(Exception, match="cannot be searched|components"):
+            scan_top_k(bad, q, k=1, mode="hamming", width=1).collect()
+
+
+def test_selection_takes_less_time_than_scoring():
+    import time
+
+    import pyarrow as pa
+
+    from siftlane.operators.topk import RunningTopK, hamming_keys
+
+    rng = np.random.default_rng(0)
+    for n_q, k, rows in ((200, 100, 200_000), (2000, 500, 40_000)):
+        q, c = (rng.integers(-2**63, 2**63 - 1, size=(n, 2)) for n in (n_q, rows))
+        top, score, select = RunningTopK(n_q, k), 0.0, 0.0
+        for at in range(0, rows, 16384):
+            ids = pa.array(np.arange(at, min(rows, at + 16384)))
+            for s in range(0, n_q, 64):
+                t0 = time.process_time()
+                keys = hamming_keys(q[s : s + 64], c[at : at + 16384])
+                t1 = time.process_time()
+                top.add(s, keys, ids)
+                score, select = score + t1 - t0, select + time.process_time() - t1
+        print(n_q, k, round(score, 2), round(select, 2))
+        assert len(top.compact()[0]) == n_q * k
+        assert select < 3 * score  # at this size the first block, which has no threshold yet, weighs most
