@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 # The prompt template around the context and the question.
 PROMPT_PREAMBLE = (
     "Answer the user's question based strictly on the provided context below. "
-    "If the context does not contain the answer, state that clearly.\n\n"
+    "If the context does not contain the answer, state that clearly.\n\nContext:\n"
 )
-CONTEXT_HEADER = "Context:\n"
 QUESTION_HEADER = "\n\nQuestion: "
 ANSWER_TRAILER = "\nAnswer:"
 SOURCE_LABEL = "[Source Chunk %d]: %s"
@@ -29,7 +28,7 @@ def source_part(position: Column, text: Column) -> Column:
 def prompt(question: Column, context: Column) -> Column:
     """F2/F3 template: preamble, context, question."""
     return F.concat(
-        F.lit(PROMPT_PREAMBLE), F.lit(CONTEXT_HEADER), F.coalesce(context, F.lit("")),
+        F.lit(PROMPT_PREAMBLE), F.coalesce(context, F.lit("")),
         F.lit(QUESTION_HEADER), question, F.lit(ANSWER_TRAILER),
     )
 

@@ -58,7 +58,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+#: Scratch folders handed out, by application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes every scratch folder that this application was given, and
+    returns their number.  For the end of a job: results that still read one
+    of them have to be written first."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
 
 
 def spread(df, factor: int = 2, by: str | None = None):

@@ -28,3 +28,14 @@ def test_freeze_cuts_lineage_and_keeps_rows(spark):
     fz = freeze(df)
     assert sorted(tuple(r) for r in fz.collect()) == [(i, 2 * i) for i in range(10)]
     assert "Range" not in fz._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scratch_folders_can_be_cleared(spark, monkeypatch):
+    import siftlane.session as SE
+
+    monkeypatch.setattr(SE, "_SCRATCH", {})
+    fz = freeze(spark.range(3))
+    (path,) = SE._SCRATCH[spark.sparkContext.applicationId]
+    assert fz.count() == 3 and SE.clear_scratch(spark) == 1 and SE.clear_scratch(spark) == 0
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert not fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
