@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
 from ..sources.tables import read_table
 from . import bpe as BP
 from . import decontam as DE
@@ -16,6 +17,12 @@ from . import toxicity as TX
 from . import url_rules as UR
 from . import warc as WA
 
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; a table of fewer splits than the cluster has cores is dealt out first, as its texts go through Python."""
+    return spread(read_table(spark, sf_dir, "documents"))
+
+
 URL_RULES = [
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -31,7 +38,7 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     return SE.scan(docs, SE.train(docs))
 
 
@@ -42,7 +49,7 @@ def tokenizer_path(name: str) -> str:
 
 
 def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return BP.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return BP.encode_decode(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +57,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SH.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return SH.near_duplicates(_documents(spark, sf_dir))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +65,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    docs, labels = _documents(spark, sf_dir), read_table(spark, sf_dir, "labels")
     model = TX.train(docs, labels.where(~TX.held_out()))
     return TX.score(docs, model).select("doc_id", TX.held_out().alias("held_out"), "score", "predicted")
 
@@ -70,7 +77,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     return QU.grade(docs, QU.train(docs, read_table(spark, sf_dir, "labels")))
 
 
