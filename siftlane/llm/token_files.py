@@ -1,10 +1,10 @@
 """Token-id files with bit-plane shuffling (operator 3).
 
 Documents are range-partitioned by id; each partition (a *shard*) is encoded
-and becomes one binary file.  A file is a row of records, a record is a run of
-whole documents with about RECORD_IDS ids.  Its ids are cut into fixed-size
-blocks; a block is transposed into bit planes (or byte planes) and each plane
-is compressed with zstandard by itself.
+and becomes one binary file, or several if it is large.  A file is a row of
+records, a record is a run of whole documents with about RECORD_IDS ids.  Its
+ids are cut into fixed-size blocks; a block is transposed into bit planes (or
+byte planes) and each plane is compressed with zstandard by itself.
 
 A record, all numbers little-endian, followed by one newline byte:
 
@@ -43,8 +43,10 @@ BLOCK_IDS = 1 << 16
 RECORD_IDS = 1 << 20
 #: Compression level of the planes.
 LEVEL = 3
-#: Bytes of text that a shard should hold.
+#: Bytes of text that a shard should hold, shards at most, and records of a file at most (a large shard has several files).
 SHARD_BYTES = 32 << 20
+MAX_SHARDS = 20_000
+FILE_RECORDS = 64
 #: Remembered pieces of a worker; then it starts anew.
 PIECES_KEPT = 700_000
 
@@ -216,7 +218,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, mode: i
         content = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-total // SHARD_BYTES))
+    shards = min(MAX_SHARDS, max(1, -(-total // SHARD_BYTES)))
     key = hashlib.sha1(content.value.encode()).hexdigest()
     records = (
         rows.repartitionByRange(shards, "doc_id")
@@ -224,7 +226,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, mode: i
         .mapInArrow(_encode_shard(content, key, end_id, mode), "record binary")
     )
     # the text writer puts each record's bytes down as they are, and a newline after it
-    records.select(F.col("record").cast("string").alias("value")).write.mode("errorifexists").text(folder)
+    records.select(F.col("record").cast("string").alias("value")).write.option("maxRecordsPerFile", FILE_RECORDS).mode("errorifexists").text(folder)
 
 
 DOC_SCHEMA = pa.schema([("shard", pa.int64()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])

@@ -30,6 +30,8 @@ from ..session import freeze
 
 #: Rows of a packed block, of vectors and of queries.
 BLOCK_ROWS = 1024
+#: Cells at most: beyond so many blocks, a cell holds several.
+MAX_CELLS = 20_000
 #: Longest vectors of the table that give the first thresholds (collected: a fixed number of rows).
 SEED_ROWS = 256
 #: A bucket ends where lengths fall under this share of its longest vector.
@@ -252,7 +254,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     cell that it may reach; per cell a query returns at most k rows.
     """
     n, nq = vectors.count(), queries.count()
-    cells, qblocks = max(1, math.ceil(n / BLOCK_ROWS)), max(1, math.ceil(nq / BLOCK_ROWS))
+    cells, qblocks = (min(MAX_CELLS, max(1, math.ceil(x / BLOCK_ROWS))) for x in (n, nq))
     top = vectors.orderBy(F.desc("n2"), "vec_id").limit(SEED_ROWS).collect()
     dim = max([len(r["v"]) for r in top], default=0)
     seeds = (

@@ -30,8 +30,10 @@ REVISIT_FROM = 100
 #: Bytes of a record's block from which it is cut into segments, and of a transfer chunk.
 SEGMENT_BYTES = 16 << 10
 CHUNK_BYTES = 4 << 10
-#: Bytes of payload that an archive file should hold.
+#: Bytes of payload that a task should write, tasks at most, and records of an archive file at most.
 ARCHIVE_BYTES = 32 << 20
+MAX_TASKS = 20_000
+FILE_RECORDS = 20_000
 END = "\r\n\r\n"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -119,7 +121,7 @@ def write(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z", seg
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("html"), F.sha2(payload, 256).alias("digest"))
     total = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    files = max(1, -(-total // ARCHIVE_BYTES))
+    tasks = min(MAX_TASKS, max(1, -(-total // ARCHIVE_BYTES)))
     shared = rows.where((F.octet_length("html") >= REVISIT_FROM) & F.col("page_id").isNotNull()).select("page_id", "digest")
     first = shared.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("last > refers_to")
     revisits = shared.join(first.drop("last"), "digest").where("page_id > refers_to").distinct()
@@ -127,7 +129,7 @@ def write(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z", seg
     revisits = revisits.groupBy(F.col("page_id").cast("string").alias("key")).agg(F.collect_list(F.struct("digest", "refers_to")).alias("same"))
     key = F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("none-"), "digest"))
     # the texts are shuffled once: by a row's own key, for the join and for the count of rows that repeat it
-    rows = rows.withColumn("key", key).repartition(files, "key").join(revisits, "key", "left")
+    rows = rows.withColumn("key", key).repartition(tasks, "key").join(revisits, "key", "left")
     nth = F.row_number().over(Window.partitionBy("key").orderBy("digest"))
     rows = rows.withColumn("refers_to", F.get(F.filter("same", lambda x: x["digest"] == F.col("digest")), 0)["refers_to"])
     rows = rows.withColumn("key", F.concat_ws(":", "key", nth.cast("string")))
@@ -142,7 +144,7 @@ def write(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z", seg
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays(out)], names=["record"])
 
     lines = rows.select("key", "page_id", "url", "html", "digest", "refers_to").mapInArrow(records, "record binary")
-    lines.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END).text(folder, compression=compression)
+    lines.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS).text(folder, compression=compression)
 
 
 PARSED = pa.schema(
