@@ -5,7 +5,6 @@ import string
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from siftlane.llm import decontam as DE
 from siftlane.llm import quality as QU
