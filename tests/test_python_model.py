@@ -6,7 +6,6 @@ import hashlib
 import re
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from siftlane.plans import pipeline as P
 
