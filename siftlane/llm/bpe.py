@@ -30,14 +30,15 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 WHITE = r"\t-\r \x85\xa0  -     　"
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Remembered pieces and words of a worker; then it starts anew.
-PIECES_KEPT = 500_000
-WORDS_KEPT = 500_000
+PIECES_KEPT = 400_000
+WORDS_KEPT = 300_000
 #: Words that share one trie.
 TRIE_WORDS = 50_000
 #: Texts that are encoded at once.
 SLICE = 500
-#: Remembered pairs of tokens.
-PAIRS_KEPT = 2_000_000
+#: Remembered pairs of tokens; a pair is one number, the first token times PAIR and the second.
+PAIR = 1 << 20
+PAIRS_KEPT = 400_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -93,12 +94,12 @@ class Vocabulary:
 
     def may_follow(self, a: int, b: int) -> bool:
         """Whether the rules leave token ``b`` as it is after token ``a`` (-1: at the start)."""
-        got = self.follows.get((a, b))
+        got = self.follows.get(a * PAIR + b)
         if got is None:
             if len(self.follows) >= PAIRS_KEPT:
                 self.follows.clear()
             got = self.merged(self.bytes[b]) == [self.bytes[b]] if a < 0 else self._stay_apart(a, b)
-            self.follows[a, b] = got
+            self.follows[a * PAIR + b] = got
         return got
 
     def _stay_apart(self, a: int, b: int) -> bool:
@@ -151,9 +152,8 @@ class Vocabulary:
             while True:  # tokens that end here, the shorter first; the one that may follow is the only one
                 t = node.get(-1)
                 if t is not None:
-                    pair = (last[i], t)
-                    fits = follows.get(pair)
-                    if may_follow(*pair) if fits is None else fits:
+                    fits = follows.get(last[i] * PAIR + t)
+                    if may_follow(last[i], t) if fits is None else fits:
                         token = t
                         break
                 i -= 1

@@ -20,18 +20,27 @@ def ascii_lower(c: Column) -> Column:
 
 def worker_cache(name: str) -> dict:
     """A dict that outlives the task in a reused Python worker.  Callers bound
-    its size; an empty one (a new worker) only costs time."""
+    its size; an empty one (a new worker) only costs time.  A worker keeps
+    that of one operator: another's is dropped first."""
     mod = sys.modules.setdefault("_siftlane_worker", types.ModuleType("_siftlane_worker"))
-    return mod.__dict__.setdefault(name, {})
+    caches = mod.__dict__.setdefault("caches", {})
+    if name not in caches:
+        caches.clear()
+    return caches.setdefault(name, {})
+
+
+#: Rows of an Arrow batch that are Python objects at once.
+SLICE_ROWS = 1000
 
 
 def per_batch(fn: Callable[..., dict], *columns: str, schema: pa.Schema):
     """A mapInArrow function that calls ``fn(column values, ...)`` for every
-    Arrow batch and yields the dict of columns it returns."""
+    SLICE_ROWS rows and yields the dict of columns it returns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_pydict(fn(*(b.column(c).to_pylist() for c in columns)), schema=schema)
+            for at in range(0, b.num_rows, SLICE_ROWS):
+                part = b.slice(at, SLICE_ROWS)
+                yield pa.RecordBatch.from_pydict(fn(*(part.column(c).to_pylist() for c in columns)), schema=schema)
 
     return run
