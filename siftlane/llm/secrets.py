@@ -2,11 +2,12 @@
 
 The base patterns find assignments, access keys and long hexadecimal runs.
 Their matches are also the labelled samples of the models: the matched values
-are *random strings*, all other words of the corpus are *ordinary
-identifiers*.  Bigram counts of both come from every document (summed per task
-before the shuffle; the driver gets one fixed-size table).  A further token is
-reported as ``markov`` when the log-likelihood ratio of the two models says
-that it is random, and no base span overlaps it.
+are *random strings*, all other tokens of the corpus that the models would not
+judge themselves are *ordinary identifiers*.  Every distinct token of the whole
+corpus counts once, so copies of a string change nothing (the driver gets one
+fixed-size table of bigram counts).  A further token is reported as ``markov``
+when the log-likelihood ratio of the two models says that it is random, and no
+base span overlaps it.
 """
 
 from __future__ import annotations
@@ -39,12 +40,15 @@ LEAST_RATIO = 12.0
 LEAST_PER_CHAR = 0.5
 #: Weight, in characters, of a symbol's own frequency against that after the symbol before it.
 BACKOFF = 20.0
-#: Occurrences of a bigram in ordinary words that are not counted: a few may come from unlabelled random strings.
-DISCOUNT = 5
+#: What is not counted of a bigram in ordinary tokens, as a share of the mean of all bigrams: it may come from short random strings.
+DISCOUNT = 0.01
 #: Pseudo-count of every symbol, in ordinary words and in random strings (which favour no symbol).
 SMOOTHING = (0.5, 50.0)
 #: Bytes that are counted at once.
 SLICE = 1 << 20
+#: Runs of symbols, the tokens that the models learn from; characters of text whose tokens are held at once.
+RUN = re.compile(r"[A-Za-z0-9+/_=.-]+")
+HELD = 4 << 20
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -75,25 +79,57 @@ def _count(data: bytes, lut: np.ndarray) -> np.ndarray:
     return total.reshape(STATES, STATES)
 
 
-def _secret_values(text: str) -> list[str]:
-    found = []
+def _judged(text: str):
+    """``(start, end)`` of the tokens that the models judge."""
+    for m in TOKEN.finditer(text):
+        t = m.group()
+        if any(c.isdigit() for c in t) and any(c.isalpha() for c in t):
+            yield m.start(), m.end()
+
+
+def _learned(text: str) -> tuple[set[str], set[str]]:
+    """The distinct ordinary tokens of a text, without the values of base matches and what the models judge, and these values."""
+    values = []
     for start, kind, end in base_spans(text):
         m = ASSIGN.match(text, start) if kind == 0 else None
-        found.append(m.group(1) if m else text[start:end])
-    return found
+        values.append(m.span(1) if m else (start, end))
+    rest, at = [], 0
+    for start, end in sorted([*values, *_judged(text)]):
+        if start > at:
+            rest.append(text[at:start])
+        at = max(at, end)
+    rest.append(text[at:])
+    return set(RUN.findall("\n".join(rest))), {text[a:b] for a, b in values}
+
+
+def _tokens(batches):
+    held, size = (set(), set()), 0
+
+    def batch():
+        found = [*held[0], *held[1]]
+        flags = [False] * len(held[0]) + [True] * len(held[1])
+        return pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(flags)], names=["token", "random"])
+
+    for b in batches:
+        for t in b.column(0):
+            t = t.as_py()
+            if t:
+                for mine, more in zip(held, _learned(t)):
+                    mine |= more
+                size += len(t)
+                if size >= HELD:
+                    yield batch()
+                    held, size = (set(), set()), 0
+    yield batch()
 
 
 def _bigrams(batches):
     lut = _states()
     sums = np.zeros((2, STATES, STATES), np.int64)
     for b in batches:
-        texts = [t for t in b.column(0).to_pylist() if t]
-        if texts:
-            both = _count(("\n" + "\n".join(texts) + "\n").encode(), lut)
-            values = sorted({v for t in texts for v in _secret_values(t)})
-            random = _count(("\n" + "\n".join(values) + "\n").encode(), lut)
-            sums[1] += random
-            sums[0] += np.maximum(both - random, 0)
+        tokens, random = b.column(0).to_pylist(), b.column(1).to_pylist()
+        for kind in (0, 1):
+            sums[kind] += _count(("\n" + "\n".join(t for t, r in zip(tokens, random) if r == kind) + "\n").encode(), lut)
     kind, prev, cur = np.nonzero(sums)
     yield pa.RecordBatch.from_arrays(
         [pa.array(kind.astype(np.int32)), pa.array(prev.astype(np.int32)), pa.array(cur.astype(np.int32)), pa.array(sums[kind, prev, cur])],
@@ -103,12 +139,14 @@ def _bigrams(batches):
 
 def train(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Log-likelihood ratio of each bigram, random against ordinary, from every document."""
-    counts = docs.select(text).mapInArrow(_bigrams, "random int, prev int, cur int, n long")
+    # a token that is a secret's value anywhere is no ordinary one
+    tokens = docs.select(text).mapInArrow(_tokens, "token string, random boolean").groupBy("token").agg(F.max("random").alias("random"))
+    counts = tokens.mapInArrow(_bigrams, "random int, prev int, cur int, n long")
     n = np.zeros((2, STATES, STATES))
     for r in counts.groupBy("random", "prev", "cur").agg(F.sum("n").alias("n")).collect():  # 2 * STATES**2 rows at most
         n[r["random"], r["prev"], r["cur"]] += r["n"]
     n = n[:, :, 1:]  # the end of a token is not scored
-    n[0] = np.maximum(n[0] - DISCOUNT, 0)
+    n[0] = np.maximum(n[0] - DISCOUNT * n[0].mean(), 0)
     alone = n.sum(1) + np.array(SMOOTHING)[:, None]
     alone /= alone.sum(1, keepdims=True)
     p = (n + BACKOFF * alone[:, None, :]) / (n.sum(2, keepdims=True) + BACKOFF)
@@ -126,14 +164,12 @@ def all_spans(text: str, model: np.ndarray, lut: np.ndarray) -> tuple[list, list
     """The base spans, and these with the model's, both by start, then kind."""
     base = base_spans(text)
     added = []
-    for m in TOKEN.finditer(text):
-        t = m.group()
-        if any(s < m.end() and m.start() < e for s, _, e in base):
+    for start, end in _judged(text):
+        if any(s < end and start < e for s, _, e in base):
             continue
-        if any(c.isdigit() for c in t) and any(c.isalpha() for c in t):
-            score = ratio(t, model, lut)
-            if score >= LEAST_RATIO and score >= LEAST_PER_CHAR * len(t):
-                added.append((m.start(), 3, m.end()))
+        score = ratio(text[start:end], model, lut)
+        if score >= LEAST_RATIO and score >= LEAST_PER_CHAR * (end - start):
+            added.append((start, 3, end))
     return base, sorted(base + added)
 
 

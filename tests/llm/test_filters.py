@@ -52,6 +52,23 @@ def test_secret_scan(spark, odd_docs, make_text):
     assert SE.scan(docs.limit(0), SE.train(docs.limit(0))).count() == 0
 
 
+def test_secrets_are_found_at_any_number(spark, odd_docs, make_text):
+    r = random.Random(11)
+    chars = string.ascii_letters + string.digits
+
+    def secret():
+        return "".join(r.choice(chars) for _ in range(40)) + "7a"
+
+    word = make_text(12, 8).replace(" ", "") + "2"
+    same = secret()
+    for n in (1, 2000):
+        for copies in (True, False):
+            hidden = [same if copies else secret() for _ in range(n)]
+            docs = spark.createDataFrame([(i, f"{make_text(i % 50, 30)} {x} {word}", "en", 0, "z") for i, x in enumerate(hidden)], odd_docs.schema).unionByName(odd_docs)
+            got = {x.doc_id: x.spans for x in SE.scan(docs, SE.train(docs)).where("spans <> ''").collect()}
+            assert all(got[i].count(":") == 2 and got[i].startswith("markov:") for i in range(n)) and len(got) == n, (n, copies)
+
+
 # ---- decontamination -------------------------------------------------------
 
 
