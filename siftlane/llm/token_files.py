@@ -135,7 +135,7 @@ def read_records(data: bytes):
 
 # ---- encoding --------------------------------------------------------------
 
-#: Characters of pieces that are cut here; all others go through the tokenizer whole.
+#: Characters of pieces, also in lower case, that are cut here; all others go through the tokenizer whole.
 PLAIN = re.compile(r"[!-~À-ɏ]*")
 # fixed values: the tokenizer's own splitting pattern, for lower-cased plain pieces
 PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^a-z0-9ß-öø-ɏ]+")
@@ -161,10 +161,11 @@ class WordEncoder(dict):
             self.clear()
             self.words.clear()
         text = piece.decode()
-        if "<|" in text or not PLAIN.fullmatch(text):
+        low = text.lower()  # some capitals of Latin Extended-B have their small letters beyond it
+        if "<|" in text or not (PLAIN.fullmatch(text) and PLAIN.fullmatch(low)):
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         else:
-            ids = b"".join([self.words.get(w) or self.word(w) for w in PRETOKEN.findall(text.lower())])
+            ids = b"".join([self.words.get(w) or self.word(w) for w in PRETOKEN.findall(low)])
         self[piece] = ids
         return ids
 

@@ -94,6 +94,15 @@ def test_word_encoder_equals_the_library():
         assert np.frombuffer(enc.text(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
+def test_word_encoder_on_every_latin_letter():
+    lib = tokenizers.Tokenizer.from_file(WORD)
+    with open(WORD, encoding="utf-8") as f:
+        enc = TF.WordEncoder(f.read())
+    texts = [x for c in [*map(chr, range(0xA0, 0x250)), "\u212a", "\u212b", "\u1e9e"] for x in (c, c + "li", "ka" + c + "no", "KA" + c, "7" + c + "'s" + c + c)]
+    wrong = [t for t in texts if np.frombuffer(enc.text(t), "<u4").tolist() != lib.encode(t, add_special_tokens=False).ids]
+    assert not wrong, wrong
+
+
 def test_file_query(spark, odd_docs, monkeypatch):
     monkeypatch.setattr(TF, "SHARD_BYTES", 60_000)
     monkeypatch.setattr(TF, "RECORD_IDS", 5_000)
