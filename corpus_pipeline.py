@@ -1,10 +1,8 @@
 """A training-corpus pipeline over ``documents``: quality, near-duplicates, benchmark leaks, secrets, tokens.
 
 Each stage works on all rows that its predecessor kept; every stage but the
-last returns the columns of ``documents``.  Rows without a doc_id pass every
-filter that works on texts alone (quality, benchmark, secrets); they cannot be
-named in a group of near-duplicates, so the second stage leaves them as they
-are.
+last returns the columns of ``documents``.  Rows without a doc_id are judged by
+their texts like all others; in a group of near-duplicates they come last.
 """
 
 from __future__ import annotations
@@ -13,7 +11,7 @@ import os
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -39,13 +37,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest doc_id; of rows that repeat a doc_id, the one with the smallest text."""
-    groups = simhash.near_duplicates(docs, words=SHINGLE_WORDS, max_bits=MAX_BITS)
-    stay = freeze(groups.where("doc_id = component_id").select("doc_id").distinct(), "representatives")
-    named = docs.join(stay, "doc_id", "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = named.withColumn("__nth", nth).where("__nth = 1").select(docs.columns)
-    return named.unionByName(docs.where("doc_id is null"))
+    """Of each group of near-duplicate rows the one with the smallest doc_id; of rows that repeat it, the one with the smallest digest."""
+    return simhash.without_near_duplicates(docs, words=SHINGLE_WORDS, max_bits=MAX_BITS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,15 +73,17 @@ def majority(hashes: np.ndarray, slice_rows: int = 1 << 16) -> int:
     return int(sum(1 << i for i in np.flatnonzero(2 * ones > len(hashes)).tolist()))
 
 
-def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp)``, one row per input row; ``fp`` is the fingerprint as a signed 64-bit integer."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, carry: str | None = None) -> DataFrame:
+    """``(doc_id, fp)`` and the string column ``carry``, one row per input row; ``fp`` is the fingerprint as a signed 64-bit integer."""
+    more = [carry] if carry else []
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), *((c, pa.string()) for c in more)])
 
-    def rows(ids, texts):
+    def rows(ids, texts, *carried):
         fps = np.array([majority(shingle_hashes(t or "", words)) for t in texts], np.uint64)
-        return {"doc_id": ids, "fp": fps.view(np.int64)}
+        return {"doc_id": ids, "fp": fps.view(np.int64), **dict(zip(more, carried))}
 
-    return docs.select(F.col(id).cast("long").alias("doc_id"), text).mapInArrow(per_batch(rows, "doc_id", text, schema=schema), "doc_id long, fp long")
+    ddl = ", ".join(["doc_id long", "fp long", *(f"`{c}` string" for c in more)])
+    return docs.select(F.col(id).cast("long").alias("doc_id"), text, *more).mapInArrow(per_batch(rows, "doc_id", text, *more, schema=schema), ddl)
 
 
 # ---- grid ------------------------------------------------------------------
@@ -248,6 +250,12 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _classes(per_fp: DataFrame, max_bits: int, bits: int) -> DataFrame:
+    """``per_fp`` with ``root``, which the distinct fingerprints of a group share."""
+    roots = freeze(components(links(per_fp, max_bits, bits)), "roots")
+    return per_fp.join(roots, per_fp["fp"] == roots["node"], "left").drop("node").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, bits: int = SEGMENT_BITS
 ) -> DataFrame:
@@ -259,8 +267,25 @@ def near_duplicates(
     A row without an id has no component_id unless a linked row has an id."""
     marks = freeze(fingerprints(docs, id, text, words), "fingerprints")
     per_fp = freeze(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fps")
-    roots = freeze(components(links(per_fp, max_bits, bits)), "roots")
-    tagged = per_fp.join(roots, per_fp["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    tagged = _classes(per_fp, max_bits, bits).select("fp", "least", "root")
     ids = tagged.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = tagged.join(ids, "root").select("fp", "component_id")
     return marks.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def without_near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, bits: int = SEGMENT_BITS
+) -> DataFrame:
+    """One row of ``docs`` per group of rows whose fingerprints link, with all its columns.
+
+    It is the row with the smallest id (rows without one come last), then with
+    the smallest digest of the whole row; ids may be null or repeated.  Rows
+    with neither id nor text are no one's duplicates and stay."""
+    blank = F.col(id).isNull() & F.col(text).isNull()
+    keyed = docs.where(~blank).withColumn("__row", F.sha2(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))), 256))
+    marks = fingerprints(keyed, id, text, words, carry="__row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row"))
+    per_fp = freeze(marks.groupBy("fp").agg(first.alias("first")), "distinct_fps")
+    stay = _classes(per_fp, max_bits, bits).groupBy("root").agg(F.min("first").alias("first")).select("first.__row")
+    # rows alike in every column share their digest: one of them stays
+    return keyed.join(freeze(stay, "representatives"), "__row", "left_semi").dropDuplicates(["__row"]).select(docs.columns).unionByName(docs.where(blank))

@@ -162,3 +162,20 @@ def test_missing_segments_fail(spark, tmp_path):
     (tmp_path / "f").write_bytes(b"".join(r + b"\r\n\r\n" for r in recs[:2] + recs[3:]))
     with pytest.raises(Exception, match="segments of"):
         W.read(spark, str(tmp_path / "f")).collect()
+
+
+def test_near_dedup_stage_works_by_rows(spark, make_text):
+    import corpus_pipeline as C
+
+    a, z, n = make_text(1, 400), make_text(2, 400), make_text(3, 400)
+    near = a.rsplit(" ", 1)[0] + " changed"
+    rows = [(3, a), (7, near), (7, z), (None, n), (None, n), (None, n + " x"), (None, a), (9, make_text(4, 400)), (9, make_text(5, 400)), (9, make_text(4, 400))]
+    rows = [(i, t, "en", 1) for i, t in rows]
+    fp = [SH.majority(SH.shingle_hashes(t)) for t in (a, near, z, n, n + " x")]
+    assert (fp[0] ^ fp[1]).bit_count() <= 3 < (fp[0] ^ fp[2]).bit_count() and (fp[3] ^ fp[4]).bit_count() <= 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars int")
+    got = [tuple(r) for r in C.near_dedup_stage(spark, docs, "").collect()]
+    left = [r for r in got if r[0] is None]
+    assert len(left) == 1 and left[0][1] in (n, n + " x")
+    assert sorted(r for r in got if r[0] is not None) == sorted({rows[0], rows[2], rows[7], rows[8]})
+    assert C.near_dedup_stage(spark, docs.limit(0), "").count() == 0
