@@ -6,8 +6,8 @@ are *random strings*, all other tokens of the corpus that the models would not
 judge themselves are *ordinary identifiers*.  Every distinct token of the whole
 corpus counts once, so copies of a string change nothing (the driver gets one
 fixed-size table of bigram counts).  A further token is reported as ``markov``
-when the log-likelihood ratio of the two models says that it is random, and no
-base span overlaps it.
+when the log-likelihood ratio of the two models says that it is random; of a
+token that base spans overlap, the pieces beside them are judged.
 """
 
 from __future__ import annotations
@@ -79,12 +79,15 @@ def _count(data: bytes, lut: np.ndarray) -> np.ndarray:
     return total.reshape(STATES, STATES)
 
 
-def _judged(text: str):
-    """``(start, end)`` of the tokens that the models judge."""
-    for m in TOKEN.finditer(text):
-        t = m.group()
-        if any(c.isdigit() for c in t) and any(c.isalpha() for c in t):
-            yield m.start(), m.end()
+def _judged(text: str, cut: list):
+    """``(start, end)`` of the tokens that the models judge, ``cut`` (start, end) at sorted spans."""
+    at = 0
+    for start, end in [*cut, (len(text), len(text))]:
+        for m in TOKEN.finditer(text, at, max(at, start)):
+            t = m.group()
+            if any(c.isdigit() for c in t) and any(c.isalpha() for c in t):
+                yield m.start(), m.end()
+        at = max(at, end)
 
 
 def _learned(text: str) -> tuple[set[str], set[str]]:
@@ -94,7 +97,7 @@ def _learned(text: str) -> tuple[set[str], set[str]]:
         m = ASSIGN.match(text, start) if kind == 0 else None
         values.append(m.span(1) if m else (start, end))
     rest, at = [], 0
-    for start, end in sorted([*values, *_judged(text)]):
+    for start, end in sorted([*values, *_judged(text, sorted(values))]):
         if start > at:
             rest.append(text[at:start])
         at = max(at, end)
@@ -164,9 +167,7 @@ def all_spans(text: str, model: np.ndarray, lut: np.ndarray) -> tuple[list, list
     """The base spans, and these with the model's, both by start, then kind."""
     base = base_spans(text)
     added = []
-    for start, end in _judged(text):
-        if any(s < end and start < e for s, _, e in base):
-            continue
+    for start, end in _judged(text, [(s, e) for s, _, e in base]):
         score = ratio(text[start:end], model, lut)
         if score >= LEAST_RATIO and score >= LEAST_PER_CHAR * (end - start):
             added.append((start, 3, end))

@@ -69,6 +69,18 @@ def test_secrets_are_found_at_any_number(spark, odd_docs, make_text):
             assert all(got[i].count(":") == 2 and got[i].startswith("markov:") for i in range(n)) and len(got) == n, (n, copies)
 
 
+def test_the_rest_of_a_token_beside_a_base_span_is_judged(spark, odd_docs, make_text):
+    r = random.Random(12)
+    rand = "".join(r.choice(string.ascii_letters + string.digits) for _ in range(40)) + "Z9"
+    texts = [f"AKIA{'A1' * 8}/{rand} end", f"{rand}{'0f' * 12}{rand}", "AKIA" + "A1" * 8 + "/short1"]
+    docs = odd_docs.unionByName(spark.createDataFrame([(60 + i, f"{make_text(8, 50)} {t}", "en", 0, "z") for i, t in enumerate(texts)], odd_docs.schema))
+    model = SE.train(docs)
+    n = {x.doc_id: x.n_markov for x in SE.scan(docs, model).collect()}
+    assert (n[60], n[61], n[62]) == (1, 2, 0)
+    clean = {x.doc_id: x.text for x in SE.redact(docs, model).collect()}
+    assert all(rand not in clean[i] for i in (60, 61))
+
+
 # ---- decontamination -------------------------------------------------------
 
 
