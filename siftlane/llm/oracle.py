@@ -72,4 +72,25 @@ select doc_id, item_id, shared, item_shingles, shared / item_shingles as contain
 from c join n using (item_id) where shared >= ceil(0.8 * item_shingles - 1e-9)
 """
 
-SQL = {"op10_decontamination": OP10, "op5_warc": OP5, "op1_exact_topk": OP1, "op7_url_filter": OP7}
+OP11 = """
+with d as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+    sha256('1:' || coalesce(cast(doc_id as varchar), '')) as x
+  from documents
+), h as (
+  select *, len(u) as n, [cast('0x' || substr(x, 8 * i + 1, 8) as ubigint) for i in [0, 1, 2, 3]] as h from d
+), c as (
+  select *, cast(least(h[1] % (n + 1), h[2] % (n + 1)) as bigint) as a, cast(greatest(h[1] % (n + 1), h[2] % (n + 1)) as bigint) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h[3] % 100 >= 90 then 'plain'
+      when h[4] % 100 < 20 then 'spm' else 'psm' end as form
+  from h
+), s as (
+  select *, array_to_string(u[1 : a], '') as p, array_to_string(u[a + 1 : b], '') as m, array_to_string(u[b + 1 :], '') as t from c
+)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then length(p) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || t || '<M>' || m else '<S>' || t || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(text) as restored_sha256
+from s
+"""
+
+SQL = {"op10_decontamination": OP10, "op11_infill": OP11, "op5_warc": OP5, "op1_exact_topk": OP1, "op7_url_filter": OP7}

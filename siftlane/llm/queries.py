@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import spread
 from ..sources.tables import read_table
 from . import bpe as BP
 from . import decontam as DE
+from . import infill as IN
 from . import quality as QU
 from . import secrets as SE
 from . import simhash as SH
@@ -84,3 +86,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = DE.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "shared", "item_shingles", "containment")
+
+
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = IN.restore(IN.transform(_documents(spark, sf_dir)))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
