@@ -93,4 +93,54 @@ select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then leng
 from s
 """
 
-SQL = {"op10_decontamination": OP10, "op11_infill": OP11, "op5_warc": OP5, "op1_exact_topk": OP1, "op7_url_filter": OP7}
+OP13 = r"""
+with recursive k as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    list_reduce(flatten(list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''),
+        lambda c: list_transform([0, 1, 2, 3, 4, 5, 6, 7], lambda i: cast((ord(c) >> i) & 1 as ubigint)))),
+      lambda x, bit: xor(x >> 1, case when xor(x & 1, bit) = 1 then 3988292384::ubigint else 0::ubigint end), 4294967295::ubigint) as crc
+  from conversations
+), g as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+  from (select *, xor(crc, 4294967295::ubigint) % 20 as kind from k) where kind <> 0
+), o as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as pos, left(role, 1) as ini, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as kept from g
+), f as (
+  select *, case when kept = '' then 'b' when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'd' when right(kept, 1) not in ('.', '!', '?') then 't' else '-' end as fault,
+    lag(ini) over (partition by conv_id order by pos) || ini as pair
+  from o
+), counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate,
+    count(*) filter (fault = 't') as truncated, count(*) filter (pair not in ('su', 'ua', 'au')) as illegal, count(*) as n
+  from f group by conv_id
+), nxt(state, ini, dest) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+ins(state, dest, icost, word, added) as (
+  values (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''), (0, 2, 2, 'I', 'u'), (1, 2, 2, 'I', 'u'), (2, 3, 2, 'I', 'a'), (3, 2, 2, 'I', 'u'),
+    (0, 3, 4, 'II', 'ua'), (1, 3, 4, 'II', 'ua')
+), edit as (
+  select 'D' as e, state, null as ini, state as dest, 3 as ecost from (select distinct state from nxt)
+  union all select 'K', state, ini, dest, 0 from nxt union all select 'R', state, ini, dest, 2 from nxt where ini <> 's'
+), best(conv_id, pos, state, cost, audit, repaired) as (
+  select conv_id, cast(0 as bigint), 0, cast(0 as bigint), '', cast([] as varchar[]) from counts
+  union all
+  select conv_id, pos, state, b.cost, b.audit, b.repaired from (
+    select b.conv_id, f.pos, e.dest as state,
+      min({'cost': cast(b.cost + i.icost + e.ecost + case when f.fault = 't' and e.e <> 'D' then 1 else 0 end as bigint), 'audit': b.audit || i.word || e.e,
+        'repaired': list_concat(list_concat(b.repaired, list_transform(list_filter(string_split(i.added, ''), lambda r: r <> ''), lambda r: case r when 'u' then 'user:' else 'assistant:' end)),
+          case e.e when 'D' then cast([] as varchar[]) when 'K' then [f.role || ':' || f.text] else [case e.ini when 'u' then 'user:' else 'assistant:' end || f.text] end)}) as b
+    from best b join f on b.conv_id is not distinct from f.conv_id and f.pos = b.pos + 1
+      join ins i on i.state = b.state join edit e on e.state = i.dest
+    where e.e = 'D' or f.fault not in ('b', 'd') and (e.e = 'R' or e.ini = f.ini)
+    group by b.conv_id, f.pos, e.dest
+  )
+), done as (
+  select b.conv_id, min({'cost': b.cost + i.icost, 'audit': b.audit || i.word, 'repaired': list_concat(b.repaired, list_transform(list_filter(string_split(i.added, ''), lambda r: r <> ''), lambda r: case r when 'u' then 'user:' else 'assistant:' end))}) as d
+  from best b join counts c on b.conv_id is not distinct from c.conv_id and b.pos = c.n join ins i on i.state = b.state where i.dest in (0, 3) group by b.conv_id
+)
+select v.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+  coalesce(illegal, 0) as illegal, coalesce(d.cost, 0) as cost, coalesce(d.audit, '') as audit, sha256(coalesce(array_to_string(d.repaired, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) v left join counts c on v.conv_id is not distinct from c.conv_id left join done on v.conv_id is not distinct from done.conv_id
+"""
+
+SQL = {"op10_decontamination": OP10, "op11_infill": OP11, "op13_conversation_repair": OP13, "op5_warc": OP5, "op1_exact_topk": OP1, "op7_url_filter": OP7}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..session import spread
 from ..sources.tables import read_table
 from . import bpe as BP
+from . import conversations as CO
 from . import decontam as DE
 from . import infill as IN
 from . import quality as QU
@@ -92,3 +93,13 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = IN.restore(IN.transform(_documents(spark, sf_dir)))
     digests = F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256")
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read_table(spark, sf_dir, "conversations")
+    got = CO.repair(CO.damage(given))
+    report, hashes = got.report.withColumnRenamed("conv_id", "reported"), CO.digests(got.rows).withColumnRenamed("conv_id", "hashed")
+    every = given.select("conv_id").distinct()
+    every = every.join(report, F.col("conv_id").eqNullSafe(F.col("reported")), "left").join(hashes, F.col("conv_id").eqNullSafe(F.col("hashed")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
