@@ -143,4 +143,17 @@ select v.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, coalesce(blank, 0)
 from (select distinct conv_id from conversations) v left join counts c on v.conv_id is not distinct from c.conv_id left join done on v.conv_id is not distinct from done.conv_id
 """
 
-SQL = {"op10_decontamination": OP10, "op11_infill": OP11, "op13_conversation_repair": OP13, "op5_warc": OP5, "op1_exact_topk": OP1, "op7_url_filter": OP7}
+OP12 = r"""
+with a as (
+  select page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') as a from pages
+), b as (
+  select page_id, url, string_split(regexp_replace(a, '</?(p|h1)>', chr(1), 'g'), chr(1)) as parts from a
+), c as (
+  select page_id, url, list_transform(parts, lambda x: trim(regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(x, '<br>', ' ', 'g'), '<b>', ''), '&quot;', '"', 'g'),
+    '&amp;?', '&', 'g'), '[ \t\n\r]+', ' ', 'g'))) as parts from b
+)
+select page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)) as text, cast(length(array_to_string(list_filter(parts, lambda x: x <> ''), chr(10))) as bigint) as n_chars
+from c
+"""
+
+SQL = {"op10_decontamination": OP10, "op11_infill": OP11, "op12_html_text": OP12, "op13_conversation_repair": OP13, "op5_warc": OP5, "op1_exact_topk": OP1, "op7_url_filter": OP7}

@@ -10,6 +10,7 @@ from ..sources.tables import read_table
 from . import bpe as BP
 from . import conversations as CO
 from . import decontam as DE
+from . import html_text as HT
 from . import infill as IN
 from . import quality as QU
 from . import secrets as SE
@@ -103,3 +104,8 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = every.join(report, F.col("conv_id").eqNullSafe(F.col("reported")), "left").join(hashes, F.col("conv_id").eqNullSafe(F.col("hashed")), "left")
     counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = HT.main_text(spread(read_table(spark, sf_dir, "pages")))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
