@@ -115,3 +115,29 @@ def test_file_query(spark, odd_docs, monkeypatch):
         at += len(ids)
     assert got == sorted(want)
     assert TF.round_trip(odd_docs.limit(0), WORD).count() == 0
+
+
+def test_trie_holds_every_word_once():
+    r = random.Random(5)
+    words = sorted({bytes(r.choice(b"ab\x00\xff") for _ in range(r.randint(0, 9))) for _ in range(400)})
+
+    def ends(node, start=b""):
+        depth, word, whole, below = node
+        assert word[: len(start)] == start and (whole or len(below) > 1 or depth == 0)
+        yield from [word[:depth]] if whole else []
+        for child in below:
+            assert child[0] > depth
+            yield from ends(child, word[:depth])
+
+    assert sorted(ends(B.trie(words))) == words
+
+
+def test_gathered_decimals_and_bytes(vocab):
+    texts = random_texts(80) + ["", "a  b", "a\n b", "x \n", " \n \n y"]
+    coded = B.encode_ids(vocab, texts, {})
+    sizes = [len(c) // 4 for c in coded]
+    flat = np.frombuffer(b"".join(coded), "<i4")
+    for c, decimals, raw in zip(coded, B.spelled(vocab.decimals, flat, sizes), B.spelled(vocab.pieces, flat, sizes)):
+        text = ",".join(map(str, np.frombuffer(c, "<i4")))
+        assert str(decimals, "ascii") == (text + "," if text else "") and bytes(raw) == vocab.decode(text)
+    assert [bytes(x) for x in B.spelled(vocab.pieces, flat[:0], [0, 0])] == [b"", b""]
