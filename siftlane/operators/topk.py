@@ -1,12 +1,24 @@
 """Exact k-nearest search of a table of queries over a table of vectors.
 
-Both sides become packed block rows on the executors (mapInArrow, narrow).
-Blocks meet on a grid cell, an equi-join that Spark plans like any other: a
-small query table is broadcast by its size, a large one is shuffled.  A task
-then scores block against block with numpy and keeps, over all blocks that it
-sees, the k best of each query (no pair ever becomes a row); one shuffle on
+Both sides become packed block rows on the executors (mapInArrow, narrow) and
+meet in the cells of a grid, corpus groups by query groups (fragment and
+replicate): a corpus block visits every query group, a query block every
+corpus group, and the equi-join on (corpus group, query group) pairs them.
+The numbers of groups come from the measured row counts of both sides, as
+scalar subqueries of the same lazy plan: about CELLS_PER_PARTITION cells a
+shuffle partition, in the proportion that moves the fewest bytes, and more
+where a cell would exceed CELL_BYTES.  Queries that Spark will broadcast
+anyway make one group, so nothing is replicated.
+
+A task scores block against block with numpy and keeps, over all blocks that
+it sees, the k best of each query (no pair ever becomes a row); one shuffle on
 the query merges the tasks' results with row_number() <= k.
 
+With a large k (COUNT_FROM) a Hamming search counts first: every task sums how
+many rows lie at each distance of each query, the sums give the distance of
+the k-th best, and the scan then passes on only rows up to that distance:
+about queries x k rows in all, however many tasks see a query.
+
 Selection is cheap next to scoring: each query has a running threshold, its
 k-th best key so far, and only cells at or below it are looked at.  Keys are
 integers (the Hamming distance, or the cosine rounded to 6 decimals), and the
@@ -26,8 +38,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Grid cells that the queries are dealt to; a block of vectors visits each.
-QUERY_CELLS = 4
+# Cells of the grid for each shuffle partition, and bytes that one side may have in a cell.
+CELLS_PER_PARTITION = 3
+CELL_BYTES = 32 << 20
+# A group has at least so many vectors (queries), and so does a block where there are enough.
+GROUP_ROWS = 256
+GROUP_QUERIES = 64
+# From this k on, a Hamming search counts distances first.
+COUNT_FROM = 64
 # Rows and bytes of a packed block at most.
 QUERY_ROWS = 1024
 BLOCK_ROWS = 16384
@@ -76,37 +94,43 @@ def _matrix(vec: pa.Array, width: int, mode: str) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(kind).reshape(len(vec), width)
 
 
-def _pack(width: int, mode: str, rows: int, with_self: bool, cells: int):
-    """Arrow batches (id, vec[, self]) as block rows; ``cells`` > 0 deals the rows out to grid cells, else they are sorted by id."""
+def _pack(width: int, mode: str, rows: int, least: int):
+    """Arrow batches (id, vec, groups[, self][, cut]) as block rows of neighbouring ids; the blocks are dealt out to the groups."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyspark
+
+        dealt = 7919 * pyspark.TaskContext.get().partitionId()
         for b in batches:
             if b.num_rows == 0:
                 continue
             ids, mat = b.column("id"), _matrix(b.column("vec"), width, mode)
             if ids.null_count:
                 raise ValueError("a row without an id cannot be searched")
-            selfs = b.column("self").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False) if with_self else None
-            if cells:
-                groups = [(c, np.arange(c, b.num_rows, cells)) for c in range(min(cells, b.num_rows))]
-            else:
-                groups = [(0, np.argsort(_sort_ranks(ids), kind="stable"))]
-            for cell, at in groups:
-                for s in range(0, len(at), rows):
-                    own = at[s : s + rows]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([cell], pa.int32()), pa.array([len(own)], pa.int32()), pa.array([_to_ipc(ids.take(pa.array(own)))], pa.binary()),
-                            pa.array([np.ascontiguousarray(mat[own]).tobytes()], pa.binary()), pa.array([str(mat.dtype)]),
-                            pa.array([None if selfs is None else selfs[own].tobytes()], pa.binary()),
-                        ],
-                        names=["cell", "n", "ids", "vecs", "kind", "selfs"],
-                    )
+            more = [
+                b.column(c).fill_null(missing).to_numpy(zero_copy_only=False).astype(np.int64) if c in b.schema.names else None
+                for c, missing in (("self", np.iinfo(np.int64).min), ("cut", _NO_CUT))
+            ]
+            groups = b.column("groups")[0].as_py()
+            order = np.argsort(_sort_ranks(ids), kind="stable")
+            size = min(rows, max(least, -(-len(order) // groups)))
+            for s in range(0, len(order), size):
+                own = order[s : s + size]
+                dealt += 1
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([dealt % groups], pa.int32()), pa.array([len(own)], pa.int32()), pa.array([_to_ipc(ids.take(pa.array(own)))], pa.binary()),
+                        pa.array([np.ascontiguousarray(mat[own]).tobytes()], pa.binary()), pa.array([str(mat.dtype)]),
+                        *(pa.array([None if m is None else m[own].tobytes()], pa.binary()) for m in more),
+                    ],
+                    names=["own", "n", "ids", "vecs", "kind", "selfs", "cuts"],
+                )
 
     return run
 
 
-_BLOCK = "cell int, n int, ids binary, vecs binary, kind string, selfs binary"
+_BLOCK = "own int, n int, ids binary, vecs binary, kind string, selfs binary, cuts binary"
+_NO_CUT = np.iinfo(np.int32).max
 
 
 def hamming_keys(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -130,8 +154,9 @@ def cosine_keys(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 class RunningTopK:
     """The k best (key, id) of each query of a block over all vector blocks so far."""
 
-    def __init__(self, n: int, k: int):
-        self.k, self.limit = k, np.full(n, np.iinfo(np.int32).max, np.int64)
+    def __init__(self, n: int, k: int, cuts: np.ndarray | None = None):
+        """``cuts``: keys that the k best of each query do not exceed, where known."""
+        self.k, self.limit = k, np.full(n, _NO_CUT, np.int64) if cuts is None else cuts.copy()
         self.parts: list[tuple[np.ndarray, np.ndarray, pa.Array]] = []
         self.held = 0
 
@@ -140,7 +165,7 @@ class RunningTopK:
         if skip is not None:
             keys = np.where(skip, np.iinfo(keys.dtype).max, keys)
         limit = self.limit[first : first + len(keys)]
-        fresh = np.flatnonzero(limit == np.iinfo(np.int32).max)
+        fresh = np.flatnonzero(limit == _NO_CUT)
         if len(fresh) and keys.shape[1] > self.k:  # no threshold yet: the k-th best key of this block
             limit[fresh] = np.partition(keys[fresh], self.k - 1, axis=1)[:, self.k - 1]
         qi, pos = np.nonzero(keys <= np.minimum(limit, np.iinfo(keys.dtype).max)[:, None].astype(keys.dtype))
@@ -175,43 +200,106 @@ class RunningTopK:
         return out
 
 
-def _search(mode: str, k: int, width: int):
+class RunningCounts:
+    """How many rows lie at each distance of each query of a block, over all vector blocks so far."""
+
+    def __init__(self, n: int, k: int, width: int):
+        self.k, self.counts = k, np.zeros((n, 64 * width + 1), np.int64)
+
+    def add(self, first: int, keys: np.ndarray, ids: pa.Array, skip: np.ndarray | None = None) -> None:
+        bins = self.counts.shape[1]
+        at = keys.astype(np.int64) + np.arange(len(keys))[:, None] * bins
+        at = at.ravel() if skip is None else at[~skip]
+        self.counts[first : first + len(keys)] += np.bincount(at, minlength=len(keys) * bins).reshape(len(keys), bins)
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, distance, rows) up to the distance of the k-th row; farther ones cannot matter."""
+        before = np.cumsum(self.counts, axis=1) - self.counts
+        qi, key = np.nonzero((self.counts > 0) & (before < self.k))
+        return qi, key, self.counts[qi, key]
+
+
+def _over_pairs(mode: str, k: int, width: int, count: bool):
+    """mapInArrow over joined blocks: the k best rows of each query, or with ``count`` its rows by distance."""
     keys_of = hamming_keys if mode == "hamming" else cosine_keys
+    per_query = 64 * width + 1 if count else k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state: dict[bytes, tuple[pa.Array, RunningTopK]] = {}
+        state: dict[bytes, tuple[pa.Array, RunningTopK | RunningCounts]] = {}
 
         def rows(name):
-            q_ids, top = state.pop(name)
-            out = top.compact()
-            if out is not None:
+            q_ids, held = state.pop(name)
+            if count:
+                qi, key, n = held.rows()
+                yield pa.RecordBatch.from_arrays([q_ids.take(pa.array(qi)), pa.array(key.astype(np.int64)), pa.array(n)], names=["query_id", "key", "n"])
+            elif (out := held.compact()) is not None:
                 yield pa.RecordBatch.from_arrays([q_ids.take(pa.array(out[0])), out[2], pa.array(out[1])], names=["query_id", "id", "key"])
 
         for b in batches:
             get = {c: b.column(c) for c in b.schema.names}
             for i in range(b.num_rows):
                 name = get["q_ids"][i].as_py()
+                selfs, cuts = (None if x is None else np.frombuffer(x, np.int64) for x in (get["q_selfs"][i].as_py(), get["q_cuts"][i].as_py()))
                 if name not in state:
                     q_ids = _from_ipc(name)
-                    while state and sum(len(s[0]) for s in state.values()) * k > MAX_STATE_CELLS:
+                    while state and sum(len(s[0]) for s in state.values()) * per_query > MAX_STATE_CELLS:
                         yield from rows(next(iter(state)))
-                    state[name] = (q_ids, RunningTopK(len(q_ids), k))
-                top = state[name][1]
+                    state[name] = (q_ids, RunningCounts(len(q_ids), k, width) if count else RunningTopK(len(q_ids), k, cuts))
+                held = state[name][1]
                 q = np.frombuffer(get["q_vecs"][i].as_py(), get["q_kind"][i].as_py()).reshape(-1, width)
                 c = np.frombuffer(get["vecs"][i].as_py(), get["kind"][i].as_py()).reshape(-1, width)
-                ids, selfs = _from_ipc(get["ids"][i].as_py()), get["q_selfs"][i].as_py()
-                own = None if selfs is None else np.frombuffer(selfs, np.int64)
-                plain = None if own is None else ids.to_numpy(zero_copy_only=False)
+                ids = _from_ipc(get["ids"][i].as_py())
+                plain = None if selfs is None else ids.to_numpy(zero_copy_only=False)
                 for s in range(0, len(q), _STRIP):
-                    skip = None if own is None else own[s : s + _STRIP, None] == plain[None, :]
-                    top.add(s, keys_of(q[s : s + _STRIP], c), ids, skip)
+                    skip = None if selfs is None else selfs[s : s + _STRIP, None] == plain[None, :]
+                    held.add(s, keys_of(q[s : s + _STRIP], c), ids, skip)
         for name in list(state):
             yield from rows(name)
 
     return run
 
 
-def scan_top_k(
+def _conf(spark, key: str) -> str:
+    return spark.conf.get(f"spark.sql.{key}")
+
+
+def _broadcast_bytes(spark) -> int:
+    """Spark's limit for broadcast sides; 0 if it does not choose them by measured size."""
+    if _conf(spark, "adaptive.enabled") != "true":
+        return 0
+    limit = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) or _conf(spark, "autoBroadcastJoinThreshold")
+    return max(0, int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)) if not limit.lstrip("-").isdigit() else int(limit))
+
+
+def grid(corpus: DataFrame, queries: DataFrame, width: int) -> tuple[Column, Column]:
+    """The numbers of corpus groups and of query groups, as scalar subqueries over the counts of both sides."""
+    spark = corpus.sparkSession
+    wanted = CELLS_PER_PARTITION * int(_conf(spark, "shuffle.partitions"))
+    n, q = (F.greatest(df.agg(F.count(F.lit(1)).alias("n")).scalar(), F.lit(1)) for df in (corpus, queries))
+    row = 8 * width + 24
+    share = F.round(F.sqrt(F.lit(float(wanted)) * q / n))  # groups in the proportion of the sides
+    q_groups = F.greatest(F.least(share, F.ceil(q / GROUP_QUERIES)), F.ceil(q * row / CELL_BYTES), F.lit(1))
+    c_groups = F.greatest(F.least(F.ceil(F.lit(wanted) / q_groups), F.ceil(n / GROUP_ROWS)), F.ceil(n * row / CELL_BYTES), F.lit(1))
+    small = q * (4 * row) <= _broadcast_bytes(spark)  # block rows hold ids and vectors a second time while they are built
+    return tuple(F.when(small, F.lit(1)).otherwise(g).cast("int") for g in (c_groups, q_groups))
+
+
+def _pairs(scan: DataFrame, asked: DataFrame, c_groups: Column, q_groups: Column, mode: str, width: int) -> DataFrame:
+    """Corpus blocks beside query blocks, one row for each two that meet."""
+    rows = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * width)))
+    left = scan.withColumn("groups", c_groups).mapInArrow(_pack(width, mode, rows, min(rows, GROUP_ROWS)), _BLOCK)
+    right = asked.withColumn("groups", q_groups).mapInArrow(_pack(width, mode, QUERY_ROWS, min(QUERY_ROWS, GROUP_QUERIES)), _BLOCK)
+
+    def other(df: DataFrame, groups: Column, name: str) -> DataFrame:
+        return df.withColumn("groups", groups).withColumn(name, F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
+
+    left = other(left, q_groups, "q_group").withColumnRenamed("own", "c_group")
+    right = other(right, c_groups, "c_group_").select("c_group_", *[F.col(c).alias(f"q_{c}") for c in ("own", "ids", "vecs", "kind", "selfs", "cuts")])
+    met = left.join(right, (F.col("c_group") == F.col("c_group_")) & (F.col("q_group") == F.col("q_own")))
+    return met.select("ids", "vecs", "kind", "q_ids", "q_vecs", "q_kind", "q_selfs", "q_cuts")
+
+
+def partial_top_k(
     corpus: DataFrame,
     queries: DataFrame,
     *,
@@ -223,8 +311,31 @@ def scan_top_k(
     q_id: str = "query_id",
     q_vec: str = "q_code",
     q_self: str | None = None,
-    cells: int = QUERY_CELLS,
+    cells: tuple[int, int] | int | None = None,
+    count_first: bool | None = None,
 ) -> DataFrame:
+    """What the tasks of :func:`scan_top_k` pass on: ``(query_id, id, key)``, a superset of the k best of each query."""
+    if mode not in ("hamming", "cosine"):
+        raise ValueError(f"unknown mode {mode!r}")
+    scan = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
+    own = [F.col(q_self).cast("long").alias("self")] if q_self is not None else []
+    asked = queries.select(F.col(q_id).alias("id"), F.col(q_vec).alias("vec"), *own)
+    if cells is None:
+        c_groups, q_groups = grid(scan, asked, width)
+    else:
+        c_groups, q_groups = map(F.lit, (1, cells) if isinstance(cells, int) else cells)
+    ids, q_ids = (df.schema[c].dataType.simpleString() for df, c in ((scan, "id"), (asked, "id")))
+    if count_first or count_first is None and mode == "hamming" and k >= COUNT_FROM:
+        counted = _pairs(scan, asked, c_groups, q_groups, mode, width).mapInArrow(_over_pairs(mode, k, width, True), f"query_id {q_ids}, key long, n long")
+        counted = counted.groupBy("query_id", "key").agg(F.sum("n").alias("n"))
+        so_far = F.sum("n").over(Window.partitionBy("query_id").orderBy("key"))
+        cuts = counted.withColumn("so_far", so_far).where(F.col("so_far") >= k).groupBy(F.col("query_id").alias("cut_id")).agg(F.min("key").alias("cut"))
+        asked = asked.join(cuts, F.col("id") == F.col("cut_id"), "left").drop("cut_id")
+    pairs = _pairs(scan, asked, c_groups, q_groups, mode, width)
+    return pairs.mapInArrow(_over_pairs(mode, k, width, False), f"query_id {q_ids}, id {ids}, key long")
+
+
+def scan_top_k(corpus: DataFrame, queries: DataFrame, *, k: int, mode: str, **more) -> DataFrame:
     """Exact top-k of every query over the corpus: ``(query_id, id, value, rank)``.
 
     ``mode='hamming'``: vectors are BIGINT code words (``width`` words), the
@@ -232,20 +343,12 @@ def scan_top_k(
     ``mode='cosine'``: vectors are float arrays of length ``width``; ``value``
     is the cosine rounded to 6 decimals, larger is better.
     ``q_self`` names a query column holding a (BIGINT) corpus id to exclude.
-    A row without an id or a vector, or of another width, fails the job.
+    ``cells`` sets the grid, (corpus groups, query groups) or only the latter,
+    and ``count_first`` whether distances are counted first; neither changes
+    the result.  Query ids are distinct.  A row without an id or a vector, or
+    of another width, fails the job.
     """
-    if mode not in ("hamming", "cosine"):
-        raise ValueError(f"unknown mode {mode!r}")
-    rows = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * width)))
-    scan = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
-    own = [F.col(q_self).cast("long").alias("self")] if q_self is not None else []
-    asked = queries.select(F.col(q_id).alias("id"), F.col(q_vec).alias("vec"), *own)
-    left = scan.mapInArrow(_pack(width, mode, rows, False, 0), _BLOCK).select("n", "ids", "vecs", "kind", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
-    right = asked.mapInArrow(_pack(width, mode, QUERY_ROWS, q_self is not None, cells), _BLOCK)
-    right = right.select(F.col("cell").alias("q_cell"), *[F.col(c).alias(f"q_{c}") for c in ("ids", "vecs", "kind", "selfs")])
-    pairs = left.join(right, F.col("cell") == F.col("q_cell")).select("ids", "vecs", "kind", "q_ids", "q_vecs", "q_kind", "q_selfs")
-    ids, q_ids = (df.schema[c].dataType.simpleString() for df, c in ((scan, "id"), (asked, "id")))
-    hits = pairs.mapInArrow(_search(mode, k, width), f"query_id {q_ids}, id {ids}, key long")
+    hits = partial_top_k(corpus, queries, k=k, mode=mode, **more)
     top = top_k_per_key(hits, ["query_id"], [F.col("key"), F.col("id")], k)
     value = F.col("key").cast("double") if mode == "hamming" else (F.lit(_COS_SCALE) - F.col("key")) / F.lit(float(_COS_SCALE))
     return top.select("query_id", "id", value.alias("value"), "rank")
