@@ -68,18 +68,22 @@ def http_payload(block: bytes) -> bytes:
     return dechunked(body) if re.search(rb"(?im)^transfer-encoding:\s*chunked\s*$", head) else body
 
 
+#: A payload of one page that more than 1 / HOT of all rows repeat is dealt to SALTS tasks.
+HOT, SALTS = 500, 32
+
+
 def _record(fields: list[tuple[str, object]], block: bytes) -> bytes:
     lines = ["WARC/1.1", *(f"{k}: {v}" for k, v in fields if v is not None), f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
 def page_records(key: str, page_id, url, payload: bytes, digest: str, refers_to, date: str, segment_bytes: int, chunk_bytes: int) -> list[bytes]:
-    """The records of one page, without the separators after them."""
+    """The records of one page, without the separators after them.  A revisit has the payload of the page it refers to, so that record's name follows."""
     uri = None if url is None else re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
     own = [("WARC-Date", date), ("X-Page-Id", page_id), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha256:{digest}"), ("Content-Type", "application/http; msgtype=response")]
     name = f"<urn:page:{key}>"
     if refers_to is not None:
-        more = [("WARC-Type", "revisit"), ("WARC-Record-ID", name), ("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{refers_to}:1>"), ("X-Refers-To-Page", refers_to)]
+        more = [("WARC-Type", "revisit"), ("WARC-Record-ID", name), ("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{refers_to}:{digest}>"), ("X-Refers-To-Page", refers_to)]
         return [_record(more + own, HTTP + b"\r\n")]
     block = HTTP + b"Transfer-Encoding: chunked\r\n\r\n" + chunked(payload, chunk_bytes)
     cut = [block[i : i + segment_bytes] for i in range(0, len(block), segment_bytes)]
@@ -115,24 +119,34 @@ def parse_records(data: bytes):
 def write(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:00Z", segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES, compression: str = "gzip") -> None:
     """Writes a record for every row of ``pages`` (``page_id``, ``url``, ``html``).
 
-    Of rows with equal payloads of REVISIT_FROM bytes or more, that with the
-    smallest page_id is the response; rows without a page_id are always
-    responses and never referred to.  A null html is an empty payload."""
+    Of rows with equal payloads of REVISIT_FROM bytes or more, those with the
+    smallest page_id are responses; rows without a page_id are always
+    responses and never referred to.  A null html is an empty payload, rows
+    that repeat have a record each, an empty table gives no files, and other
+    columns are not read.
+
+    Records are named by page_id and payload digest, which a revisit knows of
+    its response; rows that repeat both are numbered from the second on.  A
+    pair that more than 1 / HOT of all rows share, however that comes, is
+    dealt to SALTS tasks; its first row has salt 0, which of that many rows
+    some have."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("html"), F.sha2(payload, 256).alias("digest"))
-    total = rows.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    tasks = min(MAX_TASKS, max(1, -(-total // ARCHIVE_BYTES)))
-    shared = rows.where((F.octet_length("html") >= REVISIT_FROM) & F.col("page_id").isNotNull()).select("page_id", "digest")
+    rows = rows.withColumn("key", F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), "digest"))
+    total, n = rows.agg(F.sum(F.octet_length("html")), F.count("*")).first()
+    tasks = min(MAX_TASKS, max(1, -(-(total or 0) // ARCHIVE_BYTES)))
+    hot = rows.groupBy("key").agg(F.count("*").alias("n")).where((F.col("n") * HOT > n) & (F.col("n") > SALTS * SALTS)).select("key", F.lit(SALTS).alias("salts"))
+    hot = F.broadcast(hot)  # fewer than HOT rows
+    shared = rows.where((F.octet_length("html") >= REVISIT_FROM) & F.col("page_id").isNotNull()).select("key", "page_id", "digest")
     first = shared.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("last > refers_to")
-    revisits = shared.join(first.drop("last"), "digest").where("page_id > refers_to").distinct()
-    # a page_id has one entry unless rows repeat it
-    revisits = revisits.groupBy(F.col("page_id").cast("string").alias("key")).agg(F.collect_list(F.struct("digest", "refers_to")).alias("same"))
-    key = F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("none-"), "digest"))
-    # the texts are shuffled once: by a row's own key, for the join and for the count of rows that repeat it
-    rows = rows.withColumn("key", key).repartition(tasks, "key").join(revisits, "key", "left")
-    nth = F.row_number().over(Window.partitionBy("key").orderBy("digest"))
-    rows = rows.withColumn("refers_to", F.get(F.filter("same", lambda x: x["digest"] == F.col("digest")), 0)["refers_to"])
-    rows = rows.withColumn("key", F.concat_ws(":", "key", nth.cast("string")))
+    revisits = shared.distinct().join(first.drop("last"), "digest").where("page_id > refers_to").select("key", "refers_to").join(hot, "key", "left")
+    revisits = revisits.select("key", "refers_to", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+    salt = F.pmod(F.monotonically_increasing_id(), F.coalesce("salts", F.lit(1))).cast("int")
+    # the texts are shuffled once, for the join and for the count of rows that repeat a key
+    rows = rows.join(hot, "key", "left").withColumn("salt", salt).repartition(tasks, "key", "salt").join(revisits, ["key", "salt"], "left")
+    nth = F.row_number().over(Window.partitionBy("key", "salt").orderBy("digest"))
+    number = F.when((F.col("salt") > 0) | (nth > 1), F.concat_ws(":", F.col("salt").cast("string"), nth.cast("string")))
+    rows = rows.withColumn("key", F.concat_ws(":", "key", number))
 
     def records(batches):
         for b in batches:

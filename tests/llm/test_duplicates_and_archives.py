@@ -157,6 +157,21 @@ def test_archive_round_trip(spark, compression, tmp_path):
     assert W.read(spark, f"{tmp_path}/b").count() == 0
 
 
+@pytest.mark.parametrize("salts", [32, 4])
+def test_revisits_name_a_record_with_their_digest(spark, tmp_path, monkeypatch, salts):
+    monkeypatch.setattr(W, "SALTS", salts)
+    rows = [(5, "u", "q" * 150, None), (5, "u", "x" * 200, None), (5, "u", "x" * 200, None), (6, "u", "x" * 200, None), (7, "u", "q" * 150, None)] + [(None, "n", "x" * 200, None)] * 30 + [(9, "h", "x" * 200, None)] * 30
+    W.write(spark.createDataFrame(rows, PAGES).repartition(3), f"{tmp_path}/a", compression="none")
+    records = [h for f in tmp_path.glob("a/part*") for h, _ in W.parse_records(f.read_bytes())]
+    by_name = {h["warc-record-id"]: h for h in records}
+    assert len(by_name) == len(records) == len(rows)
+    revisits = [h for h in records if h["warc-type"] == "revisit"]
+    assert len(revisits) == 32
+    for h in revisits:
+        to = by_name[h["warc-refers-to"]]
+        assert to["warc-type"] == "response" and to["warc-payload-digest"] == h["warc-payload-digest"] and to["x-page-id"] == h["x-refers-to-page"]
+
+
 def test_missing_segments_fail(spark, tmp_path):
     recs = W.page_records("1:1", 1, "u", b"z" * 5000, "d", None, "2000-01-01T00:00:00Z", 1000, 300)
     (tmp_path / "f").write_bytes(b"".join(r + b"\r\n\r\n" for r in recs[:2] + recs[3:]))
