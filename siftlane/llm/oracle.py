@@ -2,19 +2,19 @@
 
 OP1 = """
 with v as (
-  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  select row_number() over (order by vec_id) as id, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
   from embeddings
   where vec_id is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
 ), e as (
-  select vec_id, generate_subscripts(v, 1) as i, unnest(v) as x from v
+  select id, vec_id, generate_subscripts(v, 1) as i, unnest(v) as x from v
 ), s as (
-  select q.vec_id as query_id, p.vec_id, sum(q.x * p.x) as score
-  from e q join e p on q.i = p.i and q.vec_id <> p.vec_id
+  select q.id, q.vec_id as query_id, p.id as other, p.vec_id, sum(q.x * p.x) as score
+  from e q join e p on q.i = p.i and q.id <> p.id
   where q.vec_id % 50 = 0
   group by all
 ), r as (
-  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, cast(score as bigint) as score
+  select query_id, cast(row_number() over (partition by id order by score desc, vec_id, other) as integer) as rank, vec_id, cast(score as bigint) as score
   from s
 )
 select * from r where rank <= 5

@@ -47,17 +47,20 @@ BLOCK = pa.schema([("block", pa.int32()), ("reach", pa.float64()), ("n", pa.int3
 
 
 def quantise(df: DataFrame, scale: int = 256, vec: str = "embedding", id: str = "vec_id") -> DataFrame:
-    """``(vec_id, v, n2)``: components floor(scale * x), and the squared length.
+    """``(row, vec_id, v, n2)``: components floor(scale * x), and the squared length.
 
     Rows whose id or vector is null, or whose vector holds null or non-finite
-    components, take no part.  Rows that share an id are one vector, the
-    smallest.  The result is written once, as several steps read it."""
+    components, take no part.  ``row`` numbers the rows in the order of their
+    ids, so rows that share an id stay apart.  The result is written once, as
+    several steps read it."""
     x = F.col(vec)
     fine = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
     rows = df.where(F.col(id).isNotNull() & x.isNotNull() & F.coalesce(fine, F.lit(False))).select(
         F.col(id).cast("long").alias("vec_id"), F.transform(x, lambda e: F.floor(scale * e.cast("double"))).alias("v")
     )
-    rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    order = ["vec_id", F.xxhash64("v"), "place"]  # the place only spreads equal rows
+    rows = rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v")
     return freeze(rows.withColumn("n2", F.aggregate("v", F.lit(0).cast("long"), lambda a, e: a + e * e)), "vectors")
 
 
@@ -114,7 +117,7 @@ def _pack(seeds: tuple | None, k: int):
 
         for b in batches:
             if b.num_rows:
-                ids.append(b.column("vec_id").to_numpy(zero_copy_only=False))
+                ids.append(b.column("row").to_numpy(zero_copy_only=False))
                 mats.append(_matrix(b.column("v")))
                 held += b.num_rows
                 if held >= 16 * BLOCK_ROWS:
@@ -205,7 +208,7 @@ def search_cell(q, qid, theta, p, pid, k):
     return best
 
 
-HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+HITS = pa.schema([("query_row", pa.int64()), ("row", pa.int64()), ("score", pa.int64())])
 
 
 def _unpack(row, prefix):
@@ -237,35 +240,46 @@ def _search(k: int):
 
 def _blocks(df: DataFrame, seeds, k: int, prefix: str) -> DataFrame:
     ddl = "block int, reach double, n int, ids binary, theta binary, vecs binary"
-    out = df.select("vec_id", "v").mapInArrow(_pack(seeds, k), ddl)
+    out = df.select("row", "v").mapInArrow(_pack(seeds, k), ddl)
     return out.select([F.col(c).alias(prefix + c) for c in out.columns])
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: each query's k highest integer inner products over every other vector.
+    """``(query_id, rank, vec_id, score)``: each query's k highest integer inner products over every row but its own.
 
-    Both inputs come from :func:`quantise`.  Ties go to the smaller id; a
-    query with fewer than k candidates returns all of them; vectors of
-    unequal size are compared as if the shorter one ended in zeros.  Empty
-    tables give no rows.
+    ``vectors`` comes from :func:`quantise`, ``queries`` are some of its rows.
+    Ties go to the smaller id; a query with fewer than k candidates returns
+    all of them; of rows that share an id each is a query and a candidate of
+    its own; vectors of unequal size are compared as if the shorter one ended
+    in zeros.  Empty tables give no rows.
 
     Scale: a block is at most BLOCK_ROWS vectors, so a task holds two blocks
     at a time.  Each vector is moved once and each query block once for every
-    cell that it may reach; per cell a query returns at most k rows.
+    cell that it may reach: cells descend in length, so these are the first
+    ones, up to a number that is known from the cells' longest vectors (at
+    most MAX_CELLS numbers).  Per cell a query returns at most k rows.
     """
     n, nq = vectors.count(), queries.count()
     cells, qblocks = (min(MAX_CELLS, max(1, math.ceil(x / BLOCK_ROWS))) for x in (n, nq))
-    top = vectors.orderBy(F.desc("n2"), "vec_id").limit(SEED_ROWS).collect()
+    top = vectors.orderBy(F.desc("n2"), "row").limit(SEED_ROWS).collect()
     dim = max([len(r["v"]) for r in top], default=0)
     seeds = (
-        np.array([r["vec_id"] for r in top], np.int64),
+        np.array([r["row"] for r in top], np.int64),
         np.array([list(r["v"]) + [0] * (dim - len(r["v"])) for r in top], np.int64).reshape(len(top), dim),
     )
-    probes = _blocks(vectors.repartitionByRange(cells, F.desc("n2"), "vec_id"), None, k, "p_")
-    wanted = _blocks(queries.repartitionByRange(qblocks, F.desc("n2"), "vec_id"), seeds, k, "q_")
-    pairs = wanted.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))).join(
-        probes, (F.col("cell") == F.col("p_block")) & (F.col("p_reach") >= F.col("q_reach"))
+    probes = freeze(_blocks(vectors.repartitionByRange(cells, F.desc("n2"), "row"), None, k, "p_"), "cells")
+    wanted = _blocks(queries.repartitionByRange(qblocks, F.desc("n2"), "row"), seeds, k, "q_")
+    reaches = sorted(r[0] for r in probes.groupBy("p_block").agg(F.max("p_reach")).select("max(p_reach)").collect())
+    # the cells that a block reaches are those of the largest reaches, which come first
+    first = F.lit(len(reaches)) - F.size(F.filter(F.array(*map(F.lit, reaches)), lambda r: r < F.col("q_reach")))
+    visits = F.when(first > 0, F.sequence(F.lit(0), first - 1)).otherwise(F.array().cast("array<int>"))
+    ranked = probes.select(F.col("p_block").alias("same")).distinct().withColumn("cell", F.row_number().over(Window.orderBy("same")) - 1)  # at most MAX_CELLS rows
+    pairs = wanted.withColumn("cell", F.explode(visits)).join(
+        probes.join(F.broadcast(ranked), F.col("p_block") == F.col("same")).withColumnRenamed("cell", "p_cell"), (F.col("cell") == F.col("p_cell")) & (F.col("p_reach") >= F.col("q_reach"))
     )
-    hits = pairs.select("p_n", "p_ids", "p_vecs", "q_n", "q_ids", "q_vecs", "q_theta").mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    hits = pairs.select("p_n", "p_ids", "p_vecs", "q_n", "q_ids", "q_vecs", "q_theta").mapInArrow(_search(k), "query_row long, row long, score long")
+    w = Window.partitionBy("query_row").orderBy(F.desc("score"), "row")
+    best = hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ids = vectors.select("row", "vec_id")
+    asked = queries.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"))
+    return best.join(ids, "row").join(asked, "query_row").select("query_id", "rank", "vec_id", "score")

@@ -32,9 +32,10 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def host_suffixes(host: Column) -> Column:
-    labels = F.split(host, r"\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def host_suffixes(host: Column, labels: list[int]) -> Column:
+    """The last n labels of a host, for each n given that it has."""
+    has = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    return F.array_compact(F.array(*(F.when(has >= n, F.substring_index(host, ".", -n)) for n in labels)))
 
 
 def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str = DEFAULT_VERDICT) -> DataFrame:
@@ -55,8 +56,9 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str =
     rules = rules.where("action is not null and host is not null and path is not null").select(
         "action", ascii_lower(F.col("host")).alias("rule_host"), F.col("path").alias("rule_path")
     )
-    # a handful of integers: path lengths are bounded by the longest rule
+    # a handful of integers: only host suffixes and path prefixes as long as those of some rule can fit
     lengths = sorted(r[0] for r in rules.select(F.length("rule_path")).distinct().collect())
+    labels = sorted(r[0] for r in rules.select(F.size(F.split("rule_host", r"\.", -1))).distinct().collect())
     rules = rules.select(
         "action",
         F.concat("rule_host", "rule_path").alias("rule"),
@@ -68,7 +70,7 @@ def judge_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str =
     urls = df.select(key).distinct().select(key, url_host(F.col(key)).alias("host"), url_path(F.col(key)).alias("path"))
     if lengths:
         expressions = urls.select(
-            key, "path", F.explode(host_suffixes(F.col("host"))).alias("suffix")
+            key, "path", F.explode(host_suffixes(F.col("host"), labels)).alias("suffix")
         ).select(
             key, "path", "suffix", F.explode(F.array(*map(F.lit, lengths))).alias("n")
         ).where(F.col("n") <= F.length("path")).select(

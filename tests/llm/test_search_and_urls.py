@@ -43,7 +43,8 @@ def test_top_k_of_odd_vectors(spark):
     rows = [(0, [1.0, 0.5], 0), (1, [1.0, 0.5], 0), (2, None, 0), (3, [1.0, None], 0), (4, [nan, 1.0], 0), (5, [inf, 1.0], 0), (None, [1.0, 1.0], 0), (6, [], 0), (7, [2.0], 0), (0, [1.0, 0.5], 9)]
     v = TK.quantise(spark.createDataFrame(rows, VECTORS))
     got = sorted(tuple(x) for x in TK.top_k(v.where("vec_id = 0"), v, 5).collect())
-    assert got == [(0, 1, 7, 131072), (0, 2, 1, 81920), (0, 3, 6, 0)]
+    # the two rows of id 0 are a query and a candidate each
+    assert got == [(0, 1, 7, 131072)] * 2 + [(0, 2, 0, 81920)] * 2 + [(0, 3, 1, 81920)] * 2 + [(0, 4, 6, 0)] * 2
     assert TK.top_k(v.limit(0), v.limit(0), 5).count() == 0
 
 
@@ -85,3 +86,32 @@ def test_no_python_in_the_url_plan(spark):
     df = spark.range(3).select(F.col("id").alias("page_id"), F.concat(F.lit("http://a/"), "id").alias("url"))
     plan = UR.judge_urls(df, rules)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_rows_of_one_id_are_all_candidates(spark, monkeypatch, tmp_path):
+    from oracle import rows_of_duck, rows_of_spark
+
+    from siftlane.llm.oracle import SQL
+
+    v = TK.quantise(spark.createDataFrame([(0, [1.0, 1.0], 0), (1, [1.0, 0.5], 0), (1, [3.0, 3.0], 0)], VECTORS))
+    assert [(r.vec_id, r.score) for r in TK.top_k(v.where("vec_id = 0"), v, 5).orderBy("rank").collect()] == [(1, 393216), (1, 196608 // 2)]
+    monkeypatch.setattr(TK, "BLOCK_ROWS", 32)
+    r = random.Random(8)
+    rows = [(r.choice((50, 100, *range(7))), [r.gauss(0, 2 ** r.randint(0, 4)) for _ in range(5)], 0) for _ in range(400)] + [(50, [9.0] * 5, 0)] * 200
+    spark.createDataFrame(rows, VECTORS).write.parquet(f"{tmp_path}/embeddings.parquet")
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert rows_of_spark(Q.op1_exact_topk(spark, str(tmp_path))) == rows_of_duck(con, SQL["op1_exact_topk"])
+
+
+def test_very_long_hosts(spark):
+    import time
+
+    host = ".".join(["a"] * 50_000)
+    rules = spark.createDataFrame(Q.URL_RULES, "action string, host string, path string")
+    df = spark.createDataFrame([(1, f"http://{host}.example.com/en/x"), (2, f"http://{host}.net/fr/"), (3, f"http://{host}")], "page_id long, url string")
+    start = time.time()
+    got = {r.page_id: (r.rule, r.verdict) for r in UR.judge_urls(df, rules).collect()}
+    assert got == {1: ("example.com/en/", "block"), 2: ("net/fr/", "block"), 3: (None, "allow")} and time.time() - start < 30
