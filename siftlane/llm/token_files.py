@@ -141,6 +141,10 @@ PLAIN = re.compile(r"[!-~À-ɏ]*")
 PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^a-z0-9ß-öø-ɏ]+")
 
 
+#: Characters of a text by which rows of one id are ordered.
+TIE_CHARS = 256
+
+
 class WordEncoder(dict):
     """Piece (UTF-8, without ASCII white space) to its ids as little-endian u32, asked of the tokenizer once."""
 
@@ -153,6 +157,7 @@ class WordEncoder(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.stand_in = {b: c for c, b in byte_alphabet().items()}
         self.words: dict[str, bytes] = {}
 
@@ -162,7 +167,7 @@ class WordEncoder(dict):
             self.words.clear()
         text = piece.decode()
         low = text.lower()  # some capitals of Latin Extended-B have their small letters beyond it
-        if "<|" in text or not (PLAIN.fullmatch(text) and PLAIN.fullmatch(low)):
+        if any(x in text for x in self.special) or not (PLAIN.fullmatch(text) and PLAIN.fullmatch(low)):
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         else:
             ids = b"".join([self.words.get(w) or self.word(w) for w in PRETOKEN.findall(low)])
@@ -211,7 +216,12 @@ def _encode_shard(content, key: str, end_id: int, mode: int):
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, mode: int = BIT, id: str = "doc_id", text: str = "text") -> None:
-    """Writes the files of all documents, each followed by ``end_id``, in ascending id order (null ids first, ties by text)."""
+    """Writes the files of all documents, each followed by ``end_id``, in ascending id order.
+
+    Null ids come first; rows that share an id follow their first TIE_CHARS
+    characters, then a hash of the text, and may span many files.  A null text
+    counts as empty, an empty table gives no documents, other columns are not
+    read."""
     import hashlib
 
     spark = docs.sparkSession
@@ -221,9 +231,13 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, mode: i
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = min(MAX_SHARDS, max(1, -(-total // SHARD_BYTES)))
     key = hashlib.sha1(content.value.encode()).hexdigest()
+    # the place in the input only spreads equal rows over the files
+    order = [F.col("doc_id").asc_nulls_first(), F.substring("text", 1, TIE_CHARS), F.xxhash64("text"), F.col("place")]
     records = (
-        rows.repartitionByRange(shards, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        rows.select("doc_id", "text", F.monotonically_increasing_id().alias("place"))
+        .repartitionByRange(shards, *order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text")
         .mapInArrow(_encode_shard(content, key, end_id, mode), "record binary")
     )
     # the text writer puts each record's bytes down as they are, and a newline after it
