@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_batch, worker_cache
+from .common import SLICE_ROWS, per_batch, worker_cache
 
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE = 4000
@@ -39,12 +39,15 @@ WORDS_KEPT = 400_000
 #: A document is kept from this tail probability on.
 KEEP_FROM = 0.5
 
+#: Longer words are cut into pieces of so many characters, all of which count.
+PIECE = 64
+
 RUN = re.compile(r"(.)\1+")
 
 
 def shape(word: str) -> str:
     """Upper-case runs as A, lower-case runs as a, digits as 0, other characters as they are; a run counts once, of marks twice."""
-    out = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "x" if c.isalpha() else c + c for c in word[:64])
+    out = "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "x" if c.isalpha() else c + c for c in word)
     return RUN.sub(lambda m: m[0][:2] if m[1] not in "aA0x" else m[1], out)
 
 
@@ -53,9 +56,11 @@ def _slots(word: str) -> int:
 
 
 def features(text: str, kept: dict) -> np.ndarray:
-    """The dense feature vector of a whole text; of an empty one, only its bins."""
+    """The dense feature vector of a whole text; of an empty one, only its bins.  Runs without white space count as words of PIECE characters."""
     out = np.zeros(DIM, np.float32)
     words = text.split()
+    if any(len(w) > PIECE for w in words):
+        words = [w[i : i + PIECE] for w in words for i in range(0, len(w), PIECE)]
     if words:
         count = Counter(words)
         for w in count:
@@ -133,9 +138,14 @@ def _kept() -> dict:
 
 
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", grade: str = "quality", sample: int = SAMPLE) -> Model:
-    """Fits the grades of ``labels`` on the texts of ``docs``; rows without an id or a grade are left out."""
+    """Fits the grades of ``labels`` on the texts of ``docs``; rows without an id or a grade are left out.
+
+    At most ``sample`` rows, one for each of the ids that hash lowest among
+    those with a label and a document: of rows that share an id, the one whose
+    text hashes lowest; of an id's labels, the highest."""
+    given = docs.where(F.col(id).isNotNull()).select(F.col(id).alias("__id")).distinct()
     chosen = labels.where(F.col(id).isNotNull() & F.col(grade).isNotNull()).groupBy(F.col(id).alias("__id")).agg(F.max(grade).cast("int").alias("grade"))
-    chosen = F.broadcast(chosen.orderBy(F.xxhash64("__id"), "__id").limit(sample))  # ``sample`` narrow rows
+    chosen = F.broadcast(chosen.join(given, "__id", "left_semi").orderBy(F.xxhash64("__id"), "__id").limit(sample))  # ``sample`` narrow rows
     schema = pa.schema([("grade", pa.int32()), ("slots", pa.list_(pa.int32())), ("values", pa.list_(pa.float32()))])
 
     def rows(grades, texts):
@@ -143,8 +153,9 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
         at = [np.flatnonzero(x) for x in xs]
         return {"grade": grades, "slots": [a.astype(np.int32) for a in at], "values": [x[a] for x, a in zip(xs, at)]}
 
-    some = docs.select(F.col(id).alias("__id"), text).join(chosen, "__id").select("grade", text)
-    got = some.mapInArrow(per_batch(rows, "grade", text, schema=schema), "grade int, slots array<int>, values array<float>").limit(sample).toArrow()
+    some = docs.select(F.col(id).alias("__id"), F.coalesce(text, F.lit("")).alias(text)).join(chosen, "__id")
+    some = some.groupBy("__id", "grade").agg(F.min_by(text, F.struct(F.xxhash64(text), text)).alias(text)).orderBy(F.xxhash64("__id"), "__id").select("grade", text)
+    got = some.mapInArrow(per_batch(rows, "grade", text, schema=schema), "grade int, slots array<int>, values array<float>").toArrow()  # at most ``sample`` rows
     x = np.zeros((got.num_rows, DIM), np.float32)
     for i in range(got.num_rows):
         x[i, got["slots"][i].values.to_numpy()] = got["values"][i].values.to_numpy()
@@ -153,7 +164,8 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
 def _scores(model: Model, texts: list) -> tuple[np.ndarray, np.ndarray]:
     """Expected grade, and the probability of the best grade."""
-    tails = np.vstack([model.tails(features(t or "", _kept())[None, :]) for t in texts])
+    slices = [texts[at : at + SLICE_ROWS] for at in range(0, len(texts), SLICE_ROWS)]
+    tails = np.vstack([model.tails(np.stack([features(t or "", _kept()) for t in some])) for some in slices])
     steps = np.diff(np.array(model.grades, float), prepend=0.0)
     return tails @ steps, tails[:, -1]
 

@@ -146,6 +146,51 @@ def test_ordinal_fit_orders_grades():
     assert np.corrcoef(expected, x[:, 0])[0, 1] > 0.95 and (np.round(expected) == y).mean() > 0.75
 
 
+def test_every_piece_of_a_long_word_counts():
+    word = "".join(chr(0x4E00 + i % 50) for i in range(64 * 5))
+    a, b = (QU.features(word + tail, {}) for tail in ("日" * 64, "!" * 64))
+    assert (a != b).any() and a[: QU.SHAPES].sum() > 0
+    assert (QU.features("日本語 " * 3 + "x", {}) == QU.features("日本語 日本語\n日本語 x", {})).all()
+
+
+def test_ordinal_fit_against_a_plain_one():
+    """Three grades, few features: plain descent on the penalised likelihood, with numerical gradients, ends at the same loss."""
+    r = np.random.default_rng(2)
+    x = np.zeros((200, QU.DIM), np.float32)
+    x[:, :3] = r.normal(size=(200, 3))
+    score = x[:, :3] @ np.array([1.5, -1.0, 0.3]) + r.logistic(size=200)
+    y = np.digitize(score, [-1.0, 1.0]) * 2 + 1  # grades 1, 3, 5
+
+    def loss(w, t):
+        cut = np.concatenate([[-np.inf], t, [np.inf]])
+        s, k = x[:, :3] @ w, (y - 1) // 2
+        p = 1 / (1 + np.exp(s - cut[k + 1])) - 1 / (1 + np.exp(s - cut[k]))
+        return -np.log(p).mean() + QU.PENALTY / 2 * (w @ w)
+
+    v = np.array([0.0, 0.0, 0.0, -0.5, 0.5])
+    for _ in range(600):
+        g = np.array([(loss(*np.split(v + e, [3])) - loss(*np.split(v - e, [3]))) / 2e-5 for e in np.eye(5) * 1e-5])
+        v -= 0.5 * g
+    m = QU.fit(x, y)
+    assert m.grades == [1, 3, 5] and (np.diff(m.thresholds) > 0).all()
+    assert loss(m.weights[:3], m.thresholds) < loss(*np.split(v, [3])) + 1e-3
+    assert np.abs(m.weights[:3] - v[:3]).max() < 0.05 and np.abs(m.thresholds - v[3:]).max() < 0.05
+    tails = m.tails(x)
+    assert tails.shape == (200, 3) and (np.diff(tails, axis=1) <= 0).all()
+
+
+def test_quality_takes_one_row_of_each_labelled_id(spark, make_text):
+    good, bad = [make_text(i, 60) for i in range(8)], [f"## {i} $$ {i} %% 77 && " * 12 for i in range(8)]
+    rows = [(i, t) for i, t in enumerate(good + bad)] + [(3, "zzz copy of an id " + str(j)) for j in range(400)] + [(None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 8)) for i in range(16)] + [(i, 1) for i in range(1000, 1400)], "doc_id long, quality int")
+    a = QU.train(docs, labels, sample=16)
+    b = QU.train(docs.repartition(5), labels, sample=16)  # the labels without a document take no place
+    assert np.allclose(a.weights, b.weights) and np.allclose(a.thresholds, b.thresholds)
+    got = {r.doc_id: r.tail_probability for r in QU.grade(docs.where("doc_id <> 3"), a).collect()}
+    assert min(got[i] for i in range(8) if i != 3) > 0.5 > max(got[i] for i in range(8, 16))
+
+
 def test_quality_held_out(spark, odd_docs, make_text):
     rows = [(i, make_text(i, 80), "en", 0, "x") for i in range(120)] + [(1000 + i, "!! ".join(make_text(i, 80).upper().split()), "en", 0, "x") for i in range(60)]
     docs = spark.createDataFrame(rows, odd_docs.schema).unionByName(odd_docs)
