@@ -11,7 +11,9 @@ Query columns: query_id, q_code, q_dense, q_toks, optional self_id.
 Candidates and hits (queries x limit rows) are written once to the shared
 folder (``freeze``).  That cuts the lineage and gives the joins below their
 measured size: Spark broadcasts them when they are small, so the scan of token
-matrices or payload does not move, and shuffles when they are not.
+matrices or payload does not move, and shuffles when they are not.  An index
+with a ``bucket`` column (``buckets`` of them, by a hash of the document id)
+is joined on it as well: only the buckets of the candidates or hits are read.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import maxsim_arrow as MA
 from ..functions import vector as V
 from ..session import freeze
+from ..sources.index import bucket_of
 from .topk import scan_top_k, top_k_per_key
 
 # MaxSim kernel: "arrow" (numpy per Arrow batch) or "hof" (Spark lambdas).
@@ -52,19 +55,29 @@ def maxsim_column(tok_kind: str, tok_dim: int, normalize: bool = True, impl: str
     return mod.maxsim(F.col("q_toks"), F.col("toks"), normalize_tokens=normalize)
 
 
-def score_candidates(index: DataFrame, queries: DataFrame, candidates: DataFrame, tok_kind: str, tok_dim: int, normalize: bool = True) -> DataFrame:
+def _beside(index: DataFrame, columns: list[str], found: DataFrame, buckets: int | None) -> DataFrame:
+    """Columns of the index for the written rows ``found`` (with ``id``), from the buckets that these are in."""
+    if buckets is None:
+        return index.select("id", *columns).join(found, "id")
+    # the filter tells Spark that the buckets are few enough to prune by
+    found = found.withColumn("bucket", bucket_of(F.col("id.doc_id"), buckets)).where("bucket >= 0")
+    return index.select("bucket", "id", *columns).join(found, ["bucket", "id"]).drop("bucket")
+
+
+def score_candidates(index: DataFrame, queries: DataFrame, candidates: DataFrame, tok_kind: str, tok_dim: int, normalize: bool = True,
+                     buckets: int | None = None) -> DataFrame:
     """P15 + J3 + G3: MaxSim of every candidate pair, reading token matrices
     only for candidate ids.  ``candidates`` is a written table (see above)."""
-    toks = index.select("id", "toks").join(candidates, "id")
+    toks = _beside(index, ["toks"], candidates, buckets)
     pairs = toks.join(queries.select("query_id", "q_toks"), "query_id")
     return pairs.withColumn("score", maxsim_column(tok_kind, tok_dim, normalize)).drop("toks", "q_toks")
 
 
 def scored_candidates(index: DataFrame, queries: DataFrame, limit: int, code_words: int, tok_kind: str, tok_dim: int,
-                      exclude_self: bool = False, normalize: bool = True) -> DataFrame:
+                      exclude_self: bool = False, normalize: bool = True, buckets: int | None = None) -> DataFrame:
     """Stage 1 + stage 2 for every query."""
     cand = freeze(prefetch(index, queries, limit, code_words, exclude_self), "candidates")
-    return score_candidates(index, queries, cand, tok_kind, tok_dim, normalize)
+    return score_candidates(index, queries, cand, tok_kind, tok_dim, normalize, buckets)
 
 
 def two_stage_search(
@@ -78,12 +91,13 @@ def two_stage_search(
     tok_dim: int,
     exclude_self: bool = False,
     normalize: bool = True,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Stage 1 keeps ``prefetch_limit`` candidates per query by code
     distance, stage 2 re-ranks only those by MaxSim and keeps ``top_k``.
     Returns (query_id, rank, id, score, ham, stage1_rank); at most
     min(prefetch_limit, top_k) rows per query."""
-    scored = scored_candidates(index, queries, prefetch_limit, code_words, tok_kind, tok_dim, exclude_self, normalize)
+    scored = scored_candidates(index, queries, prefetch_limit, code_words, tok_kind, tok_dim, exclude_self, normalize, buckets)
     top = top_k_per_key(scored, ["query_id"], _rank_order(), top_k)
     return top.select("query_id", "rank", "id", F.round("score", 6).alias("score"), "ham", "stage1_rank")
 
@@ -98,6 +112,6 @@ def dense_only_search(index: DataFrame, queries: DataFrame, *, top_k: int = 5, d
     return res.select("query_id", "rank", "id", F.col("value").alias("score"))
 
 
-def fetch_payload(hits: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:
+def fetch_payload(hits: DataFrame, index: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
     """A5 + J4: late materialisation of payload columns for the final hits only."""
-    return index.select("id", *columns).join(freeze(hits, "hits"), "id")
+    return _beside(index, columns, freeze(hits, "hits"), buckets)

@@ -378,6 +378,6 @@ SELECT doc_id, ix::INTEGER AS chunk_ix, doc_id::VARCHAR || '-c' || ix::VARCHAR A
 FROM (SELECT doc_id, unnest(parts) AS text, unnest(range(len(parts))) AS ix
       FROM (SELECT doc_id, string_split(CASE WHEN lang = 'de' THEN text || chr(10) || 'last' ELSE text END, chr(10)) AS parts FROM documents))""",
     "q35_index_lifecycle": f"""{_with(CHUNKS)},
-s(step, l) AS (VALUES ('create', 'en'), ('keep', 'en'), ('recreate', 'fr'))
-SELECT step, doc_id, chunk_ix, chunk_id, c.text FROM chunks c JOIN documents USING (doc_id) JOIN s ON lang = l""",
+s(step, english) AS (VALUES ('create', TRUE), ('keep', TRUE), ('recreate', FALSE))
+SELECT step, doc_id, chunk_ix, chunk_id, c.text FROM chunks c JOIN documents USING (doc_id) JOIN s ON (lang IS NOT DISTINCT FROM 'en') = english""",
 }

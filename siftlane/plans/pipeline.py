@@ -14,7 +14,7 @@ from ..operators.chunk import documents_to_chunks
 from ..operators.embed import HashEmbedder
 from ..operators.isolate import isolate_sentences
 from ..session import scratch_path
-from ..sources.index import check_index, create_index, dedupe_latest, upsert_index
+from ..sources.index import StoredIndex, check_index, create_index, dedupe_latest, open_index, upsert_index
 
 DEFAULT_EMBEDDER = HashEmbedder()
 PAYLOAD = ["doc_id", "chunk_ix", "chunk_id", "text"]
@@ -36,19 +36,19 @@ def index_chunks(chunks: DataFrame, embedder=DEFAULT_EMBEDDER) -> DataFrame:
 
 
 def ingest(docs: DataFrame, root: str, embedder=DEFAULT_EMBEDDER, recreate: bool = True,
-           separator: str = "\n", keep: list[str] | None = None, seq: str | None = None) -> str:
+           separator: str = "\n", keep: list[str] | None = None, seq: str | None = None, bucket_rows: int | None = None) -> None:
     """E8 end to end: of rows that repeat a doc_id the latest by ``seq`` (see
-    ``dedupe_latest``), indexed and published as the next version of ``root``
-    (``recreate=False`` keeps an existing index untouched)."""
+    ``dedupe_latest``), indexed and written to ``root`` in place of what is
+    there (``recreate=False`` keeps an existing index untouched)."""
     rows = _latest(docs, keep, seq)
-    return create_index(build_index(rows, embedder, separator, keep), root, recreate=recreate)
+    create_index(build_index(rows, embedder, separator, keep), root, recreate=recreate, bucket_rows=bucket_rows)
 
 
 def ingest_batch(docs: DataFrame, root: str, embedder=DEFAULT_EMBEDDER, separator: str = "\n",
-                 keep: list[str] | None = None, seq: str | None = None) -> str:
+                 keep: list[str] | None = None, seq: str | None = None) -> None:
     """A4 for documents: the latest row of each doc_id replaces that document in the index."""
     rows = _latest(docs, keep, seq)
-    return upsert_index(docs.sparkSession, root, build_index(rows, embedder, separator, keep))
+    upsert_index(docs.sparkSession, root, build_index(rows, embedder, separator, keep))
 
 
 def _latest(docs: DataFrame, keep: list[str] | None, seq: str | None) -> DataFrame:
@@ -58,28 +58,35 @@ def _latest(docs: DataFrame, keep: list[str] | None, seq: str | None) -> DataFra
 
 def encode_queries(q: DataFrame, embedder=DEFAULT_EMBEDDER, id_col: str = "item_id",
                    text_col: str = "text") -> DataFrame:
-    """P5: (query_id, query, q_dense, q_code, q_toks, q_n_tokens)."""
-    base = q.select(F.col(id_col).cast("long").alias("query_id"), F.col(text_col).alias("query"))
+    """P5: (query_id, query, q_dense, q_code, q_toks, q_n_tokens); ids may be of any sortable type."""
+    base = q.select(F.col(id_col).alias("query_id"), F.col(text_col).alias("query"))
     return embedder.encode(base, "query", side="query", prefix="q_")
 
 
-def two_stage(index: DataFrame, queries: DataFrame, prefetch_limit: int = 100, top_k: int = 5,
+def _tables(index: DataFrame | StoredIndex) -> tuple[DataFrame, DataFrame, int | None]:
+    """Vectors, payload and buckets of an index; a plain table is both."""
+    return (index.vectors, index.payload, index.buckets) if isinstance(index, StoredIndex) else (index, index, None)
+
+
+def two_stage(index: DataFrame | StoredIndex, queries: DataFrame, prefetch_limit: int = 100, top_k: int = 5,
               embedder=DEFAULT_EMBEDDER, payload: list[str] | None = None) -> DataFrame:
     """E1 with payload: (query_id, rank, id, score, ham, stage1_rank, *payload);
     payload defaults to (doc_id, chunk_ix, chunk_id, text); any column kept at
     index build (e.g. a company or source field) can be added."""
+    vectors, texts, buckets = _tables(index)
     hits = S.two_stage_search(
-        index, queries, prefetch_limit=prefetch_limit, top_k=top_k, code_words=embedder.code_words,
-        tok_kind=embedder.tok_kind, tok_dim=embedder.tok_dim,
+        vectors, queries, prefetch_limit=prefetch_limit, top_k=top_k, code_words=embedder.code_words,
+        tok_kind=embedder.tok_kind, tok_dim=embedder.tok_dim, buckets=buckets,
     )
-    return S.fetch_payload(hits, index, payload or PAYLOAD)
+    return S.fetch_payload(hits, texts, payload or PAYLOAD, buckets)
 
 
-def dense_only(index: DataFrame, queries: DataFrame, top_k: int = 5, embedder=DEFAULT_EMBEDDER,
+def dense_only(index: DataFrame | StoredIndex, queries: DataFrame, top_k: int = 5, embedder=DEFAULT_EMBEDDER,
                payload: list[str] | None = None) -> DataFrame:
     """E2 with payload: (query_id, rank, id, score, *payload)."""
-    hits = S.dense_only_search(index, queries, top_k=top_k, dim=embedder.dense_dim)
-    return S.fetch_payload(hits, index, payload or PAYLOAD)
+    vectors, texts, buckets = _tables(index)
+    hits = S.dense_only_search(vectors, queries, top_k=top_k, dim=embedder.dense_dim)
+    return S.fetch_payload(hits, texts, payload or PAYLOAD, buckets)
 
 
 def isolate(hits: DataFrame, queries: DataFrame, top_n: int = 2, embedder=DEFAULT_EMBEDDER) -> DataFrame:
@@ -135,19 +142,24 @@ _INDEX_CACHE: dict[tuple, str] = {}
 
 
 def snapshot(spark: SparkSession, path: str) -> tuple:
-    """What identifies a table's files: their names, sizes and times."""
+    """What identifies the state of a table's files: their number, total size and latest change, added up by the file system's iterator."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return tuple(sorted((st.getPath().toString(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(p)))
+    files, n, size, latest = fs.listFiles(p, True), 0, 0, 0
+    while files.hasNext():
+        st = files.next()
+        n, size, latest = n + 1, size + st.getLen(), max(latest, st.getModificationTime())
+    return p.toString(), n, size, latest
 
 
-def corpus_index(spark: SparkSession, docs: DataFrame, path: str, keep: list[str] | None = None, embedder=DEFAULT_EMBEDDER) -> DataFrame:
+def corpus_index(spark: SparkSession, docs: DataFrame, path: str, keep: list[str] | None = None, embedder=DEFAULT_EMBEDDER,
+                 bucket_rows: int | None = None) -> StoredIndex:
     """The written index for the corpus at ``path``, built once per application
     and state of its files (an index is a persistent table; searches read it back)."""
-    key = (spark.sparkContext.applicationId, snapshot(spark, path), tuple(keep or ()))
+    key = (spark.sparkContext.applicationId, snapshot(spark, path), tuple(keep or ()), bucket_rows)
     if key not in _INDEX_CACHE:
         out = scratch_path(spark, "index")
-        build_index(docs, embedder, keep=keep).sortWithinPartitions("id").write.mode("errorifexists").parquet(out)
+        create_index(build_index(docs, embedder, keep=keep), out, bucket_rows=bucket_rows)
         _INDEX_CACHE[key] = out
-    return spark.read.parquet(_INDEX_CACHE[key])
+    return open_index(spark, _INDEX_CACHE[key])

@@ -119,25 +119,22 @@ def footprint(index: DataFrame, dense_col: str = "dense") -> DataFrame:
 
 
 def limit_sweep(index: DataFrame, queries: DataFrame, *, code_words: int, tok_kind: str, tok_dim: int,
-                limits=SWEEP_LIMITS, exclude_self: bool = False) -> DataFrame:
+                limits=SWEEP_LIMITS, exclude_self: bool = False, buckets: int | None = None) -> DataFrame:
     """E6 in one pass: stage 1 once at the largest limit (keeping each
     candidate's stage-1 rank), MaxSim once per candidate, then for each limit
-    L the best candidate among those with stage1_rank <= L.  Top-1 per
-    (query, limit) is a min aggregate (partial aggregation before the
-    shuffle).  Queries without any candidate count as null top-1, and
+    L the best candidate among those with stage1_rank <= L.  The best of all
+    limits are one aggregate per query, with one row a query and task in the
+    shuffle and no row per limit.  Queries without any candidate count as null top-1, and
     null == null is a match (K5, J6).  The largest limit is the reference."""
     limits = sorted(set(int(x) for x in limits))
     top_limit = limits[-1]
-    scored = scored_candidates(index, queries, top_limit, code_words, tok_kind, tok_dim, exclude_self)
+    scored = scored_candidates(index, queries, top_limit, code_words, tok_kind, tok_dim, exclude_self, buckets=buckets)
     lim_arr = F.array(*[F.lit(x) for x in limits])
-    per_limit = scored.select(
-        "query_id", "id", F.round("score", 6).alias("score"),
-        F.explode(F.filter(lim_arr, lambda L: L >= F.col("stage1_rank"))).alias("prefetch_limit"),
-    )
     # best = highest score, then smallest id
-    top1 = per_limit.groupBy("query_id", "prefetch_limit").agg(
-        F.min(F.struct((-F.col("score")).alias("s"), "id"))["id"].alias("top1")
-    )
+    row = F.struct((-F.round("score", 6)).alias("s"), "id")
+    best = scored.groupBy("query_id").agg(*[F.min(F.when(F.col("stage1_rank") <= x, row)).alias(f"b{x}") for x in limits])
+    per_limit = F.array(*[F.struct(F.lit(x).alias("prefetch_limit"), F.col(f"b{x}.id").alias("top1")) for x in limits])
+    top1 = best.select("query_id", F.inline(per_limit))
     grid = queries.select("query_id", F.explode(lim_arr).alias("prefetch_limit"))
     g = grid.join(top1, ["query_id", "prefetch_limit"], "left")
     ref = g.filter(F.col("prefetch_limit") == top_limit).select("query_id", F.col("top1").alias("ref_top1"))

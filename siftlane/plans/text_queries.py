@@ -35,7 +35,7 @@ def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CH.documents_to_chunks(_docs(spark, sf_dir))
 
 
-def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _index(spark: SparkSession, sf_dir: str) -> IX.StoredIndex:
     """The index of all documents, each chunk with its document's source."""
     return P.corpus_index(spark, _docs(spark, sf_dir), f"{sf_dir.rstrip('/')}/documents.parquet", keep=["source"])
 
@@ -131,7 +131,7 @@ def _index_rows(idx: DataFrame) -> DataFrame:
 def q15_index_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "index-root")
     IX.create_index(P.build_index(_docs(spark, sf_dir)), root)
-    return _index_rows(IX.read_index(spark, root))
+    return _index_rows(IX.open_index(spark, root).vectors)
 
 
 def q16_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +146,7 @@ def q16_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     new = docs.filter(F.col("lang") == "es").withColumn("doc_id", F.col("doc_id") + F.lit(1_000_000_000))
     P.ingest_batch(changed.unionByName(new), root)
-    return IX.read_index(spark, root).select("doc_id", "chunk_ix", "chunk_id", "text")
+    return IX.open_index(spark, root).payload.select("doc_id", "chunk_ix", "chunk_id", "text")
 
 
 def q17_text_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,9 +217,9 @@ def q28_text_dense_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q29_text_limit_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E6 on the text workload: top-1 agreement of each prefetch limit with
     the largest one, benchmark queries over every chunk."""
-    emb = P.DEFAULT_EMBEDDER
-    return R.limit_sweep(_index(spark, sf_dir), _queries(spark, sf_dir), code_words=emb.code_words,
-                         tok_kind=emb.tok_kind, tok_dim=emb.tok_dim)
+    emb, idx = P.DEFAULT_EMBEDDER, _index(spark, sf_dir)
+    return R.limit_sweep(idx.vectors, _queries(spark, sf_dir), code_words=emb.code_words,
+                         tok_kind=emb.tok_kind, tok_dim=emb.tok_dim, buckets=idx.buckets)
 
 
 def _conversation_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +254,7 @@ def q33_string_id_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E8, A3 and E1 over documents with string ids."""
     root = scratch_path(spark, "index-root")
     P.ingest(_string_docs(spark, sf_dir), root, keep=["source"])
-    hits = P.two_stage(IX.read_index(spark, root), _queries(spark, sf_dir), PREFETCH_LIMIT, TOP_K, payload=LABELLED)
+    hits = P.two_stage(IX.open_index(spark, root), _queries(spark, sf_dir), PREFETCH_LIMIT, TOP_K, payload=LABELLED)
     return hits.select("query_id", "rank", *LABELLED, "score", "ham", "stage1_rank")
 
 
@@ -270,16 +270,19 @@ def q34_upsert_repeated_documents(spark: SparkSession, sf_dir: str) -> DataFrame
         rows = german.select("doc_id", F.concat("text", F.lit(more)).alias("text"), F.lit(seq).cast("int").alias("seq"))
         batch = rows if batch is None else batch.unionByName(rows)
     P.ingest_batch(batch, root, seq="seq")
-    return IX.read_index(spark, root).select("doc_id", "chunk_ix", "chunk_id", "text")
+    return IX.open_index(spark, root).payload.select("doc_id", "chunk_ix", "chunk_id", "text")
 
 
 def q35_index_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3: an absent index is created, a present one kept, a recreated one replaced."""
+    """A3: an absent index is created (from the English documents), a present
+    one kept, a recreated one replaced (both by all other documents)."""
     docs = _docs(spark, sf_dir)
     root = scratch_path(spark, "index-root")
+    english = F.col("lang").eqNullSafe("en")
     out = None
-    for step, lang, recreate in (("create", "en", False), ("keep", "de", False), ("recreate", "fr", True)):
-        P.ingest(docs.where(F.col("lang") == lang), root, recreate=recreate)
-        rows = IX.read_index(spark, root).select(F.lit(step).alias("step"), "doc_id", "chunk_ix", "chunk_id", "text")
-        out = rows if out is None else out.unionByName(rows)
+    for step, rows, recreate in (("create", docs.where(english), False), ("keep", docs.where(~english), False), ("recreate", docs.where(~english), True)):
+        P.ingest(rows, root, recreate=recreate)
+        held = IX.open_index(spark, root).payload.select(F.lit(step).alias("step"), "doc_id", "chunk_ix", "chunk_id", "text")
+        held = freeze(held, "lifecycle")  # the next step replaces the files
+        out = held if out is None else out.unionByName(held)
     return out

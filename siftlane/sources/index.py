@@ -1,25 +1,45 @@
 """Index storage: JSON chunk files (A1, A2), the index table (A3) and upserts (A4).
 
-An index root holds Parquet folders only:
-
-    data/<unique name>/bucket=<b>/...   rows, by a hash of the document id
-    versions/v000001-<unique name>/     a version: one row (bucket, path) per bucket
-
-A version counts once Spark's ``_SUCCESS`` marker is there; folder names are
-never used twice, so what a crashed writer leaves behind blocks nothing, and
-a version that is being read is never touched.  An upsert writes anew only the
-buckets that its documents fall into.
+An index root holds two ordinary partitioned Parquet tables:
+
+    vectors/of=<n>/bucket=<b>/   doc_id, chunk_ix, chunk_id, dense, code, toks, ...
+    payload/of=<n>/bucket=<b>/   doc_id, chunk_ix, chunk_id, text and the columns kept
+
+Rows are dealt to ``n`` buckets by a hash of the document id and sorted by key
+within a file; ``n`` comes from the number of rows at creation
+(``bucket_rows``).  A search joins its candidates and hits on the bucket too,
+so Spark's dynamic partition pruning reads only the buckets that they are in,
+of one table.
+
+An upsert writes anew only the buckets that its documents fall into: their new
+rows are staged in the scratch folder and put in place by Spark's dynamic
+partition overwrite.  There is no manifest and no version; a reader that
+started before an upsert may find a replaced file gone, as with any table that
+Spark overwrites, and is run again.  One writer at a time holds the lock file
+``_writer``; a second one waits, then fails.  The payload is written first, so
+a crash in between is mended by running the same batch again.
 """
 
 from __future__ import annotations
 
-import uuid
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Buckets of an index: an upsert rewrites those it touches.
-BUCKETS = 16
+from ..session import freeze
+
+# Rows of a bucket on average, when an index is created.
+BUCKET_ROWS = 100_000
+# Columns of the payload table; the vectors table has all others, and the key in both.
+KEY = ["doc_id", "chunk_ix", "chunk_id"]
+VECTORS = ["dense", "code", "toks", "n_tokens"]
+# A writer waits so long for another one; a lock that is older is a crashed writer's.
+WAIT_SECONDS = 0
+STALE_SECONDS = 6 * 3600
 
 
 # --- A1 / A2: JSON ---------------------------------------------------------
@@ -64,62 +84,107 @@ def check_index(df: DataFrame, dense_dim: int | None, code_words: int) -> DataFr
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def versions(spark: SparkSession, root: str) -> list[str]:
-    """Folders of the complete versions under ``root``, oldest first."""
-    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/versions")
-    if not fs.exists(p):
-        return []
-    found = [st.getPath() for st in fs.listStatus(p) if st.isDirectory()]
-    return sorted(x.toString() for x in found if fs.exists(jvm.org.apache.hadoop.fs.Path(x, "_SUCCESS")))
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
 
 
-def _bucket(key: str):
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+@contextmanager
+def writer(spark: SparkSession, root: str, wait: float | None = None) -> Iterator[None]:
+    """Holds the root's lock; RuntimeError if another writer still has it after ``wait`` seconds."""
+    fs, p = _fs(spark, f"{root.rstrip('/')}/_writer")
+    fs.mkdirs(p.getParent())
+    until = time.time() + (WAIT_SECONDS if wait is None else wait)
+    while not fs.createNewFile(p):  # atomic
+        if fs.exists(p) and time.time() - fs.getFileStatus(p).getModificationTime() / 1000 > STALE_SECONDS:
+            fs.delete(p, False)
+        elif time.time() > until:
+            raise RuntimeError(f"another writer holds {p.toString()}")
+        else:
+            time.sleep(0.2)
+    try:
+        yield
+    finally:
+        fs.delete(p, False)
 
 
-def _manifest(spark: SparkSession, version: str) -> dict[int, str]:
-    return {r["bucket"]: r["path"] for r in spark.read.parquet(version).collect()}  # BUCKETS rows at most
+def bucket_of(doc_id: str | Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(buckets)).cast("int")
 
 
-def _write(df: DataFrame, root: str, key: str, old: dict[int, str], replaced: set[int] | None) -> str:
-    """Writes the buckets of ``df`` and a version of them and of the ``old`` buckets that are not ``replaced`` (None: all are)."""
-    spark, name = df.sparkSession, uuid.uuid4().hex[:12]
-    data = f"{root.rstrip('/')}/data/{name}"
-    # rebalance: one bucket's rows together, but a large bucket in several files
-    rows = df.withColumn("bucket", _bucket(key)).hint("rebalance", "bucket").sortWithinPartitions("bucket", "id")
-    rows.write.mode("errorifexists").partitionBy("bucket").parquet(data)
-    fs, p, _ = _fs(spark, data)
-    new = {int(st.getPath().getName()[7:]): st.getPath().toString() for st in fs.listStatus(p) if st.getPath().getName().startswith("bucket=")}
-    kept = {} if replaced is None else {b: x for b, x in old.items() if b not in replaced}
-    if not new and not kept:  # an empty index keeps its schema
-        df.limit(0).write.parquet(f"{data}/empty")
-        new = {-1: f"{data}/empty"}
-    n = 1 + max([int(v.rsplit("/v", 1)[1].split("-")[0]) for v in versions(spark, root)], default=0)
-    version = f"{root.rstrip('/')}/versions/v{n:06d}-{name}"
-    entries = sorted({**kept, **new}.items())
-    spark.createDataFrame(entries, "bucket int, path string").coalesce(1).write.mode("errorifexists").parquet(version)
-    return version
-
-
-def create_index(df: DataFrame, root: str, recreate: bool = False, key: str = "doc_id") -> str:
-    """A3: absent -> write a first version; present -> keep it (no-op);
-    ``recreate`` -> write a version that replaces it for readers.
-    Returns the current version's folder."""
-    found = versions(df.sparkSession, root)
-    if found and not recreate:
-        return found[-1]
-    return _write(df, root, key, {}, None)
+def _with_id(df: DataFrame) -> DataFrame:
+    return df.withColumn("id", F.struct("doc_id", "chunk_ix"))
+
+
+@dataclass(frozen=True)
+class StoredIndex:
+    """The two tables of an index and its number of buckets."""
+
+    vectors: DataFrame
+    payload: DataFrame
+    buckets: int
+
+    def rows(self) -> DataFrame:
+        """Vectors and payload side by side, as the index was given."""
+        text = self.payload.drop("id", "chunk_id")
+        return self.vectors.join(text, ["bucket", "doc_id", "chunk_ix"]).drop("bucket")
+
+
+def is_index(spark: SparkSession, root: str) -> bool:
+    """Whether a complete index is at ``root``."""
+    return _exists(spark, f"{root.rstrip('/')}/vectors/_SUCCESS")
+
+
+def _buckets(spark: SparkSession, root: str) -> int:
+    fs, p = _fs(spark, f"{root.rstrip('/')}/vectors")
+    names = [st.getPath().getName() for st in fs.listStatus(p)]  # one folder and a marker
+    return next(int(n[3:]) for n in names if n.startswith("of="))
+
+
+def open_index(spark: SparkSession, root: str) -> StoredIndex:
+    """The index at ``root`` as two tables with their bucket column."""
+    if not is_index(spark, root):
+        raise FileNotFoundError(f"no complete index under {root}")
+    vectors, payload = (_with_id(spark.read.parquet(f"{root.rstrip('/')}/{t}").drop("of")) for t in ("vectors", "payload"))
+    return StoredIndex(vectors, payload, _buckets(spark, root))
 
 
 def read_index(spark: SparkSession, root: str) -> DataFrame:
-    """The rows of the current version."""
-    found = versions(spark, root)
-    if not found:
-        raise FileNotFoundError(f"no complete index version under {root}")
-    return spark.read.parquet(*sorted(_manifest(spark, found[-1]).values()))
+    """All rows and columns of the index; a search should take ``open_index`` instead."""
+    return open_index(spark, root).rows()
+
+
+def _parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The columns of the payload table and of the vectors table."""
+    vectors = [c for c in VECTORS if c in df.columns]
+    return df.drop(*vectors, "id"), df.select(*KEY, *vectors)
+
+
+def _put(rows: DataFrame, path: str, buckets: int, dynamic: bool) -> None:
+    """Writes written rows as buckets, all anew or only those that occur."""
+    rows = rows.withColumn("of", F.lit(buckets)).withColumn("bucket", bucket_of("doc_id", buckets))
+    # rebalance: one bucket's rows together, but a large bucket in several files
+    rows = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "doc_id", "chunk_ix")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy("of", "bucket").parquet(path)
+
+
+def create_index(df: DataFrame, root: str, recreate: bool = False, bucket_rows: int | None = None) -> None:
+    """A3: absent -> write it; present -> keep it (no-op); ``recreate`` -> replace it."""
+    spark, root = df.sparkSession, root.rstrip("/")
+    if is_index(spark, root) and not recreate:
+        return
+    with writer(spark, root):
+        if is_index(spark, root) and not recreate:
+            return
+        staged = freeze(df, "index")
+        buckets = max(1, -(-staged.count() // (bucket_rows or BUCKET_ROWS)))
+        for rows, table in zip(_parts(staged), ("payload", "vectors")):
+            _put(rows, f"{root}/{table}", buckets, dynamic=False)
+            # an empty file keeps the schema of an index without rows
+            rows.limit(0).write.mode("overwrite").parquet(f"{root}/{table}/of={buckets}/bucket=-1")
 
 
 # --- A4: upsert ---------------------------------------------------------------
@@ -144,16 +209,23 @@ def upsert(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(updates.select(*existing.columns))
 
 
-def upsert_index(spark: SparkSession, root: str, updates: DataFrame, key: str = "doc_id") -> str:
-    """A4 on an index: a version in which the documents of ``updates`` have
-    exactly the rows given.  Only the buckets that they fall into are read and
-    written.  The same batch again changes nothing.  Returns the version."""
-    from ..session import freeze
-
-    updates = freeze(updates, "updates")  # embedded once, read three times
-    touched = {r[0] for r in updates.select(_bucket(key)).distinct().collect()}  # BUCKETS numbers at most
-    found = versions(spark, root)
-    old = _manifest(spark, found[-1]) if found else {}
-    paths = [p for b, p in sorted(old.items()) if b in touched]
-    rows = upsert(spark.read.parquet(*paths), updates, key) if paths else updates
-    return _write(rows, root, key, {b: p for b, p in old.items() if b >= 0}, touched)
+def upsert_index(spark: SparkSession, root: str, updates: DataFrame) -> None:
+    """A4 on an index: the documents of ``updates`` have exactly the rows given.
+
+    Only the buckets that they fall into are read and written.  The same batch
+    again changes nothing."""
+    root = root.rstrip("/")
+    updates = freeze(updates, "updates")  # embedded once, read several times
+    if not is_index(spark, root):
+        create_index(updates, root)
+        if not updates.limit(1).count():
+            return
+    with writer(spark, root):
+        buckets = _buckets(spark, root)
+        given = updates.select("doc_id").distinct()
+        touched = given.select(bucket_of("doc_id", buckets).alias("bucket")).distinct().where("bucket >= 0")  # a filter, so that Spark prunes by it
+        for new, table in zip(_parts(updates), ("payload", "vectors")):
+            path = f"{root}/{table}"
+            old = spark.read.parquet(path).join(touched, "bucket", "left_semi").drop("of", "bucket")
+            staged = freeze(upsert(old, new, "doc_id"), "staged")
+            _put(staged, path, buckets, dynamic=True)

@@ -10,7 +10,7 @@ the written tables.
   each doc_id is chunked, embedded and upserted into the index.  A retried
   batch gives the same index, so the sink is idempotent.
 * ``start_search_stream``: every micro-batch of queries is one bounded query
-  block for the two-stage search against the current index version; hits are
+  block for the two-stage search against the index as it is then; hits are
   written to ``out_dir/batch=<id>`` (overwritten on retry).
 """
 
@@ -47,7 +47,7 @@ def start_index_stream(spark: SparkSession, source_dir: str, root: str, checkpoi
 def search_batch(batch: DataFrame, batch_id: int, root: str, out_dir: str, prefetch_limit: int, top_k: int,
                  embedder=P.DEFAULT_EMBEDDER) -> None:
     spark = batch.sparkSession
-    index = IX.read_index(spark, root)
+    index = IX.open_index(spark, root)
     queries = freeze(P.encode_queries(batch, embedder), "queries")
     hits = P.two_stage(index, queries, prefetch_limit, top_k, embedder)
     hits.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")

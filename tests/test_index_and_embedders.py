@@ -14,27 +14,66 @@ DOCS = [(1, "Alpha beta.\nGamma delta epsilon."), (2, "Zeta eta theta.\nIota kap
 def test_create_index_semantics(spark, tmp_path):
     root = str(tmp_path / "idx")
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
-    v1 = P.ingest(docs, root, recreate=False)
-    assert "/v000001-" in v1 and IX.read_index(spark, root).count() == 4
-    same = P.ingest(docs.filter("doc_id = 1"), root, recreate=False)  # present -> no-op
-    assert same == v1.replace("file:", "") or same.endswith(v1) and IX.read_index(spark, root).count() == 4
-    v2 = P.ingest(docs.filter("doc_id = 1"), root, recreate=True)  # replace
-    assert "/v000002-" in v2 and IX.read_index(spark, root).count() == 2
-    assert len(IX.versions(spark, root)) == 2
+    with pytest.raises(FileNotFoundError):
+        IX.open_index(spark, root)
+    P.ingest(docs, root, recreate=False)
+    assert IX.read_index(spark, root).count() == 4
+    P.ingest(docs.filter("doc_id = 1"), root, recreate=False)  # present -> no-op
+    assert IX.read_index(spark, root).count() == 4
+    P.ingest(docs.filter("doc_id = 1"), root, recreate=True)  # replace
+    assert IX.read_index(spark, root).count() == 2
+    rows = IX.read_index(spark, root)
+    assert {"id", "doc_id", "chunk_ix", "chunk_id", "text", "dense", "code", "toks", "n_tokens"} == set(rows.columns)
     P.ingest(docs.limit(0), root)  # an empty index has rows of the same schema
     assert IX.read_index(spark, root).count() == 0 and "code" in IX.read_index(spark, root).columns
+    P.ingest_batch(docs, root)
+    assert IX.read_index(spark, root).count() == 4
 
 
 def test_crash_leftovers_block_nothing(spark, tmp_path):
     root = tmp_path / "idx"
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
-    (root / "versions" / "v000001-dead").mkdir(parents=True)  # a version without _SUCCESS
-    (root / "data" / "dead" / "bucket=0").mkdir(parents=True)
+    for table in ("vectors", "payload"):  # a writer that ended before its commit
+        (root / table / "_temporary" / "0").mkdir(parents=True)
     P.ingest(docs, str(root))
     P.ingest_batch(docs.limit(1), str(root))
     assert IX.read_index(spark, str(root)).count() == 4
 
 
+def test_a_second_writer_waits_or_fails(spark, tmp_path, monkeypatch):
+    import os
+    import threading
+
+    root = str(tmp_path / "idx")
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    P.ingest(docs, root)
+    more = spark.createDataFrame([(3, "Third."), (4, "Fourth.")], "doc_id long, text string")
+    with IX.writer(spark, root):
+        with pytest.raises(RuntimeError, match="another writer"):
+            P.ingest_batch(more, root)
+    assert IX.read_index(spark, root).count() == 4  # nothing lost, nothing half written
+    monkeypatch.setattr(IX, "WAIT_SECONDS", 120)
+    failed = []
+
+    def upsert(i):
+        try:
+            P.ingest_batch(more.where(f"doc_id = {i}"), root)
+        except Exception as e:  # pragma: no cover
+            failed.append(e)
+
+    threads = [threading.Thread(target=upsert, args=(i,)) for i in (3, 4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not failed and sorted(r.doc_id for r in IX.read_index(spark, root).select("doc_id").distinct().collect()) == [1, 2, 3, 4]
+    (tmp_path / "idx" / "_writer").touch()  # a crashed writer's lock, long ago
+    os.utime(tmp_path / "idx" / "_writer", (1, 1))
+    monkeypatch.setattr(IX, "WAIT_SECONDS", 0)
+    P.ingest_batch(more, root)
+    assert IX.read_index(spark, root).count() == 6
+
+
 def test_malformed_rows_fail(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     idx = P.build_index(docs)
@@ -147,15 +186,69 @@ def test_upserts_replace_documents(spark, tmp_path):
     assert sorted(h.rank for h in hits) == [1, 2]
 
 
+def _files(root, table):
+    return {f: f.stat().st_mtime_ns for f in root.glob(f"{table}/of=*/bucket=*/*.parquet") if "bucket=-1" not in str(f)}
+
+
 def test_upsert_reads_and_writes_only_its_buckets(spark, tmp_path):
-    root = str(tmp_path / "idx")
-    docs = spark.createDataFrame([(i, f"line {i}") for i in range(200)], "doc_id long, text string")
-    P.ingest(docs, root)
-    old = IX._manifest(spark, IX.versions(spark, root)[-1])
-    P.ingest_batch(docs.where("doc_id = 7"), root)
-    new = IX._manifest(spark, IX.versions(spark, root)[-1])
-    assert len(old) == IX.BUCKETS and sum(old[b] != new[b] for b in old) == 1
-    assert IX.read_index(spark, root).count() == 200
+    root = tmp_path / "idx"
+    docs = spark.createDataFrame([(i, f"line {i}") for i in range(400)], "doc_id long, text string")
+    P.ingest(docs, str(root), bucket_rows=10)
+    assert IX.open_index(spark, str(root)).buckets == 40
+    old = {t: _files(root, t) for t in ("vectors", "payload")}
+    P.ingest_batch(docs.where("doc_id in (7, 8, 9)"), str(root))
+    for t, files in old.items():
+        new = _files(root, t)
+        gone = {f.parent for f in files.keys() - new.keys()}
+        assert 1 <= len(gone) <= 3 and {f.parent for f in new.keys() - files.keys()} == gone
+        assert all(new[f] == files[f] for f in files.keys() & new.keys())
+    assert IX.read_index(spark, str(root)).count() == 400
+
+
+def _scans(df):
+    """(files read, columns read) of every Parquet scan of a run plan."""
+    out = []
+
+    def walk(p):
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(p.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(p.plan())
+        if name == "FileSourceScanExec":
+            out.append((p.metrics().apply("numFiles").value(), p.requiredSchema().simpleString()))
+        children = p.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return out
+
+
+def test_searches_read_only_the_buckets_of_their_rows(spark, tmp_path):
+    """The token matrices of the candidates and the texts of the hits: the files read do not grow with the index."""
+    from siftlane.operators import search as S
+    from siftlane.session import freeze
+
+    read = {}
+    for n in (600, 2400):
+        root = tmp_path / f"idx{n}"
+        docs = spark.createDataFrame([(i, f"line {i} of the table") for i in range(n)], "doc_id long, text string")
+        P.ingest(docs, str(root), bucket_rows=10)
+        idx = IX.open_index(spark, str(root))
+        assert len(_files(root, "vectors")) >= n / 20
+        q = freeze(P.encode_queries(spark.createDataFrame([(1, "line 7"), (2, "line 8")], "item_id long, text string")))
+        cand = freeze(S.prefetch(idx.vectors, q, 10, 2))
+        scored = S.score_candidates(idx.vectors, q, cand, "codes", 128, buckets=idx.buckets)
+        plain = S.score_candidates(IX.read_index(spark, str(root)), q, cand, "codes", 128)
+        assert sorted(map(str, scored.collect())) == sorted(map(str, plain.select(scored.columns).collect()))
+        top = P.two_stage(idx, q, prefetch_limit=10, top_k=2)
+        assert top.count() == 4 and len(top.collect()) == 4
+        tokens = [f for f, columns in _scans(scored) if "toks" in columns and "q_toks" not in columns]
+        texts = [f for f, columns in _scans(top) if "text" in columns]
+        assert len(tokens) == len(texts) == 1
+        read[n] = tokens[0], texts[0]
+    assert all(t <= 20 and p <= 4 for t, p in read.values()), read  # 20 candidates, 4 hits, one file a bucket
 
 
 def test_string_ids_and_chunk_files_without_numbers(spark, tmp_path):

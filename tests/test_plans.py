@@ -27,15 +27,15 @@ def test_scans_of_a_search_read_only_what_they_need(spark):
     from siftlane.operators.search import prefetch
     from siftlane.plans import text_queries as TQ
 
-    cand = prefetch(TQ._index(spark, SF), TQ._queries(spark, SF), 10, 2)
-    assert "ReadSchema: struct<id:struct<doc_id:bigint,chunk_ix:int>,code:array<bigint>>" in _plan(cand)
+    cand = prefetch(TQ._index(spark, SF).vectors, TQ._queries(spark, SF), 10, 2)
+    assert "ReadSchema: struct<doc_id:bigint,chunk_ix:int,code:array<bigint>>" in _plan(cand)
 
 
 def test_a_search_plan_runs_no_job(spark):
     from siftlane.operators.search import dense_only_search, prefetch
     from siftlane.plans import text_queries as TQ
 
-    index, queries = TQ._index(spark, SF), TQ._queries(spark, SF)
+    index, queries = TQ._index(spark, SF).vectors, TQ._queries(spark, SF)
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("planning", "planning")
     prefetch(index, queries, 10, 2)
@@ -61,7 +61,7 @@ def test_small_candidates_leave_the_token_scan_in_place(spark):
     from siftlane.session import freeze
     from siftlane.operators.search import prefetch
 
-    index, queries = TQ._index(spark, SF), TQ._queries(spark, SF)
+    index, queries = TQ._index(spark, SF).vectors, TQ._queries(spark, SF)
     cand = freeze(prefetch(index, queries, 10, 2))
     plan = _plan(score_candidates(index, queries, cand, "codes", 128))
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
