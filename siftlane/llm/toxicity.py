@@ -7,12 +7,14 @@ strings that set toxic sentences apart, chosen to cover the labelled toxic
 documents; the kernel against them, whitened by the landmarks' own kernel
 matrix, gives the Nystroem features of a linear SVM.
 
-A labelled document is a bag of sentences.  Sentences of clean documents are
-negatives; of a toxic document the sentence that scores highest is the
-positive (chosen anew in each round).  A sentence scores as its worst unit, a
-word or a run of single spaced-out letters, a document as its worst sentence.
-A logistic link, fitted with the classes at their true shares, turns that into
-a score of 0 to 1.
+A labelled document is a bag of sentences, a sentence a bag of units: its
+words, each run without white space with its inner marks taken out
+(``zork_wimp``), runs of single spaced-out letters, and neighbouring words
+joined where a landmark lies across their border (``zork wimp``).  Sentences
+of clean documents are negatives; of a toxic document the sentence that scores
+highest is the positive (chosen anew in each round).  A sentence scores as its
+worst unit, a document as its worst sentence.  A logistic link, fitted with
+the classes at their true shares, turns that into a score of 0 to 1.
 
 Everything is fitted on at most SAMPLE labelled rows per class; scoring is one
 narrow pass over whole texts.
@@ -23,8 +25,10 @@ from __future__ import annotations
 import math
 import re
 import uuid
+from bisect import bisect
 from collections import Counter
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +60,7 @@ WORDS_KEPT = 500_000
 
 WORD = re.compile(r"[^\W_]+")
 SENTENCE = re.compile(r"[.!?;\n]+")
+PARTS = re.compile(r"[^\W_]+|[.!?;\n]")
 MARKS = re.compile(r"[\W_]+")
 SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[\W_]{1,3}[^\W_]){3,}(?![^\W_])")
 
@@ -66,8 +71,10 @@ def _windows(word: str) -> list[str]:
 
 
 def word_units(token: str) -> list[str]:
-    """The units of a lower-cased run without white space: its words, and its single letters joined."""
-    return [u for w in WORD.findall(token) for u in _windows(w)] + spaced_units(token)
+    """The units of a lower-cased run without white space: its words, the run without its marks, and its single letters joined."""
+    words = WORD.findall(token)
+    whole = _windows("".join(words)) if len(words) > 1 else []
+    return [u for w in words for u in _windows(w)] + whole + spaced_units(token)
 
 
 def spaced_units(text: str) -> list[str]:
@@ -75,11 +82,39 @@ def spaced_units(text: str) -> list[str]:
     return [u for m in SPACED.finditer(text) for u in _windows(MARKS.sub("", m[0]))]
 
 
-def sentence_units(text: str) -> list[list[str]]:
-    """The distinct units of each sentence of a text."""
+class Borders:
+    """Finds neighbouring words whose border a landmark lies across."""
+
+    def __init__(self, landmarks: list[str]):
+        import ahocorasick
+
+        self.cores = ahocorasick.Automaton()
+        for core in {t.strip("^$") for t in landmarks}:
+            if len(core) > 1:
+                self.cores.add_word(core, len(core))
+        self.cores.make_automaton()
+
+    def units(self, text: str) -> list[str]:
+        """The joined words of a lower-cased text; sentences stay apart."""
+        words = PARTS.findall(text)
+        whole = "".join(words)
+        found = list(self.cores.iter(whole)) if len(self.cores) else []
+        if not found:
+            return []
+        starts = list(accumulate(map(len, words), initial=0))
+        out = set()
+        for end, size in found:
+            first, last = bisect(starts, end - size + 1) - 1, bisect(starts, end) - 1
+            if first < last:
+                out.update(_windows("".join(words[first : last + 1])))
+        return sorted(out)
+
+
+def sentence_units(text: str, borders: Borders | None = None) -> list[list[str]]:
+    """The distinct units of each sentence of a text; joined words only where ``borders`` are known."""
     out = []
     for s in SENTENCE.split(text.lower()):
-        units = {u for t in s.split() for u in word_units(t)} | set(spaced_units(s))
+        units = {u for t in s.split() for u in word_units(t)} | set(spaced_units(s)) | set(borders.units(s) if borders else ())
         if units:
             out.append(sorted(units))
     return out
@@ -257,15 +292,21 @@ def _link(decision: np.ndarray, y: np.ndarray, share: float) -> tuple[float, flo
 
 
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Model:
-    """Fits ``labels`` (``id``, 0/1 ``label``) on ``docs``; rows without an id or a label are left out."""
+    """Fits ``labels`` (``id``, 0/1 ``label``) on ``docs``; rows without an id or a label are left out.
+
+    At most ``sample`` rows a class, one for each of the ids that hash lowest
+    among those with a label and a document: of rows that share an id, the one
+    whose text hashes lowest; an id with any toxic label is toxic."""
     known = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(id).alias("__id")).agg(F.max(label).cast("int").alias("y"))
-    known = known.where(F.col("y").isin(0, 1))
+    known = known.where(F.col("y").isin(0, 1)).join(docs.select(F.col(id).alias("__id")).distinct(), "__id", "left_semi")
+    known = freeze(known, "labels")
     n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return Model([], np.empty(0), -1.0 if not n.get(1) else 1.0, 4.0, 0.0)
     parts = [known.where(F.col("y") == y).orderBy(F.xxhash64("__id"), "__id").limit(sample) for y in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # at most 2 * sample narrow rows
-    some = freeze(docs.select(F.col(id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(chosen, "__id").select("y", "text"), "labelled")
+    some = docs.select(F.col(id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(chosen, "__id")
+    some = freeze(some.groupBy("__id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("y", "text").repartition(some.sparkSession.sparkContext.defaultParallelism), "labelled")
     count = {r["y"]: r["n"] for r in some.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = n[1] / (n[0] + n[1])
     landmarks = choose_landmarks(some, count.get(1, 0), count.get(0, 0)) if count.get(1) else []
@@ -274,9 +315,10 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
     # of each sentence, the units that have any kernel value; the rest are alike to the model
     def near(batches):
+        borders = Borders(landmarks)
         for b in batches:
             for y, t in zip(b.column("y").to_pylist(), b.column("text").to_pylist()):
-                units = sorted({u for s in sentence_units(t) for u in s})
+                units = sorted({u for s in sentence_units(t, borders) for u in s})
                 got = [u for u, x in zip(units, features(units, landmarks).max(1, initial=0)) if x > 0.05]
                 yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([got], pa.list_(pa.string()))], names=["y", "units"])
 
@@ -319,22 +361,26 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
         cache = worker_cache("toxicity")
         if key not in cache:
             cache.clear()
-            cache[key] = {}
-        kept = cache[key]
-        if len(kept) > WORDS_KEPT:
-            kept.clear()
+            cache[key] = Borders(model.landmarks), {}, {}
+        borders, kept, joined = cache[key]
+        for memory in (kept, joined):
+            if len(memory) > WORDS_KEPT:
+                memory.clear()
         out = np.full(len(texts), model.bias)
         for at in range(0, len(texts), 200):
-            bags = []
+            bags, across = [], []
             for t in texts[at : at + 200]:
                 low = (t or "").lower()
-                bags.append(set(low.split()) | set(spaced_units(low)))
+                bags.append(set(low.split()))
+                across.append(set(spaced_units(low)) | set(borders.units(low)))
             new = list(set().union(*bags) - kept.keys())
             units = [word_units(w) for w in new]
-            flat = sorted({u for us in units for u in us})
+            more = set().union(*across) - joined.keys()
+            flat = sorted({u for us in units for u in us} | more)
             value = dict(zip(flat, model.units(flat).tolist()))
             kept |= {w: max((value[u] for u in us), default=model.bias) for w, us in zip(new, units)}
-            out[at : at + 200] = [max(map(kept.__getitem__, b), default=model.bias) for b in bags]
+            joined |= {u: value[u] for u in more}
+            out[at : at + 200] = [max(max(map(kept.__getitem__, b), default=model.bias), max(map(joined.__getitem__, x), default=model.bias)) for b, x in zip(bags, across)]
         p = model.link(out)
         return {id: ids, "score": p, "predicted": (p >= 0.5).astype(np.int32)}
 

@@ -253,13 +253,40 @@ def test_toxicity_held_out(spark, odd_docs, make_text):
     assert all(0 <= x.score <= 1 for x in got)
     # inserted and gapped characters, against an ordinary word
     s = dict(zip("abcd", model.link(np.array([max(model.units(TX.word_units(w) + TX.spaced_units(w))) for w in ("zorkwimp", "zork_wimp", "z.o.r.k.w.i.m.p", "therenand")]))))
-    assert s["a"] > 0.5 and s["c"] > 0.5 and s["d"] < 0.2
+    assert s["a"] > 0.5 and s["b"] > 0.5 and s["c"] > 0.5 and s["d"] < 0.2
+    # marks, spaces and doubled letters of three insults, in whole texts; ordinary words cut the same way stay clean
+    kinds = {
+        "_": lambda w: w[:4] + "_" + w[4:], "-": lambda w: "-".join(w[i : i + 3] for i in range(0, len(w), 3)), "*": lambda w: w[:2] + "*" + w[2:], " ": lambda w: w[:4] + " " + w[4:],
+        ".": ".".join, "spaced": " ".join, "doubled": lambda w: "".join(c * 2 for c in w), "caps": str.upper, "inserted": lambda w: w[:4] + "x" + w[4:], "dropped": lambda w: w[:3] + w[4:],
+    }
+    texts = [(k, 1, f"the rest of {f(w)} that is there.") for k, f in kinds.items() for w in insults]
+    texts += [(k, 0, f"the rest of {f(w)} that is there.") for k, f in kinds.items() for w in ("therenand", "onthered", "inglytion")]
+    more = spark.createDataFrame([(i, t) for i, (*_, t) in enumerate(texts)], "doc_id long, text string")
+    hit = {r.doc_id: r.predicted for r in TX.score(more, model).collect()}
+    found = {k: sum(hit[i] for i, (x, y, _) in enumerate(texts) if x == k and y) for k in kinds}
+    assert sum(found.values()) >= 0.9 * 3 * len(kinds), found
+    assert not any(hit[i] for i, (_, y, _) in enumerate(texts) if not y)
     odd = {x.score for x in got if x.doc_id in (2, 3) or x.doc_id is None}
     assert max(odd) < 0.5
     assert TX.score(docs, TX.train(docs, labels.limit(0))).where("predicted = 1").count() == 0
     assert TX.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_takes_one_row_of_each_labelled_id(spark, make_text):
+    rows = [(i, make_text(i, 30) + (" zorkwimp." if i % 2 else ".")) for i in range(40)]
+    rows += [(1, make_text(1, 30) + f" zorkwimp {j}.") for j in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(i, 1) for i in range(900, 1000)], "doc_id long, toxic int")
+    a, b = TX.train(docs, labels, sample=15), TX.train(docs.repartition(3), labels, sample=15)
+    assert a.landmarks == b.landmarks and np.allclose(a.alpha, b.alpha) and a.landmarks
+
+
+def test_words_joined_across_borders():
+    b = TX.Borders(["^zorkwim", "rkwimp$"])
+    assert b.units("a zork wimp. so") == ["^zorkwimp$"] and b.units("zork. wimp") == [] and b.units("zorkwimp") == []
+    assert TX.word_units("zo-rk_wimp!") == ["^zo$", "^rk$", "^wimp$", "^zorkwimp$"]
+
+
 def test_held_out_rows_are_those_of_the_crc(spark):
     import zlib
 
