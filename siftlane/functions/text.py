@@ -41,14 +41,20 @@ def split_sentences(text) -> Column:
     return F.filter(F.transform(parts, lambda s: F.trim(s)), lambda s: F.length(s) > MIN_SENTENCE_CHARS)
 
 
+def _count_runs(text, pattern: str) -> Column:
+    """Matches of a pattern that leaves only white space: each becomes one mark, and marks are counted (no array of matches)."""
+    marks = F.regexp_replace(_col(text), pattern, "x")
+    return F.length(marks) - F.length(F.replace(marks, F.lit("x"), F.lit("")))
+
+
 def count_tokens(text) -> Column:
     """token count by the regex proxy (declared, not a BPE)."""
-    return F.regexp_count(_col(text), F.lit(TOKEN_COUNT_PATTERN)).cast("long")
+    return _count_runs(text, TOKEN_COUNT_PATTERN).cast("long")
 
 
 def word_count(text) -> Column:
     """len(text.split())."""
-    return F.regexp_count(_col(text), F.lit(f"[^{WS_CLASS_BODY}]+")).cast("int")
+    return _count_runs(text, f"[^{WS_CLASS_BODY}]+").cast("int")
 
 
 def preview(text, n: int = PREVIEW_CHARS) -> Column:

@@ -15,16 +15,16 @@ string functions cost several times more than doing it in the batch.  The
 Spark-expression forms (``text.words``, ``token_codes``) define the same
 tokens and codes and are tested against the batch form.
 
-``ArrowModelEmbedder`` is the plug point for a real model: a function that
-maps a batch of texts to dense vectors and token matrices, run once per Arrow
-batch (load the model lazily, once per Python worker).
+``ModelEmbedder`` is the way for a real model: ``load`` makes it once in every
+Python worker, and it gets batches of texts of about equal token numbers.
+``ArrowModelEmbedder`` wraps a function that needs no loading.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -240,3 +240,118 @@ class ArrowModelEmbedder:
             .withColumn(f"{prefix}n_tokens", F.size(f"{prefix}toks"))
             .drop("_emb")
         )
+
+
+# Models that a Python worker has loaded, by the key of their embedder.
+_LOADED = "_siftlane_models"
+
+
+def _float_lists(rows: list[np.ndarray], width: int) -> pa.Array:
+    """float32 vectors, one list a row, without a Python object per number."""
+    flat = np.concatenate([np.asarray(r, np.float32).reshape(-1, width) for r in rows] or [np.empty((0, width), np.float32)])
+    return pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel()), width).cast(pa.list_(pa.float32()))
+
+
+class ModelEmbedder:
+    """P3-P5 through a model that is loaded once per worker.
+
+    ``load()`` returns ``model(texts: list[str], side: str) -> (dense, toks)``
+    with one float vector and one token matrix a text; ``side`` is 'doc' or
+    'query', so encoders may be asymmetric.  A call gets texts of at most
+    ``token_budget`` tokens in all, as ``count(text)`` estimates them (a longer
+    text is a call of its own), the short ones first so that padding is little.
+    ``key`` names the model: workers keep it loaded under that name.  A null
+    text counts as empty; a vector of another size fails the job."""
+
+    tok_kind = "float"
+
+    def __init__(self, load: Callable, dense_dim: int, tok_dim: int, key: str, token_budget: int = 16_384, count: Callable[[str], int] | None = None):
+        self.load, self.key, self.token_budget = load, key, token_budget
+        self.count = count or (lambda t: len(t.split()) + 1)
+        self.dense_dim, self.tok_dim, self.code_words = dense_dim, tok_dim, V.n_words(dense_dim)
+
+    def calls(self, texts: list[str]) -> Iterator[list[int]]:
+        """The texts of each call, by number."""
+        sizes = [self.count(t) for t in texts]
+        held, tokens = [], 0
+        for i in sorted(range(len(texts)), key=lambda i: (sizes[i], i)):
+            if held and tokens + sizes[i] > self.token_budget:
+                yield held
+                held, tokens = [], 0
+            held.append(i)
+            tokens += sizes[i]
+        if held:
+            yield held
+
+    def _model(self):
+        import sys
+        import types
+
+        loaded = sys.modules.setdefault(_LOADED, types.ModuleType(_LOADED)).__dict__
+        if self.key not in loaded:
+            loaded[self.key] = self.load()
+        return loaded[self.key]
+
+    def _run(self, side: str, text_col: str, prefix: str):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = None
+            for b in batches:
+                model = model or self._model()
+                texts = [t or "" for t in b.column(text_col).to_pylist()]
+                dense: list = [None] * len(texts)
+                toks: list = [None] * len(texts)
+                for call in self.calls(texts):
+                    got = model([texts[i] for i in call], side)
+                    for i, d, m in zip(call, *got):
+                        dense[i], toks[i] = np.asarray(d, np.float32), np.asarray(m, np.float32).reshape(-1, self.tok_dim)
+                        if dense[i].shape != (self.dense_dim,):
+                            raise ValueError(f"the model's vectors must have {self.dense_dim} components")
+                offsets = np.cumsum([0, *map(len, toks)]).astype(np.int32)
+                matrices = pa.ListArray.from_arrays(pa.array(offsets), _float_lists(toks, self.tok_dim))
+                yield pa.RecordBatch.from_arrays([*b.columns, _float_lists(dense, self.dense_dim), matrices], names=[*b.schema.names, f"{prefix}dense", f"{prefix}toks"])
+
+        return run
+
+    def encode_tokens(self, df: DataFrame, text_col: str, side: str = "doc", prefix: str = "") -> DataFrame:
+        return self.encode(df, text_col, side, prefix).drop(f"{prefix}dense", f"{prefix}code", f"{prefix}n_tokens")
+
+    def encode(self, df: DataFrame, text_col: str = "text", side: str = "doc", prefix: str = "") -> DataFrame:
+        """``df`` with ``{prefix}dense``, ``{prefix}toks``, ``{prefix}code`` and ``{prefix}n_tokens``; columns of these names are replaced."""
+        df = df.drop(*(prefix + c for c in ("dense", "toks", "code", "n_tokens")))
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        out = df.mapInArrow(self._run(side, text_col, prefix), f"{ddl}, `{prefix}dense` array<float>, `{prefix}toks` array<array<float>>")
+        return out.withColumn(f"{prefix}code", V.binary_code(F.col(f"{prefix}dense"), self.dense_dim)).withColumn(f"{prefix}n_tokens", F.size(f"{prefix}toks"))
+
+
+# A small model with fixed weights: a token's vector adds up one row of weights for each of its letters and digits.
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
+LETTER_DIM = 8
+
+
+def letter_weights() -> np.ndarray:
+    """Whole numbers from -3 to 3, by code point and component."""
+    c, j = np.array([ord(x) for x in LETTERS])[:, None], np.arange(LETTER_DIM)[None, :]
+    return ((c * (2 * j + 3)) % 7 - 3).astype(np.float32)
+
+
+def load_letter_model():
+    """A model without files: tokens are ASCII letter and digit runs; a query has a marker token of ones beside its own."""
+    import re
+
+    weights = letter_weights()
+    place = np.full(128, -1)
+    place[[ord(x) for x in LETTERS]] = np.arange(len(LETTERS))
+    word = re.compile(r"[A-Za-z0-9]+")
+
+    def model(texts: list[str], side: str):
+        toks = []
+        for t in texts:
+            rows = [weights[place[np.frombuffer(w.lower().encode(), np.uint8)]].sum(0) for w in word.findall(t)]
+            rows += [np.ones(LETTER_DIM)] if side == "query" else []
+            toks.append(np.array(rows, np.float32).reshape(-1, LETTER_DIM))
+        return [m.sum(0) for m in toks], toks
+
+    return model
+
+
+LETTER_MODEL = ModelEmbedder(load_letter_model, LETTER_DIM, LETTER_DIM, "letters")

@@ -25,6 +25,10 @@ integers (the Hamming distance, or the cosine rounded to 6 decimals), and the
 same key orders the partial and the final result; ties go to the smaller id.
 Ids may be of any type that Arrow can sort, a struct of columns included.
 
+``maxsim_top_k`` runs the same blocks over token matrices: the exact best
+rows by MaxSim over all pairs, which a two-stage search can be held against.
+A matrix product of all tokens of two blocks, and the best of each segment.
+
 Nothing here runs a job: the result is one lazy plan.
 """
 
@@ -54,6 +58,9 @@ BLOCK_BYTES = 4 << 20
 MAX_STATE_CELLS = 4_000_000
 _STRIP = 64
 _COS_SCALE = 1_000_000
+# Tokens of a block in a MaxSim search, and what its keys are counted down from (1,000 query tokens that match).
+BLOCK_TOKENS = 4096
+_MAXSIM_TOP = 1_000 * _COS_SCALE
 
 
 def top_k_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, rank_col: str = "rank") -> DataFrame:
@@ -94,6 +101,18 @@ def _matrix(vec: pa.Array, width: int, mode: str) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(kind).reshape(len(vec), width)
 
 
+def _token_blocks(vec: pa.Array, width: int) -> list[bytes]:
+    """Each row's unit token vectors as float64 bytes; a zero vector stays zero."""
+    if vec.null_count:
+        raise ValueError("a row without a vector cannot be searched")
+    toks = vec.flatten()
+    m = _matrix(toks, width, "cosine").astype(np.float64) if len(toks) else np.empty((0, width))
+    n = np.sqrt((m * m).sum(1, keepdims=True))
+    m = np.divide(m, n, out=np.zeros_like(m), where=n > 0)
+    at = vec.offsets.to_numpy() - vec.offsets[0].as_py()
+    return [m[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+
+
 def _pack(width: int, mode: str, rows: int, least: int):
     """Arrow batches (id, vec, groups[, self][, cut]) as block rows of neighbouring ids; the blocks are dealt out to the groups."""
 
@@ -104,7 +123,13 @@ def _pack(width: int, mode: str, rows: int, least: int):
         for b in batches:
             if b.num_rows == 0:
                 continue
-            ids, mat = b.column("id"), _matrix(b.column("vec"), width, mode)
+            ids = b.column("id")
+            if mode == "maxsim":
+                cells = _token_blocks(b.column("vec"), width)
+                kind, lengths = "float64", np.array([len(x) for x in cells]) // (8 * width)
+            else:
+                mat = _matrix(b.column("vec"), width, mode)
+                kind, lengths = str(mat.dtype), None
             if ids.null_count:
                 raise ValueError("a row without an id cannot be searched")
             more = [
@@ -114,22 +139,36 @@ def _pack(width: int, mode: str, rows: int, least: int):
             groups = b.column("groups")[0].as_py()
             order = np.argsort(_sort_ranks(ids), kind="stable")
             size = min(rows, max(least, -(-len(order) // groups)))
-            for s in range(0, len(order), size):
-                own = order[s : s + size]
+            cuts = list(range(0, len(order), size)) if lengths is None else _by_tokens(lengths[order], size)
+            for s, e in zip(cuts, [*cuts[1:], len(order)]):
+                own = order[s:e]
                 dealt += 1
+                packed = np.ascontiguousarray(mat[own]).tobytes() if lengths is None else b"".join(cells[i] for i in own)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([dealt % groups], pa.int32()), pa.array([len(own)], pa.int32()), pa.array([_to_ipc(ids.take(pa.array(own)))], pa.binary()),
-                        pa.array([np.ascontiguousarray(mat[own]).tobytes()], pa.binary()), pa.array([str(mat.dtype)]),
+                        pa.array([packed], pa.binary()), pa.array([kind]),
                         *(pa.array([None if m is None else m[own].tobytes()], pa.binary()) for m in more),
+                        pa.array([None if lengths is None else lengths[own].astype(np.int64).tobytes()], pa.binary()),
                     ],
-                    names=["own", "n", "ids", "vecs", "kind", "selfs", "cuts"],
+                    names=["own", "n", "ids", "vecs", "kind", "selfs", "cuts", "sizes"],
                 )
 
     return run
 
 
-_BLOCK = "own int, n int, ids binary, vecs binary, kind string, selfs binary, cuts binary"
+def _by_tokens(lengths: np.ndarray, rows: int) -> list[int]:
+    """Where blocks of at most ``rows`` rows and BLOCK_TOKENS tokens begin (a longer row is a block of its own)."""
+    cuts, tokens = [0], 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > cuts[-1] and (i - cuts[-1] >= rows or tokens + n > BLOCK_TOKENS):
+            cuts.append(i)
+            tokens = 0
+        tokens += n
+    return cuts
+
+
+_BLOCK = "own int, n int, ids binary, vecs binary, kind string, selfs binary, cuts binary, sizes binary"
 _NO_CUT = np.iinfo(np.int32).max
 
 
@@ -151,6 +190,16 @@ def cosine_keys(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return (_COS_SCALE - np.copysign(np.floor(np.abs(cos) + 0.5), cos)).astype(np.int32)
 
 
+def maxsim_keys(q: np.ndarray, q_sizes: np.ndarray, c: np.ndarray, c_sizes: np.ndarray) -> np.ndarray:
+    """A large number less the MaxSim in millionths of every two rows, given their unit tokens one after another; 0 tokens on either side score 0."""
+    out = np.zeros((len(q_sizes), len(c_sizes)))
+    qs, cs = np.flatnonzero(q_sizes), np.flatnonzero(c_sizes)
+    if len(qs) and len(cs):
+        best = np.maximum.reduceat(q @ c.T, np.cumsum(c_sizes[cs]) - c_sizes[cs], axis=1)
+        out[np.ix_(qs, cs)] = np.add.reduceat(best, np.cumsum(q_sizes[qs]) - q_sizes[qs], axis=0)
+    return _MAXSIM_TOP - np.copysign(np.floor(np.abs(out) * _COS_SCALE + 0.5), out).astype(np.int64)
+
+
 class RunningTopK:
     """The k best (key, id) of each query of a block over all vector blocks so far."""
 
@@ -250,6 +299,12 @@ def _over_pairs(mode: str, k: int, width: int, count: bool):
                 c = np.frombuffer(get["vecs"][i].as_py(), get["kind"][i].as_py()).reshape(-1, width)
                 ids = _from_ipc(get["ids"][i].as_py())
                 plain = None if selfs is None else ids.to_numpy(zero_copy_only=False)
+                if mode == "maxsim":
+                    q_sizes, c_sizes = (np.frombuffer(get[x][i].as_py(), np.int64) for x in ("q_sizes", "sizes"))
+                    if q_sizes.max(initial=0) > 1_000:
+                        raise ValueError("a MaxSim search takes queries of at most 1,000 tokens")
+                    held.add(0, maxsim_keys(q, q_sizes, c, c_sizes), ids, None if selfs is None else selfs[:, None] == plain[None, :])
+                    continue
                 for s in range(0, len(q), _STRIP):
                     skip = None if selfs is None else selfs[s : s + _STRIP, None] == plain[None, :]
                     held.add(s, keys_of(q[s : s + _STRIP], c), ids, skip)
@@ -294,9 +349,9 @@ def _pairs(scan: DataFrame, asked: DataFrame, c_groups: Column, q_groups: Column
         return df.withColumn("groups", groups).withColumn(name, F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("groups")
 
     left = other(left, q_groups, "q_group").withColumnRenamed("own", "c_group")
-    right = other(right, c_groups, "c_group_").select("c_group_", *[F.col(c).alias(f"q_{c}") for c in ("own", "ids", "vecs", "kind", "selfs", "cuts")])
+    right = other(right, c_groups, "c_group_").select("c_group_", *[F.col(c).alias(f"q_{c}") for c in ("own", "ids", "vecs", "kind", "selfs", "cuts", "sizes")])
     met = left.join(right, (F.col("c_group") == F.col("c_group_")) & (F.col("q_group") == F.col("q_own")))
-    return met.select("ids", "vecs", "kind", "q_ids", "q_vecs", "q_kind", "q_selfs", "q_cuts")
+    return met.select("ids", "vecs", "kind", "sizes", "q_ids", "q_vecs", "q_kind", "q_selfs", "q_cuts", "q_sizes")
 
 
 def partial_top_k(
@@ -315,7 +370,7 @@ def partial_top_k(
     count_first: bool | None = None,
 ) -> DataFrame:
     """What the tasks of :func:`scan_top_k` pass on: ``(query_id, id, key)``, a superset of the k best of each query."""
-    if mode not in ("hamming", "cosine"):
+    if mode not in ("hamming", "cosine", "maxsim"):
         raise ValueError(f"unknown mode {mode!r}")
     scan = corpus.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
     own = [F.col(q_self).cast("long").alias("self")] if q_self is not None else []
@@ -352,3 +407,14 @@ def scan_top_k(corpus: DataFrame, queries: DataFrame, *, k: int, mode: str, **mo
     top = top_k_per_key(hits, ["query_id"], [F.col("key"), F.col("id")], k)
     value = F.col("key").cast("double") if mode == "hamming" else (F.lit(_COS_SCALE) - F.col("key")) / F.lit(float(_COS_SCALE))
     return top.select("query_id", "id", value.alias("value"), "rank")
+
+
+def maxsim_top_k(corpus: DataFrame, queries: DataFrame, *, k: int, tok_dim: int, q_self: str | None = None, **more) -> DataFrame:
+    """G3 over all pairs, exactly: ``(query_id, id, score, rank)``, the k best rows of each query by normalised MaxSim.
+
+    ``toks`` and ``q_toks`` are float token matrices.  Scores are rounded to 6
+    decimals, ties go to the smaller id; a row or a query without tokens scores
+    0.  The work is queries x rows; nothing but each query's best leaves a task."""
+    hits = partial_top_k(corpus, queries, k=k, mode="maxsim", width=tok_dim, vec_col="toks", q_vec="q_toks", q_self=q_self, count_first=False, **more)
+    top = top_k_per_key(hits, ["query_id"], [F.col("key"), F.col("id")], k)
+    return top.select("query_id", "id", ((F.lit(_MAXSIM_TOP) - F.col("key")) / F.lit(float(_COS_SCALE))).alias("score"), "rank")

@@ -43,6 +43,7 @@ scored AS (
 
 _MATRICES = _MATRICES_T.format(limit=10)
 _MATRICES_500 = _MATRICES_T.format(limit=500)
+_MATRICES_ALL = _MATRICES_T.format(limit=1_000_000_000)
 
 _SINGLE = """
 v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings)
@@ -144,5 +145,25 @@ WITH {_MATRICES.replace("list(embedding::DOUBLE[] ORDER BY vec_id)", "list(list_
 SELECT s.query_id, s.id, s.ham, round(list_sum(list_transform(qd.toks, lambda a: list_max(list_transform(dd.toks, lambda b:
          list_sum(list_transform(range(1, len(a) + 1), lambda i: a[i] * b[i])))))), 6) AS raw_score, round(s.score, 6) AS unit_score
 FROM scored s JOIN d qd ON qd.id = s.query_id JOIN d dd ON dd.id = s.id
+""",
+    "q38_true_recall": f"""
+WITH {_MATRICES_ALL},
+lims AS (SELECT unnest([1, 2, 5, 10, 25, 50])::INTEGER AS prefetch_limit),
+best AS (
+  SELECT query_id, prefetch_limit, id FROM scored JOIN lims ON stage1_rank <= prefetch_limit
+  QUALIFY row_number() OVER (PARTITION BY query_id, prefetch_limit ORDER BY round(score, 6) DESC, id) = 1
+),
+truth AS (SELECT query_id, id FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id) = 1),
+g AS (
+  SELECT l.prefetch_limit, (b.id IS NOT DISTINCT FROM t.id)::INTEGER AS hit
+  FROM d CROSS JOIN lims l LEFT JOIN best b ON b.query_id = d.id AND b.prefetch_limit = l.prefetch_limit LEFT JOIN truth t ON t.query_id = d.id
+)
+SELECT prefetch_limit, sum(hit)::BIGINT AS found, count(*)::BIGINT AS n_queries, round(sum(hit) * 100.0 / count(*), 6) AS recall_pct FROM g GROUP BY 1
+""",
+    "q39_exact_maxsim": f"""
+WITH {_MATRICES_ALL}
+SELECT query_id, id, round(score, 6) AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, id)::INTEGER AS rank FROM scored
+) WHERE rank <= 3
 """,
 }

@@ -380,4 +380,28 @@ FROM (SELECT doc_id, unnest(parts) AS text, unnest(range(len(parts))) AS ix
     "q35_index_lifecycle": f"""{_with(CHUNKS)},
 s(step, english) AS (VALUES ('create', TRUE), ('keep', TRUE), ('recreate', FALSE))
 SELECT step, doc_id, chunk_ix, chunk_id, c.text FROM chunks c JOIN documents USING (doc_id) JOIN s ON (lang IS NOT DISTINCT FROM 'en') = english""",
+    "q36_model_tokens": """
+WITH j AS (SELECT CAST(unnest(range(8)) AS INTEGER) AS dim),
+w AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+')) AS word,
+  generate_subscripts(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+'), 1) - 1 AS ix FROM benchmark),
+c AS (SELECT item_id, ix, ascii(unnest(string_split(word, ''))) AS o FROM w),
+t AS (SELECT item_id, ix, dim, CAST(sum((o * (2 * dim + 3)) % 7 - 3) AS DOUBLE) AS value FROM c, j GROUP BY ALL
+  UNION ALL SELECT item_id, len(regexp_extract_all(text, '[A-Za-z0-9]+')), dim, 1.0 FROM benchmark, j)
+SELECT item_id AS query_id, CAST(ix AS INTEGER) AS tok_ix, dim, value FROM t
+UNION ALL SELECT item_id, -1, dim, sum(value) FROM t GROUP BY ALL""",
+    "q37_model_dense_only": f"""{_with(CHUNKS)},
+l(o) AS (SELECT unnest(list_concat(range(97, 123), range(48, 58)))),
+j AS (SELECT unnest(range(8)) AS dim),
+n AS (SELECT doc_id, chunk_ix, chunk_id, o, length(t) - length(replace(t, chr(CAST(o AS INTEGER)), '')) AS n
+  FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM chunks), l),
+d AS (SELECT doc_id, chunk_ix, chunk_id, list(x ORDER BY dim) AS v FROM
+  (SELECT doc_id, chunk_ix, chunk_id, dim, CAST(sum(n * ((o * (2 * dim + 3)) % 7 - 3)) AS DOUBLE) AS x FROM n, j GROUP BY ALL) GROUP BY ALL),
+m AS (SELECT item_id, o, length(t) - length(replace(t, chr(CAST(o AS INTEGER)), '')) AS n
+  FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark), l),
+q AS (SELECT item_id, list(x ORDER BY dim) AS v FROM
+  (SELECT item_id, dim, 1 + CAST(sum(n * ((o * (2 * dim + 3)) % 7 - 3)) AS DOUBLE) AS x FROM m, j GROUP BY ALL) GROUP BY ALL),
+s AS (SELECT item_id AS query_id, doc_id, chunk_ix, chunk_id,
+  coalesce(round(list_dot_product(q.v, d.v) / nullif(sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(d.v, d.v)), 0), 6), 0) AS score FROM q, d),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, chunk_ix) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, chunk_ix, chunk_id, score FROM r WHERE rank <= 3""",
 }

@@ -10,6 +10,7 @@ from ..functions import cost as C
 from ..functions import prompt as PR
 from ..functions import text as T
 from ..operators.search import scored_candidates
+from ..operators.topk import maxsim_top_k
 
 # The swept prefetch limits and the projected query volumes.
 SWEEP_LIMITS = (10, 25, 50, 100, 250, 500)
@@ -118,6 +119,30 @@ def footprint(index: DataFrame, dense_col: str = "dense") -> DataFrame:
     )
 
 
+def _top1_by_limit(scored: DataFrame, limits: list[int]) -> DataFrame:
+    """(query_id, prefetch_limit, top1) from scored candidates: the highest score, then the smallest id, of those that each limit keeps."""
+    row = F.struct((-F.round("score", 6)).alias("s"), "id")
+    best = scored.groupBy("query_id").agg(*[F.min(F.when(F.col("stage1_rank") <= x, row)).alias(f"b{x}") for x in limits])
+    per_limit = F.array(*[F.struct(F.lit(x).alias("prefetch_limit"), F.col(f"b{x}.id").alias("top1")) for x in limits])
+    return best.select("query_id", F.inline(per_limit))
+
+
+def true_recall(index: DataFrame, queries: DataFrame, *, code_words: int, tok_dim: int, limits=SWEEP_LIMITS,
+                exclude_self: bool = False) -> DataFrame:
+    """E6 against the truth: for each limit the share of queries whose best
+    row over the whole index, found by exact MaxSim over all pairs, is also the
+    best of the two-stage search.  Float token matrices.
+    Returns (prefetch_limit, found, n_queries, recall_pct); a query without any
+    row to find counts as found."""
+    limits = sorted(set(int(x) for x in limits))
+    scored = scored_candidates(index, queries, limits[-1], code_words, "float", tok_dim, exclude_self)
+    truth = maxsim_top_k(index, queries, k=1, tok_dim=tok_dim, q_self="self_id" if exclude_self else None)
+    grid = queries.select("query_id", F.explode(F.array(*map(F.lit, limits))).alias("prefetch_limit"))
+    g = grid.join(_top1_by_limit(scored, limits), ["query_id", "prefetch_limit"], "left").join(truth.select("query_id", F.col("id").alias("true_top1")), "query_id", "left")
+    rate = g.groupBy("prefetch_limit").agg(F.sum(F.col("top1").eqNullSafe(F.col("true_top1")).cast("int")).alias("found"), F.count(F.lit(1)).alias("n_queries"))
+    return rate.select("prefetch_limit", "found", "n_queries", F.round(F.col("found") * 100.0 / F.col("n_queries"), 6).alias("recall_pct"))
+
+
 def limit_sweep(index: DataFrame, queries: DataFrame, *, code_words: int, tok_kind: str, tok_dim: int,
                 limits=SWEEP_LIMITS, exclude_self: bool = False, buckets: int | None = None) -> DataFrame:
     """E6 in one pass: stage 1 once at the largest limit (keeping each
@@ -130,11 +155,7 @@ def limit_sweep(index: DataFrame, queries: DataFrame, *, code_words: int, tok_ki
     top_limit = limits[-1]
     scored = scored_candidates(index, queries, top_limit, code_words, tok_kind, tok_dim, exclude_self, buckets=buckets)
     lim_arr = F.array(*[F.lit(x) for x in limits])
-    # best = highest score, then smallest id
-    row = F.struct((-F.round("score", 6)).alias("s"), "id")
-    best = scored.groupBy("query_id").agg(*[F.min(F.when(F.col("stage1_rank") <= x, row)).alias(f"b{x}") for x in limits])
-    per_limit = F.array(*[F.struct(F.lit(x).alias("prefetch_limit"), F.col(f"b{x}.id").alias("top1")) for x in limits])
-    top1 = best.select("query_id", F.inline(per_limit))
+    top1 = _top1_by_limit(scored, limits)
     grid = queries.select("query_id", F.explode(lim_arr).alias("prefetch_limit"))
     g = grid.join(top1, ["query_id", "prefetch_limit"], "left")
     ref = g.filter(F.col("prefetch_limit") == top_limit).select("query_id", F.col("top1").alias("ref_top1"))

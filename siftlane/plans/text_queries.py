@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import vector as V
 from ..operators import chunk as CH
-from ..operators.embed import token_codes
+from ..operators.embed import LETTER_MODEL, token_codes
 from ..session import freeze, scratch_path, spread
 from ..sources import index as IX
 from ..sources.tables import read_table
@@ -286,3 +286,18 @@ def q35_index_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
         held = freeze(held, "lifecycle")  # the next step replaces the files
         out = held if out is None else out.unionByName(held)
     return out
+
+
+def q36_model_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4, P5 through a float model that each worker loads: the token matrices and dense vectors of all queries."""
+    q = P.encode_queries(read_table(spark, sf_dir, "benchmark"), LETTER_MODEL)
+    rows = q.select("query_id", F.posexplode("q_toks").alias("tok_ix", "v")).unionByName(q.select("query_id", F.lit(-1).alias("tok_ix"), F.col("q_dense").alias("v")))
+    return rows.select("query_id", "tok_ix", F.posexplode("v").alias("dim", "x")).select("query_id", "tok_ix", "dim", F.col("x").cast("double").alias("value"))
+
+
+def q37_model_dense_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3, P5, E2 through the same model: every query against every chunk."""
+    idx = freeze(P.build_index(_docs(spark, sf_dir), LETTER_MODEL).select("id", "doc_id", "chunk_ix", "chunk_id", "dense"), "model-index")
+    q = freeze(P.encode_queries(read_table(spark, sf_dir, "benchmark"), LETTER_MODEL), "model-queries")
+    hits = P.dense_only(idx, q, TOP_K, LETTER_MODEL, payload=["doc_id", "chunk_ix", "chunk_id"])
+    return hits.select("query_id", "rank", "doc_id", "chunk_ix", "chunk_id", "score")

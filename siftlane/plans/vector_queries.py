@@ -22,6 +22,7 @@ GROUP = 5
 PREFETCH_LIMIT = 10
 TOP_K = 3
 DENSE_TOP_K = 5
+RECALL_LIMITS = [1, 2, 5, 10, 25, 50]
 
 
 def _vectors(spark: SparkSession, sf_dir: str):
@@ -107,3 +108,19 @@ def q31_raw_maxsim(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, unit = (S.score_candidates(idx, queries, cand, "float", dim, normalize=n).withColumnRenamed("score", c) for n, c in ((False, "raw"), (True, "unit")))
     both = raw.join(unit.select("query_id", "id", "unit"), ["query_id", "id"])
     return both.select("query_id", "id", "ham", F.round("raw", 6).alias("raw_score"), F.round("unit", 6).alias("unit_score"))
+
+
+def q38_true_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 against the exact best of all pairs."""
+    from . import reports as R
+
+    idx, dim = _matrices(spark, sf_dir)
+    return R.true_recall(idx, SV.as_queries(idx), code_words=V.n_words(dim), tok_dim=dim, limits=RECALL_LIMITS, exclude_self=True)
+
+
+def q39_exact_maxsim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 over all pairs: each item's best others."""
+    from ..operators.topk import maxsim_top_k
+
+    idx, dim = _matrices(spark, sf_dir)
+    return maxsim_top_k(idx, SV.as_queries(idx), k=TOP_K, tok_dim=dim, q_self="self_id")

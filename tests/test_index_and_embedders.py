@@ -142,6 +142,57 @@ def test_model_embedder_plug_point(spark):
     assert len(dense) == 1
 
 
+def test_a_model_is_loaded_once_in_each_worker(spark, tmp_path):
+    import os
+
+    from siftlane.operators.embed import LETTER_MODEL, ModelEmbedder, load_letter_model
+
+    folder = str(tmp_path)
+
+    def load():
+        import tempfile
+
+        tempfile.mkstemp(prefix=f"load-{os.getpid()}-", dir=folder)
+        model = load_letter_model()
+
+        def run(texts, side):
+            tempfile.mkstemp(prefix=f"call-{sum(len(t.split()) + 1 for t in texts)}-{len(texts)}-", dir=folder)
+            return model(texts, side)
+
+        return run
+
+    emb = ModelEmbedder(load, 8, 8, f"test {folder}", token_budget=40)
+    docs = [(i, None if i == 5 else " ".join(["word"] * (i % 30 + (200 if i == 7 else 0)))) for i in range(120)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(12)
+    got = {r.doc_id: r for _ in range(2) for r in P.build_index(docs, emb).collect()}
+    plain = {r.doc_id: r for r in P.build_index(docs, LETTER_MODEL).collect()}
+    assert got == plain and got[5].n_tokens == 0 and got[5].dense == [0.0] * 8 and got[7].n_tokens == 207
+    names = os.listdir(folder)
+    loads = [n.split("-")[1] for n in names if n.startswith("load")]
+    assert loads and len(loads) == len(set(loads))  # one a process, over 12 partitions, two runs
+    calls = [tuple(map(int, n.split("-")[1:3])) for n in names if n.startswith("call")]
+    assert all(tokens <= 40 or n == 1 for tokens, n in calls) and max(n for _, n in calls) > 1
+
+
+def test_model_sides_and_wrong_sizes(spark):
+    from siftlane.operators.embed import LETTER_MODEL, ModelEmbedder, load_letter_model
+
+    df = spark.createDataFrame([(1, "Ab 1"), (2, "")], "k long, text string")
+    doc, query = (LETTER_MODEL.encode(df, "text", side).orderBy("k").collect() for side in ("doc", "query"))
+    assert [r.n_tokens for r in doc] == [2, 0] and [r.n_tokens for r in query] == [3, 1]
+    assert query[0].dense == [x + 1 for x in doc[0].dense] and query[1].toks == [[1.0] * 8]
+    assert LETTER_MODEL.encode(df.limit(0), "text").count() == 0
+    with pytest.raises(Exception, match="must have 9 components"):
+        ModelEmbedder(load_letter_model, 9, 8, "wrong").encode(df, "text").collect()
+
+
+def test_string_query_ids(spark):
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    q = P.encode_queries(spark.createDataFrame([("q-b", "gamma delta"), ("q-a", "iota")], "item_id string, text string"))
+    hits = P.two_stage(P.build_index(docs), q, prefetch_limit=4, top_k=1).collect()
+    assert {h.query_id: h.text for h in hits} == {"q-a": "Iota kappa.", "q-b": "Gamma delta epsilon."}
+
+
 def test_batch_tokens_and_codes_equal_spark_expressions(spark):
     from siftlane.operators import embed as EM
     from siftlane.sources.tables import read_table

@@ -97,3 +97,26 @@ def test_fewer_rows_than_k_and_own_rows(shuffled):
     assert got.count() == 30 * 29 and got.where("query_id = id").count() == 0
     assert topk.scan_top_k(corpus.limit(0), queries, k=100, mode="hamming", width=1).count() == 0
     assert topk.scan_top_k(corpus, queries.limit(0), k=100, mode="hamming", width=1).count() == 0
+
+
+@pytest.mark.parametrize("cells", [None, (3, 4)])
+def test_exact_maxsim_equals_all_pairs(shuffled, cells, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_TOKENS", 30)
+    rng = np.random.default_rng(4)
+    rows = [(i, [[float(x) for x in rng.integers(-3, 4, size=5)] for _ in range(rng.integers(0, 7))]) for i in range(90)] + [(90, [[1.0] * 5] * 60)]
+    df = shuffled.createDataFrame(rows, "id long, toks array<array<double>>")
+    queries = df.where("id < 40").select(F.col("id").alias("query_id"), F.col("toks").alias("q_toks"), F.col("id").alias("self_id"))
+    got = topk.maxsim_top_k(df, queries, k=4, tok_dim=5, q_self="self_id", cells=cells)
+
+    def unit(m):
+        m = np.array(m).reshape(-1, 5)
+        n = np.sqrt((m * m).sum(1, keepdims=True))
+        return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
+
+    want = set()
+    for i, q in rows[:40]:
+        scores = [(-round(float((unit(q) @ unit(d).T).max(1).sum()) if q and d else 0.0, 6) + 0.0, j) for j, d in rows if j != i]
+        want |= {(i, n, j, -s + 0.0) for n, (s, j) in enumerate(sorted(scores)[:4], 1)}
+    assert {(r.query_id, r.rank, r.id, round(r.score, 6) + 0.0) for r in got.collect()} == want
+    with pytest.raises(Exception, match="without a vector"):
+        topk.maxsim_top_k(df.withColumn("toks", F.when(F.col("id") > 3, F.col("toks"))), queries, k=1, tok_dim=5).collect()
