@@ -36,8 +36,10 @@ STATES = len(SYMBOLS) + 1
 #: Tokens that the models judge: so many characters at least, with a letter and a digit among them.
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Least log-likelihood ratio in nats, of the whole token and per character.
-LEAST_RATIO = 12.0
-LEAST_PER_CHAR = 0.5
+LEAST_RATIO = 8.0
+LEAST_PER_CHAR = 0.25
+#: Evidence, in nats, of a change between letter and digit, at most.
+CHANGE = 0.6
 #: Weight, in characters, of a symbol's own frequency against that after the symbol before it.
 BACKOFF = 20.0
 #: What is not counted of a bigram in ordinary tokens, as a share of the mean of all bigrams: it may come from short random strings.
@@ -155,6 +157,27 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray:
     p = (n + BACKOFF * alone[:, None, :]) / (n.sum(2, keepdims=True) + BACKOFF)
     out = np.zeros((STATES, STATES))
     out[:, 1:] = np.log(p[1]) - np.log(p[0])
+    return _by_parts(out)
+
+
+def _by_parts(ratios: np.ndarray) -> np.ndarray:
+    """Bigram ratios by which the parts of identifiers, paths and dates are judged as words of their own.
+
+    Separators and digits, which prose hardly has, say nothing, but for a
+    change between letter and digit, which counts CHANGE at most; what follows
+    them, or is a capital after a small letter, begins a part.  Two capitals
+    are as ordinary as the small letters they stand for, if that is more."""
+    out = ratios.copy()
+    small, large = ([SYMBOLS.index(c) + 1 for c in a] for a in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    rest = [i + 1 for i, c in enumerate(SYMBOLS) if not c.isalpha()]
+    out[np.ix_(large, large)] = np.minimum(out[np.ix_(large, large)], ratios[np.ix_(small, small)])
+    out[0, large] = np.minimum(ratios[0, large], ratios[0, small])
+    out[np.ix_(small, large)] = out[0, large]
+    digits = [SYMBOLS.index(c) + 1 for c in "0123456789"]
+    out[rest, :] = out[0, :]
+    out[:, rest] = 0.0
+    out[np.ix_(small + large, digits)] = np.minimum(ratios[np.ix_(small + large, digits)], CHANGE)
+    out[np.ix_(digits, small + large)] += CHANGE
     return out
 
 

@@ -141,8 +141,8 @@ PLAIN = re.compile(r"[!-~À-ɏ]*")
 PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^a-z0-9ß-öø-ɏ]+")
 
 
-#: Characters of a text by which rows of one id are ordered.
-TIE_CHARS = 256
+#: Characters of a text by which rows of one id are ordered, before a hash of it (the range sampling carries them).
+TIE_CHARS = 8
 
 
 class WordEncoder(dict):

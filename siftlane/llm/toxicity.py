@@ -61,6 +61,8 @@ WORDS_KEPT = 500_000
 WORD = re.compile(r"[^\W_]+")
 SENTENCE = re.compile(r"[.!?;\n]+")
 PARTS = re.compile(r"[^\W_]+|[.!?;\n]")
+#: What may stand between the parts of a joined word: ASCII marks and white space that end no sentence.
+BETWEEN = bytes(c for c in range(128) if not chr(c).isalnum() and chr(c) not in ".!?;\n")
 MARKS = re.compile(r"[\W_]+")
 SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[\W_]{1,3}[^\W_]){3,}(?![^\W_])")
 
@@ -95,12 +97,14 @@ class Borders:
         self.cores.make_automaton()
 
     def units(self, text: str) -> list[str]:
-        """The joined words of a lower-cased text; sentences stay apart."""
+        """The joined words of a lower-cased text; sentences stay apart.  Between the words are white space and ASCII marks."""
+        dense = text.encode("utf-8", "surrogatepass").translate(None, BETWEEN).decode("utf-8", "surrogatepass")
+        near = [dense[end - size + 1 : end + 1] for end, size in self.cores.iter(dense)] if len(self.cores) else []
+        if not near or all(text.count(core) >= n for core, n in Counter(near).items()):
+            return []  # each stands within a word already
         words = PARTS.findall(text)
         whole = "".join(words)
-        found = list(self.cores.iter(whole)) if len(self.cores) else []
-        if not found:
-            return []
+        found = list(self.cores.iter(whole))
         starts = list(accumulate(map(len, words), initial=0))
         out = set()
         for end, size in found:

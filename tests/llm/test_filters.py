@@ -69,6 +69,39 @@ def test_secrets_are_found_at_any_number(spark, odd_docs, make_text):
             assert all(got[i].count(":") == 2 and got[i].startswith("markov:") for i in range(n)) and len(got) == n, (n, copies)
 
 
+def test_secrets_of_many_alphabets_among_identifiers(spark):
+    """Recall of planted random strings and false alarms on identifiers, paths, dates and plain documents."""
+    r = random.Random(5)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    prose = [x for d in docs.collect() for x in d.text.split() if x.isalpha() and x.isascii()]
+    letters, digits = string.ascii_letters, string.digits
+
+    def rand(alphabet, n):
+        return "".join(r.choice(alphabet) for _ in range(n))
+
+    def w():
+        return r.choice(prose).lower()
+
+    secret = [
+        lambda: rand(letters + digits, 32) + "a7", lambda: rand(letters + digits + "+/", 40) + "b1", lambda: rand(letters + digits + "-_", 43) + "9z", lambda: rand(string.ascii_uppercase + "234567", 32) + "A2",
+        lambda: rand(string.ascii_lowercase + digits, 32) + "a1", lambda: rand(digits + "ABCDEF", 40) + "A1", lambda: rand(letters + digits, 20) + "x3", lambda: "ghp_" + rand(letters + digits, 36) + "k0",
+    ]
+    ordinary = [
+        lambda: f"{w()}_{w()}_{w()}_{w()}{r.randint(1, 99)}", lambda: "".join(w().title() for _ in range(4)) + str(r.randint(1, 9)), lambda: f"usr/lib/{w()}/{w()}/{w()}/v{r.randint(1, 20)}",
+        lambda: f"{w()}-{w()}-{w()}-{w()}-{r.randint(2000, 2026)}", lambda: f"{w()}_{w()}_{w()}_{r.randint(1, 64)}".upper(), lambda: f"{w()}-20{r.randint(10, 26)}-0{r.randint(1, 9)}-{r.randint(10, 28)}T12-00-{r.randint(10, 59)}",
+        lambda: f"{w()}-{w()}-{r.randint(1, 9)}_{r.randint(0, 99)}_{r.randint(0, 9)}-linux",
+    ]
+    planted = [(1_000_000 + i, y, f()) for i, (y, f) in enumerate([(1, f) for f in secret for _ in range(40)] + [(0, f) for f in ordinary for _ in range(40)])]
+    more = [(i, f"{' '.join(r.choices(prose, k=40))} {x} {' '.join(r.choices(prose, k=40))}") for i, _, x in planted]
+    every = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    got = {x.doc_id: x for x in SE.scan(every, SE.train(every)).collect()}
+    found = [bool(got[i].spans) for i, y, _ in planted if y]
+    assert sum(found) >= 0.95 * len(found), sum(found)
+    assert sum(got[i].n_markov for i, y, _ in planted if not y) <= 3  # of 280
+    megabytes = sum(len(d.text) for d in docs.collect()) / 1e6
+    assert sum(got[d.doc_id].n_markov for d in docs.select("doc_id").collect()) <= 2 * megabytes
+
+
 def test_the_rest_of_a_token_beside_a_base_span_is_judged(spark, odd_docs, make_text):
     r = random.Random(12)
     rand = "".join(r.choice(string.ascii_letters + string.digits) for _ in range(40)) + "Z9"
