@@ -97,40 +97,64 @@ def pack_record(doc_ids: list, ids: list[bytes], shard: int, first: int, block_i
     return b"".join((head, known, keys, sizes, index, body))
 
 
-def read_records(data: bytes):
-    """``(shard, doc_ids, local starts, sizes, ids)`` of each record of a file."""
-    import zstandard
+class Record:
+    """A record's header and chunk index; blocks are decompressed only when asked for."""
 
-    unzip = zstandard.ZstdDecompressor()
-    at = 0
-    while at < len(data):
-        magic, mode, shard, n_docs, n_ids, first, block_ids, n_blocks, size = struct.unpack_from(HEAD, data, at)
+    def __init__(self, data: bytes, at: int = 0):
+        magic, self.mode, self.shard, n_docs, self.n_ids, self.first, self.block_ids, n_blocks, size = struct.unpack_from(HEAD, data, at)
         if magic != MAGIC:
             raise ValueError("not a record of a token file")
         at += struct.calcsize(HEAD)
 
-        def take(kind: str, n: int):
+        def take(kind: str, n: int) -> np.ndarray:
             nonlocal at
             out = np.frombuffer(data, kind, n, at)
             at += out.nbytes
             return out
 
         known, keys, sizes = take("u1", n_docs), take("<i8", n_docs), take("<u8", n_docs)
+        self.doc_ids = [k if ok else None for k, ok in zip(keys.tolist(), known.tolist())]
+        self.sizes = sizes.astype(np.int64)
+        self.starts = np.cumsum(np.append(0, self.sizes))[:-1]  # within the record
         planes = take("u1", n_blocks)
-        lengths = iter(take("<u4", int(planes.sum())).tolist())
-        end, ids = at + size, []
-        for b, k in enumerate(planes.tolist()):
-            some = []
-            for _ in range(k):
-                step = next(lengths)
-                some.append(unzip.decompress(data[at : at + step]))
-                at += step
-            ids.append(from_planes(some, min(block_ids, n_ids - b * block_ids), mode))
-        if at != end:
+        lengths = take("<u4", int(planes.sum())).astype(np.int64)
+        self.data, self.planes = data, np.append(0, np.cumsum(planes.astype(np.int64)))
+        self.offsets = at + np.append(0, np.cumsum(lengths))
+        if self.offsets[-1] != at + size:
             raise ValueError("a record's chunk index does not fit its planes")
-        at = end + 1  # the newline
-        starts = first + np.concatenate([[0], np.cumsum(sizes.astype(np.int64))])[:-1]
-        yield shard, [k if ok else None for k, ok in zip(keys.tolist(), known.tolist())], starts, sizes, np.concatenate(ids) if ids else np.empty(0, np.uint32)
+        self.end = at + size + 1  # after the newline
+
+    def block(self, b: int, unzip) -> np.ndarray:
+        """The ids of one block, found by the chunk index."""
+        first, last = self.planes[b], self.planes[b + 1]
+        some = [unzip.decompress(self.data[self.offsets[i] : self.offsets[i + 1]]) for i in range(first, last)]
+        return from_planes(some, min(self.block_ids, self.n_ids - b * self.block_ids), self.mode)
+
+    def ids(self, start: int, end: int, unzip) -> np.ndarray:
+        """The ids from ``start`` to ``end``, from the blocks that hold them."""
+        if start >= end:
+            return np.empty(0, np.uint32)
+        low = start // self.block_ids
+        got = np.concatenate([self.block(b, unzip) for b in range(low, (end - 1) // self.block_ids + 1)])
+        return got[start - low * self.block_ids : end - low * self.block_ids]
+
+
+def records(data: bytes):
+    """The records of a file."""
+    at = 0
+    while at < len(data):
+        r = Record(data, at)
+        yield r
+        at = r.end
+
+
+def read_records(data: bytes):
+    """``(shard, doc_ids, local starts, sizes, ids)`` of each record of a file."""
+    import zstandard
+
+    unzip = zstandard.ZstdDecompressor()
+    for r in records(data):
+        yield r.shard, r.doc_ids, r.first + r.starts, r.sizes, r.ids(0, r.n_ids, unzip)
 
 
 # ---- encoding --------------------------------------------------------------
@@ -275,3 +299,45 @@ def round_trip(docs: DataFrame, tokenizer: str, end_id: int = 1, mode: int = BIT
     folder = scratch_path(docs.sparkSession, "token_files")
     write(docs, folder, tokenizer, end_id, mode)
     return read(docs.sparkSession, folder)
+
+
+def document_index(spark, folder: str) -> DataFrame:
+    """``(path, record, doc_id, n_tokens)`` of every document in the files, from their headers alone: nothing is decompressed."""
+    schema = pa.schema([("path", pa.string()), ("record", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64())])
+
+    def run(batches):
+        for b in batches:
+            for path, content in zip(b.column("path").to_pylist(), b.column("content")):
+                for n, r in enumerate(records(content.as_py())):
+                    k = len(r.doc_ids)
+                    yield pa.RecordBatch.from_arrays([pa.array([path] * k, pa.string()), pa.array([n] * k, pa.int64()), pa.array(r.doc_ids, pa.int64()), pa.array(r.sizes)], schema=schema)
+
+    files = spark.read.format("binaryFile").load(folder).select("path", "content")
+    return files.mapInArrow(run, "path string, record long, doc_id long, n_tokens long")
+
+
+def fetch(spark, folder: str, doc_ids: list[int], index: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, tokens)`` of the documents of a short list, one row for each in the files.
+
+    Only files that hold one of them are opened (``index``, a written
+    :func:`document_index`, tells which; the driver gets their names, as many
+    as documents at most), and of these only the blocks that hold their ids are
+    decompressed.  Ids that no document has give no row."""
+    import zstandard
+
+    wanted = set(doc_ids)
+    ddl = "doc_id long, tokens array<long>"
+    held = (document_index(spark, folder) if index is None else index).where(F.col("doc_id").isin(list(wanted)))
+    paths = [r["path"] for r in held.select("path").distinct().collect()] if wanted else []
+    if not paths:
+        return spark.createDataFrame([], ddl)
+
+    def run(batches):
+        unzip = zstandard.ZstdDecompressor()
+        for b in batches:
+            for content in b.column("content"):
+                for r in records(content.as_py()):
+                    rows = [(d, r.ids(s, s + n, unzip).tolist()) for d, s, n in zip(r.doc_ids, r.starts.tolist(), r.sizes.tolist()) if d in wanted]
+                    yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.list_(pa.int64()))], names=["doc_id", "tokens"])
+
+    return spark.read.format("binaryFile").load(paths).select("content").mapInArrow(run, ddl)

@@ -86,6 +86,42 @@ def test_records_round_trip(mode):
         list(TF.read_records(b"XXXX" + data[4:]))
 
 
+def test_blocks_are_found_by_the_chunk_index():
+    docs = [np.arange(7 * n, 7 * n + n, dtype="<u4") for n in (0, 1, 40, 3, 100)]
+    data = TF.pack_record(list(range(5)), [d.tobytes() for d in docs], 0, 0, block_ids=16)
+    (r,) = TF.records(data + b"\n")
+    opened = []
+
+    class Unzip:
+        def decompress(self, x):
+            import zstandard
+
+            opened.append(x)
+            return zstandard.ZstdDecompressor().decompress(x)
+
+    for d, s, n in zip(docs, r.starts.tolist(), r.sizes.tolist()):
+        opened.clear()
+        assert (r.ids(s, s + n, Unzip()) == d).all()
+        blocks = range(s // 16, (s + n - 1) // 16 + 1) if n else ()
+        assert len(opened) == sum(r.planes[b + 1] - r.planes[b] for b in blocks)  # no other plane
+    body = int.from_bytes(data[37:45], "little")  # the size of the planes, last in the head
+    with pytest.raises(ValueError, match="does not fit"):
+        TF.Record(data[:37] + (body + 1).to_bytes(8, "little") + data[45:])
+
+
+def test_fetch_some_documents(spark, odd_docs, monkeypatch, tmp_path):
+    monkeypatch.setattr(TF, "SHARD_BYTES", 60_000)
+    monkeypatch.setattr(TF, "BLOCK_IDS", 512)
+    lib = tokenizers.Tokenizer.from_file(WORD)
+    TF.write(odd_docs, f"{tmp_path}/t", WORD)
+    got = sorted((r.doc_id, r.tokens) for r in TF.fetch(spark, f"{tmp_path}/t", [1, 5, 8, 999]).collect())
+    want = sorted((r.doc_id, [*lib.encode(r.text or "", add_special_tokens=False).ids, 1]) for r in odd_docs.collect() if r.doc_id in (1, 5, 8))
+    assert got == want and len(got) == 4  # id 1 has two rows
+    assert TF.fetch(spark, f"{tmp_path}/t", [999]).count() == TF.fetch(spark, f"{tmp_path}/t", []).count() == 0
+    index = TF.document_index(spark, f"{tmp_path}/t")
+    assert index.count() == odd_docs.count() and index.select("path").distinct().count() > 1
+
+
 def test_word_encoder_equals_the_library():
     lib = tokenizers.Tokenizer.from_file(WORD)
     with open(WORD, encoding="utf-8") as f:
