@@ -67,20 +67,28 @@ def _codes_array(words: np.ndarray, seg: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(seg.astype(np.int32)), inner)
 
 
-def _dense_of(words: np.ndarray, seg: np.ndarray) -> pa.Array:
+# Tokens that are counted in one byte.
+_BYTE_TOKENS = 255
+
+
+def _dense_of(codes: np.ndarray, at: np.ndarray, seg: np.ndarray) -> pa.Array:
     """Per row, the sum of its +-1 token vectors (bit i of the vector is bit
-    i%64 of word i//64)."""
+    i%64 of word i//64).  ``at`` is each token's row of ``codes``.  Eight bits
+    are counted in one number, a byte each, for runs of at most 255 tokens."""
     n_rows = len(seg) - 1
     n_tok = np.diff(seg)
     ones = np.zeros((n_rows, HASH_DIM), dtype=np.int64)
-    if len(words):
+    if len(at):
         # little-endian bytes + LSB-first unpacking = word bits in order
-        le = np.ascontiguousarray(words, dtype="<u8")
-        # (dims, tokens) layout: the segment sums run along contiguous memory
-        bytes_t = np.ascontiguousarray(le.view(np.uint8).reshape(-1, 8 * HASH_WORDS).T)
-        bits_t = np.unpackbits(bytes_t, axis=0, bitorder="little")
+        le = np.ascontiguousarray(codes, dtype="<u8").view(np.uint8).reshape(-1, 8 * HASH_WORDS)
+        packed = np.unpackbits(le, axis=1, bitorder="little").view(np.uint64)
+        pieces = -(-n_tok // _BYTE_TOKENS)
+        owner = np.repeat(np.arange(n_rows), pieces)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        sums = np.add.reduceat(packed[at], seg[:-1][owner] + nth * _BYTE_TOKENS, axis=0)
+        counts = sums.view(np.uint8).reshape(-1, HASH_DIM)
         full = n_tok > 0
-        ones[full] = np.add.reduceat(bits_t, seg[:-1][full], axis=1, dtype=np.int32).T
+        ones[full] = np.add.reduceat(counts, (np.cumsum(pieces) - pieces)[full], axis=0, dtype=np.int64)
     out = (2 * ones - n_tok[:, None]).astype(np.float32)
     flat = pa.array(out.reshape(-1), pa.float32())
     return pa.ListArray.from_arrays(pa.array(np.arange(0, (n_rows + 1) * HASH_DIM, HASH_DIM, dtype=np.int32)), flat)
@@ -99,12 +107,21 @@ def _sign_code(dense: pa.Array) -> pa.Array:
     )
 
 
-_WORD_RE = re.compile(T.WORD_PATTERN)
+# Bytes of tokens in lower case, all others as spaces: a token is a run of ASCII letters and digits (T.WORD_PATTERN).
+_TOKEN_BYTES = bytes(c if re.match(T.WORD_PATTERN, chr(c)) else 32 for c in (ord(chr(b).lower()) if b < 128 else 32 for b in range(256)))
 
 
-def _token_lists(texts: pa.Array) -> list[list[str]]:
-    find = _WORD_RE.findall
-    return [[] if t is None else [w.lower() for w in find(t)] for t in texts.to_pylist()]
+def _tokens(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct tokens of all texts, each token's number among them, and where each text's tokens begin."""
+    raw = [(t or "").encode() for t in texts]
+    blob = b" ".join(raw).translate(_TOKEN_BYTES)
+    words = blob.split()
+    inside = np.frombuffer(blob, np.uint8) != 32
+    first = np.flatnonzero(inside & ~np.append(False, inside[:-1])) if len(inside) else np.empty(0, np.int64)
+    rows = np.cumsum([0, *(len(x) + 1 for x in raw)])
+    number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    return list(number), at, np.searchsorted(first, rows).astype(np.int64)
 
 
 # Characters of text that a kernel works on at once: bounds its memory for any batch.
@@ -130,19 +147,16 @@ def _in_slices(kernel):
     return run
 
 
-def _words_of(lists: list[list[str]]):
-    """md5 words of every token of every row, plus row offsets; each distinct token is hashed once."""
-    seg = np.zeros(len(lists) + 1, dtype=np.int64)
-    np.cumsum([len(x) for x in lists], out=seg[1:])
-    number: dict[str, int] = {}
-    at = np.fromiter((number.setdefault(w, len(number)) for row in lists for w in row), np.int64, int(seg[-1]))
-    raw = b"".join([hashlib.md5(w.encode("utf-8")).digest() for w in number])
-    words = np.frombuffer(raw, dtype=">u8").astype(np.uint64).reshape(-1, HASH_WORDS)
-    return words[at], seg
+def _md5_codes(words: list[bytes]) -> np.ndarray:
+    raw = b"".join([hashlib.md5(w).digest() for w in words])
+    return np.frombuffer(raw, dtype=">u8").astype(np.uint64).reshape(-1, HASH_WORDS)
 
 
-def _distinct(lists: list[list[str]]) -> list[list[str]]:
-    return [list(dict.fromkeys(row)) for row in lists]
+def _distinct(at: np.ndarray, seg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first of equal tokens of each row, in order."""
+    key = np.repeat(np.arange(len(seg) - 1), np.diff(seg)) * (int(at.max(initial=0)) + 1) + at
+    first = np.sort(np.unique(key, return_index=True)[1])
+    return at[first], np.searchsorted(first, seg)
 
 
 def _hash_batch_for(side: str):
@@ -151,12 +165,12 @@ def _hash_batch_for(side: str):
     the document side (the max over document tokens does not change)."""
 
     def run(texts: pa.Array) -> pa.Array:
-        lists = _token_lists(texts)
-        words, seg = _words_of(lists)
-        dense = _dense_of(words, seg)
+        words, at, seg = _tokens(texts.to_pylist())
+        codes = _md5_codes(words)
+        dense = _dense_of(codes, at, seg)
         n_tok = pa.array(np.diff(seg).astype(np.int32), pa.int32())
-        toks = _codes_array(words, seg) if side == "query" else _codes_array(*_words_of(_distinct(lists)))
-        return pa.StructArray.from_arrays([toks, dense, _sign_code(dense), n_tok],
+        own, own_seg = (at, seg) if side == "query" else _distinct(at, seg)
+        return pa.StructArray.from_arrays([_codes_array(codes[own], own_seg), dense, _sign_code(dense), n_tok],
                                           names=["codes", "dense", "code", "n_tokens"])
 
     return _in_slices(run)
@@ -166,8 +180,9 @@ def _codes_for(side: str):
     """Token codes only: every token of a query, each distinct token of a document."""
 
     def run(texts: pa.Array) -> pa.Array:
-        lists = _token_lists(texts)
-        return _codes_array(*_words_of(lists if side == "query" else _distinct(lists)))
+        words, at, seg = _tokens(texts.to_pylist())
+        own, own_seg = (at, seg) if side == "query" else _distinct(at, seg)
+        return _codes_array(_md5_codes(words)[own], own_seg)
 
     return _in_slices(run)
 
@@ -336,19 +351,20 @@ def letter_weights() -> np.ndarray:
 
 def load_letter_model():
     """A model without files: tokens are ASCII letter and digit runs; a query has a marker token of ones beside its own."""
-    import re
-
     weights = letter_weights()
     place = np.full(128, -1)
     place[[ord(x) for x in LETTERS]] = np.arange(len(LETTERS))
-    word = re.compile(r"[A-Za-z0-9]+")
 
     def model(texts: list[str], side: str):
-        toks = []
-        for t in texts:
-            rows = [weights[place[np.frombuffer(w.lower().encode(), np.uint8)]].sum(0) for w in word.findall(t)]
-            rows += [np.ones(LETTER_DIM)] if side == "query" else []
-            toks.append(np.array(rows, np.float32).reshape(-1, LETTER_DIM))
+        words, at, seg = _tokens(texts)
+        if words:  # the letters of each distinct token are added up once
+            begin = np.cumsum([0, *map(len, words[:-1])])
+            vectors = np.add.reduceat(weights[place[np.frombuffer(b"".join(words), np.uint8)]], begin, axis=0)
+        else:
+            vectors = np.empty((0, LETTER_DIM), np.float32)
+        toks = [vectors[at[a:b]] for a, b in zip(seg[:-1], seg[1:])]
+        if side == "query":
+            toks = [np.concatenate([m, np.ones((1, LETTER_DIM), np.float32)]) for m in toks]
         return [m.sum(0) for m in toks], toks
 
     return model
