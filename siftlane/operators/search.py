@@ -10,8 +10,8 @@ Query columns: query_id, q_code, q_dense, q_toks, optional self_id.
 
 Candidates and hits (queries x limit rows) are written once to the shared
 folder (``freeze``).  That cuts the lineage and gives the joins below their
-measured size: Spark broadcasts them when they are small, so the scan of token
-matrices or payload does not move, and shuffles when they are not.  An index
+measured size: they are broadcast when they are short (``short``), so the scan
+of token matrices or payload does not move, and Spark decides when they are not.  An index
 with a ``bucket`` column (``buckets`` of them, by a hash of the document id)
 is joined on it as well: only the buckets of the candidates or hits are read.
 """
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import maxsim_arrow as MA
 from ..functions import vector as V
-from ..session import freeze
+from ..session import freeze, short
 from ..sources.index import bucket_of
 from .topk import scan_top_k, top_k_per_key
 
@@ -76,7 +76,7 @@ def score_candidates(index: DataFrame, queries: DataFrame, candidates: DataFrame
 def scored_candidates(index: DataFrame, queries: DataFrame, limit: int, code_words: int, tok_kind: str, tok_dim: int,
                       exclude_self: bool = False, normalize: bool = True, buckets: int | None = None) -> DataFrame:
     """Stage 1 + stage 2 for every query."""
-    cand = freeze(prefetch(index, queries, limit, code_words, exclude_self), "candidates")
+    cand = short(freeze(prefetch(index, queries, limit, code_words, exclude_self), "candidates"))
     return score_candidates(index, queries, cand, tok_kind, tok_dim, normalize, buckets)
 
 
@@ -114,4 +114,4 @@ def dense_only_search(index: DataFrame, queries: DataFrame, *, top_k: int = 5, d
 
 def fetch_payload(hits: DataFrame, index: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
     """A5 + J4: late materialisation of payload columns for the final hits only."""
-    return _beside(index, columns, freeze(hits, "hits"), buckets)
+    return _beside(index, columns, short(freeze(hits, "hits")), buckets)

@@ -13,8 +13,8 @@ from ..operators import search as S
 from ..operators.chunk import documents_to_chunks
 from ..operators.embed import HashEmbedder
 from ..operators.isolate import isolate_sentences
-from ..session import scratch_path
-from ..sources.index import StoredIndex, check_index, create_index, dedupe_latest, open_index, upsert_index
+from ..session import freeze, scratch_path
+from ..sources.index import Documents, StoredIndex, check_index, create_from_documents, dedupe_latest, is_index, open_index, upsert_documents
 
 DEFAULT_EMBEDDER = HashEmbedder()
 PAYLOAD = ["doc_id", "chunk_ix", "chunk_id", "text"]
@@ -40,15 +40,26 @@ def ingest(docs: DataFrame, root: str, embedder=DEFAULT_EMBEDDER, recreate: bool
     """E8 end to end: of rows that repeat a doc_id the latest by ``seq`` (see
     ``dedupe_latest``), indexed and written to ``root`` in place of what is
     there (``recreate=False`` keeps an existing index untouched)."""
-    rows = _latest(docs, keep, seq)
-    create_index(build_index(rows, embedder, separator, keep), root, recreate=recreate, bucket_rows=bucket_rows)
+    spark = docs.sparkSession
+    if recreate or not is_index(spark, root):
+        create_from_documents(_source(freeze(_latest(docs, keep, seq), "documents"), embedder, separator, keep), root, recreate, bucket_rows)
+
+
+def _source(docs: DataFrame, embedder, separator: str, keep: list[str] | None) -> Documents:
+    """Stored documents with distinct ids, as an index is written from."""
+    return Documents(docs, lambda d: documents_to_chunks(d, separator, keep), lambda c: index_chunks(c, embedder))
+
+
+def write_index(docs: DataFrame, root: str, embedder=DEFAULT_EMBEDDER, separator: str = "\n", keep: list[str] | None = None, bucket_rows: int | None = None) -> None:
+    """E8 for documents that are taken to be distinct, read from where they are; a present index is kept."""
+    create_from_documents(_source(docs, embedder, separator, keep), root, bucket_rows=bucket_rows)
 
 
 def ingest_batch(docs: DataFrame, root: str, embedder=DEFAULT_EMBEDDER, separator: str = "\n",
                  keep: list[str] | None = None, seq: str | None = None) -> None:
     """A4 for documents: the latest row of each doc_id replaces that document in the index."""
-    rows = _latest(docs, keep, seq)
-    upsert_index(docs.sparkSession, root, build_index(rows, embedder, separator, keep))
+    rows = freeze(_latest(docs, keep, seq), "updates")
+    upsert_documents(docs.sparkSession, root, _source(rows, embedder, separator, keep))
 
 
 def _latest(docs: DataFrame, keep: list[str] | None, seq: str | None) -> DataFrame:
@@ -160,6 +171,6 @@ def corpus_index(spark: SparkSession, docs: DataFrame, path: str, keep: list[str
     key = (spark.sparkContext.applicationId, snapshot(spark, path), tuple(keep or ()), bucket_rows)
     if key not in _INDEX_CACHE:
         out = scratch_path(spark, "index")
-        create_index(build_index(docs, embedder, keep=keep), out, bucket_rows=bucket_rows)
+        write_index(docs, out, embedder, keep=keep, bucket_rows=bucket_rows)
         _INDEX_CACHE[key] = out
     return open_index(spark, _INDEX_CACHE[key])

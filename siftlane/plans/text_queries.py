@@ -31,13 +31,18 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(read_table(spark, sf_dir, "documents"))
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as they are stored, for an index, which deals them out itself."""
+    return read_table(spark, sf_dir, "documents")
+
+
 def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CH.documents_to_chunks(_docs(spark, sf_dir))
 
 
 def _index(spark: SparkSession, sf_dir: str) -> IX.StoredIndex:
     """The index of all documents, each chunk with its document's source."""
-    return P.corpus_index(spark, _docs(spark, sf_dir), f"{sf_dir.rstrip('/')}/documents.parquet", keep=["source"])
+    return P.corpus_index(spark, _stored(spark, sf_dir), f"{sf_dir.rstrip('/')}/documents.parquet", keep=["source"])
 
 
 def _queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +135,7 @@ def _index_rows(idx: DataFrame) -> DataFrame:
 
 def q15_index_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "index-root")
-    IX.create_index(P.build_index(_docs(spark, sf_dir)), root)
+    P.write_index(_stored(spark, sf_dir), root)
     return _index_rows(IX.open_index(spark, root).vectors)
 
 
@@ -138,7 +143,7 @@ def q16_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index of every document, then one upsert batch: German documents
     re-crawled with their last line dropped (changed: stale chunks must go)
     and Spanish documents arriving again under new ids (inserted)."""
-    docs = _docs(spark, sf_dir)
+    docs = _stored(spark, sf_dir)
     root = scratch_path(spark, "index-root")
     P.ingest(docs, root)
     changed = docs.filter(F.col("lang").eqNullSafe("de")).withColumn(
@@ -239,7 +244,7 @@ def q30_conversation_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _string_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).withColumn("doc_id", F.format_string("msa-%09d", "doc_id"))
+    return _stored(spark, sf_dir).withColumn("doc_id", F.format_string("msa-%09d", "doc_id"))
 
 
 def q32_string_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,7 +266,7 @@ def q33_string_id_two_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q34_upsert_repeated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4 with a batch that holds every German document three times: without a
     sequence number, with 1 and with 2; the last one counts."""
-    docs = _docs(spark, sf_dir).select("doc_id", "text", "lang")
+    docs = _stored(spark, sf_dir).select("doc_id", "text", "lang")
     root = scratch_path(spark, "index-root")
     P.ingest(docs, root)
     german = docs.where(F.col("lang") == "de")
@@ -276,7 +281,7 @@ def q34_upsert_repeated_documents(spark: SparkSession, sf_dir: str) -> DataFrame
 def q35_index_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: an absent index is created (from the English documents), a present
     one kept, a recreated one replaced (both by all other documents)."""
-    docs = _docs(spark, sf_dir)
+    docs = _stored(spark, sf_dir)
     root = scratch_path(spark, "index-root")
     english = F.col("lang").eqNullSafe("en")
     out = None

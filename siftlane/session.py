@@ -104,5 +104,16 @@ def freeze(df, name: str = "frozen"):
     e.g. an encoded query block.  (``DataFrame.checkpoint`` would compute the
     plan twice: once to count, once to write.)"""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+# Rows of a short table (at about 100 bytes each).
+SHORT_ROWS = 250_000
+
+
+def short(written):
+    """A written table of narrow rows, marked for broadcast if it is short, whatever Spark's limit in bytes."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(written) if written.count() <= SHORT_ROWS else written

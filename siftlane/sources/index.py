@@ -11,9 +11,9 @@ within a file; ``n`` comes from the number of rows at creation
 so Spark's dynamic partition pruning reads only the buckets that they are in,
 of one table.
 
-An upsert writes anew only the buckets that its documents fall into: their new
-rows are staged in the scratch folder and put in place by Spark's dynamic
-partition overwrite.  There is no manifest and no version; a reader that
+An upsert writes anew only the buckets that its documents fall into, by Spark's
+dynamic partition overwrite: it removes the old files of a bucket when all new
+ones are written.  There is no manifest and no version; a reader that
 started before an upsert may find a replaced file gone, as with any table that
 Spark overwrites, and is run again.  One writer at a time holds the lock file
 ``_writer``; a second one waits, then fails.  The payload is written first, so
@@ -23,7 +23,7 @@ a crash in between is mended by running the same batch again.
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -34,6 +34,12 @@ from ..session import freeze
 
 # Rows of a bucket on average, when an index is created.
 BUCKET_ROWS = 100_000
+# Characters of text for which a bucket gets a partition of its own more, when it is written.
+PART_CHARS = 4 << 20
+# Files of a bucket on average, from which an upsert deals the rows out anew.
+FILES_PER_BUCKET = 16
+# Document ids of a batch that are broadcast at most.
+BROADCAST_IDS = 2_000_000
 # Columns of the payload table; the vectors table has all others, and the key in both.
 KEY = ["doc_id", "chunk_ix", "chunk_id"]
 VECTORS = ["dense", "code", "toks", "n_tokens"]
@@ -163,12 +169,25 @@ def _parts(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.drop(*vectors, "id"), df.select(*KEY, *vectors)
 
 
+def _together(rows: DataFrame, buckets: int) -> DataFrame:
+    """One bucket's rows in one partition, but a large bucket's in several."""
+    return rows.withColumn("bucket", bucket_of("doc_id", buckets)).hint("rebalance", "bucket")
+
+
 def _put(rows: DataFrame, path: str, buckets: int, dynamic: bool) -> None:
-    """Writes written rows as buckets, all anew or only those that occur."""
-    rows = rows.withColumn("of", F.lit(buckets)).withColumn("bucket", bucket_of("doc_id", buckets))
-    # rebalance: one bucket's rows together, but a large bucket in several files
-    rows = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "doc_id", "chunk_ix")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy("of", "bucket").parquet(path)
+    """Writes rows as buckets, all anew or only those that occur."""
+    rows = rows.withColumn("of", F.lit(buckets)).withColumn("bucket", bucket_of("doc_id", buckets)).sortWithinPartitions("bucket", "doc_id", "chunk_ix")
+    out = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if dynamic else "static").option("compression", "zstd")
+    out.partitionBy("of", "bucket").parquet(path)
+
+
+def _create(root: str, rows: int, tables, bucket_rows: int | None) -> None:
+    """Writes both tables, the payload first; ``tables(buckets)`` gives their rows, dealt out."""
+    buckets = max(1, -(-rows // (bucket_rows or BUCKET_ROWS)))
+    for rows, table in zip(tables(buckets), ("payload", "vectors")):
+        _put(rows, f"{root}/{table}", buckets, dynamic=False)
+        # an empty file keeps the schema of an index without rows
+        rows.limit(0).drop("bucket").write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/{table}/of={buckets}/bucket=-1")
 
 
 def create_index(df: DataFrame, root: str, recreate: bool = False, bucket_rows: int | None = None) -> None:
@@ -180,11 +199,51 @@ def create_index(df: DataFrame, root: str, recreate: bool = False, bucket_rows:
         if is_index(spark, root) and not recreate:
             return
         staged = freeze(df, "index")
-        buckets = max(1, -(-staged.count() // (bucket_rows or BUCKET_ROWS)))
-        for rows, table in zip(_parts(staged), ("payload", "vectors")):
-            _put(rows, f"{root}/{table}", buckets, dynamic=False)
-            # an empty file keeps the schema of an index without rows
-            rows.limit(0).write.mode("overwrite").parquet(f"{root}/{table}/of={buckets}/bucket=-1")
+        _create(root, staged.count(), lambda n: [_together(t, n) for t in _parts(staged)], bucket_rows)
+
+
+@dataclass(frozen=True)
+class Documents:
+    """Documents of an index: a stored table, one row for each, and how its chunks and their vectors are made.
+
+    The texts are dealt to the buckets before they are cut and embedded, so
+    that vectors, several times their size, never move and are stored once.
+    ``chunk`` gives chunk rows of documents, ``embed`` index rows of chunks."""
+
+    docs: DataFrame
+    chunk: Callable[[DataFrame], DataFrame]
+    embed: Callable[[DataFrame], DataFrame]
+
+    def tables(self, buckets: int, parts: int) -> tuple[DataFrame, DataFrame]:
+        """The rows of both tables; a bucket's documents are in ``parts`` partitions."""
+        place = bucket_of("doc_id", buckets) * parts + F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(parts)).cast("int")
+        chunks = self.chunk(self.docs.repartitionById(buckets * parts, place))
+        # a row without an id is not written to the payload either
+        known = F.when(F.col("doc_id").isNull(), F.raise_error(F.lit("index row has a wrong shape"))).otherwise(F.col("chunk_ix"))
+        payload = chunks.withColumn("chunk_ix", known.cast("int"))
+        return _parts(payload)[0], _parts(self.embed(chunks))[1]
+
+    def parts(self, buckets: int, chars: int) -> int:
+        """Partitions of a bucket: enough for all cores, but none for little text."""
+        cores = self.docs.sparkSession.sparkContext.defaultParallelism
+        return max(1, min(-(-2 * cores // buckets), -(-chars // (buckets * PART_CHARS))))
+
+    def size(self) -> tuple[int, int]:
+        """Their chunks and characters."""
+        n, chars = self.chunk(self.docs).agg(F.count(F.lit(1)), F.sum(F.length("text"))).first()
+        return n, chars or 0
+
+
+def create_from_documents(source: Documents, root: str, recreate: bool = False, bucket_rows: int | None = None) -> None:
+    """:func:`create_index` from documents."""
+    spark, root = source.docs.sparkSession, root.rstrip("/")
+    if is_index(spark, root) and not recreate:
+        return
+    with writer(spark, root):
+        if is_index(spark, root) and not recreate:
+            return
+        n, chars = source.size()
+        _create(root, n, lambda buckets: source.tables(buckets, source.parts(buckets, chars)), bucket_rows)
 
 
 # --- A4: upsert ---------------------------------------------------------------
@@ -201,11 +260,12 @@ def dedupe_latest(batch: DataFrame, key: str = "doc_id", seq: str | None = None)
     return batch.groupBy(key).agg(best).select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in batch.columns])
 
 
-def upsert(existing: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+def upsert(existing: DataFrame, updates: DataFrame, key: str, keys: DataFrame | None = None) -> DataFrame:
     """A4: rows of ``existing`` whose ``key`` appears in ``updates`` are
     replaced by all update rows with that key; other rows stay.  With
-    ``key='doc_id'`` a changed document loses chunks it no longer has."""
-    kept = existing.join(updates.select(key).distinct(), key, "left_anti")
+    ``key='doc_id'`` a changed document loses chunks it no longer has.
+    ``keys`` are the keys of ``updates``, where they are known."""
+    kept = existing.join(updates.select(key).distinct() if keys is None else keys, key, "left_anti")
     return kept.unionByName(updates.select(*existing.columns))
 
 
@@ -222,10 +282,34 @@ def upsert_index(spark: SparkSession, root: str, updates: DataFrame) -> None:
             return
     with writer(spark, root):
         buckets = _buckets(spark, root)
-        given = updates.select("doc_id").distinct()
-        touched = given.select(bucket_of("doc_id", buckets).alias("bucket")).distinct().where("bucket >= 0")  # a filter, so that Spark prunes by it
-        for new, table in zip(_parts(updates), ("payload", "vectors")):
-            path = f"{root}/{table}"
-            old = spark.read.parquet(path).join(touched, "bucket", "left_semi").drop("of", "bucket")
-            staged = freeze(upsert(old, new, "doc_id"), "staged")
-            _put(staged, path, buckets, dynamic=True)
+        _replace(spark, root, updates, [_together(t, buckets) for t in _parts(updates)], buckets)
+
+
+def upsert_documents(spark: SparkSession, root: str, source: Documents) -> None:
+    """:func:`upsert_index` from documents, one row each."""
+    root = root.rstrip("/")
+    if not is_index(spark, root):
+        create_from_documents(source, root)
+        if not source.docs.limit(1).count():
+            return
+    with writer(spark, root):
+        buckets = _buckets(spark, root)
+        _replace(spark, root, source.docs, source.tables(buckets, source.parts(buckets, source.size()[1])), buckets)
+
+
+def _replace(spark: SparkSession, root: str, updates: DataFrame, tables, buckets: int) -> None:
+    """Puts the rows of ``tables`` in place of all rows of the documents of ``updates``, a stored table.
+
+    Rows that stay are written from the partitions in which they were read.
+    Their old files go only when Spark commits the new ones.  A table whose
+    buckets have come to many files is dealt out anew."""
+    given = updates.select("doc_id").distinct()
+    touched = given.select(bucket_of("doc_id", buckets).alias("bucket")).distinct().where("bucket >= 0")  # a filter, so that Spark prunes by it
+    if updates.count() <= BROADCAST_IDS:
+        given = F.broadcast(given)
+    for new, table in zip(tables, ("payload", "vectors")):
+        path = f"{root}/{table}"
+        old = spark.read.parquet(path)
+        many = len(old.inputFiles()) > FILES_PER_BUCKET * buckets
+        rows = upsert(old.join(F.broadcast(touched), "bucket", "left_semi").drop("of", "bucket"), new, "doc_id", given)
+        _put(_together(rows, buckets) if many else rows, path, buckets, dynamic=True)
