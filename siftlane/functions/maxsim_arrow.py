@@ -70,7 +70,7 @@ def _best_sums(qo, do, valid, pair_scores) -> np.ndarray:
     return out
 
 
-def _codes_kernel(dim: int):
+def codes_kernel(dim: int):
     def run(q: pa.Array, d: pa.Array) -> pa.Array:
         qo, qm, qv = _nested(q, np.int64)
         do, dm, dv = _nested(d, np.int64)
@@ -92,7 +92,7 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
 
 
-def _float_kernel(normalize: bool):
+def float_kernel(normalize: bool):
     def run(q: pa.Array, d: pa.Array) -> pa.Array:
         qo, qm, qv = _nested(q, np.float64)
         do, dm, dv = _nested(d, np.float64)
@@ -111,12 +111,12 @@ def _float_kernel(normalize: bool):
 
 @lru_cache(maxsize=None)
 def _codes_udf(dim: int):
-    return F.arrow_udf(_codes_kernel(dim), DoubleType())
+    return F.arrow_udf(codes_kernel(dim), DoubleType())
 
 
 @lru_cache(maxsize=None)
 def _float_udf(normalize: bool):
-    return F.arrow_udf(_float_kernel(normalize), DoubleType())
+    return F.arrow_udf(float_kernel(normalize), DoubleType())
 
 
 def maxsim_codes(q, d, dim: int) -> Column:

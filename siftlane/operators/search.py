@@ -18,17 +18,23 @@ is joined on it as well: only the buckets of the candidates or hits are read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import maxsim_arrow as MA
 from ..functions import vector as V
-from ..session import freeze, short
+from ..session import freeze, is_short, short
 from ..sources.index import bucket_of
 from .topk import scan_top_k, top_k_per_key
 
 # MaxSim kernel: "arrow" (numpy per Arrow batch) or "hof" (Spark lambdas).
 MAXSIM_IMPL = "arrow"
+# Bytes of token matrices of a group of queries, or of rows, pairs of a cell, and pairs that are scored at once there.
+GROUP_BYTES = 32 << 20
+GROUP_PAIRS = 500_000
+PAIRS = 8192
 
 
 def _rank_order(score_col: str = "score", id_col: str = "id"):
@@ -73,10 +79,75 @@ def score_candidates(index: DataFrame, queries: DataFrame, candidates: DataFrame
     return pairs.withColumn("score", maxsim_column(tok_kind, tok_dim, normalize)).drop("toks", "q_toks")
 
 
+def _matrix_bytes(rows: DataFrame, col: str) -> int:
+    """Bytes of all token matrices, as Spark holds them."""
+    return rows.agg(F.sum(F.aggregate(col, F.lit(64).cast("long"), lambda a, t: a + 24 + 8 * F.size(t)))).first()[0] or 0
+
+
+def score_grid(toks: int, q_toks: int, pairs: int, cores: int) -> tuple[int, int]:
+    """Groups of queries and of rows, in the proportion that moves the fewest bytes; no cell has much more than GROUP_BYTES of a side or GROUP_PAIRS pairs."""
+    cells = max(4 * cores, -(-pairs // GROUP_PAIRS))
+    n_queries = max(1, round((cells * q_toks / max(toks, 1)) ** 0.5), -(-q_toks // GROUP_BYTES))
+    return min(n_queries, cells), max(1, -(-cells // n_queries), -(-toks // GROUP_BYTES))
+
+
+def _scored_groups(tok_kind: str, tok_dim: int, normalize: bool, fields: list[str]):
+    """cogroup function: scores of all pairs of some rows ``(id, toks, who)`` with the queries that they name."""
+    kernel = MA.codes_kernel(tok_dim) if tok_kind == "codes" else MA.float_kernel(normalize)
+
+    def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
+        rows, queries = rows.combine_chunks(), queries.combine_chunks()
+        who, asked = rows.column("who").combine_chunks(), queries.column("query_id").to_pylist()
+        place: dict = {}
+        for i, q in enumerate(asked):
+            place.setdefault(q, []).append(i)
+        named = who.flatten()
+        beside = np.repeat(np.arange(rows.num_rows), np.diff(who.offsets.to_numpy()))
+        found = [place.get(q, ()) for q in named.field("query_id").to_pylist()]
+        times = np.fromiter(map(len, found), np.int64, len(found))
+        pair = np.repeat(np.arange(len(found)), times)
+        q_at = np.fromiter((i for f in found for i in f), np.int64, int(times.sum()))
+        r_at = beside[pair]
+        q_toks, toks = (t.column(c).combine_chunks() for t, c in ((queries, "q_toks"), (rows, "toks")))
+        scores = [kernel(q_toks.take(pa.array(q_at[s : s + PAIRS])), toks.take(pa.array(r_at[s : s + PAIRS]))) for s in range(0, len(pair), PAIRS)]
+        named = named.take(pa.array(pair))
+        out = [rows.column("id").combine_chunks().take(pa.array(r_at)), *(named.field(f) for f in fields), pa.chunked_array(scores, pa.float64()).combine_chunks()]
+        return pa.table(out, names=["id", *fields, "score"])
+
+    return run
+
+
+def score_in_groups(index: DataFrame, queries: DataFrame, candidates: DataFrame, tok_kind: str, tok_dim: int, normalize: bool = True,
+                    buckets: int | None = None, groups: tuple[int, int] | None = None) -> DataFrame:
+    """:func:`score_candidates` where candidates are many: a row's token matrix
+    moves once to each group of queries that has it among its candidates, not
+    once a pair.  Both sides are dealt to a grid, query groups by row groups
+    (``groups`` sets it, else :func:`score_grid`)."""
+    fields = [c for c in candidates.columns if c != "id"]
+    if groups is None:
+        pairs = candidates.agg(F.count(F.lit(1))).first()[0]
+        groups = score_grid(_matrix_bytes(index, "toks"), _matrix_bytes(queries, "q_toks"), pairs, index.sparkSession.sparkContext.defaultParallelism)
+    n_queries, n_rows = map(F.lit, groups)
+    of = lambda c, n: F.pmod(F.xxhash64(c), n).cast("int")
+    who = candidates.where(F.col("query_id").isNotNull()).withColumn("q_group", of("query_id", n_queries)).repartition("id")
+    who = who.groupBy("id", "q_group").agg(F.collect_list(F.struct(*fields)).alias("who"))
+    rows = _beside(index, ["toks"], who, buckets).withColumn("r_group", of("id", n_rows)).select("id", "toks", "who", "q_group", "r_group")
+    asked = queries.select("query_id", "q_toks", of("query_id", n_queries).alias("q_group"), F.explode(F.sequence(F.lit(0), n_rows - 1)).alias("r_group"))
+    kinds = {f.name: f.dataType.simpleString() for f in candidates.schema}
+    ddl = ", ".join(f"`{c}` {kinds[c]}" for c in ["id", *fields]) + ", score double"
+    run = _scored_groups(tok_kind, tok_dim, normalize, fields)
+    cell = ["q_group", "r_group"]  # three partitions a cell keep most cells apart
+    rows, asked = (df.repartition(3 * groups[0] * groups[1], *cell) for df in (rows, asked))
+    return rows.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInArrow(run, ddl)
+
+
 def scored_candidates(index: DataFrame, queries: DataFrame, limit: int, code_words: int, tok_kind: str, tok_dim: int,
                       exclude_self: bool = False, normalize: bool = True, buckets: int | None = None) -> DataFrame:
     """Stage 1 + stage 2 for every query."""
-    cand = short(freeze(prefetch(index, queries, limit, code_words, exclude_self), "candidates"))
+    cand = freeze(prefetch(index, queries, limit, code_words, exclude_self), "candidates")
+    if not is_short(cand):
+        return score_in_groups(index, queries, cand, tok_kind, tok_dim, normalize, buckets)
+    cand = F.broadcast(cand)
     return score_candidates(index, queries, cand, tok_kind, tok_dim, normalize, buckets)
 
 

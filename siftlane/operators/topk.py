@@ -6,7 +6,7 @@ replicate): a corpus block visits every query group, a query block every
 corpus group, and the equi-join on (corpus group, query group) pairs them.
 The numbers of groups come from the measured row counts of both sides, as
 scalar subqueries of the same lazy plan: about CELLS_PER_PARTITION cells a
-shuffle partition, in the proportion that moves the fewest bytes, and more
+shuffle partition, CELLS_PER_CORE a core at most, in the proportion that moves the fewest bytes, and more
 where a cell would exceed CELL_BYTES.  Queries that Spark will broadcast
 anyway make one group, so nothing is replicated.
 
@@ -42,8 +42,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Cells of the grid for each shuffle partition, and bytes that one side may have in a cell.
+# Cells of the grid for each shuffle partition, at most for each core, and bytes that one side may have in a cell.
 CELLS_PER_PARTITION = 3
+CELLS_PER_CORE = 16
 CELL_BYTES = 32 << 20
 # A group has at least so many vectors (queries), and so does a block where there are enough.
 GROUP_ROWS = 256
@@ -101,16 +102,21 @@ def _matrix(vec: pa.Array, width: int, mode: str) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(kind).reshape(len(vec), width)
 
 
-def _token_blocks(vec: pa.Array, width: int) -> list[bytes]:
-    """Each row's unit token vectors as float64 bytes; a zero vector stays zero."""
+def _token_blocks(vec: pa.Array, width: int) -> tuple[list[bytes], np.dtype]:
+    """Each row's token vectors as bytes, in the precision that they have."""
     if vec.null_count:
         raise ValueError("a row without a vector cannot be searched")
     toks = vec.flatten()
-    m = _matrix(toks, width, "cosine").astype(np.float64) if len(toks) else np.empty((0, width))
-    n = np.sqrt((m * m).sum(1, keepdims=True))
-    m = np.divide(m, n, out=np.zeros_like(m), where=n > 0)
+    m = _matrix(toks, width, "cosine") if len(toks) else np.empty((0, width), np.float32 if pa.types.is_float32(vec.type.value_type.value_type) else np.float64)
     at = vec.offsets.to_numpy() - vec.offsets[0].as_py()
-    return [m[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+    return [m[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], m.dtype
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    """Vectors of length 1 in double precision; a zero vector stays zero."""
+    m = m.astype(np.float64)
+    n = np.sqrt((m * m).sum(1, keepdims=True))
+    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
 
 
 def _pack(width: int, mode: str, rows: int, least: int):
@@ -125,8 +131,8 @@ def _pack(width: int, mode: str, rows: int, least: int):
                 continue
             ids = b.column("id")
             if mode == "maxsim":
-                cells = _token_blocks(b.column("vec"), width)
-                kind, lengths = "float64", np.array([len(x) for x in cells]) // (8 * width)
+                cells, dtype = _token_blocks(b.column("vec"), width)
+                kind, lengths = str(dtype), np.array([len(x) for x in cells]) // (dtype.itemsize * width)
             else:
                 mat = _matrix(b.column("vec"), width, mode)
                 kind, lengths = str(mat.dtype), None
@@ -303,7 +309,7 @@ def _over_pairs(mode: str, k: int, width: int, count: bool):
                     q_sizes, c_sizes = (np.frombuffer(get[x][i].as_py(), np.int64) for x in ("q_sizes", "sizes"))
                     if q_sizes.max(initial=0) > 1_000:
                         raise ValueError("a MaxSim search takes queries of at most 1,000 tokens")
-                    held.add(0, maxsim_keys(q, q_sizes, c, c_sizes), ids, None if selfs is None else selfs[:, None] == plain[None, :])
+                    held.add(0, maxsim_keys(_unit(q), q_sizes, _unit(c), c_sizes), ids, None if selfs is None else selfs[:, None] == plain[None, :])
                     continue
                 for s in range(0, len(q), _STRIP):
                     skip = None if selfs is None else selfs[s : s + _STRIP, None] == plain[None, :]
@@ -329,7 +335,8 @@ def _broadcast_bytes(spark) -> int:
 def grid(corpus: DataFrame, queries: DataFrame, width: int) -> tuple[Column, Column]:
     """The numbers of corpus groups and of query groups, as scalar subqueries over the counts of both sides."""
     spark = corpus.sparkSession
-    wanted = CELLS_PER_PARTITION * int(_conf(spark, "shuffle.partitions"))
+    # every block is copied to the root of that many cells, so they must not grow with the shuffle partitions
+    wanted = min(CELLS_PER_PARTITION * int(_conf(spark, "shuffle.partitions")), CELLS_PER_CORE * spark.sparkContext.defaultParallelism)
     n, q = (F.greatest(df.agg(F.count(F.lit(1)).alias("n")).scalar(), F.lit(1)) for df in (corpus, queries))
     row = 8 * width + 24
     share = F.round(F.sqrt(F.lit(float(wanted)) * q / n))  # groups in the proportion of the sides

@@ -112,8 +112,13 @@ def freeze(df, name: str = "frozen"):
 SHORT_ROWS = 250_000
 
 
+def is_short(written) -> bool:
+    """Whether a written table of narrow rows is one to broadcast, whatever Spark's limit in bytes."""
+    return written.count() <= SHORT_ROWS
+
+
 def short(written):
-    """A written table of narrow rows, marked for broadcast if it is short, whatever Spark's limit in bytes."""
+    """A written table, marked for broadcast if it is short."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(written) if written.count() <= SHORT_ROWS else written
+    return F.broadcast(written) if is_short(written) else written
