@@ -47,8 +47,9 @@ LEVEL = 3
 SHARD_BYTES = 32 << 20
 MAX_SHARDS = 20_000
 FILE_RECORDS = 64
-#: Remembered pieces of a worker; then it starts anew.
+#: Remembered pieces of a worker, and words; of each the newer half, and what was asked for of the older one, outlasts the rest.
 PIECES_KEPT = 700_000
+WORDS_KEPT = 700_000
 
 
 # ---- planes ----------------------------------------------------------------
@@ -169,6 +170,11 @@ PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^a-z0-9
 TIE_CHARS = 8
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian u32."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder(dict):
     """Piece (UTF-8, without ASCII white space) to its ids as little-endian u32, asked of the tokenizer once."""
 
@@ -181,26 +187,36 @@ class WordEncoder(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special) or r"(?!)")
         self.stand_in = {b: c for c, b in byte_alphabet().items()}
         self.words: dict[str, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
 
     def __missing__(self, piece: bytes) -> bytes:
-        if len(self) > PIECES_KEPT:
+        if 2 * len(self) >= PIECES_KEPT:
+            self.older = dict(self)
             self.clear()
-            self.words.clear()
-        text = piece.decode()
-        low = text.lower()  # some capitals of Latin Extended-B have their small letters beyond it
-        if any(x in text for x in self.special) or not (PLAIN.fullmatch(text) and PLAIN.fullmatch(low)):
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        else:
-            ids = b"".join([self.words.get(w) or self.word(w) for w in PRETOKEN.findall(low)])
+        ids = self.older.get(piece)
+        if ids is None:
+            text = piece.decode()
+            low = text.lower()  # some capitals of Latin Extended-B have their small letters beyond it
+            if self.special.search(text) or not (PLAIN.fullmatch(text) and PLAIN.fullmatch(low)):
+                ids = packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            else:
+                ids = b"".join([self.words.get(w) or self.word(w) for w in PRETOKEN.findall(low)])
         self[piece] = ids
         return ids
 
     def word(self, w: str) -> bytes:
-        raw = w if w.isascii() else "".join(map(self.stand_in.__getitem__, w.encode()))
-        out = self.words[w] = np.array([t.id for t in self.model.tokenize(raw)], "<u4").tobytes()
+        if 2 * len(self.words) >= WORDS_KEPT:
+            self.older_words, self.words = self.words, {}
+        out = self.older_words.get(w)
+        if out is None:
+            raw = w if w.isascii() else "".join(map(self.stand_in.__getitem__, w.encode()))
+            out = packed([t.id for t in self.model.tokenize(raw)])
+        self.words[w] = out
         return out
 
     def text(self, t: str) -> bytes:

@@ -177,3 +177,28 @@ def test_gathered_decimals_and_bytes(vocab):
         text = ",".join(map(str, np.frombuffer(c, "<i4")))
         assert str(decimals, "ascii") == (text + "," if text else "") and bytes(raw) == vocab.decode(text)
     assert [bytes(x) for x in B.spelled(vocab.pieces, flat[:0], [0, 0])] == [b"", b""]
+
+
+def test_word_encoder_keeps_what_is_asked_for_again(monkeypatch):
+    """A full memory forgets old pieces and words, not those in use, and gives the same ids."""
+    with open(WORD, encoding="utf-8") as f:
+        content = f.read()
+    texts = random_texts(200)
+    want = [TF.WordEncoder(content).text(t) for t in texts]
+    monkeypatch.setattr(TF, "PIECES_KEPT", 40)
+    monkeypatch.setattr(TF, "WORDS_KEPT", 20)
+    enc = TF.WordEncoder(content)
+    assert [enc.text(t) for t in texts] == want
+    asked, word = [], enc.model.tokenize
+
+    class Model:
+        def tokenize(self, raw):
+            asked.append(raw)
+            return word(raw)
+
+    enc = TF.WordEncoder(content)
+    enc.model = Model()
+    for i in range(300):
+        enc.text(f"always new{i}{'abcdefghij'[i % 10]}")
+        assert len(enc) + len(enc.older) <= 40 and len(enc.words) + len(enc.older_words) <= 20
+    assert asked.count("always") == 1
