@@ -11,7 +11,9 @@ Query columns: query_id, q_code, q_dense, q_toks, optional self_id.
 Candidates and hits (queries x limit rows) are written once to the shared
 folder (``freeze``).  That cuts the lineage and gives the joins below their
 measured size: they are broadcast when they are short (``short``), so the scan
-of token matrices or payload does not move, and Spark decides when they are not.  An index
+of token matrices or payload does not move, and Spark decides when they are not.  They are
+written in small Arrow batches (``small_batches``): a row is a block of vectors or two
+matrices, and a worker would hold 64 MB of them at once where its part of the index is large.  An index
 with a ``bucket`` column (``buckets`` of them, by a hash of the document id)
 is joined on it as well: only the buckets of the candidates or hits are read.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions import maxsim_arrow as MA
 from ..functions import vector as V
-from ..session import freeze, is_short, short
+from ..session import freeze, is_short, short, small_batches
 from ..sources.index import bucket_of
 from .topk import scan_top_k, top_k_per_key
 
@@ -144,7 +146,8 @@ def score_in_groups(index: DataFrame, queries: DataFrame, candidates: DataFrame,
 def scored_candidates(index: DataFrame, queries: DataFrame, limit: int, code_words: int, tok_kind: str, tok_dim: int,
                       exclude_self: bool = False, normalize: bool = True, buckets: int | None = None) -> DataFrame:
     """Stage 1 + stage 2 for every query."""
-    cand = freeze(prefetch(index, queries, limit, code_words, exclude_self), "candidates")
+    with small_batches(index.sparkSession):
+        cand = freeze(prefetch(index, queries, limit, code_words, exclude_self), "candidates")
     if not is_short(cand):
         return score_in_groups(index, queries, cand, tok_kind, tok_dim, normalize, buckets)
     cand = F.broadcast(cand)
@@ -185,4 +188,6 @@ def dense_only_search(index: DataFrame, queries: DataFrame, *, top_k: int = 5, d
 
 def fetch_payload(hits: DataFrame, index: DataFrame, columns: list[str], buckets: int | None = None) -> DataFrame:
     """A5 + J4: late materialisation of payload columns for the final hits only."""
-    return _beside(index, columns, short(freeze(hits, "hits")), buckets)
+    with small_batches(hits.sparkSession):
+        hits = freeze(hits, "hits")
+    return _beside(index, columns, short(hits), buckets)

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -96,6 +97,26 @@ def spread(df, factor: int = 2, by: str | None = None):
     return df.repartitionByRange(cores * factor, by) if by else df.repartition(cores * factor)
 
 
+# Bytes of an Arrow batch that a Python worker holds, where rows are large (blocks of vectors, token matrices).
+ARROW_BYTES = 8 << 20
+_ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Jobs that run inside hand rows to Python in batches of ARROW_BYTES at most (or of what the session has set, if that is less)."""
+    was = spark.conf.get(_ARROW)
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(was)
+    if 0 < size <= ARROW_BYTES:
+        yield
+        return
+    spark.conf.set(_ARROW, f"{ARROW_BYTES}b")
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW, was)
+
+
 def freeze(df, name: str = "frozen"):
     """Writes ``df`` once as Parquet into the shared checkpoint folder and
     reads it back: later actions read the written rows instead of

@@ -71,3 +71,31 @@ def test_cells_do_not_grow_with_shuffle_partitions(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_workers_hold_small_batches(spark, monkeypatch):
+    """Blocks of vectors and token matrices reach the workers of a search in batches of bounded bytes, and the session's own limit comes back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    idx, before = _matrices(spark).withColumn("text", F.lit("x")), spark.conf.get(key)
+    queries = idx.select(F.col("id").alias("query_id"), F.col("code").alias("q_code"), F.col("toks").alias("q_toks"))
+    held, write = [], S.freeze
+    monkeypatch.setattr(S, "freeze", lambda df, name="frozen": (held.append((name, spark.conf.get(key))), write(df, name))[1])
+    hits = S.two_stage_search(idx, queries, prefetch_limit=9, top_k=3, code_words=1, tok_kind="float", tok_dim=4)
+    got = S.fetch_payload(hits, idx, ["text"])
+    assert held == [("candidates", f"{8 << 20}b"), ("hits", f"{8 << 20}b")] and spark.conf.get(key) == before
+    want = sorted(map(tuple, got.collect()))
+    monkeypatch.setattr(session, "ARROW_BYTES", 1 << 10)
+    hits = S.two_stage_search(idx, queries, prefetch_limit=9, top_k=3, code_words=1, tok_kind="float", tok_dim=4)
+    assert sorted(map(tuple, S.fetch_payload(hits, idx, ["text"]).collect())) == want
+    try:  # a smaller limit of the session stays
+        spark.conf.set(key, "1k")
+        with session.small_batches(spark):
+            assert spark.conf.get(key) == "1k"
+        monkeypatch.setattr(session, "ARROW_BYTES", 8)
+        try:
+            with session.small_batches(spark):
+                raise KeyError
+        except KeyError:
+            assert spark.conf.get(key) == "1k"
+    finally:
+        spark.conf.set(key, before)
