@@ -28,10 +28,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import freeze, scratch_path
+from ..session import freeze, scratch_path, small_batches
 from .common import worker_cache
 
 MAGIC = b"BPS1"
@@ -48,8 +49,12 @@ SHARD_BYTES = 32 << 20
 MAX_SHARDS = 20_000
 FILE_RECORDS = 64
 #: Remembered pieces of a worker, and words; of each the newer half, and what was asked for of the older one, outlasts the rest.
-PIECES_KEPT = 700_000
-WORDS_KEPT = 700_000
+PIECES_KEPT = 200_000
+WORDS_KEPT = 1_000_000
+#: Characters of the longest piece or word that is remembered.
+CHARS_KEPT = 64
+#: Bytes of the texts that are encoded at once; a longer text is cut at white space after so many characters.
+WORK_BYTES = 8 << 20
 
 
 # ---- planes ----------------------------------------------------------------
@@ -61,24 +66,22 @@ def to_planes(ids: np.ndarray, mode: int = BIT) -> list[bytes]:
     if mode == BYTE:
         n = (top.bit_length() + 7) // 8
         return [np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, i]).tobytes() for i in range(n)]
-    width = 2 if top < 1 << 16 else 4
-    bits = np.unpackbits(ids.astype(f"<u{width}").view(np.uint8).reshape(-1, width), axis=1, bitorder="little", count=top.bit_length() or None)
-    return [] if top == 0 else [x.tobytes() for x in np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")]
+    n = top.bit_length()
+    columns = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : (n + 7) // 8].T)
+    return [np.packbits(columns[i // 8] & np.uint8(1 << i % 8), bitorder="little").tobytes() for i in range(n)]
 
 
 def from_planes(planes: list[bytes], n: int, mode: int = BIT) -> np.ndarray:
     out = np.zeros(n, np.uint32)
-    if mode == BYTE:
-        for i, p in enumerate(planes):
+    for i, p in enumerate(planes):
+        if mode == BYTE:
             out |= np.frombuffer(p, np.uint8, n).astype(np.uint32) << np.uint32(8 * i)
-    elif planes:
-        bits = np.unpackbits(np.frombuffer(b"".join(planes), np.uint8).reshape(len(planes), -1), axis=1, bitorder="little", count=n)
-        width = (len(planes) + 7) // 8
-        full = np.zeros((8 * width, n), np.uint8)
-        full[: len(planes)] = bits
-        packed = np.packbits(np.ascontiguousarray(full.T), axis=1, bitorder="little")
-        for i in range(width):
-            out |= packed[:, i].astype(np.uint32) << np.uint32(8 * i)
+            continue
+        if i % 8 == 0:
+            column = np.zeros(n, np.uint8)
+        column |= np.unpackbits(np.frombuffer(p, np.uint8), bitorder="little", count=n) << np.uint8(i % 8)
+        if i % 8 == 7 or i == len(planes) - 1:
+            out |= column.astype(np.uint32) << np.uint32(i // 8 * 8)
     return out
 
 
@@ -160,10 +163,13 @@ def read_records(data: bytes):
 
 # ---- encoding --------------------------------------------------------------
 
-#: Characters of pieces, also in lower case, that are cut here; all others go through the tokenizer whole.
-PLAIN = re.compile(r"[!-~À-ɏ]*")
-# fixed values: the tokenizer's own splitting pattern, for lower-cased plain pieces
+# Characters of plain pieces: printable ASCII, Latin letters, dashes and quotation marks, but the Latin capitals whose
+# lower case is not such a character.  A piece that has any other goes through the tokenizer whole.
+PLAIN = "!-~‐-‧" + "".join(c for c in map(chr, range(ord("À"), ord("ɏ") + 1)) if re.fullmatch("[À-ɏ]", c.lower()))
+ODD = re.compile(f"[^ {PLAIN}]")
+# fixed values: the tokenizer's own splitting pattern, for lower-cased plain text
 PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^a-z0-9ß-öø-ɏ]+")
+WHITE = re.compile(r"[\t-\r ]")
 
 
 #: Characters of a text by which rows of one id are ordered, before a hash of it (the range sampling carries them).
@@ -175,14 +181,33 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-class WordEncoder(dict):
-    """Piece (UTF-8, without ASCII white space) to its ids as little-endian u32, asked of the tokenizer once."""
+class Remembered(dict):
+    """What ``ask`` says of a key, asked once while it is remembered; ``most`` entries at once, none for long keys."""
+
+    def __init__(self, ask, most: int):
+        self.ask, self.most, self.older = ask, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        if 2 * len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self.ask(key)
+        if len(key) <= CHARS_KEPT:
+            self[key] = ids
+        return ids
+
+
+class WordEncoder(Remembered):
+    """Odd piece (without ASCII white space) to its ids as little-endian u32; ``words`` has those of plain words."""
 
     def __init__(self, content: str):
         import tokenizers
 
         from .bpe import byte_alphabet
 
+        super().__init__(self.whole, PIECES_KEPT)
         self.tokenizer = tokenizers.Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -190,37 +215,61 @@ class WordEncoder(dict):
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(special) or r"(?!)")
         self.stand_in = {b: c for c, b in byte_alphabet().items()}
-        self.words: dict[str, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.older_words: dict[str, bytes] = {}
+        self.words = Remembered(self.word, WORDS_KEPT)
 
-    def __missing__(self, piece: bytes) -> bytes:
-        if 2 * len(self) >= PIECES_KEPT:
-            self.older = dict(self)
-            self.clear()
-        ids = self.older.get(piece)
-        if ids is None:
-            text = piece.decode()
-            low = text.lower()  # some capitals of Latin Extended-B have their small letters beyond it
-            if self.special.search(text) or not (PLAIN.fullmatch(text) and PLAIN.fullmatch(low)):
-                ids = packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            else:
-                ids = b"".join([self.words.get(w) or self.word(w) for w in PRETOKEN.findall(low)])
-        self[piece] = ids
-        return ids
+    @property
+    def older_words(self) -> dict[str, bytes]:
+        return self.words.older
+
+    def whole(self, piece: str) -> bytes:
+        return packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def word(self, w: str) -> bytes:
-        if 2 * len(self.words) >= WORDS_KEPT:
-            self.older_words, self.words = self.words, {}
-        out = self.older_words.get(w)
-        if out is None:
-            raw = w if w.isascii() else "".join(map(self.stand_in.__getitem__, w.encode()))
-            out = packed([t.id for t in self.model.tokenize(raw)])
-        self.words[w] = out
-        return out
+        raw = w if w.isascii() else "".join(map(self.stand_in.__getitem__, w.encode()))
+        return packed([t.id for t in self.model.tokenize(raw)])
+
+    def is_odd(self, t: str) -> bool:
+        return bool(ODD.search(t) or self.special.search(t))
+
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of every piece."""
+        cut, ids = PRETOKEN.findall, self.words.__getitem__
+        if not self.is_odd(" ".join(pieces)):
+            return [b"".join(map(ids, cut(p.lower()))) for p in pieces]
+        return [self[p] if self.is_odd(p) else b"".join(map(ids, cut(p.lower()))) for p in pieces]
+
+    def encode(self, texts: pa.Array):
+        """Each text's ids as little-endian u32; a piece is looked up once for all texts."""
+        lists = pc.ascii_split_whitespace(texts)
+        codes = lists.flatten().dictionary_encode()
+        known = self.pieces(codes.dictionary.to_pylist()).__getitem__
+        at, offsets = codes.indices.to_numpy(), (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+        for start, end in zip(offsets, offsets[1:]):
+            yield b"".join(map(known, at[start:end].tolist()))
+
+    def documents(self, texts: pa.Array):
+        """:meth:`encode` of any number of texts of any length, about WORK_BYTES at a time."""
+        size = np.append(0, np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)))
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(size, size[first] + WORK_BYTES, "right")) - 1)
+            if size[last] - size[first] > WORK_BYTES:
+                yield b"".join(x for run in runs(texts[first].as_py()) for x in self.encode(pa.array([run])))
+            else:
+                yield from self.encode(texts.slice(first, last - first))
+            first = last
 
     def text(self, t: str) -> bytes:
-        return b"".join(map(self.__getitem__, t.encode().split()))
+        return next(self.documents(pa.array([t])))
+
+
+def runs(t: str):
+    """A long text, cut at white space."""
+    at = 0
+    while len(t) - at > WORK_BYTES and (end := WHITE.search(t, at + WORK_BYTES)):
+        yield t[at : end.start()]
+        at = end.start()
+    yield t[at:]
 
 
 def _encode_shard(content, key: str, end_id: int, mode: int):
@@ -238,8 +287,8 @@ def _encode_shard(content, key: str, end_id: int, mode: int):
         keys, ids, held, first = [], [], 0, 0
         for b in batches:
             out = []
-            for d, t in zip(b.column(0).to_pylist(), b.column(1)):
-                x = enc.text(t.as_py() or "") + end
+            for d, x in zip(b.column(0).to_pylist(), enc.documents(pc.fill_null(b.column(1), ""))):
+                x += end
                 keys.append(d)
                 ids.append(x)
                 held += len(x) // 4
@@ -281,7 +330,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 1, mode: i
         .mapInArrow(_encode_shard(content, key, end_id, mode), "record binary")
     )
     # the text writer puts each record's bytes down as they are, and a newline after it
-    records.select(F.col("record").cast("string").alias("value")).write.option("maxRecordsPerFile", FILE_RECORDS).mode("errorifexists").text(folder)
+    with small_batches(spark):
+        records.select(F.col("record").cast("string").alias("value")).write.option("maxRecordsPerFile", FILE_RECORDS).mode("errorifexists").text(folder)
 
 
 DOC_SCHEMA = pa.schema([("shard", pa.int64()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])

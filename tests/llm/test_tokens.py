@@ -202,3 +202,31 @@ def test_word_encoder_keeps_what_is_asked_for_again(monkeypatch):
         enc.text(f"always new{i}{'abcdefghij'[i % 10]}")
         assert len(enc) + len(enc.older) <= 40 and len(enc.words) + len(enc.older_words) <= 20
     assert asked.count("always") == 1
+
+
+def test_word_encoder_remembers_no_long_pieces():
+    """Texts without white space, as Chinese ones, are pieces as long as themselves."""
+    with open(WORD, encoding="utf-8") as f:
+        enc = TF.WordEncoder(f.read())
+    for i in range(20):
+        enc.text("日本語" * 500 + str(i) + " " + "xy" * 1000 + "abcdefghij"[i % 10])
+    assert max(map(len, [*enc, *enc.older, *enc.words, *enc.older_words]), default=0) <= 64
+
+
+def test_word_encoder_takes_texts_together(monkeypatch):
+    """Texts are encoded a batch at a time, long ones cut at white space; a piece is looked up once for all."""
+    import pyarrow as pa
+
+    lib = tokenizers.Tokenizer.from_file(WORD)
+    texts = random_texts(300) + ["“quoted” – it's…  " * 9, "Ⱥb ɃéÉ İ × x" * 7]
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    with open(WORD, encoding="utf-8") as f:
+        enc = TF.WordEncoder(f.read())
+    array = pa.array(["skipped", *texts]).slice(1)
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.documents(array)] == want
+    monkeypatch.setattr(TF, "WORK_BYTES", 50)
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.documents(array)] == want
+    monkeypatch.undo()
+    seen, pieces = [], enc.pieces
+    monkeypatch.setattr(enc, "pieces", lambda p: seen.extend(p) or pieces(p))
+    assert len(list(enc.documents(pa.array(["the cat the cat"] * 100)))) == 100 and sorted(seen) == ["cat", "the"]
