@@ -1,20 +1,24 @@
 """Exact top-k inner-product search over norm buckets (operator 1).
 
-Vectors are dealt out by descending length, so a cell holds vectors of like
-length; inside a cell they are cut into buckets whose lengths differ by at
-most a tenth.  A query carries the best k-th product known so far (first from
-the longest vectors of the whole table, then from the buckets already seen).
-Divided by the query's and the bucket's length this is the local cosine
-threshold, and it chooses the pruning of the bucket:
+Vectors are range-partitioned by descending length and packed into blocks, so
+a block holds vectors of like length; inside a block they are cut into buckets
+whose lengths differ by at most a tenth.  A query carries the best k-th product
+known so far (first from the longest vectors of the whole table, then from the
+buckets already seen).  Divided by the query's and the bucket's length this is
+the local cosine threshold, and it chooses the pruning of the bucket:
 
 - over 1: the bucket is skipped;
 - high: *coordinate* pruning, only vectors whose unit coordinates lie in the
   feasible region around the query's largest coordinates stay;
-- low: *length* pruning, only the prefix of vectors that are long enough stays.
-
-Products of what stays are verified in exact integer arithmetic.  Queries and
-vectors meet as packed blocks on a cell number (an equi-join of block rows);
-a query block skips the cells whose longest vector is too short for it.
+- low, or coordinates that let most vectors through: *length* pruning, only
+  the prefix of vectors that are long enough stays.
+
+Products of what stays are verified in exact arithmetic.  Queries and vectors
+meet as packed blocks in the cells of a grid, groups of vectors by groups of
+queries: a task reads the query blocks of a cell, then runs its vector blocks
+past them, longest first.  Blocks are dealt out to the groups in turn, so each
+group begins with long vectors; blocks too short for all queries of a group
+are not sent there.
 """
 
 from __future__ import annotations
@@ -26,12 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import freeze
+from ..session import freeze, small_batches
 
 #: Rows of a packed block, of vectors and of queries.
 BLOCK_ROWS = 1024
-#: Cells at most: beyond so many blocks, a cell holds several.
-MAX_CELLS = 20_000
+#: Vectors and queries that a cell holds at most, as bytes of eight-byte components.
+GROUP_BYTES, QUERY_BYTES = 64 << 20, 32 << 20
+#: Groups of vectors for each core, where there are blocks enough.
+GROUPS_PER_CORE = 3
+#: Tasks of the search at most (beyond so many cells, a task has several), and range partitions by length.
+MAX_TASKS, MAX_RANGES = 4096, 1024
 #: Longest vectors of the table that give the first thresholds (collected: a fixed number of rows).
 SEED_ROWS = 256
 #: A bucket ends where lengths fall under this share of its longest vector.
@@ -40,10 +48,15 @@ BUCKET_SHARE = 0.9
 COORDINATE_FROM = 0.6
 #: The query's largest coordinates that coordinate pruning looks at.
 FOCUS = 3
+#: Coordinates prune if the first one leaves at most this share of a bucket; else all products of a block cost less.
+NARROW = 0.05
 #: Slack of float bounds; products themselves are exact.
 EPS = 1e-9
+#: Score and row of a place among the k best that is still free.
+FREE_SCORE, FREE_ROW = -(2**63) + 1, 2**63 - 1
 
-BLOCK = pa.schema([("block", pa.int32()), ("reach", pa.float64()), ("n", pa.int32()), ("ids", pa.binary()), ("theta", pa.binary()), ("vecs", pa.binary())])
+BLOCK = pa.schema([("no", pa.int64()), ("reach", pa.float64()), ("n", pa.int32()), ("dim", pa.int32()), ("ids", pa.binary()), ("names", pa.binary()), ("theta", pa.binary()), ("vecs", pa.binary())])
+BLOCK_DDL = "no long, reach double, n int, dim int, ids binary, names binary, theta binary, vecs binary"
 
 
 def quantise(df: DataFrame, scale: int = 256, vec: str = "embedding", id: str = "vec_id") -> DataFrame:
@@ -76,172 +89,252 @@ def _matrix(col: pa.ListArray) -> np.ndarray:
     return out
 
 
-def _products(q: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Exact inner products as float64, or as int64 where float64 could round."""
-    dim = min(q.shape[1], p.shape[1])  # missing components count as 0
-    q, p = q[:, :dim], p[:, :dim]
-    bound = float(np.abs(q).max(initial=0)) * float(np.abs(p).max(initial=0)) * dim
-    if bound < 2**53:
-        return q.astype(np.float64) @ p.astype(np.float64).T
+class Rows:
+    """Vectors of a block, one row of ``vecs`` each, the numbers of their rows and their vec_ids."""
+
+    def __init__(self, vecs: np.ndarray, ids: np.ndarray, names: np.ndarray):
+        self.vecs, self.ids, self.names = vecs, ids, names
+        x = vecs.astype(np.float64)
+        self.length = np.sqrt((x * x).sum(1))
+        self.largest = float(np.abs(x).max(initial=0))
+        self._kept: dict = {}
+
+    def of(self, kind: type) -> np.ndarray:
+        if kind not in self._kept:
+            self._kept[kind] = self.vecs.astype(kind)
+        return self._kept[kind]
+
+    def columns(self, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each coordinate the order of a bucket's vectors by it, and their unit coordinates in that order, plus 4 times its number so that all of them ascend."""
+        if (start, stop) not in self._kept:
+            unit = self.unit(start, stop)
+            order = np.argsort(unit, axis=0, kind="stable")
+            flat = np.take_along_axis(unit, order, 0) + 4.0 * np.arange(unit.shape[1])
+            self._kept[start, stop] = order.T.copy(), flat.T.ravel()
+        return self._kept[start, stop]
+
+    def unit(self, start: int, stop: int) -> np.ndarray:
+        return self.vecs[start:stop] / np.maximum(self.length[start:stop], EPS)[:, None]
+
+
+class Queries(Rows):
+    """A block of queries, lower bounds ``theta`` of their k-th best products and their k best so far, by score, then row."""
+
+    def __init__(self, vecs: np.ndarray, ids: np.ndarray, names: np.ndarray, theta: np.ndarray, k: int):
+        super().__init__(vecs, ids, names)
+        unit = self.unit(0, len(ids))
+        self.theta = theta.copy()
+        self.focus = np.argsort(-np.abs(unit), axis=1)[:, :FOCUS].copy()
+        self.coords = np.take_along_axis(unit, self.focus, 1)
+        self.score, self.row, self.name = (np.full((len(ids), k), x) for x in (FREE_SCORE, FREE_ROW, 0))
+
+    def add(self, i: np.ndarray, score: np.ndarray, row: np.ndarray, name: np.ndarray) -> None:
+        """Puts products of the queries at places ``i`` among the k best."""
+        last, at = self.score[i, -1], self.row[i, -1]
+        new = ((score > last) | ((score == last) & (row < at))) & (row != self.ids[i])
+        if not new.any():
+            return
+        i, score, row, name = i[new], score[new], row[new], name[new]
+        k, changed = self.score.shape[1], np.unique(i)
+        i = np.concatenate([np.repeat(changed, k), i])
+        score = np.concatenate([self.score[changed].ravel(), score])
+        row = np.concatenate([self.row[changed].ravel(), row])
+        name = np.concatenate([self.name[changed].ravel(), name])
+        o = np.lexsort((row, -score, i))
+        i, score, row, name = i[o], score[o], row[o], name[o]
+        first = np.flatnonzero(np.diff(i, prepend=-1))
+        rank = np.arange(len(i)) - np.repeat(first, np.diff(first, append=len(i)))
+        best = rank < k
+        place = i[best], rank[best]
+        self.score[place], self.row[place], self.name[place] = score[best], row[best], name[best]
+        full = changed[self.row[changed, -1] != FREE_ROW]
+        self.theta[full] = np.maximum(self.theta[full], self.score[full, -1])
+
+
+def _kind(q: Rows, p: Rows) -> type:
+    """The fastest type in which inner products are exact (missing components count as 0)."""
+    bound = q.largest * p.largest * min(q.vecs.shape[1], p.vecs.shape[1])
     if bound >= 2**63:
         raise ValueError("inner products exceed 64 bits")
-    return q @ p.T
+    return np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else np.int64
+
+
+def _products(q: Rows, p: Rows, rows=slice(None), start: int = 0, stop: int | None = None) -> np.ndarray:
+    """Exact inner products of some queries and a range of vectors."""
+    kind, dim = _kind(q, p), min(q.vecs.shape[1], p.vecs.shape[1])
+    return q.of(kind)[rows, :dim] @ p.of(kind)[start:stop, :dim].T
+
+
+def _seed_thresholds(q: Rows, seeds: Rows, k: int) -> np.ndarray:
+    if len(seeds.ids) <= k:
+        return np.full(len(q.ids), -np.inf)
+    exact = _kind(q, seeds) is not np.int64
+    s = _products(q, seeds).astype(np.float64)
+    s[q.ids[:, None] == seeds.ids[None, :]] = -np.inf
+    kth = np.partition(s, -k, axis=1)[:, -k]
+    return kth if exact else np.nextafter(kth, -np.inf)
 
 
-def _pack(seeds: tuple | None, k: int):
-    """mapInArrow: each partition as block rows of at most BLOCK_ROWS vectors, with the queries' first thresholds if there are ``seeds``."""
+def _narrow(m: np.ndarray) -> np.ndarray:
+    """The same numbers in as few bytes as they need."""
+    low, high = m.min(initial=0), m.max(initial=0)
+    return m.astype(next(t for t in (np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
+
+
+def _pack(seeds: tuple | None, k: int, per: int):
+    """mapInArrow: each partition as block rows of at most BLOCK_ROWS vectors, numbered (``per`` numbers for a partition), with the queries' first thresholds if there are ``seeds``."""
 
     def run(batches):
         import pyspark
 
-        cell = pyspark.TaskContext.get().partitionId()
-        ids, mats, held = [], [], 0
+        no = pyspark.TaskContext.get().partitionId() * per
+        known = Rows(*seeds) if seeds is not None else None
+        ids, names, mats, held = [], [], [], 0
 
         def blocks():
+            nonlocal no
             if not held:
                 return
             dim = max(m.shape[1] for m in mats)
             m = np.vstack([np.pad(x, ((0, 0), (0, dim - x.shape[1]))) for x in mats])
-            i = np.concatenate(ids)
-            for at in range(0, len(i), BLOCK_ROWS):
-                bi, bm = i[at : at + BLOCK_ROWS], m[at : at + BLOCK_ROWS]
-                length = np.sqrt((bm.astype(np.float64) ** 2).sum(1))
-                theta, reach = np.empty(0), float(length.max())
-                if seeds is not None:
-                    theta = _seed_thresholds(bm, bi, *seeds, k)
-                    need = np.where(theta > 0, theta / np.maximum(length, EPS), 0.0)
+            parts = m, np.concatenate(ids), np.concatenate(names)
+            for at in range(0, len(m), BLOCK_ROWS):
+                b = Rows(*(x[at : at + BLOCK_ROWS] for x in parts))
+                theta, reach = np.empty(0), float(b.length.max())
+                if known is not None:
+                    theta = _seed_thresholds(b, known, k)
+                    need = np.where(theta > 0, theta / np.maximum(b.length, EPS), 0.0)
                     reach = float(need.min()) * (1 - EPS)
-                yield pa.RecordBatch.from_pydict(
-                    {"block": [cell], "reach": [reach], "n": [len(bi)], "ids": [bi.tobytes()], "theta": [theta.tobytes()], "vecs": [bm.tobytes()]}, schema=BLOCK
-                )
+                row = {"no": no, "reach": reach, "n": len(b.ids), "dim": dim, "ids": b.ids.tobytes(), "names": b.names.tobytes(), "theta": theta.tobytes(), "vecs": _narrow(b.vecs).tobytes()}
+                yield pa.RecordBatch.from_pylist([row], schema=BLOCK)
+                no += 1
 
         for b in batches:
             if b.num_rows:
                 ids.append(b.column("row").to_numpy(zero_copy_only=False))
+                names.append(b.column("vec_id").to_numpy(zero_copy_only=False))
                 mats.append(_matrix(b.column("v")))
                 held += b.num_rows
                 if held >= 16 * BLOCK_ROWS:
                     yield from blocks()
-                    ids, mats, held = [], [], 0
+                    ids, names, mats, held = [], [], [], 0
         yield from blocks()
 
     return run
 
 
-def _seed_thresholds(q, qid, seed_ids, seed_vecs, k):
-    if len(seed_ids) <= k:
-        return np.full(len(qid), -np.inf)
-    s = _products(q, seed_vecs).astype(np.float64)
-    s[qid[:, None] == seed_ids[None, :]] = -np.inf
-    return np.partition(s, -k, axis=1)[:, -k]
-
-
-def _merge(best, i, scores, ids, k):
-    """Adds candidates of query ``i``; ``best[i]`` stays sorted by score, then id."""
-    s, v = best[i]
-    s, v = np.concatenate([s, scores]), np.concatenate([v, ids])
-    o = np.lexsort((v, -s))[:k]
-    best[i] = (s[o], v[o])
-
-
-def search_cell(q, qid, theta, p, pid, k):
-    """The k best of one cell for each query of a block, given lower bounds ``theta`` of the k-th best product."""
-    theta = theta.copy()
-    qlen = np.sqrt((q.astype(np.float64) ** 2).sum(1))
-    plen = np.sqrt((p.astype(np.float64) ** 2).sum(1))
-    order = np.lexsort((pid, -plen))
-    p, pid, plen = p[order], pid[order], plen[order]
-    best = [(np.empty(0), np.empty(0, np.int64))] * len(qid)
-    qunit = q / np.maximum(qlen, EPS)[:, None]
-    start = 0
-    while start < len(pid):
-        longest = plen[start]
-        stop = start + max(1, int(np.searchsorted(-plen[start:], -BUCKET_SHARE * longest, side="right")))
-        bp, bid, blen = p[start:stop], pid[start:stop], plen[start:stop]
-        start = stop
-        reach = qlen * longest
-        local = np.where(theta <= 0, -1.0, np.where(reach > 0, theta / np.maximum(reach, EPS), np.inf))
+def search_block(q: Queries, p: Rows, k: int) -> None:
+    """Adds the vectors of a block, which descend in length, to the k best of each query."""
+    start, lowest = 0, p.ids.min()
+    while start < len(p.ids):
+        longest = p.length[start]
+        stop = start + max(1, int(np.searchsorted(-p.length[start:], -BUCKET_SHARE * longest, side="right")))
+        reach = q.length * longest
+        local = np.where(q.theta <= 0, -1.0, np.where(reach > 0, q.theta / np.maximum(reach, EPS), np.inf))
         active = local <= 1 + EPS
-        by_coordinate = active & (local >= COORDINATE_FROM)
-        rows = np.flatnonzero(active & ~by_coordinate)
+        rows = np.flatnonzero(active & (local >= COORDINATE_FROM))
         if len(rows):
-            least = np.where(theta[rows] > 0, theta[rows] / np.maximum(qlen[rows], EPS), 0.0)
-            n = int(np.searchsorted(-blen, -least.min() * (1 - EPS), side="right"))
-            s = _products(q[rows], bp[:n]).astype(np.float64)
-            s[qid[rows][:, None] == bid[None, :n]] = -np.inf
-            kth = np.partition(s, -k, axis=1)[:, -k] if n > k else np.full(len(rows), -np.inf)
-            floor = np.maximum(kth, theta[rows])
-            for j, i in enumerate(rows):
-                at = np.flatnonzero((s[j] >= floor[j]) & (s[j] > -np.inf))
-                if len(at):
-                    _merge(best, i, s[j, at], bid[at], k)
-        rows = np.flatnonzero(by_coordinate)
+            active[_by_coordinate(q, p, rows, local[rows], start, stop)] = False
+        rows = np.flatnonzero(active)
         if len(rows):
-            unit = bp / np.maximum(blen, EPS)[:, None]
-            dim = min(unit.shape[1], qunit.shape[1])
-            lists: dict[int, tuple] = {}
-            for i in rows:
-                t = min(1.0, local[i])
-                focus = np.argsort(-np.abs(qunit[i, :dim]))[:FOCUS]
-                c = qunit[i, focus]
-                spread = math.sqrt(1 - t * t) * np.sqrt(np.maximum(0, 1 - c * c))
-                low = np.where(c * 1.0 < -t, -1.0, c * t - spread) - 1e-7
-                high = np.where(c * 1.0 > t, 1.0, c * t + spread) + 1e-7
-                f = int(focus[0])
-                if f not in lists:
-                    o = np.argsort(unit[:, f], kind="stable")
-                    lists[f] = (o, unit[o, f])
-                o, sorted_f = lists[f]
-                at = o[np.searchsorted(sorted_f, low[0], "left") : np.searchsorted(sorted_f, high[0], "right")]
-                for g, lo, hi in zip(focus[1:], low[1:], high[1:]):
-                    u = unit[at, g]
-                    at = at[(u >= lo) & (u <= hi)]
-                at = at[bid[at] != qid[i]]
-                if len(at):
-                    s = _products(q[i : i + 1], bp[at])[0].astype(np.float64)
-                    keep = s >= theta[i]
-                    if keep.any():
-                        _merge(best, i, s[keep], bid[at][keep], k)
-        for i in np.flatnonzero(active):
-            if len(best[i][0]) == k:
-                theta[i] = max(theta[i], best[i][0][-1])
-    return best
-
-
-HITS = pa.schema([("query_row", pa.int64()), ("row", pa.int64()), ("score", pa.int64())])
-
-
-def _unpack(row, prefix):
-    n = row[prefix + "n"]
-    ids = np.frombuffer(row[prefix + "ids"], np.int64)
-    return np.frombuffer(row[prefix + "vecs"], np.int64).reshape(n, -1), ids
+            _by_length(q, p, rows, start, stop, lowest)
+        start = stop
+
+
+def _by_coordinate(q: Queries, p: Rows, rows: np.ndarray, local: np.ndarray, start: int, stop: int) -> np.ndarray:
+    """Searches a bucket for those of the queries that coordinates prune well, and returns which they are."""
+    n, dim = stop - start, p.vecs.shape[1]
+    order, flat = p.columns(start, stop)
+    t, c, focus = np.minimum(1.0, local)[:, None], q.coords[rows], q.focus[rows]
+    spread = np.sqrt(1 - t * t) * np.sqrt(np.maximum(0, 1 - c * c))
+    low = np.where(c < -t, -1.0, c * t - spread) - 1e-7
+    high = np.where(c > t, 1.0, c * t + spread) + 1e-7
+    f = focus[:, 0]
+    first = np.searchsorted(flat, low[:, 0] + 4.0 * f, "left") - f * n
+    last = np.searchsorted(flat, high[:, 0] + 4.0 * f, "right") - f * n
+    # shorter vectors have no such coordinate
+    few = np.flatnonzero((last - first <= NARROW * n) & (focus.max(axis=1) < dim))
+    for j in few:
+        at = start + order[f[j], first[j] : last[j]]
+        for g, lo, hi in zip(focus[j, 1:], low[j, 1:], high[j, 1:]):
+            u = p.vecs[at, g] / np.maximum(p.length[at], EPS)
+            at = at[(u >= lo) & (u <= hi)]
+        if len(at):
+            i = rows[j]
+            near = Rows(p.vecs[at], p.ids[at], p.names[at])
+            s = _products(q, near, slice(i, i + 1))[0]
+            keep = s >= q.theta[i]
+            q.add(np.full(keep.sum(), i), s[keep].astype(np.int64), near.ids[keep], near.names[keep])
+    return rows[few]
+
+
+def _by_length(q: Queries, p: Rows, rows: np.ndarray, start: int, stop: int, lowest: int) -> None:
+    """Searches the vectors of a bucket that are long enough for some of the queries."""
+    theta = q.theta[rows]
+    least = np.where(theta > 0, theta / np.maximum(q.length[rows], EPS), 0.0)
+    n = int(np.searchsorted(-p.length[start:stop], -least.min() * (1 - EPS), side="right"))
+    s = _products(q, p, rows, start, start + n)
+    floor = theta
+    if s.dtype != np.int64:
+        floor = theta.astype(s.dtype)
+        floor = np.where(floor > theta, np.nextafter(floor, s.dtype.type(-np.inf)), floor)
+        # where no row of the block comes before the k-th best, equal products do not count
+        later = (q.row[rows, -1] < lowest) & (q.score[rows, -1] == theta)
+        floor = np.where(later, np.nextafter(floor, s.dtype.type(np.inf)), floor)
+    at = np.flatnonzero(s >= floor[:, None])
+    if len(at):
+        i, j = np.divmod(at, n)
+        q.add(rows[i], s.ravel()[at].astype(np.int64), p.ids[start + j], p.names[start + j])
+
+
+HITS = pa.schema([(c, pa.int64()) for c in ("query_row", "query_id", "row", "vec_id", "score")])
 
 
 def _search(k: int):
+    """mapInArrow over block rows in the order of cells, queries first: the k best of each query in each cell."""
+
+    def found(asked):
+        for q in asked:
+            i, j = np.nonzero(q.row != FREE_ROW)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (q.ids[i], q.names[i], q.row[i, j], q.name[i, j], q.score[i, j])], schema=HITS)
+
     def run(batches):
+        cell, asked = None, []
         for b in batches:
             for j in range(b.num_rows):
-                row = {c: b.column(c)[j].as_py() for c in b.schema.names}
-                p, pid = _unpack(row, "p_")
-                q, qid = _unpack(row, "q_")
-                best = search_cell(q, qid, np.frombuffer(row["q_theta"], np.float64), p, pid, k)
-                sizes = [len(s) for s, _ in best]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(qid, sizes)),
-                        pa.array(np.concatenate([v for _, v in best])),
-                        pa.array(np.concatenate([s for s, _ in best]).astype(np.int64)),
-                    ],
-                    schema=HITS,
-                )
+                at, vectors, n, dim, ids, names, theta, vecs = (b.column(c)[j].as_py() for c in ("cell", "vectors", "n", "dim", "ids", "names", "theta", "vecs"))
+                if at != cell:
+                    yield from found(asked)
+                    cell, asked = at, []
+                kind = f"i{len(vecs) // (n * dim)}" if dim else "i2"
+                rows = np.frombuffer(vecs, kind).reshape(n, dim), np.frombuffer(ids, np.int64), np.frombuffer(names, np.int64)
+                if not vectors:
+                    asked.append(Queries(*rows, np.frombuffer(theta, np.float64), k))
+                elif asked:
+                    p = Rows(*rows)
+                    for q in asked:
+                        search_block(q, p, k)
+        yield from found(asked)
 
     return run
 
 
-def _blocks(df: DataFrame, seeds, k: int, prefix: str) -> DataFrame:
-    ddl = "block int, reach double, n int, ids binary, theta binary, vecs binary"
-    out = df.select("row", "v").mapInArrow(_pack(seeds, k), ddl)
-    return out.select([F.col(c).alias(prefix + c) for c in out.columns])
+def _blocks(df: DataFrame, ranges: int, rows: int, seeds, k: int) -> DataFrame:
+    ranges = max(1, min(MAX_RANGES, ranges))
+    dealt = df.repartitionByRange(ranges, F.desc("n2"), "row").sortWithinPartitions(F.desc("n2"), "row")
+    return dealt.select("row", "vec_id", "v").mapInArrow(_pack(seeds, k, math.ceil(rows / ranges / BLOCK_ROWS)), BLOCK_DDL)
+
+
+def _seeds(vectors: DataFrame) -> tuple[np.ndarray, ...]:
+    """The longest vectors and their rows: tasks send the driver lengths, then SEED_ROWS vectors in all."""
+    far = vectors.select("n2", "row").orderBy(F.desc("n2"), "row").limit(SEED_ROWS).collect()
+    if not far:
+        return np.empty((0, 0), np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    last = far[-1]
+    top = vectors.where((F.col("n2") > last["n2"]) | ((F.col("n2") == last["n2"]) & (F.col("row") <= last["row"]))).select("row", "vec_id", "v").collect()
+    dim = max(len(r["v"]) for r in top)
+    vecs = np.array([list(r["v"]) + [0] * (dim - len(r["v"])) for r in top], np.int64).reshape(len(top), dim)
+    return vecs, np.array([r["row"] for r in top], np.int64), np.array([r["vec_id"] for r in top], np.int64)
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
@@ -251,35 +344,31 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     Ties go to the smaller id; a query with fewer than k candidates returns
     all of them; of rows that share an id each is a query and a candidate of
     its own; vectors of unequal size are compared as if the shorter one ended
-    in zeros.  Empty tables give no rows.
-
-    Scale: a block is at most BLOCK_ROWS vectors, so a task holds two blocks
-    at a time.  Each vector is moved once and each query block once for every
-    cell that it may reach: cells descend in length, so these are the first
-    ones, up to a number that is known from the cells' longest vectors (at
-    most MAX_CELLS numbers).  Per cell a query returns at most k rows.
+    in zeros.  Empty tables give no rows.  The hits are written once.
+
+    Scale: a task holds the queries of a cell (QUERY_BYTES at most) and one
+    block of vectors.  Each vector is moved once for every group of queries
+    that it is long enough for, each query once for every group of vectors;
+    per cell a query returns at most k rows.  No block passes through the
+    driver: it gets SEED_ROWS vectors, one number for each group of queries,
+    and a sample of lengths for at most MAX_RANGES ranges.
     """
-    n, nq = vectors.count(), queries.count()
-    cells, qblocks = (min(MAX_CELLS, max(1, math.ceil(x / BLOCK_ROWS))) for x in (n, nq))
-    top = vectors.orderBy(F.desc("n2"), "row").limit(SEED_ROWS).collect()
-    dim = max([len(r["v"]) for r in top], default=0)
-    seeds = (
-        np.array([r["row"] for r in top], np.int64),
-        np.array([list(r["v"]) + [0] * (dim - len(r["v"])) for r in top], np.int64).reshape(len(top), dim),
-    )
-    probes = freeze(_blocks(vectors.repartitionByRange(cells, F.desc("n2"), "row"), None, k, "p_"), "cells")
-    wanted = _blocks(queries.repartitionByRange(qblocks, F.desc("n2"), "row"), seeds, k, "q_")
-    reaches = sorted(r[0] for r in probes.groupBy("p_block").agg(F.max("p_reach")).select("max(p_reach)").collect())
-    # the cells that a block reaches are those of the largest reaches, which come first
-    first = F.lit(len(reaches)) - F.size(F.filter(F.array(*map(F.lit, reaches)), lambda r: r < F.col("q_reach")))
-    visits = F.when(first > 0, F.sequence(F.lit(0), first - 1)).otherwise(F.array().cast("array<int>"))
-    ranked = probes.select(F.col("p_block").alias("same")).distinct().withColumn("cell", F.row_number().over(Window.orderBy("same")) - 1)  # at most MAX_CELLS rows
-    pairs = wanted.withColumn("cell", F.explode(visits)).join(
-        probes.join(F.broadcast(ranked), F.col("p_block") == F.col("same")).withColumnRenamed("cell", "p_cell"), (F.col("cell") == F.col("p_cell")) & (F.col("p_reach") >= F.col("q_reach"))
-    )
-    hits = pairs.select("p_n", "p_ids", "p_vecs", "q_n", "q_ids", "q_vecs", "q_theta").mapInArrow(_search(k), "query_row long, row long, score long")
-    w = Window.partitionBy("query_row").orderBy(F.desc("score"), "row")
-    best = hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    ids = vectors.select("row", "vec_id")
-    asked = queries.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"))
-    return best.join(ids, "row").join(asked, "query_row").select("query_id", "rank", "vec_id", "score")
+    spark = vectors.sparkSession
+    n, dim = vectors.agg(F.count("*"), F.max(F.size("v"))).first()
+    nq, dim, cores = queries.count(), max(1, dim or 0), spark.sparkContext.defaultParallelism
+    most, most_queries = (max(BLOCK_ROWS, size // (8 * dim)) for size in (GROUP_BYTES, QUERY_BYTES))
+    groups = max(1, math.ceil(n / most), min(math.ceil(n / BLOCK_ROWS), GROUPS_PER_CORE * cores))
+    sides = max(1, math.ceil(nq / most_queries))
+    with small_batches(spark):
+        asked = freeze(_blocks(queries, max(sides, min(math.ceil(nq / BLOCK_ROWS), cores)), nq, _seeds(vectors), k), "asked").withColumn("side", F.pmod("no", F.lit(sides)))
+        least = {r["side"]: r["least"] for r in asked.groupBy("side").agg(F.min("reach").alias("least")).collect()}
+        reached = F.filter(F.sequence(F.lit(0), F.lit(sides - 1)), lambda side: F.element_at(F.array(*[F.lit(least.get(i, math.inf)) for i in range(sides)]), side + 1) <= F.col("reach"))
+        asked = asked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn("vectors", F.lit(False))
+        probes = _blocks(vectors, groups, n, None, k).withColumn("side", F.explode(reached)).withColumn("group", F.pmod("no", F.lit(groups))).withColumn("vectors", F.lit(True))
+        met = [x.select((F.col("group") * sides + F.col("side")).cast("long").alias("cell"), "vectors", "no", "n", "dim", "ids", "names", "theta", "vecs") for x in (asked, probes)]
+        tasks = min(MAX_TASKS, groups * sides)
+        cells = met[0].unionByName(met[1]).repartitionById(tasks, F.pmod("cell", F.lit(tasks)).cast("int")).sortWithinPartitions("cell", "vectors", "no")
+        hits = cells.mapInArrow(_search(k), "query_row long, query_id long, row long, vec_id long, score long")
+        w = Window.partitionBy("query_row").orderBy(F.desc("score"), "row")
+        best = hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        return freeze(best.select("query_id", "rank", "vec_id", "score"), "hits")

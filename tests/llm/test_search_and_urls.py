@@ -38,6 +38,51 @@ def test_top_k_equals_brute_force(spark, spread, monkeypatch):
     assert got == brute(ints, {i: x for i, x in ints.items() if i % 50 == 0}, 5)
 
 
+def by_rows(rows, asked, k):
+    """All pairs: each asked row's k best rows but itself."""
+    out = []
+    for a, (q, x) in enumerate(rows):
+        if asked(q):
+            s = sorted((-sum(m * n for m, n in zip(x, y)), v) for b, (v, y) in enumerate(rows) if a != b)[:k]
+            out += [(q, rank, v, -n) for rank, (n, v) in enumerate(s, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size", [1, 2**14, 2**18])  # products in single and double precision and in integers
+def test_top_k_over_many_cells(spark, size, monkeypatch):
+    for name, value in {"BLOCK_ROWS": 16, "GROUP_BYTES": 8 * 12 * 64, "QUERY_BYTES": 8 * 12 * 16, "MAX_TASKS": 5, "MAX_RANGES": 3, "SEED_ROWS": 8, "NARROW": 0.3}.items():
+        monkeypatch.setattr(TK, name, value)
+    r = random.Random(size)
+    rows = []
+    for i in range(400):
+        long = 2.0 ** r.choice((0, 0, -1, -4))
+        rows.append((i % 350, [size * long * r.choice((r.gauss(0, 0.3), 1.0, 0.0)) for _ in range(r.choice((12, 12, 12, 5, 1)))]))
+    rows += [(7 * i, rows[7][1]) for i in range(90)]  # a hot vector
+    v = TK.quantise(spark.createDataFrame([(i, x, 0) for i, x in rows], VECTORS))
+    ints = [(i, [int(np.floor(256 * float(np.float32(c)))) for c in x]) for i, x in rows]
+    got = sorted(tuple(x) for x in TK.top_k(v.where("vec_id % 7 = 0"), v, 5).collect())
+    assert got == by_rows(ints, lambda i: i % 7 == 0, 5)
+
+
+def test_vectors_stay_off_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(TK, "BLOCK_ROWS", 8)
+    plans, freeze = [], TK.freeze
+    monkeypatch.setattr(TK, "freeze", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or freeze(df, name))
+    r = random.Random(4)
+    v = TK.quantise(spark.createDataFrame([(i, [r.gauss(0, 1) for _ in range(4)], 0) for i in range(3000)], VECTORS))
+    sc = spark.sparkContext
+    sc.setJobGroup("top_k", "top_k")
+    got = TK.top_k(v.where("vec_id % 50 = 0"), v, 5)
+    plans.append(got._jdf.queryExecution().toString())
+    assert got.count() == 300
+    sc._jsc.clearJobGroup()
+    # neither a broadcast of blocks nor a join that may become one, and tasks by bytes and cores rather than by blocks
+    assert not [p for p in plans if "Join" in p or "Broadcast" in p]
+    stages = [s for j in sc.statusTracker().getJobIdsForGroup("top_k") for s in sc.statusTracker().getJobInfo(j).stageIds]
+    tasks = [i.numTasks for i in map(sc.statusTracker().getStageInfo, stages) if i]
+    assert tasks and max(tasks) <= 40, max(tasks)  # 375 blocks
+
+
 def test_top_k_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5], 0), (1, [1.0, 0.5], 0), (2, None, 0), (3, [1.0, None], 0), (4, [nan, 1.0], 0), (5, [inf, 1.0], 0), (None, [1.0, 1.0], 0), (6, [], 0), (7, [2.0], 0), (0, [1.0, 0.5], 9)]
