@@ -50,6 +50,8 @@ COORDINATE_FROM = 0.6
 FOCUS = 3
 #: Coordinates prune if the first one leaves at most this share of a bucket; else all products of a block cost less.
 NARROW = 0.05
+#: Components of pairs of vectors that are multiplied at once after coordinate pruning.
+PAIR_VALUES = 1 << 21
 #: Slack of float bounds; products themselves are exact.
 EPS = 1e-9
 #: Score and row of a place among the k best that is still free.
@@ -223,7 +225,7 @@ def _pack(seeds: tuple | None, k: int, per: int):
     return run
 
 
-def search_block(q: Queries, p: Rows, k: int) -> None:
+def search_block(q: Queries, p: Rows) -> None:
     """Adds the vectors of a block, which descend in length, to the k best of each query."""
     start, lowest = 0, p.ids.min()
     while start < len(p.ids):
@@ -254,17 +256,19 @@ def _by_coordinate(q: Queries, p: Rows, rows: np.ndarray, local: np.ndarray, sta
     last = np.searchsorted(flat, high[:, 0] + 4.0 * f, "right") - f * n
     # shorter vectors have no such coordinate
     few = np.flatnonzero((last - first <= NARROW * n) & (focus.max(axis=1) < dim))
-    for j in few:
-        at = start + order[f[j], first[j] : last[j]]
-        for g, lo, hi in zip(focus[j, 1:], low[j, 1:], high[j, 1:]):
-            u = p.vecs[at, g] / np.maximum(p.length[at], EPS)
-            at = at[(u >= lo) & (u <= hi)]
-        if len(at):
-            i = rows[j]
-            near = Rows(p.vecs[at], p.ids[at], p.names[at])
-            s = _products(q, near, slice(i, i + 1))[0]
-            keep = s >= q.theta[i]
-            q.add(np.full(keep.sum(), i), s[keep].astype(np.int64), near.ids[keep], near.names[keep])
+    left = (last - first)[few]
+    j = np.repeat(few, left)
+    at = start + order[f[j], np.arange(len(j)) + np.repeat(first[few] - np.cumsum(left) + left, left)]
+    for g in range(1, focus.shape[1]):
+        u = p.vecs[at, focus[j, g]] / np.maximum(p.length[at], EPS)
+        fits = (u >= low[j, g]) & (u <= high[j, g])
+        j, at = j[fits], at[fits]
+    kind, dim, step = _kind(q, p), min(q.vecs.shape[1], dim), max(1, PAIR_VALUES // max(1, dim))
+    for k in range(0, len(j), step):
+        i, v = rows[j[k : k + step]], at[k : k + step]
+        s = np.einsum("ij,ij->i", q.of(kind)[i, :dim], p.of(kind)[v, :dim])
+        keep = s >= q.theta[i]
+        q.add(i[keep], s[keep].astype(np.int64), p.ids[v[keep]], p.names[v[keep]])
     return rows[few]
 
 
@@ -313,7 +317,7 @@ def _search(k: int):
                 elif asked:
                     p = Rows(*rows)
                     for q in asked:
-                        search_block(q, p, k)
+                        search_block(q, p)
         yield from found(asked)
 
     return run
